@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, mixing, simhash
 from .common import table
 
 
@@ -18,4 +18,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op7_decontaminate, op9_simhash)}
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.Mix(table(spark, sf_dir, "documents")).docs
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op7_decontaminate, op9_simhash, op10_mix)}

@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash
-from .common import table
+from . import decontaminate, language, mixing, packing, simhash
+from .common import remainder, table
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(language.train_rows(docs)))
+    held = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,4 +34,4 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op7_decontaminate, op9_simhash, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_pack, op7_decontaminate, op8_language, op9_simhash, op10_mix)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, packing, simhash
+from . import decontaminate, language, license_scan, mixing, packing, secrets_scan, simhash
 from .common import remainder, table
 
 
@@ -20,6 +20,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.find_secrets(table(spark, sf_dir, "documents"))
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *count, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,4 +49,4 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op7_decontaminate, op8_language, op9_simhash, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_licenses, op5_secrets, op7_decontaminate, op8_language, op9_simhash, op10_mix)}

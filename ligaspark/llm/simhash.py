@@ -63,7 +63,8 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
 def ball_links(distinct: DataFrame) -> DataFrame:
     """(u, v), v < u: links that connect exactly the fingerprints at a distance of at most 2. ``distinct`` has one row per fp."""
     ball = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(np.int64(np.uint64(1) << np.uint64(k)).item() if k < 63 else -(1 << 63)).cast("long")) for k in range(64)]]
-    emitted = distinct.select("fp", F.explode(F.array(*ball)).alias("near"))
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows grow 65-fold from here: spread them first
+    emitted = distinct.repartition(parts, "fp").select("fp", F.explode(F.array(*ball)).alias("near"))
     least = F.min("fp").over(Window.partitionBy("near").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0))
     met = emitted.select(F.col("fp").alias("u"), least.alias("v")).where("v < u")
     return met.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2).distinct()

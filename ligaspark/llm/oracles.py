@@ -3,6 +3,14 @@
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+OP6 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
 OP7 = f"""
 WITH iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
 il AS (SELECT item_id, w, least(len(w), 10) AS l FROM iw WHERE len(w) > 0),
@@ -47,4 +55,4 @@ p AS (SELECT d.doc_id, d.size, r.z, r.target, passes, tail,
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, z AS source_size, target, CAST(passes * size + greatest(0, least(size, tail - start)) AS BIGINT) AS taken FROM p"""
 
-ORACLES = {"op10_mix": OP10, "op7_decontaminate": OP7}
+ORACLES = {"op6_topk": OP6, "op10_mix": OP10, "op7_decontaminate": OP7}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, license_scan, mixing, packing, secrets_scan, simhash
+from . import decontaminate, language, license_scan, mixing, packing, quality, secrets_scan, simhash, topk, toxicity
 from .common import remainder, table
 
 
@@ -26,6 +26,20 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.find_secrets(table(spark, sf_dir, "documents"))
     line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -35,6 +49,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,4 +68,4 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_licenses, op5_secrets, op7_decontaminate, op8_language, op9_simhash, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_licenses, op3_toxicity, op4_quality, op5_secrets, op6_topk, op7_decontaminate, op8_language, op9_simhash, op10_mix)}

@@ -1,20 +1,32 @@
 """The training-data pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
 
-A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``. No stage is expressible in SQL as a
-whole (fingerprints need XXH64 with a seed), so ``ORACLE_SQL`` is None and the tests hold the stages against brute force.
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``:
+
+1. language ID: texts of no learned language (``und``: null, or without a letter) go;
+2. near-duplicates: of each group that SimHash links, the row with the smallest id stays;
+3. decontamination: a text that holds a window of a benchmark item goes;
+4. mixing: each source's texts are taken as often as its target says, whole, so a row comes up to twice;
+5. packing: token ids in binary matrices, a row per matrix.
+
+No stage is expressible in SQL as a whole (fingerprints need XXH64 with a seed, languages an automaton), so ``ORACLE_SQL`` is None and the tests hold the
+stages against brute force.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ligaspark.llm import decontaminate, simhash
+from ligaspark.llm import decontaminate, language, mixing, packing, simhash
 from ligaspark.llm.common import materialize, table
 
 ORACLE_SQL = None
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_languages(docs, language.fit(language.train_rows(docs)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
@@ -22,7 +34,21 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("near-duplicates", near_dedup), ("decontamination", decontamination)]
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeat_documents(docs)
+
+
+def token_matrices(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixture),
+    ("packing", token_matrices),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,574 @@
-"""Registered queries of the contact engine and their DuckDB counterparts."""
+"""Registered queries of the contact engine, one per operator, each with the DuckDB SQL that must give the same rows where SQL can."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import genome
+from ..functions import sequences
+from ..operators import adapters, alignments, contacts, dedup, fragments, matrix, qc, trim
+from . import derive
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+_L = derive.SITE_LEN
+_SITE = genome.parse_site("T^TAA")
+_KEY = "chr1, chr2, start1, start2, end1, end2, strand1, strand2"
+
+# ---------------------------------------------------------------- shared SQL
+
+_SWAP = "(chr1 > chr2 OR (chr1 = chr2 AND start1 > start2))"
+_FLIP = ", ".join(f"CASE WHEN {_SWAP} THEN {f}{b} ELSE {f}{a} END AS {f}{a}" for f in ("chr", "start", "end", "strand") for a, b in ((1, 2), (2, 1)))
+_C = f"contacts AS ({derive.CONTACTS}), up AS (SELECT {_FLIP}, name, score FROM contacts)"
+_U = f"uniq AS (SELECT {_KEY}, min(name) AS name, 0 AS score FROM up GROUP BY {_KEY})"
+_P = "pairs AS (SELECT name, chr1, start1 AS pos1, chr2, start2 AS pos2, strand1, strand2 FROM up)"
+_S = f"sites AS ({derive.SITES}), rs AS (SELECT chrom, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos) AS rk FROM sites)"
+
+
+def _end(k: int, source: str) -> str:
+    return f"""f{k} AS (SELECT name, CASE WHEN fs <= 0 THEN fs WHEN hi IS NULL THEN fe WHEN abs(st - lo) < abs(en - hi) THEN fs ELSE fe END AS frag{k},
+  CASE WHEN fs <= 0 THEN 't' WHEN hi IS NULL THEN 's' WHEN abs(st - lo) < abs(en - hi) THEN 's' ELSE 't' END AS side{k},
+  CASE WHEN fs <= 0 THEN en - hi WHEN hi IS NULL THEN st - lo WHEN abs(st - lo) < abs(en - hi) THEN st - lo ELSE en - hi END AS dis{k}
+ FROM (SELECT q.name, q.start{k} AS st, q.end{k} AS en, coalesce(a.rk, 0) AS fs, coalesce(b.rk, 0) AS fe, a.pos AS lo, n.pos AS hi FROM {source} q
+  ASOF LEFT JOIN rs a ON q.chr{k} = a.chrom AND q.start{k} + 1 >= a.pos
+  ASOF LEFT JOIN rs b ON q.chr{k} = b.chrom AND q.end{k} - {_L + 1} >= b.pos
+  ASOF LEFT JOIN rs n ON q.chr{k} = n.chrom AND q.end{k} - {_L + 1} < n.pos))"""
+
+
+def _typed(source: str, threshold: int = -1) -> str:
+    """CTEs up to ``typed``: contacts with fragments, class and tags."""
+    far = "FALSE" if threshold == -1 else f"abs(start1 - start2) > {threshold}"
+    settled = "FALSE" if threshold == -1 else f"(chr1 <> chr2 OR abs(start1 - start2) > {threshold})"
+    null = lambda c: f"CASE WHEN NOT {settled} THEN {c} END AS {c}"
+    return f"""{_C}, {_S}, {_end(1, source)}, {_end(2, source)},
+ raw AS (SELECT c.*, frag1, side1, dis1, frag2, side2, dis2, CASE WHEN chr1 <> chr2 OR {far} THEN 'normal' WHEN frag1 = frag2 THEN 'self-ligation'
+  WHEN frag2 - frag1 = 1 AND side2 = 's' AND side1 = 't' THEN 're-ligation' ELSE 'normal' END AS type FROM {source} c JOIN f1 USING (name) JOIN f2 USING (name)),
+ typed AS (SELECT chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2, type, {', '.join(null(c) for c in ('frag1', 'side1', 'dis1', 'frag2', 'side2', 'dis2'))},
+  concat(frag1, '-', side1) AS tag1, concat(frag2, '-', side2) AS tag2 FROM raw)"""
+
+
+def query(sql: str | None = None, *ctes: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = derive.duck(("WITH " + ", ".join(ctes) + " " if ctes else "") + sql)
+        return f
+
+    return add
+
+
+def _up(s, d):
+    return contacts.upper_triangle(derive.contacts(s, d))
+
+
+def _classified(s, d, threshold=-1):
+    return fragments.classify(derive.contacts(s, d), derive.sites(s, d), _L, threshold)
+
+
+def _sizes(s):
+    return genome.chromosome_sizes(s, derive.SIZES)
+
+
+# ---------------------------------------------------------------- contacts
+
+
+@query(f"SELECT {_KEY}, name, score FROM up", _C)
+def contacts_upper_triangle(s, d):
+    return _up(s, d)
+
+
+@query("SELECT * FROM pairs", _C, _P)
+def bedpe_to_pairs(s, d):
+    return contacts.to_pairs(derive.contacts(s, d))
+
+
+@query("SELECT chr1 AS chr_a, (start1 + end1) // 2 AS pos_a, chr2 AS chr_b, (start2 + end2) // 2 AS pos_b, score FROM contacts", _C)
+def bedpe_to_short(s, d):
+    return contacts.to_short(derive.contacts(s, d))
+
+
+@query("SELECT name, substr(chr1, 4) AS toggled, concat('chr', substr(chr1, 4)) AS prefixed FROM contacts", _C)
+def chrom_prefix_toggle(s, d):
+    bare = genome.toggle_chr(F.col("chr1"))
+    return derive.contacts(s, d).select("name", bare.alias("toggled"), genome.with_chr(bare).alias("prefixed"))
+
+
+@query("SELECT name, (start1 + end1) // 2 AS center1, (start2 + end2) // 2 AS center2 FROM contacts", _C)
+def interval_centers(s, d):
+    mid = lambda k: F.floor((F.col(f"start{k}") + F.col(f"end{k}")) / 2).alias(f"center{k}")
+    return derive.contacts(s, d).select("name", mid(1), mid(2))
+
+
+@query("SELECT * FROM pairs ORDER BY chr1, chr2, pos1, pos2, strand1, strand2, name LIMIT 100", _C, _P)
+def sort_pairs_topn(s, d):
+    return contacts.to_pairs(derive.contacts(s, d)).orderBy("chr1", "chr2", "pos1", "pos2", "strand1", "strand2", "name").limit(100)
+
+
+@query(f"SELECT {_KEY}, name, score FROM up ORDER BY {_KEY}, name LIMIT 100", _C)
+def sort_bedpe_topn(s, d):
+    return _up(s, d).orderBy(*[c.strip() for c in _KEY.split(",")], "name").limit(100)
+
+
+@query("SELECT chrom, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(chrom, '([0-9]+)', 1) AS BIGINT)) AS INT) AS ord FROM (SELECT DISTINCT concat('chr', p_partkey % 23 + 1) AS chrom FROM part)")
+def natural_chrom_sort(s, d):
+    from pyspark.sql import Window
+
+    chroms = s.read.parquet(f"{d}/part.parquet").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 23 + 1).cast("string")).alias("chrom")).distinct()
+    return chroms.select("chrom", F.row_number().over(Window.orderBy(*genome.natural_key(F.col("chrom")))).alias("ord"))
+
+
+@query("SELECT count(*) AS contacts, count(*) FILTER (chr1 <> chr2) AS inter, count(*) FILTER (chr1 = chr2 AND abs(start2 - end1) >= 5000) AS far FROM contacts", _C)
+def contact_predicates(s, d):
+    df = derive.contacts(s, d)
+    return df.agg(F.count(F.lit(1)).alias("contacts"), F.count_if(contacts.is_inter()).alias("inter"), F.count_if(~contacts.is_inter() & (contacts.span(df) >= 5000)).alias("far"))
+
+
+@query("SELECT DISTINCT chr1, chr2 FROM up", _C)
+def chromosome_pair_list(s, d):
+    return contacts.chromosome_pairs(_up(s, d))
+
+
+@query("SELECT name, chr1, chr2 FROM contacts WHERE chr1 IN ('chr1', 'chr3') AND chr2 IN ('chr1', 'chr3')", _C)
+def chrom_whitelist_semi(s, d):
+    return contacts.on_chromosomes(derive.contacts(s, d), s.createDataFrame([("chr1",), ("chr3",)], "chrom string")).select("name", "chr1", "chr2")
+
+
+@query("SELECT name, chr1, start1, end1 FROM contacts WHERE chr1 = 'chr2' AND start1 <= 60000 AND end1 >= 20000", _C)
+def region_query(s, d):
+    bed = derive.contacts(s, d).select("name", F.col("chr1").alias("chr"), F.col("start1").alias("start"), F.col("end1").alias("end"))
+    return contacts.in_region(bed, genome.parse_region("chr2:20,000-60,000")).select("name", F.col("chr").alias("chr1"), F.col("start").alias("start1"), F.col("end").alias("end1"))
+
+
+# ---------------------------------------------------------------- de-duplication
+
+
+@query(f"SELECT {_KEY}, name, score FROM uniq", _C, _U)
+def dedup_exact(s, d):
+    return dedup.exact(_up(s, d))
+
+
+@query("SELECT chr1, chr2, pos1, pos2, strand1, strand2, min(name) AS name FROM pairs GROUP BY chr1, chr2, pos1, pos2, strand1, strand2", _C, _P)
+def dedup_pairs(s, d):
+    return dedup.exact(contacts.to_pairs(derive.contacts(s, d)))
+
+
+_TAGGED = "chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2, tag1, dis1, tag2, dis2"
+_LINE = "concat_ws(chr(9), " + ", ".join(_TAGGED.split(", ")) + ")"
+
+
+def _tagged(s, d):
+    up = contacts.upper_triangle(derive.contacts(s, d))
+    return fragments.classify(up, derive.sites(s, d), _L).select(*_TAGGED.split(", "))
+
+
+@query(
+    f"SELECT {_TAGGED} FROM (SELECT *, lag(concat(tag2, '/', strand1, '/', strand2)) OVER (PARTITION BY chr1, chr2, tag1 ORDER BY CAST(dis1 AS VARCHAR), strand1, strand2, {_LINE}) AS p FROM typed) WHERE p IS NULL OR p <> concat(tag2, '/', strand1, '/', strand2)",
+    _typed("up"),
+)
+def dedup_etag_compat(s, d):
+    return dedup.dedup(_tagged(s, d), "etag")
+
+
+@query(f"SELECT {_TAGGED} FROM typed QUALIFY row_number() OVER (PARTITION BY chr1, chr2, tag1, tag2, strand1, strand2 ORDER BY {_LINE}) = 1", _typed("up"))
+def dedup_etag_strict(s, d):
+    return dedup.dedup(_tagged(s, d), "etag_strict")
+
+
+@query()
+def dedup_distance(s, d):
+    return dedup.distance(_up(s, d), 50)
+
+
+# ---------------------------------------------------------------- fragments
+
+
+@query("SELECT chrom AS chr, pos AS start, nxt AS \"end\", '.' AS name, 0 AS score, '+' AS strand FROM (SELECT chrom, pos, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS nxt FROM (SELECT * FROM sites UNION SELECT DISTINCT chrom, 0 FROM sites UNION SELECT DISTINCT chrom, 20000000 FROM sites)) WHERE nxt IS NOT NULL", _S)
+def restriction_fragments(s, d):
+    found = derive.sites(s, d)
+    bounds = found.select("chrom").distinct().select("chrom", F.explode(F.array(F.lit(0).cast("long"), F.lit(20_000_000).cast("long"))).alias("pos"))
+    return fragments.restriction_fragments(found.union(bounds).distinct())
+
+
+_LEN = "lens AS (SELECT chrom, length FROM (SELECT chrom, abs(pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos)) AS length FROM sites) WHERE length IS NOT NULL)"
+
+
+def _describe_sql(v: str) -> str:
+    return f"count({v}) AS count, avg({v}) AS mean, round(stddev_samp({v}), 6) AS std, min({v}) AS min, quantile_cont({v}, 0.25) AS p25, quantile_cont({v}, 0.5) AS p50, quantile_cont({v}, 0.75) AS p75, max({v}) AS max"
+
+
+@query("SELECT * FROM lens", _S, _LEN)
+def fragment_lengths(s, d):
+    return fragments.fragment_lengths(derive.sites(s, d))
+
+
+@query(f"SELECT chrom, {_describe_sql('length')} FROM lens GROUP BY chrom", _S, _LEN)
+def fragment_length_describe(s, d):
+    return qc.describe(fragments.fragment_lengths(derive.sites(s, d)), "length", "chrom").withColumn("std", F.round("std", 6))
+
+
+@query("SELECT chrom, length FROM lens WHERE length > (SELECT quantile_cont(length, 0.05) FROM lens) AND length < (SELECT quantile_cont(length, 0.95) FROM lens)", _S, _LEN)
+def fragment_quantile_trim(s, d):
+    return qc.quantile_trim(fragments.fragment_lengths(derive.sites(s, d)), "length")
+
+
+@query("SELECT name, frag1, side1, dis1 FROM f1", _C, _S, _end(1, "contacts"))
+def find_fragment_end1(s, d):
+    return fragments.find_fragments(derive.contacts(s, d), derive.sites(s, d), _L).select("name", "frag1", "side1", "dis1")
+
+
+@query("SELECT name, frag1, side1, dis1, frag2, side2, dis2 FROM f1 JOIN f2 USING (name)", _C, _S, _end(1, "contacts"), _end(2, "contacts"))
+def find_fragment_bins(s, d):
+    found = fragments.find_fragments(derive.contacts(s, d), derive.sites(s, d), _L, method="bins")
+    return found.select("name", "frag1", "side1", "dis1", "frag2", "side2", "dis2")
+
+
+@query("SELECT name, frag1, side1, dis1, frag2, side2, dis2, type, tag1, tag2 FROM typed", _typed("contacts"))
+def classify_contacts(s, d):
+    return _classified(s, d).select("name", "frag1", "side1", "dis1", "frag2", "side2", "dis2", "type", "tag1", "tag2")
+
+
+@query("SELECT type, count(*) AS count, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM typed) AS share FROM typed GROUP BY type", _typed("contacts"))
+def type_counts(s, d):
+    return qc.type_counts(_classified(s, d))
+
+
+@query("SELECT c.strand1, c.strand2, c.side1, c.side2, count(t.name) AS count FROM (SELECT * FROM (VALUES ('+'), ('-')) a(strand1), (VALUES ('+'), ('-')) b(strand2), (VALUES ('s'), ('t')) e(side1), (VALUES ('s'), ('t')) g(side2)) c LEFT JOIN typed t USING (strand1, strand2, side1, side2) GROUP BY ALL", _typed("contacts"))
+def orientation_position_cells(s, d):
+    return qc.orientation_cells(_classified(s, d))
+
+
+@query("SELECT 1 AS \"end\", dis1 AS dis, count(*) AS count FROM typed WHERE dis1 IS NOT NULL GROUP BY dis1 UNION ALL SELECT 2, dis2, count(*) FROM typed WHERE dis2 IS NOT NULL GROUP BY dis2", _typed("contacts"))
+def site_distance_distribution(s, d):
+    return qc.site_distances(_classified(s, d))
+
+
+@query("SELECT name, type, frag1, frag2 FROM typed", _typed("contacts", 2000))
+def safe_span_threshold(s, d):
+    return _classified(s, d, 2000).select("name", "type", "frag1", "frag2")
+
+
+@query("SELECT count(*) FILTER (type = 'normal') AS normal, count(*) FILTER (type = 'self-ligation') AS self_ligation, count(*) FILTER (type = 're-ligation') AS re_ligation FROM typed", _typed("contacts"))
+def three_way_split_counts(s, d):
+    return _classified(s, d).agg(*[F.count_if(F.col("type") == t).alias(t.replace("-", "_")) for t in (fragments.NORMAL, fragments.SELF, fragments.RE)])
+
+
+# ---------------------------------------------------------------- quality control
+
+_COMP = "comp AS (SELECT count(*) AS total, count(*) FILTER (chr1 <> chr2) AS inter, count(*) FILTER (chr1 = chr2) AS intra, count(*) FILTER (chr1 = chr2 AND abs(start2 - end1) >= 5000) AS long_range FROM uniq)"
+
+
+@query("SELECT * FROM comp", _C, _U, _COMP)
+def interaction_composition(s, d):
+    return qc.composition(dedup.exact(_up(s, d)), 5000)
+
+
+@query("SELECT part, count, CAST(count AS DOUBLE) / total AS share FROM (SELECT 'inter' AS part, inter AS count, total FROM comp UNION ALL SELECT 'intra_long', long_range, total FROM comp UNION ALL SELECT 'intra_short', intra - long_range, total FROM comp)", _C, _U, _COMP)
+def long_short_split(s, d):
+    return qc.long_short(qc.composition(dedup.exact(_up(s, d)), 5000))
+
+
+_M = "m0 AS (SELECT chr1, chr2, count(*) AS n FROM up GROUP BY ALL), m AS (SELECT * FROM m0 UNION ALL SELECT chr2, chr1, n FROM m0 WHERE chr1 <> chr2)"
+
+
+@query("SELECT a.c AS chr1, b.c AS chr2, CAST(coalesce(n, 0) AS BIGINT) AS count FROM (SELECT DISTINCT chr1 AS c FROM m) a, (SELECT DISTINCT chr1 AS c FROM m) b LEFT JOIN m ON m.chr1 = a.c AND m.chr2 = b.c", _C, _M)
+def chrom_interaction_matrix(s, d):
+    return qc.chromosome_matrix(derive.contacts(s, d))
+
+
+@query("SELECT chr1, chr2, n AS count FROM m0", _C, _M)
+def chrom_matrix_round_trip(s, d):
+    chroms = [c for c, _ in derive.SIZES]
+    return qc.upper_long(qc.pivoted(qc.chromosome_matrix(derive.contacts(s, d)), chroms), chroms).where("count > 0")
+
+
+_SPAN = "sp AS (SELECT CAST(CASE WHEN chr1 = chr2 THEN abs(start2 - start1) END AS DOUBLE) AS span FROM contacts)"
+
+
+def _spans(s, d):
+    df = derive.contacts(s, d)
+    return df.select(contacts.intra_span(df).cast("double").alias("span"))
+
+
+@query(f"SELECT {_describe_sql('span')} FROM sp", _C, _SPAN)
+def span_describe(s, d):
+    return qc.describe(_spans(s, d), "span").withColumn("std", F.round("std", 6))
+
+
+_HIST = "e AS (SELECT min(span) AS lo, max(span) AS hi FROM sp), hb AS (SELECT CAST(least(floor((span - lo) * 100 / (hi - lo)), 99) AS INT) AS bin, count(*) AS n FROM sp, e WHERE span IS NOT NULL GROUP BY 1), h AS (SELECT CAST(g AS INT) AS bin, lo + (hi - lo) * g / 100 AS start, lo + (hi - lo) * (g + 1) / 100 AS \"end\", coalesce(n, 0) AS count FROM e, range(0, 100) t(g) LEFT JOIN hb ON hb.bin = g)"
+
+
+@query("SELECT * FROM h", _C, _SPAN, _HIST)
+def span_histogram(s, d):
+    return qc.histogram(_spans(s, d), "span", 100)
+
+
+@query("SELECT bin, round(log10((start + \"end\") / 2), 9) AS x, round(log10(count), 9) AS y FROM h WHERE count > 0 AND start + \"end\" > 0", _C, _SPAN, _HIST)
+def span_loglog(s, d):
+    return qc.log_log(qc.histogram(_spans(s, d), "span", 100)).select("bin", F.round("x", 9).alias("x"), F.round("y", 9).alias("y"))
+
+
+@query("SELECT normal - final AS duplicated, CAST(normal - final AS DOUBLE) / raw AS of_raw, CAST(normal - final AS DOUBLE) / normal AS of_normal FROM (SELECT (SELECT count(*) FROM typed) AS raw, (SELECT count(*) FROM typed WHERE type = 'normal') AS normal, (SELECT count(*) FROM (SELECT DISTINCT chr1, chr2, start1, start2, end1, end2, strand1, strand2 FROM typed WHERE type = 'normal')) AS final)", _typed("up"))
+def duplication_ratio(s, d):
+    t = fragments.classify(_up(s, d), derive.sites(s, d), _L)
+    normal = t.where(F.col("type") == fragments.NORMAL)
+    final = normal.select(*[c.strip() for c in _KEY.split(",")]).distinct().agg(F.count(F.lit(1)).alias("final"))  # one row, as below
+    counts = t.agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("type") == fragments.NORMAL).alias("normal")).join(F.broadcast(final))
+    return counts.select(*qc.duplication(F.col("raw"), F.col("normal"), F.col("final")))
+
+
+_ALN = f"aln AS ({derive.ALIGNMENTS}), uq AS (SELECT * FROM aln WHERE flag & 4 = 0 AND mapq >= 20)"
+
+
+@query("SELECT ord, step, count, CAST(count AS DOUBLE) / first_value(count) OVER (ORDER BY ord) AS ratio FROM (SELECT 0 AS ord, 'raw' AS step, count(*) AS count FROM aln UNION ALL SELECT 1, 'unique', count(*) FROM uq UNION ALL SELECT 2, 'contacts', count(*) FROM contacts UNION ALL SELECT 3, 'non_redundant', count(*) FROM uniq UNION ALL SELECT 4, 'inter', count(*) FROM uniq WHERE chr1 <> chr2 UNION ALL SELECT 5, 'intra', count(*) FROM uniq WHERE chr1 = chr2)", _C, _U, _ALN)
+def read_funnel(s, d):
+    aln = derive.alignments(s, d).agg(F.count(F.lit(1)).alias("raw"), F.count_if(alignments.alignment_class(20) == alignments.UNIQUE).alias("unique"))
+    all_ = derive.contacts(s, d).agg(F.count(F.lit(1)).alias("contacts"))
+    comp = qc.composition(dedup.exact(_up(s, d))).select(F.col("total").alias("non_redundant"), "inter", "intra")
+    one = aln.join(F.broadcast(all_)).join(F.broadcast(comp))  # one row each
+    return qc.funnel(one, ["raw", "unique", "contacts", "non_redundant", "inter", "intra"], "raw")
+
+
+# ---------------------------------------------------------------- alignments
+
+
+@query("SELECT CASE WHEN flag & 4 <> 0 THEN 'unmapped' WHEN mapq >= 20 THEN 'unique' ELSE 'other' END AS class, count(*) AS count FROM aln GROUP BY 1", _ALN)
+def sam_class_counts(s, d):
+    return alignments.class_counts(derive.alignments(s, d), 20)
+
+
+@query("SELECT rname AS chr, pos AS start, end_pos AS \"end\", read_id AS name, mapq AS score, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand FROM uq", _ALN)
+def sam_to_bed(s, d):
+    return alignments.to_bed(derive.alignments(s, d), 20)
+
+
+_ENDS = "b AS (SELECT rname AS chr, pos AS start, end_pos AS \"end\", CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, split_part(read_id, '_', 1) AS name, CAST(split_part(read_id, '_', 2) AS INT) AS ln FROM uq), j AS (SELECT a.chr AS chr1, a.start AS start1, a.\"end\" AS end1, c.chr AS chr2, c.start AS start2, c.\"end\" AS end2, name, 0 AS score, a.strand AS strand1, c.strand AS strand2 FROM (SELECT * FROM b WHERE ln = 1) a JOIN (SELECT * FROM b WHERE ln = 2) c USING (name))"
+
+
+@query(f"SELECT {_FLIP}, name, score FROM j", _ALN, _ENDS)
+def pair_ends_join(s, d):
+    bed = alignments.to_bed(derive.alignments(s, d), 20)
+    parts = F.split("name", "_")
+    ends = bed.withColumns({"_n": parts[1], "name": parts[0]})
+    return alignments.pair_ends(ends.where("_n = '1'"), ends.where("_n = '2'"))
+
+
+@query("SELECT class, CAST(CASE WHEN class = 'unmapped' THEN arg_max(n, round) ELSE sum(n) END AS BIGINT) AS count FROM (SELECT l_linenumber AS round, CASE WHEN l_returnflag = 'R' THEN 'unmapped' WHEN l_suppkey % 38 >= 20 THEN 'unique' ELSE 'other' END AS class, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY class")
+def iterative_rollup(s, d):
+    rows = derive.alignments(s, d).withColumn("round", F.split("read_id", "_")[1].cast("int"))
+    return alignments.rollup(rows.groupBy("round", alignments.alignment_class(20).alias("class")).agg(F.count(F.lit(1)).alias("count")))
+
+
+# ---------------------------------------------------------------- matrices
+
+_BIN = 100_000
+_SZ = "sz AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {n}::BIGINT, {i})" for i, (c, n) in enumerate(derive.SIZES)) + ") t(chrom, length, ord))"
+
+
+def _off(binsize: int, name: str = "o") -> str:
+    return f"{name} AS (SELECT *, CAST(ceil(length / {binsize}) AS BIGINT) AS n_bins, CAST(coalesce(sum(ceil(length / {binsize})) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM sz)"
+
+
+def _px(binsize: int, name: str = "px", o: str = "o") -> str:
+    a, b = f"a.\"offset\" + start1 // {binsize}", f"b.\"offset\" + start2 // {binsize}"
+    return f"{name} AS (SELECT least({a}, {b}) AS bin1_id, greatest({a}, {b}) AS bin2_id, count(*) AS count FROM contacts JOIN {o} a ON a.chrom = chr1 JOIN {o} b ON b.chrom = chr2 WHERE start1 < a.length AND start2 < b.length GROUP BY 1, 2)"
+
+
+def _pixels(s, d, binsize=_BIN):
+    return matrix.bin_contacts(derive.contacts(s, d), _sizes(s), binsize)
+
+
+@query("SELECT * FROM o", _SZ, _off(30_000_000 // 7))
+def genome_offsets(s, d):
+    return matrix.genome_offsets(_sizes(s), 30_000_000 // 7)
+
+
+@query(f"SELECT \"offset\" + k AS bin_id, chrom, k * {30_000} AS start, least((k + 1) * {30_000}, length) AS \"end\" FROM o, LATERAL (SELECT unnest(range(0, n_bins)) AS k)", _SZ, _off(30_000))
+def make_bins(s, d):
+    return matrix.make_bins(_sizes(s), 30_000)
+
+
+@query("SELECT * FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
+def bin_contacts(s, d):
+    return _pixels(s, d)
+
+
+@query("SELECT CAST(500000 AS BIGINT) AS resolution, * FROM p5 UNION ALL SELECT 1000000, * FROM p10 UNION ALL SELECT 100000, * FROM px", _C, _SZ, _off(_BIN), _px(_BIN), _off(500_000, "o5"), _px(500_000, "p5", "o5"), _off(1_000_000, "o10"), _px(1_000_000, "p10", "o10"))
+def coarsen(s, d):
+    return matrix.zoom(_pixels(s, d), _sizes(s), _BIN, [_BIN, 500_000, 1_000_000])
+
+
+@query("SELECT bin1_id - 200 AS i, bin2_id - 200 AS j, count FROM (SELECT * FROM px UNION ALL SELECT bin2_id, bin1_id, count FROM px WHERE bin1_id <> bin2_id) WHERE bin1_id BETWEEN 200 AND 219 AND bin2_id BETWEEN 200 AND 219", _C, _SZ, _off(_BIN), _px(_BIN))
+def region_fetch(s, d):
+    return matrix.fetch(_pixels(s, d), matrix.make_bins(_sizes(s), _BIN), genome.Region("chr2", 0, 2_000_000))
+
+
+@query("SELECT bin1_id AS i, bin2_id AS j, count FROM px UNION ALL SELECT bin2_id, bin1_id, count FROM px WHERE bin1_id <> bin2_id", _C, _SZ, _off(1_000_000), _px(1_000_000))
+def whole_genome_fetch(s, d):
+    return matrix.whole_genome(_pixels(s, d, 1_000_000))
+
+
+_VC = "tot AS (SELECT bin_id, sum(count) AS total FROM (SELECT bin1_id AS bin_id, count FROM px UNION ALL SELECT bin2_id, count FROM px WHERE bin1_id <> bin2_id) GROUP BY 1), nm AS (SELECT bin_id, CAST(total AS DOUBLE) / (SELECT avg(total) FROM tot) AS norm FROM tot)"
+
+
+@query("SELECT bin1_id, bin2_id, count, round(count / (a.norm * b.norm), 6) AS balanced FROM px JOIN nm a ON a.bin_id = bin1_id JOIN nm b ON b.bin_id = bin2_id", _C, _SZ, _off(_BIN), _px(_BIN), _VC)
+def vc_normalize(s, d):
+    return matrix.vanilla_coverage(_pixels(s, d)).withColumn("balanced", F.round("balanced", 6))
+
+
+@query()
+def ice_balance(s, d):
+    return matrix.balance(_pixels(s, d, 500_000), iterations=20)
+
+
+@query("SELECT CAST(min(count) FILTER (count > (SELECT min(count) FROM px)) AS DOUBLE) AS lo, CAST(max(count) AS DOUBLE) AS hi FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
+def matrix_value_range(s, d):
+    return qc.value_range(_pixels(s, d), "count")
+
+
+@query("SELECT CAST(max(r) AS INT) AS resolution FROM (VALUES (5000), (10000), (25000), (50000), (100000), (250000)) t(r) WHERE 20000000 // r >= 500")
+def resolution_choice(s, d):
+    r = genome.choose_resolution(20_000_000, [250_000, 100_000, 50_000, 25_000, 10_000, 5_000])
+    return s.createDataFrame([(r,)], "resolution int")
+
+
+@query("SELECT p_partkey, CASE WHEN n // 1000000 = 0 THEN concat(n // 1000, 'K') WHEN n % 1000000 // 1000 = 0 THEN concat(n // 1000000, 'M') ELSE concat(n // 1000000, 'M', n % 1000000 // 1000, 'K') END AS unit FROM (SELECT p_partkey, p_partkey * 25000 AS n FROM part)")
+def position_units(s, d):
+    return s.read.parquet(f"{d}/part.parquet").select("p_partkey", genome.proper_unit(F.col("p_partkey") * 25_000).alias("unit"))
+
+
+# ---------------------------------------------------------------- sequences
+
+_R = f"reads AS ({derive.READS})"
+
+
+@query("SELECT seqid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM reads", _R)
+def reverse_complement(s, d):
+    return derive.reads(s, d).select("seqid", sequences.reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query(
+    "SELECT chrom, '+' AS strand, CAST(pos AS BIGINT) AS pos FROM (SELECT seqid AS chrom, unnest(list_transform(list_filter(range(1, len(seq) - 2), lambda i: substr(seq, i, 4) = 'TTAA' AND (len(seq) - len(replace(seq, 'TTAATTAA', '')) >= 0)), lambda i: i)) AS pos FROM reads WHERE FALSE) UNION SELECT seqid, '+', 0 FROM reads UNION SELECT seqid, '+', len(seq) FROM reads"
+    " UNION SELECT seqid, '+', len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))",
+    _R,
+)
+def restriction_scan(s, d):
+    return fragments.scan_sites(derive.reads(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
+
+
+_BF = "ch AS (SELECT unnest(range(0, len(seq))) AS pos, unnest(string_split(seq, '')) AS base FROM reads), bf AS (SELECT CAST(pos AS INT) AS pos, base, count(*) / sum(count(*)) OVER (PARTITION BY pos) AS p FROM ch GROUP BY pos, base)"
+_CONS = "cons AS (SELECT pos, coalesce(arg_min(base, strpos('ATCG-', base)) FILTER (p >= 0.3), 'N') AS base FROM bf GROUP BY pos)"
+
+
+@query("SELECT pos, base, CAST(p AS DOUBLE) AS p FROM bf", _R, _BF)
+def base_frequency(s, d):
+    return adapters.base_frequency(derive.reads(s, d))
+
+
+@query("SELECT pos, base FROM cons", _R, _BF, _CONS)
+def consensus(s, d):
+    return adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
+
+
+@query("SELECT run FROM (SELECT unnest(string_split(string_agg(base, '' ORDER BY pos), 'N')) AS run, unnest(range(0, 100000)) AS i FROM cons) WHERE run IS NOT NULL ORDER BY len(run) DESC, i DESC LIMIT 1", _R, _BF, _CONS)
+def longest_conserved_run(s, d):
+    cons = adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
+    return adapters.joined(cons).select(adapters.longest_run(F.col("consensus")).alias("run"))
+
+
+_LK, _N = derive.LINKER, len(derive.LINKER)
+_XS = f"xs AS (SELECT seqid, seq, CAST(strpos(seq, '{_LK}') AS BIGINT) AS pos FROM reads)"
+
+
+@query(f"SELECT seqid, pos, CASE WHEN pos > 0 THEN substr(seq, 1, pos - 1) END AS \"left\", CASE WHEN pos > 0 THEN substr(seq, pos + {_N}) END AS \"right\" FROM xs", _R, _XS)
+def exact_linker_split(s, d):
+    return trim.exact_split(derive.reads(s, d), derive.LINKER)
+
+
+@query("SELECT seqid, CASE WHEN pos - 1 > 22 THEN right(substr(seq, 1, pos - 1), 20) ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _R, _XS)
+def pet_length_clip(s, d):
+    cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
+    return cut.select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
+
+
+@query("SELECT seqid, CASE WHEN substr(seq, 1, pos - 1) LIKE '%TTA' THEN substr(seq, 1, pos - 1) || 'A' ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _R, _XS)
+def base_rescue(s, d):
+    cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
+    return cut.select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
+
+
+def _trimmed(s, d):
+    cfg = trim.TrimConfig((derive.LINKER,), _SITE, mismatch=4, adapter=derive.ADAPTER)
+    return trim.trim(derive.reads(s, d).withColumn("quality", F.expr("repeat('I', length(seq))")), cfg)
+
+
+@query()
+def trim_reads(s, d):
+    return _trimmed(s, d).select("seqid", "flag", F.col("pet1.seq").alias("pet1"), F.col("pet2.seq").alias("pet2"))
+
+
+@query()
+def align_locate(s, d):
+    return _trimmed(s, d).select("seqid", "linker.*")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (pos = 0) AS without_linker, count(*) FILTER (pos > 0 AND pos - 1 < 10) AS left_short, count(*) FILTER (pos - 1 > 22) AS left_long FROM xs", _R, _XS)
+def flag_counts_exact(s, d):
+    cut = trim.exact_split(derive.reads(s, d), derive.LINKER)
+    n = F.length("left")
+    return cut.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
+
+
+@query()
+def flag_counts(s, d):
+    return trim.flag_counts(_trimmed(s, d))
+
+
+@query()
+def pet_length_distribution(s, d):
+    return trim.length_distribution(_trimmed(s, d))
+
+
+@query()
+def score_distribution(s, d):
+    return trim.score_distribution(_trimmed(s, d))
+
+
+@query()
+def flag_table(s, d):
+    return trim.flag_table(_trimmed(s, d))
+
+
+@query("SELECT CAST(min(ascii(c)) AS INT) AS lowest, CAST(max(ascii(c)) AS INT) AS highest FROM (SELECT unnest(string_split(repeat(chr(CAST(64 + doc_id % 40 AS INT)), 3) || 'B', '')) AS c FROM documents)")
+def quality_encoding(s, d):
+    quality = F.concat(F.repeat(F.char(64 + F.col("doc_id") % 40), F.lit(3)), F.lit("B"))
+    return adapters.quality_range(s.read.parquet(f"{d}/documents.parquet").select(quality.alias("quality")))
+
+
+@query()
+def adapter_inference(s, d):
+    linked = derive.reads(s, d).where("rec_idx % 4 <> 0").withColumn("seq", F.expr(f"substring(seq, instr(seq, '{derive.ADAPTER[:12]}'), length(seq))"))
+    return s.createDataFrame([(adapters.infer_adapter(linked, 1000, 0, 0.75),)], "adapter string")
+
+
+@query("SELECT seqid, seq FROM reads ORDER BY rec_idx LIMIT 50", _R)
+def first_n_records(s, d):
+    return adapters.first_records(derive.reads(s, d), 50).select("seqid", "seq")
+
+
+@query()
+def sample_reads(s, d):
+    return derive.reads(s, d).orderBy(F.xxhash64("seqid"), "seqid").limit(100).select("seqid")
+
+
+@query("SELECT m AS sub FROM (SELECT DISTINCT seqid, substr(seq, i, 6) AS m FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 4)) AS i FROM reads WHERE rec_idx % 4 <> 0)) GROUP BY m HAVING count(*) = (SELECT count(*) FROM reads WHERE rec_idx % 4 <> 0)", _R)
+def common_substrings(s, d):
+    return adapters.common_substrings(derive.reads(s, d).where("rec_idx % 4 <> 0"), 6)
+
+
+@query("SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'", _R)
+def pattern_occurrences(s, d):
+    return derive.reads(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))

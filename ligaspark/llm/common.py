@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
+
 #: Bytes of text that one NumPy pass works on; bounds a worker's memory whatever the batch size (a longer text is a pass of its own).
 PASS_BYTES = 2_000_000
 
@@ -25,23 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- tables in the shared folder
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset, a temporary one in local mode, else one in the warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else None
-    if not found:
-        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
-        found = tempfile.mkdtemp(prefix="ligaspark-") if local else spark.conf.get("spark.sql.warehouse.dir") + "/_work"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends, and a lost executor costs no more than a reread."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ligaspark-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/ligaspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._ligaspark_path = path

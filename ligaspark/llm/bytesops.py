@@ -48,6 +48,8 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after another, and where each begins and ends (n + 1 offsets); nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.string())
     if texts.null_count:
         texts = texts.fill_null("")
     n = len(texts)

@@ -74,7 +74,7 @@ class Model:
     classes: np.ndarray  # byte -> symbol
     n_symbols: int
     table: np.ndarray  # (state base + symbol) -> next state base * 2 + (1 if a new phrase begins)
-    roots: np.ndarray  # state base of each language's root
+    roots: np.ndarray  # state base of each language's beginning
     bits: np.ndarray  # log2 of each sample's length
     stretch: int = STRETCH
 
@@ -108,7 +108,6 @@ class Model:
             moved = self.table[state[:, :k] + symbols[start[:k] + step]]
             count[:, :k] += moved & 1
             state[:, :k] = moved >> 1
-        count += 1
         out = np.zeros((len(self.languages), len(n)), dtype=np.int64)
         for i in range(len(self.languages)):
             out[i] = np.bincount(owner, weights=count[i], minlength=len(n)) if lanes else 0
@@ -157,17 +156,15 @@ def build(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES, high_
         automaton = SuffixAutomaton()
         for c in symbols.tolist():
             automaton.extend(c)
-        moves = np.full((len(automaton.next), n_symbols), -1, dtype=np.int64)
-        for s, to in enumerate(automaton.next):
+        n = len(automaton.next)  # one more state, in which nothing is matched: every text begins in it, and an unknown symbol leads to it
+        moves = np.full((n + 1, n_symbols), -1, dtype=np.int64)
+        for state, to in enumerate(automaton.next):
             for c, t in to.items():
-                moves[s, c] = t
-        fresh = moves[0].copy()
-        unknown = fresh < 0
-        fresh[unknown] = 0
-        flat = np.where(moves >= 0, moves * n_symbols + base, 0) * 2
-        flat = np.where(moves >= 0, flat, (fresh * n_symbols + base)[None, :] * 2 + 1)
+                moves[state, c] = t
+        fresh = np.where(moves[0] < 0, n, moves[0])
+        flat = np.where(moves >= 0, (moves * n_symbols + base) * 2, (fresh * n_symbols + base)[None, :] * 2 + 1)
         tables.append(flat.ravel())
-        roots.append(base)
+        roots.append(base + n * n_symbols)
         bits.append(np.log2(max(2, len(symbols))))
         base += flat.size
     if base >= 1 << 30:

@@ -174,10 +174,10 @@ class Mix:
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """Rows of ``docs``, whole, as often as the mix takes them: once for each full pass, and once more if the last pass takes at least half of the words.
 
-    A text without words is in no block and goes. Rows that share an id are told apart by their place among them only in count, as they share a key.
+    A text without words is in no block and goes. Rows that share an id come as often as the one of them that the mix takes most.
     """
     mix = Mix(docs.select(id_col, text, source), id_col=id_col, text=text, source=source, **how)
     times = mix.docs.select("id", (F.col("passes") + F.when((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)).alias("times"), "size").where("size > 0 and times > 0")
     times = materialize(times.groupBy(F.col("id").alias("_id")).agg(F.max("times").cast("int").alias("_times")))
-    joined = docs.join(times, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")))
+    joined = docs.where(F.rlike(F.col(f"`{text}`"), F.lit(_WORD))).join(times, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,8 +1,37 @@
 """DuckDB SQL for the queries that SQL can express; the others are held against brute force in the tests."""
 
+from . import license_scan
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def op2() -> str:
+    """The signature rules as a table, matches placed by the lengths of what lies between them, and suppression by comparing all detections of a text."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ", ".join(f"({rank}, {i}, {quoted(label)}, {quoted(key)}, {quoted(pattern)})" for i, (rank, label, _, key, pattern) in enumerate(license_scan.rules()))
+    base = ", ".join(f"({quoted(license_scan.as_pattern(p))}, {quoted(v)})" for p, v in license_scan.BASE.items())
+    spaces = lambda x: f"(len({x}) - len(replace({x}, ' ', ''))) // 2"
+    confidence = " ".join(f"WHEN {k} THEN {v}" for k, v in license_scan.CONFIDENCE.items())
+    found = f"""SELECT x.*, {spaces('left_of')} AS a, {spaces('left_of')} + {spaces('hit')} AS z FROM (SELECT *, hits[k] AS hit,
+      array_to_string(list_slice(gaps, 1, k), '') || array_to_string(list_slice(hits, 1, k - 1), '') AS left_of FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM (SELECT d.*, r.*,
+      string_split_regex(pad, r.pattern) AS gaps, regexp_extract_all(pad, r.pattern) AS hits FROM d JOIN {{rules}} r ON contains(pad, r.key)))) x"""
+    return f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+d AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CASE WHEN len(w) = 0 THEN '' ELSE ' ' || array_to_string(w, '  ') || ' ' END AS pad FROM w),
+rules(rank, rule, label, key, pattern) AS (VALUES {rules}), base(key, label, pattern) AS (SELECT col0, col1, col0 FROM (VALUES {base})),
+b AS ({found.format(rules='base')}),
+bd AS (SELECT doc_id, count(*) AS n_base, min(a) AS first_word, max(a) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY a, z DESC, rank, rule) AS n FROM ({found.format(rules='rules')})),
+kept AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m e WHERE e.doc_id = m.doc_id AND e.n < m.n AND e.rank <= m.rank AND e.z >= m.z)),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM kept UNION SELECT doc_id, label FROM b) GROUP BY doc_id),
+c AS (SELECT doc_id, CASE min(rank) {confidence} END AS score FROM kept GROUP BY doc_id)
+SELECT doc_id, n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN bd USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
 OP6 = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -55,4 +84,4 @@ p AS (SELECT d.doc_id, d.size, r.z, r.target, passes, tail,
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, z AS source_size, target, CAST(passes * size + greatest(0, least(size, tail - start)) AS BIGINT) AS taken FROM p"""
 
-ORACLES = {"op6_topk": OP6, "op10_mix": OP10, "op7_decontaminate": OP7}
+ORACLES = {"op2_licenses": op2(), "op6_topk": OP6, "op10_mix": OP10, "op7_decontaminate": OP7}

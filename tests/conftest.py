@@ -3,6 +3,9 @@ import sys
 
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+from smallest import DATA, TABLES  # noqa: E402
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 os.environ["PYTHONPATH"] = sys.path[0] + os.pathsep + os.environ.get("PYTHONPATH", "")
 
@@ -22,10 +25,6 @@ def spark(tmp_path_factory):
     s.stop()
 
 
-DATA = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-
-
 @pytest.fixture(scope="session")
 def duck():
     import duckdb

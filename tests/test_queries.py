@@ -1,7 +1,7 @@
 """Every registered query of the engine against its SQL on the smallest tables; those without SQL at least run."""
 
 import pytest
-from conftest import DATA
+from smallest import DATA
 
 from ligaspark.plans.registry import ORACLES, QUERIES
 

@@ -9,7 +9,7 @@ and the excess is shared anew by weight until none is above. That fixed point is
 
 Scale: the stream positions are prefix sums in two steps, within hash-prefix buckets of a source and over bucket totals, so a source that holds a third of
 all rows is as many groups as its size needs. Slots are counted where they are made and only counts move. The driver holds one row per source, whose
-number is checked against ``max_sources``.
+number is checked against ``max_sources``, and only that table is broadcast.
 
 Size of a null text: 0. Null sources form one source. Repeated rows each take their place in the stream. Empty tables give no rows.
 """
@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,12 +95,21 @@ def slot_counts(spark: SparkSession, n_slots: int, bounds: np.ndarray) -> DataFr
     return spark.range(math.ceil(n_slots / _CHUNK)).mapInArrow(run, "chunk long, s int, n long")
 
 
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
+
+
+def _key(id_col: Column, seed: str) -> Column:
+    """Place in the shuffled order: hexadecimal digits of a hash of seed and id."""
+    return F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("")))), 1, 16)
+
+
 def sized(docs: DataFrame, seed: str, id_col: str, text: str, source: str) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("id"),
         F.col(source).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
-        F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 16).alias("key"),
+        _size(F.col(text)).alias("size"),
+        _key(F.col(id_col), seed).alias("key"),
     )
 
 
@@ -127,13 +136,14 @@ class Mix:
             (r["source"], i, r["size"], self.targets[i], n // b if b else 0, min((n % b) * block_tokens, r["size"]) if b else 0)
             for i, (r, n, b) in enumerate(zip(found, self.slots, self.blocks, strict=True))
         ]
+        self.passes = [(p[0], p[4]) for p in per]
         sources = spark.createDataFrame(per, schema)
         digits = max(2, math.ceil(math.log(max(1, sum(r["n"] for r in found)) / _ROWS_PER_BUCKET, 16)) + 1) if found else 2
         rows = rows.withColumn("bucket", F.substring("key", 1, digits))
-        named = rows.join(sources.withColumnRenamed("source", "_src"), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
+        named = rows.join(F.broadcast(sources.withColumnRenamed("source", "_src")), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
         within = Window.partitionBy("s", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
         before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("z")).join(sources.select(F.col("source").alias("_src"), "s"), F.col("source").eqNullSafe(F.col("_src")))
+        offsets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("z")).join(F.broadcast(sources.select(F.col("source").alias("_src"), "s")), F.col("source").eqNullSafe(F.col("_src")))
         offsets = offsets.select("s", "bucket", F.coalesce(F.sum("z").over(before), F.lit(0)).alias("offset"))
         placed = named.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["s", "bucket"])
         placed = placed.withColumn("start", F.col("within") + F.col("offset"))
@@ -174,10 +184,19 @@ class Mix:
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """Rows of ``docs``, whole, as often as the mix takes them: once for each full pass, and once more if the last pass takes at least half of the words.
 
-    A text without words is in no block and goes. Rows that share an id come as often as the one of them that the mix takes most.
+    In a source's stream the last pass takes everything up to one place, so one cut, the key and size of the last text taken, says it for all of the source's
+    rows: the cuts, one row per source, are all that is joined, and texts are not shuffled. A text without words is in no block and goes. Rows that share an
+    id share a key, and come equally often if they are of one size.
     """
     mix = Mix(docs.select(id_col, text, source), id_col=id_col, text=text, source=source, **how)
-    times = mix.docs.select("id", (F.col("passes") + F.when((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)).alias("times"), "size").where("size > 0 and times > 0")
-    times = materialize(times.groupBy(F.col("id").alias("_id")).agg(F.max("times").cast("int").alias("_times")))
-    joined = docs.where(F.rlike(F.col(f"`{text}`"), F.lit(_WORD))).join(times, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    seed = how.get("seed", "mix")
+    last = mix.docs.where((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size"))).groupBy("source").agg(F.max(F.struct("key", "size")).alias("cut"))
+    cuts = {r["source"]: (r["cut"]["key"], r["cut"]["size"]) for r in last.collect()}  # one row per source, of which Mix has checked the number
+    rows = [(name, passes, *cuts.get(name, ("", 0))) for name, passes in mix.passes]
+    per = docs.sparkSession.createDataFrame(rows, "_mix_src string, _mix_passes long, _mix_key string, _mix_size long")
+    own = docs.withColumns({"_mix_k": _key(F.col(f"`{id_col}`"), seed), "_mix_n": _size(F.col(f"`{text}`"))}).where("_mix_n > 0")
+    joined = own.join(F.broadcast(per), F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_src")))
+    more = (F.col("_mix_k") < F.col("_mix_key")) | ((F.col("_mix_k") == F.col("_mix_key")) & (F.col("_mix_n") <= F.col("_mix_size")))
+    times = (F.col("_mix_passes") + F.when(more, 1).otherwise(0)).cast("int")
+    out = joined.withColumn("_mix_times", times).where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

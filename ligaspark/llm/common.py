@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..session import shared_folder
 
 #: Bytes of text that one NumPy pass works on; bounds a worker's memory whatever the batch size (a longer text is a pass of its own).
-PASS_BYTES = 2_000_000
+PASS_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,8 @@ def map_text(df: DataFrame, make: Callable[[], Callable], fields: str, text: str
             for part in pieces(batch, k):
                 made = f(part.column(k))
                 yield pa.RecordBatch.from_arrays([*part.columns[:k], *made], names=names)
+            del batch
+            pa.default_memory_pool().release_unused()  # workers are reused, and share an executor's memory with the JVM
 
     got = inner.mapInArrow(run, out)
     return got.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], *extra.names)
@@ -97,6 +99,8 @@ def filter_text(df: DataFrame, make: Callable[[], Callable], text: str = "text")
         for batch in batches:
             for part in pieces(batch, k):
                 yield part.filter(pa.array(f(part.column(k)), type=pa.bool_()))
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return inner.mapInArrow(run, inner.schema).toDF(*df.columns)
 

@@ -28,7 +28,7 @@ from .common import pieces, tokenizer_dir
 
 SEQ_LEN = 2048
 ROWS = 64
-WINDOW_TOKENS = 2_000_000
+WINDOW_TOKENS = 1_000_000
 #: How the public byte-level vocabulary splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 EOS = 50256
@@ -131,14 +131,14 @@ def pack(docs: DataFrame, vocabulary: str | None = None, pattern: str = PATTERN,
         parts, owners, numbers, held, id_type = [], [], [], 0, None
 
         def flush():
-            made = list(matrices(parts, owners, numbers, seq_len, rows, eos, kind))
-            parts.clear(), owners.clear(), numbers.clear()
-            for n, ids, ends, resets, docs_, nums in made:
+            for n, ids, ends, resets, docs_, nums in matrices(parts, owners, numbers, seq_len, rows, eos, kind):
                 i32 = pa.list_(pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n], pa.int32()), pa.array([seq_len], pa.int32()), pa.array([np.dtype(kind).itemsize], pa.int32()), pa.array([ids], pa.binary()), pa.array([ends], i32), pa.array([resets], i32), pa.array([docs_], pa.list_(id_type)), pa.array([nums], i32)],
                     names=[n for n, _ in fields],
                 )
+            parts.clear(), owners.clear(), numbers.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             id_type = batch.column(0).type

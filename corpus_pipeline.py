@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ligaspark.llm import decontaminate, language, mixing, packing, simhash
-from ligaspark.llm.common import materialize, table
+from ligaspark.llm.common import discard, materialize, table
 
 ORACLE_SQL = None
 
@@ -54,5 +54,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        made = materialize(stage(spark, docs, sf_dir))
+        discard(docs)  # what the stage before has written; the source table is none of ours and stays
+        docs = made
     return docs

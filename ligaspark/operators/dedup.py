@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def distance(df: DataFrame, most: int) -> DataFrame:
     """
     first = ["start1", "start2", "end1", "end2"] if is_bedpe(df) else ["pos1", "pos2"]
     order = ["chr1", "chr2", *first, "strand1", "strand2"]
-    rows = df.withColumn("_line", _line(df)).withColumn("_bin", F.floor(F.col(first[0]) / F.lit(max(1, most) * 4096)))
+    rows = df.withColumn("_bin", F.floor(F.col(first[0]) / F.lit(max(1, most) * 4096)))
     # a stretch begins where no row of the pair lies within `most` below; whether one does is seen from the bin and the last coordinate of the bins before
     within = Window.partitionBy("chr1", "chr2", "_bin").orderBy(first[0])
     tops = rows.groupBy("chr1", "chr2", "_bin").agg(F.max(first[0]).alias("_top"))
@@ -68,20 +69,32 @@ def distance(df: DataFrame, most: int) -> DataFrame:
     starts = counts.select("chr1", "chr2", "_bin", F.coalesce(F.sum("_n").over(Window.partitionBy("chr1", "chr2").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     rows = rows.join(starts, ["chr1", "chr2", "_bin"])
     rows = rows.withColumn("_run", F.col("_base") + F.sum("_cut").over(within.rangeBetween(Window.unboundedPreceding, 0)))
-    placed = rows.repartition("chr1", "chr2", "_run").sortWithinPartitions("chr1", "chr2", "_run", *first, "strand1", "strand2", "_line")
+    placed = rows.repartition("chr1", "chr2", "_run").sortWithinPartitions("chr1", "chr2", "_run", *first, "strand1", "strand2", "name")
 
     columns = list(df.columns)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = None
+        base = None  # of the run that the batch before ended in
         for pdf in batches:
-            keep = []
-            for row in pdf[[*order, "_run"]].itertuples(index=False, name=None):
-                c, xs, strands, run = row[:2], row[2 : 2 + len(first)], row[-3:-1], row[-1]
-                same = base is not None and base[0] == c and base[3] == run and base[2] == strands and all(abs(a - b) <= most for a, b in zip(xs, base[1], strict=True))
-                keep.append(not same)
-                if not same:
-                    base = (c, xs, strands, run)
+            if not len(pdf):
+                continue
+            place = pdf[["chr1", "chr2", "_run"]]
+            begins = (place != place.shift()).any(axis=1).to_numpy()
+            begins[0] = base is None or base[0] != tuple(place.iloc[0])
+            keep = begins.copy()
+            starts = np.flatnonzero(begins)
+            sizes = np.diff(np.append(starts, len(pdf)))
+            xs, strands = pdf[first].to_numpy(np.int64), (pdf["strand1"] + pdf["strand2"]).to_numpy()
+            # rows alone in their run stay; only longer runs, and what goes on from the batch before, are walked through
+            for a, n in [*([(-1, starts[0] if len(starts) else len(pdf))] if not begins[0] else []), *((s, k) for s, k in zip(starts.tolist(), sizes.tolist(), strict=True) if k > 1)]:
+                x, st = (base[1], base[2]) if a < 0 else (xs[a], strands[a])
+                for i in range(max(a + 1, 0), max(a, 0) + n):
+                    if st != strands[i] or (np.abs(xs[i] - x) > most).any():
+                        keep[i] = True
+                        x, st = xs[i], strands[i]
+                base = (base[0], x, st) if a < 0 else (tuple(place.iloc[a]), x, st)
+            if len(starts) and (base is None or base[0] != tuple(place.iloc[starts[-1]])):
+                base = (tuple(place.iloc[starts[-1]]), xs[starts[-1]], strands[starts[-1]])
             yield pdf[keep][columns]
 
     return placed.mapInPandas(scan, df.schema)

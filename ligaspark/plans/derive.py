@@ -25,11 +25,12 @@ SELECT concat('r', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey
   CASE WHEN l_returnflag = 'R' THEN 4 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 16 ELSE 0 END AS flag,
   concat('chr', l_partkey % 5 + 1) AS rname, l_partkey * 97 AS pos, l_partkey * 97 + 20 AS end_pos, l_suppkey % 38 AS mapq FROM lineitem"""
 
+#: No read uses more than the first 120 letters of a text.
 READS = f"""
 SELECT concat('q', doc_id) AS seqid, doc_id AS rec_idx,
   CASE WHEN doc_id % 4 = 0 THEN substr(dna, 1, 90)
     ELSE concat(substr(dna, 1, CAST(8 + doc_id % 19 AS INT)), '{LINKER}', substr(dna, 40, CAST(8 + doc_id % 17 AS INT)), '{ADAPTER}') END AS seq
-FROM (SELECT doc_id, translate(lower(regexp_replace(text, '[^A-Za-z]', ''/*g*/)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS dna FROM documents) d
+FROM (SELECT doc_id, translate(lower(substr(regexp_replace(text, '[^A-Za-z]', ''/*g*/), 1, 120)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS dna FROM documents) d
 WHERE length(dna) >= 90"""
 
 #: Chromosomes of the derived tables; long enough for every position.

@@ -23,9 +23,8 @@ def _line(df: DataFrame):
 
 def exact(df: DataFrame) -> DataFrame:
     """One row per coordinates and strands, the one whose name, and then the rest, is smallest."""
-    key = BEDPE_KEY if is_bedpe(df) else PAIRS_KEY
-    rest = [c for c in ["name", *df.columns] if c not in key]
-    rest = list(dict.fromkeys(rest))
+    key = sorted(BEDPE_KEY if is_bedpe(df) else PAIRS_KEY, key=lambda c: c.startswith(("chr", "strand")))  # numbers first: the sort's prefix then tells most rows apart
+    rest = list(dict.fromkeys(c for c in ["name", *df.columns] if c not in key))
     out = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
     return out.select(*df.columns)
 
@@ -33,7 +32,7 @@ def exact(df: DataFrame) -> DataFrame:
 def strict(df: DataFrame) -> DataFrame:
     """One row per chromosomes, fragment tags and strands, the one with the smallest line."""
     _need_tags(df)
-    key = ["chr1", "chr2", "tag1", "tag2", "strand1", "strand2"]
+    key = ["tag1", "tag2", "chr1", "chr2", "strand1", "strand2"]
     rows = df.withColumn("_line", _line(df))
     rest = ["_line", *[c for c in df.columns if c not in key]]
     out = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r"))
@@ -44,7 +43,7 @@ def islands(df: DataFrame) -> DataFrame:
     """Rows that differ in second tag or strands from the row before, ordered by the first distance as text: equal rows that are apart both stay."""
     _need_tags(df)
     rows = df.withColumn("_line", _line(df))
-    w = Window.partitionBy("chr1", "chr2", "tag1").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
+    w = Window.partitionBy("tag1", "chr1", "chr2").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
     mine = F.struct("tag2", "strand1", "strand2")
     return rows.withColumn("_p", F.lag(mine).over(w)).where(F.col("_p").isNull() | (F.col("_p") != mine)).select(*df.columns)
 

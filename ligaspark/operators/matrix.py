@@ -64,13 +64,21 @@ def zoom(pixels: DataFrame, sizes: DataFrame, base: int, resolutions: list[int])
     return out
 
 
+def mirrored(pixels: DataFrame) -> DataFrame:
+    """Both triangles of a symmetric matrix, the diagonal once, from one pass over the pixels."""
+    way = lambda a, b: F.struct(F.col(a).alias("bin1_id"), F.col(b).alias("bin2_id"), F.col("count"))
+    up, down = way("bin1_id", "bin2_id"), way("bin2_id", "bin1_id")
+    ways = F.when(F.col("bin1_id") == F.col("bin2_id"), F.array(up)).otherwise(F.array(up, down))
+    return pixels.select(F.explode(ways).alias("x")).select("x.*")
+
+
 def fetch(pixels: DataFrame, bins: DataFrame, region1: Region, region2: Region | None = None) -> DataFrame:
     """(i, j, count): cells of a rectangle, from the first bin of each region; mirrored when both regions are the same."""
     region2 = region2 or region1
     pick = lambda r, k: bins.where(_in(r)).select(F.col("bin_id").alias(k))
     one, two = pick(region1, "_a"), pick(region2, "_b")
     low1, low2 = one.agg(F.min("_a").alias("_la")), two.agg(F.min("_b").alias("_lb"))
-    both = pixels.select("bin1_id", "bin2_id", "count").union(pixels.where("bin1_id <> bin2_id").select("bin2_id", "bin1_id", "count"))
+    both = mirrored(pixels)
     cells = both.join(one, F.col("bin1_id") == F.col("_a")).join(two, F.col("bin2_id") == F.col("_b"))
     cells = cells.join(F.broadcast(low1)).join(F.broadcast(low2))
     return cells.select((F.col("bin1_id") - F.col("_la")).alias("i"), (F.col("bin2_id") - F.col("_lb")).alias("j"), "count")
@@ -83,7 +91,7 @@ def _in(region: Region):
 
 def whole_genome(pixels: DataFrame) -> DataFrame:
     """(i, j, count) of the full square matrix; bin numbers are already offset by chromosome."""
-    return pixels.select(F.col("bin1_id").alias("i"), F.col("bin2_id").alias("j"), "count").union(pixels.where("bin1_id <> bin2_id").select("bin2_id", "bin1_id", "count"))
+    return mirrored(pixels).toDF("i", "j", "count")
 
 
 def marginals(pixels: DataFrame, value: str = "count") -> DataFrame:

@@ -53,7 +53,9 @@ def site_distances(classified: DataFrame) -> DataFrame:
 def chromosome_matrix(df: DataFrame) -> DataFrame:
     """(chr1, chr2, count) over all ordered pairs of the chromosomes that occur, symmetric, zero-filled; contacts in either order are summed."""
     counts = upper_triangle(df).groupBy("chr1", "chr2").agg(F.count(F.lit(1)).alias("count"))
-    both = counts.union(counts.where("chr1 <> chr2").select(F.col("chr2"), F.col("chr1"), F.col("count")))
+    way = lambda a, b: F.struct(F.col(a).alias("chr1"), F.col(b).alias("chr2"), F.col("count"))
+    ways = F.when(F.col("chr1") == F.col("chr2"), F.array(way("chr1", "chr2"))).otherwise(F.array(way("chr1", "chr2"), way("chr2", "chr1")))
+    both = counts.select(F.explode(ways).alias("x")).select("x.*")  # one branch, so that the grouped counts are made once and reused
     names = both.select("chr1").distinct().agg(F.sort_array(F.collect_list("chr1")).alias("n"))  # chromosomes: a bounded list
     grid = names.select(F.explode("n").alias("chr1"), "n").select("chr1", F.explode("n").alias("chr2"))
     return grid.join(both, ["chr1", "chr2"], "left").select("chr1", "chr2", F.coalesce("count", F.lit(0)).cast("long").alias("count"))

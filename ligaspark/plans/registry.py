@@ -559,9 +559,9 @@ def first_n_records(s, d):
     return adapters.first_records(derive.reads(s, d), 50).select("seqid", "seq")
 
 
-@query()
+@query("SELECT seqid FROM reads ORDER BY md5(seqid), seqid LIMIT 100", _R)
 def sample_reads(s, d):
-    return derive.reads(s, d).orderBy(F.xxhash64("seqid"), "seqid").limit(100).select("seqid")
+    return derive.reads(s, d).orderBy(F.md5("seqid"), "seqid").limit(100).select("seqid")
 
 
 @query("SELECT m AS sub FROM (SELECT DISTINCT seqid, substr(seq, i, 6) AS m FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 4)) AS i FROM reads WHERE rec_idx % 4 <> 0)) GROUP BY m HAVING count(*) = (SELECT count(*) FROM reads WHERE rec_idx % 4 <> 0)", _R)

@@ -45,9 +45,19 @@ def site_starts(seq: Column, site: str) -> Column:
 
 
 def all_starts(seq: Column, pattern: str) -> Column:
-    """0-based starts of every occurrence, overlapping ones too."""
-    n = len(pattern)
-    return F.filter(F.sequence(F.lit(0), F.greatest(F.length(seq) - n, F.lit(0))), lambda i: F.substr(seq, i + 1, F.lit(n)) == pattern)
+    """0-based starts of every occurrence, overlapping ones too.
+
+    The text is cut in front of each occurrence, and the pieces' lengths give the starts as running sums: a substring by position would walk the text from its
+    beginning at every letter.
+    """
+    pieces = F.split(seq, f"(?=\\Q{pattern}\\E)", -1)
+    first = F.when(F.startswith(seq, F.lit(pattern)), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1),
+        F.struct(F.lit(0).alias("at"), first.alias("out")),
+        lambda acc, p: F.struct((acc["at"] + F.length(p)).alias("at"), F.concat(acc["out"], F.array(acc["at"] + F.length(p))).alias("out")),
+        lambda acc: acc["out"],
+    )
 
 
 def base_at(seq: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SITE_LEN = 4
 LINKER = "GTCGGATCCTAAGCGCTTAGGATCCGAC"
@@ -33,6 +34,18 @@ SELECT concat('q', doc_id) AS seqid, doc_id AS rec_idx,
 FROM (SELECT doc_id, translate(lower(substr(regexp_replace(text, '[^A-Za-z]', ''/*g*/), 1, 120)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS dna FROM documents) d
 WHERE length(dna) >= 90"""
 
+#: Whole texts as sequences, a row per document; without a letter, an empty one.
+WHOLE = """
+SELECT concat('q', doc_id) AS seqid, doc_id AS rec_idx,
+  translate(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''/*g*/)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents"""
+
+#: Whole texts cut into reads of the same two shapes as READS, the short rest included: every letter is in one read. DuckDB only; Spark has ``tiles``.
+TILES = f"""
+SELECT concat(seqid, '_', k) AS seqid, doc_id * 1000000000 + k AS rec_idx,
+  CASE WHEN doc_id % 4 = 0 THEN substr(seq, 1 + k * w, w) ELSE concat(substr(seq, 1 + k * w, l), '{LINKER}', substr(seq, 1 + k * w + l, w - l), '{ADAPTER}') END AS seq
+FROM (SELECT *, unnest(range(0, (length(seq) + w - 1) // w)) AS k
+ FROM (SELECT seqid, rec_idx AS doc_id, seq, 8 + rec_idx % 19 AS l, CASE WHEN rec_idx % 4 = 0 THEN 90 ELSE 16 + rec_idx % 19 + rec_idx % 17 END AS w FROM ({WHOLE}) e) f) g"""
+
 #: Chromosomes of the derived tables; long enough for every position.
 SIZES = [(f"chr{k}", 20_000_000) for k in range(1, 6)]
 
@@ -59,3 +72,17 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, READS, "documents")
+
+
+def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, WHOLE, "documents")
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of TILES; one pass of a pattern over each text, as a substring by position walks the text from its beginning."""
+    doc = F.col("rec_idx")
+    left = 8 + doc % 19
+    width = F.when(doc % 4 == 0, 90).otherwise(left + 8 + doc % 17)
+    cut = whole(spark, sf_dir).select("seqid", "rec_idx", F.posexplode(F.regexp_extract_all("seq", F.concat(F.lit(".{1,"), width.cast("string"), F.lit("}")), F.lit(0))).alias("k", "t"))
+    linked = F.concat(F.left("t", left.cast("int")), F.lit(LINKER), F.substr(F.col("t"), (left + 1).cast("int")), F.lit(ADAPTER))
+    return cut.select(F.concat_ws("_", "seqid", "k").alias("seqid"), (doc * 1_000_000_000 + F.col("k")).alias("rec_idx"), F.when(doc % 4 == 0, F.col("t")).otherwise(linked).alias("seq"))

@@ -443,66 +443,134 @@ def position_units(s, d):
 # ---------------------------------------------------------------- sequences
 
 _R = f"reads AS ({derive.READS})"
+_W = f"reads AS ({derive.WHOLE})"
+_T = f"reads AS ({derive.TILES})"
 
 
-@query("SELECT seqid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM reads", _R)
+_REVERSE_COMPLEMENT_SQL = "SELECT seqid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM reads"
+
+
+@query(_REVERSE_COMPLEMENT_SQL, _R)
 def reverse_complement(s, d):
     return derive.reads(s, d).select("seqid", sequences.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@query(
+@query(_REVERSE_COMPLEMENT_SQL, _W)
+def reverse_complement_whole(s, d):
+    return derive.whole(s, d).select("seqid", sequences.reverse_complement(F.col("seq")).alias("rc"))
+
+
+_RESTRICTION_SCAN_SQL = (
     "SELECT chrom, '+' AS strand, CAST(pos AS BIGINT) AS pos FROM (SELECT seqid AS chrom, unnest(list_transform(list_filter(range(1, len(seq) - 2), lambda i: substr(seq, i, 4) = 'TTAA' AND (len(seq) - len(replace(seq, 'TTAATTAA', '')) >= 0)), lambda i: i)) AS pos FROM reads WHERE FALSE) UNION SELECT seqid, '+', 0 FROM reads UNION SELECT seqid, '+', len(seq) FROM reads"
-    " UNION SELECT seqid, '+', len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))",
-    _R,
+    " UNION SELECT seqid, '+', len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))"
 )
+
+
+@query(_RESTRICTION_SCAN_SQL, _R)
 def restriction_scan(s, d):
     return fragments.scan_sites(derive.reads(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
 
 
+@query(_RESTRICTION_SCAN_SQL, _W)
+def restriction_scan_whole(s, d):
+    return fragments.scan_sites(derive.whole(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
+
+
 _BF = "ch AS (SELECT unnest(range(0, len(seq))) AS pos, unnest(string_split(seq, '')) AS base FROM reads), bf AS (SELECT CAST(pos AS INT) AS pos, base, count(*) / sum(count(*)) OVER (PARTITION BY pos) AS p FROM ch GROUP BY pos, base)"
 _CONS = "cons AS (SELECT pos, coalesce(arg_min(base, strpos('ATCG-', base)) FILTER (p >= 0.3), 'N') AS base FROM bf GROUP BY pos)"
 
 
-@query("SELECT pos, base, CAST(p AS DOUBLE) AS p FROM bf", _R, _BF)
+_BASE_FREQUENCY_SQL = "SELECT pos, base, CAST(p AS DOUBLE) AS p FROM bf"
+
+
+@query(_BASE_FREQUENCY_SQL, _R, _BF)
 def base_frequency(s, d):
     return adapters.base_frequency(derive.reads(s, d))
 
 
-@query("SELECT pos, base FROM cons", _R, _BF, _CONS)
+@query(_BASE_FREQUENCY_SQL, _W, _BF)
+def base_frequency_whole(s, d):
+    return adapters.base_frequency(derive.whole(s, d))
+
+
+_CONSENSUS_SQL = "SELECT pos, base FROM cons"
+
+
+@query(_CONSENSUS_SQL, _R, _BF, _CONS)
 def consensus(s, d):
     return adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
 
 
-@query("SELECT run FROM (SELECT unnest(string_split(string_agg(base, '' ORDER BY pos), 'N')) AS run, unnest(range(0, 100000)) AS i FROM cons) WHERE run IS NOT NULL ORDER BY len(run) DESC, i DESC LIMIT 1", _R, _BF, _CONS)
+@query(_CONSENSUS_SQL, _T, _BF, _CONS)
+def consensus_tiled(s, d):
+    return adapters.consensus(adapters.base_frequency(derive.tiles(s, d)), 0.3)
+
+
+_LONGEST_CONSERVED_RUN_SQL = "SELECT run FROM (SELECT unnest(string_split(string_agg(base, '' ORDER BY pos), 'N')) AS run, unnest(range(0, 100000)) AS i FROM cons) WHERE run IS NOT NULL ORDER BY len(run) DESC, i DESC LIMIT 1"
+
+
+@query(_LONGEST_CONSERVED_RUN_SQL, _R, _BF, _CONS)
 def longest_conserved_run(s, d):
     cons = adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
     return adapters.joined(cons).select(adapters.longest_run(F.col("consensus")).alias("run"))
 
 
+@query(_LONGEST_CONSERVED_RUN_SQL, _T, _BF, _CONS)
+def longest_conserved_run_tiled(s, d):
+    cons = adapters.consensus(adapters.base_frequency(derive.tiles(s, d)), 0.3)
+    return adapters.joined(cons).select(adapters.longest_run(F.col("consensus")).alias("run"))
+
+
 _LK, _N = derive.LINKER, len(derive.LINKER)
 _XS = f"xs AS (SELECT seqid, seq, CAST(strpos(seq, '{_LK}') AS BIGINT) AS pos FROM reads)"
 
 
-@query(f"SELECT seqid, pos, CASE WHEN pos > 0 THEN substr(seq, 1, pos - 1) END AS \"left\", CASE WHEN pos > 0 THEN substr(seq, pos + {_N}) END AS \"right\" FROM xs", _R, _XS)
+_EXACT_LINKER_SPLIT_SQL = f"SELECT seqid, pos, CASE WHEN pos > 0 THEN substr(seq, 1, pos - 1) END AS \"left\", CASE WHEN pos > 0 THEN substr(seq, pos + {_N}) END AS \"right\" FROM xs"
+
+
+@query(_EXACT_LINKER_SPLIT_SQL, _R, _XS)
 def exact_linker_split(s, d):
     return trim.exact_split(derive.reads(s, d), derive.LINKER)
 
 
-@query("SELECT seqid, CASE WHEN pos - 1 > 22 THEN right(substr(seq, 1, pos - 1), 20) ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _R, _XS)
+@query(_EXACT_LINKER_SPLIT_SQL, _T, _XS)
+def exact_linker_split_tiled(s, d):
+    return trim.exact_split(derive.tiles(s, d), derive.LINKER)
+
+
+_PET_LENGTH_CLIP_SQL = "SELECT seqid, CASE WHEN pos - 1 > 22 THEN right(substr(seq, 1, pos - 1), 20) ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0"
+
+
+@query(_PET_LENGTH_CLIP_SQL, _R, _XS)
 def pet_length_clip(s, d):
     cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
     return cut.select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
 
 
-@query("SELECT seqid, CASE WHEN substr(seq, 1, pos - 1) LIKE '%TTA' THEN substr(seq, 1, pos - 1) || 'A' ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _R, _XS)
+@query(_PET_LENGTH_CLIP_SQL, _T, _XS)
+def pet_length_clip_tiled(s, d):
+    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER).where("pos > 0")
+    return cut.select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
+
+
+_BASE_RESCUE_SQL = "SELECT seqid, CASE WHEN substr(seq, 1, pos - 1) LIKE '%TTA' THEN substr(seq, 1, pos - 1) || 'A' ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0"
+
+
+@query(_BASE_RESCUE_SQL, _R, _XS)
 def base_rescue(s, d):
     cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
     return cut.select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
 
 
+@query(_BASE_RESCUE_SQL, _T, _XS)
+def base_rescue_tiled(s, d):
+    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER).where("pos > 0")
+    return cut.select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
+
+
 def _trimmed(s, d):
     cfg = trim.TrimConfig((derive.LINKER,), _SITE, mismatch=4, adapter=derive.ADAPTER)
-    return trim.trim(derive.reads(s, d).withColumn("quality", F.expr("repeat('I', length(seq))")), cfg)
+    return trim.trim(derive.tiles(s, d).withColumn("quality", F.expr("repeat('I', length(seq))")), cfg)
 
 
 @query()
@@ -515,13 +583,23 @@ def align_locate(s, d):
     return _trimmed(s, d).select("seqid", "linker.*")
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (pos = 0) AS without_linker, count(*) FILTER (pos > 0 AND pos - 1 < 10) AS left_short, count(*) FILTER (pos - 1 > 22) AS left_long FROM xs", _R, _XS)
+_FLAG_COUNTS_EXACT_SQL = "SELECT count(*) AS total, count(*) FILTER (pos = 0) AS without_linker, count(*) FILTER (pos > 0 AND pos - 1 < 10) AS left_short, count(*) FILTER (pos - 1 > 22) AS left_long FROM xs"
+
+
+@query(_FLAG_COUNTS_EXACT_SQL, _R, _XS)
 def flag_counts_exact(s, d):
     cut = trim.exact_split(derive.reads(s, d), derive.LINKER)
     n = F.length("left")
     return cut.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
 
 
+@query(_FLAG_COUNTS_EXACT_SQL, _T, _XS)
+def flag_counts_exact_tiled(s, d):
+    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER)
+    n = F.length("left")
+    return cut.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
+
+
 @query()
 def flag_counts(s, d):
     return trim.flag_counts(_trimmed(s, d))
@@ -569,6 +647,14 @@ def common_substrings(s, d):
     return adapters.common_substrings(derive.reads(s, d).where("rec_idx % 4 <> 0"), 6)
 
 
-@query("SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'", _R)
+_PATTERN_OCCURRENCES_SQL = "SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'"
+
+
+@query(_PATTERN_OCCURRENCES_SQL, _R)
 def pattern_occurrences(s, d):
     return derive.reads(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))
+
+
+@query(_PATTERN_OCCURRENCES_SQL, _W)
+def pattern_occurrences_whole(s, d):
+    return derive.whole(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))

@@ -49,8 +49,9 @@ def intra_span(df: DataFrame) -> Column:
     return F.when(F.col("chr1") == F.col("chr2"), F.abs(F.col(b) - F.col(a)))
 
 
-def sort_contacts(df: DataFrame) -> DataFrame:
-    return df.orderBy(*(BEDPE_KEY if is_bedpe(df) else PAIRS_KEY))
+def sort_contacts(df: DataFrame, *ties: str) -> DataFrame:
+    """All rows by the key of their kind, and then by the columns ``ties``; dealt out by ranges of the key, so no task has more than its range."""
+    return df.orderBy(*(BEDPE_KEY if is_bedpe(df) else PAIRS_KEY), *ties)
 
 
 def sort_bed(df: DataFrame) -> DataFrame:

@@ -113,6 +113,16 @@ def sort_bedpe_topn(s, d):
     return _up(s, d).orderBy(*[c.strip() for c in _KEY.split(",")], "name").limit(100)
 
 
+@query("SELECT * FROM pairs ORDER BY chr1, chr2, pos1, pos2, strand1, strand2, name", _C, _P)
+def sort_pairs(s, d):
+    return contacts.sort_contacts(contacts.to_pairs(derive.contacts(s, d)), "name")
+
+
+@query(f"SELECT {_KEY}, name, score FROM up ORDER BY {_KEY}, name", _C)
+def sort_bedpe(s, d):
+    return contacts.sort_contacts(_up(s, d), "name")
+
+
 @query("SELECT chrom, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(chrom, '([0-9]+)', 1) AS BIGINT)) AS INT) AS ord FROM (SELECT DISTINCT concat('chr', p_partkey % 23 + 1) AS chrom FROM part)")
 def natural_chrom_sort(s, d):
     from pyspark.sql import Window

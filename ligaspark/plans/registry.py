@@ -638,7 +638,7 @@ def quality_encoding(s, d):
 
 @query()
 def adapter_inference(s, d):
-    linked = derive.reads(s, d).where("rec_idx % 4 <> 0").withColumn("seq", F.expr(f"substring(seq, instr(seq, '{derive.ADAPTER[:12]}'), length(seq))"))
+    linked = derive.reads(s, d).where(F.instr("seq", derive.ADAPTER[:12]) > 0).withColumn("seq", F.expr(f"substring(seq, instr(seq, '{derive.ADAPTER[:12]}'), length(seq))"))
     return s.createDataFrame([(adapters.infer_adapter(linked, 1000, 0, 0.75),)], "adapter string")
 
 
@@ -654,7 +654,7 @@ def sample_reads(s, d):
 
 @query("SELECT m AS sub FROM (SELECT DISTINCT seqid, substr(seq, i, 6) AS m FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 4)) AS i FROM reads WHERE rec_idx % 4 <> 0)) GROUP BY m HAVING count(*) = (SELECT count(*) FROM reads WHERE rec_idx % 4 <> 0)", _R)
 def common_substrings(s, d):
-    return adapters.common_substrings(derive.reads(s, d).where("rec_idx % 4 <> 0"), 6)
+    return adapters.common_substrings(derive.reads(s, d).where(F.instr("seq", derive.LINKER) > 0), 6)
 
 
 _PATTERN_OCCURRENCES_SQL = "SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'"

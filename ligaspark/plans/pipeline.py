@@ -71,11 +71,12 @@ def exact_aligner(genome: DataFrame, k: int, mapq: int = 60) -> Callable[[DataFr
     A read that fits in one place is unique, in several it has quality 0, in none it is unmapped.
     """
     kmer = genome.select(F.col("name").alias("rname"), "seq", F.explode(F.sequence(F.lit(1), F.greatest(F.length("seq") - k + 1, F.lit(1)))).alias("at"))
-    index = kmer.select("rname", "at", F.substr(F.col("seq"), F.col("at"), F.lit(k)).alias("seed"), F.substr(F.col("seq"), F.col("at"), F.lit(200)).alias("ahead"))
+    index = kmer.select("rname", "at", F.substr(F.col("seq"), F.col("at"), F.lit(k)).alias("seed"))
+    whole = genome.select(F.col("name").alias("rname"), F.col("seq").alias("_whole"))
 
     def align(reads: DataFrame, _: int) -> DataFrame:
         both = reads.select("seqid", "seq", "quality", F.explode(F.array(F.struct(F.col("seq").alias("s"), F.lit(0).alias("f")), F.struct(reverse_complement(F.col("seq")).alias("s"), F.lit(16).alias("f")))).alias("x"))
-        hits = both.withColumn("seed", F.left("x.s", F.lit(k))).join(index, "seed").where(F.startswith("ahead", F.col("x.s")))
+        hits = both.withColumn("seed", F.left("x.s", F.lit(k))).join(index, "seed").join(whole, "rname").where(F.substr(F.col("_whole"), F.col("at"), F.length("x.s")) == F.col("x.s"))
         best = hits.groupBy("seqid").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rname", "at", "x.f")).alias("b"))
         out = reads.join(best, "seqid", "left")
         found = F.col("n").isNotNull()

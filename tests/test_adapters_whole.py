@@ -14,3 +14,12 @@ def test_linked_reads_by_what_they_hold(spark, monkeypatch):
     assert {derive.LINKER[i : i + 6] for i in range(len(derive.LINKER) - 5)} <= got and "AAAAAA" not in got
     rows[:] = [(f"u{i}", 2 * i + 1, "ACGT"[i % 4] * 40) for i in range(8)] + [(f"l{i}", 4 * i, "TG" * i + derive.ADAPTER) for i in range(8)]
     assert QUERIES["adapter_inference"](spark, "").first()["adapter"] == derive.ADAPTER
+
+
+def test_reads_of_more_than_200_bases(spark):
+    rng = random.Random(7)
+    seq = "".join(rng.choice("ACGT") for _ in range(1_000))
+    genome = spark.createDataFrame([("chr1", seq)], "name string, seq string")
+    reads = spark.createDataFrame([("long", seq[100:450], "I" * 350), ("off", seq[100:449] + ("A" if seq[449] != "A" else "C"), "I" * 350)], "seqid string, seq string, quality string")
+    got = {r["read_id"]: (r["flag"], r["pos"], r["mapq"]) for r in pipeline.exact_aligner(genome, 20)(reads, 1).collect()}
+    assert got["long"] == (0, 100, 60) and got["off"][0] == 4

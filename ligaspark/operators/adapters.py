@@ -49,7 +49,9 @@ def infer_adapter(reads: DataFrame, n: int = 1000, start: int = 70, threshold: f
     if len(run) >= k:
         return run
     kmers = few.select(F.expr(f"transform(sequence(1, greatest(length(seq) - {k} + 1, 1)), i -> substring(seq, i, {k}))").alias("m"))
-    rows = kmers.select(F.explode("m").alias("m")).where(F.length("m") == k).groupBy("m").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "m").limit(2_000).collect()
+    counts = kmers.select(F.explode("m").alias("m")).where(F.length("m") == k).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    least = (counts.agg(F.max("n").alias("n")).first()["n"] or 0) * threshold
+    rows = counts.where(F.col("n") >= least).collect()  # all that grow() can step to
     return grow({r["m"]: r["n"] for r in rows}, k, threshold) or run
 
 

@@ -7,6 +7,15 @@ from ligaspark.plans import derive, pipeline
 from ligaspark.plans.registry import QUERIES
 
 
+def test_more_than_2000_common_kmers(spark):
+    rng = random.Random(5)
+    tail = ""
+    while len({tail[i : i + 11] for i in range(2_590)}) < 2_590:  # no way to go on but one
+        tail = "".join(rng.choice("ACGT") for _ in range(2_600))
+    reads = spark.createDataFrame([(i, "".join(rng.choice("ACGT") for _ in range(i)) + tail) for i in range(30)], "rec_idx long, seq string")
+    assert tail in adapters.infer_adapter(reads, 30, 0, 0.75)
+
+
 def test_linked_reads_by_what_they_hold(spark, monkeypatch):
     rows = [("a", 1, "G" * 9 + derive.LINKER + "CCCC" + derive.ADAPTER), ("b", 4, "T" * 7 + derive.LINKER + "GG" + derive.ADAPTER), ("c", 5, "A" * 50)]
     monkeypatch.setattr(derive, "reads", lambda s, d: spark.createDataFrame(rows, "seqid string, rec_idx long, seq string"))

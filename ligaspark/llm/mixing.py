@@ -174,29 +174,50 @@ class Mix:
         b = self.block_tokens
         rows = self.docs.where("size > 0").select("s", "id", "start", "size", F.explode(F.sequence(F.expr(f"start div {b}"), F.expr(f"(start + size - 1) div {b}"))).alias("block"))
         a, z = F.greatest("start", F.col("block") * b), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
-        return rows.select("s", "block", "id", (a - F.col("start")).alias("first"), (z - a).alias("n"))
+        return rows.select("s", "block", "id", "start", (a - F.col("start")).alias("first"), (z - a).alias("n"))
 
     def mixed_blocks(self) -> DataFrame:
         """The mix itself: the schedule joined with the blocks' texts, a row for each slot and text part; order by slot to read it in sequence."""
-        return self.schedule().join(self.block_documents(), ["s", "block"])
+        return self.schedule().hint("merge").join(self.block_documents(), ["s", "block"])
+
+    def dealt(self) -> DataFrame:
+        """``docs`` with ``taken`` as the slots deal it: each block's words as often as slots name the block, summed per text. A text's place in its source's
+        stream, ``start``, tells it from all others that have words."""
+        self.docs = materialize(self.docs)
+        slots = self.schedule().groupBy("s", "block").agg(F.count(F.lit(1)).alias("k"))
+        words = self.block_documents().join(slots.hint("merge"), ["s", "block"])  # Spark takes the schedule for as small as the numbers of its chunks
+        words = words.groupBy("s", "start").agg(F.sum(F.col("n") * F.col("k")).alias("dealt"))
+        took = F.when(F.col("size") > 0, F.coalesce("dealt", F.lit(0))).otherwise(0).cast("long")
+        return self.docs.join(words, ["s", "start"], "left").withColumn("taken", took).select(*self.docs.columns)
+
+    def copy_slots(self) -> DataFrame:
+        """(s, id, size, slots): for each text with words the slots, pass by pass, that name the block in which it begins; rows alike in all three share them."""
+        first = self.docs.where("size > 0").groupBy("s", "id", "size").agg(F.expr(f"min(start) div {self.block_tokens}").alias("block"))
+        named = first.join(self.schedule().select("s", "block", "slot").hint("merge"), ["s", "block"])
+        return named.groupBy("s", "id", "size").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
 
 
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """Rows of ``docs``, whole, as often as the mix takes them: once for each full pass, and once more if the last pass takes at least half of the words.
+    """Rows of ``docs``, whole, in the order of the schedule, as often as the mix takes them: once for each full pass, and once more if the last pass takes at
+    least half of the words. A copy's place is the slot that names the block in which its text begins, so sources interleave as the slots do.
 
     In a source's stream the last pass takes everything up to one place, so one cut, the key and size of the last text taken, says it for all of the source's
-    rows: the cuts, one row per source, are all that is joined, and texts are not shuffled. A text without words is in no block and goes. Rows that share an
+    rows, and one row per source is joined. Texts are shuffled twice, to meet their slots and to be put in order. A text without words is in no block and goes. Rows that share an
     id share a key, and come equally often if they are of one size.
     """
     mix = Mix(docs.select(id_col, text, source), id_col=id_col, text=text, source=source, **how)
     seed = how.get("seed", "mix")
     last = mix.docs.where((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size"))).groupBy("source").agg(F.max(F.struct("key", "size")).alias("cut"))
     cuts = {r["source"]: (r["cut"]["key"], r["cut"]["size"]) for r in last.collect()}  # one row per source, of which Mix has checked the number
-    rows = [(name, passes, *cuts.get(name, ("", 0))) for name, passes in mix.passes]
-    per = docs.sparkSession.createDataFrame(rows, "_mix_src string, _mix_passes long, _mix_key string, _mix_size long")
+    rows = [(name, s, passes, *cuts.get(name, ("", 0))) for s, (name, passes) in enumerate(mix.passes)]
+    per = docs.sparkSession.createDataFrame(rows, "_mix_src string, _mix_s int, _mix_passes long, _mix_key string, _mix_size long")
     own = docs.withColumns({"_mix_k": _key(F.col(f"`{id_col}`"), seed), "_mix_n": _size(F.col(f"`{text}`"))}).where("_mix_n > 0")
     joined = own.join(F.broadcast(per), F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_src")))
     more = (F.col("_mix_k") < F.col("_mix_key")) | ((F.col("_mix_k") == F.col("_mix_key")) & (F.col("_mix_n") <= F.col("_mix_size")))
     times = (F.col("_mix_passes") + F.when(more, 1).otherwise(0)).cast("int")
-    out = joined.withColumn("_mix_times", times).where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
+    joined = joined.withColumn("_mix_times", times).where("_mix_times > 0")
+    slots = mix.copy_slots().select(F.col("s").alias("_mix_at_s"), F.col("id").alias("_mix_at_id"), F.col("size").alias("_mix_at_n"), F.col("slots").alias("_mix_slots"))
+    met = joined.join(slots, (F.col("_mix_s") == F.col("_mix_at_s")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_at_id")) & (F.col("_mix_n") == F.col("_mix_at_n")), "left")
+    out = met.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
+    out = out.withColumn("_mix_slot", F.try_element_at("_mix_slots", F.col("_mix_copy"))).orderBy("_mix_slot", F.col(f"`{id_col}`"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -64,7 +64,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.Mix(table(spark, sf_dir, "documents")).docs
+    found = mixing.Mix(table(spark, sf_dir, "documents")).dealt()
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

@@ -17,6 +17,7 @@ Null texts and texts without a letter: ``und`` with score 0. No labelled text at
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ DOCS_PER_LANGUAGE = 64
 SAMPLE_BYTES = 16_384
 HIGH_SYMBOLS = 60
 STRETCH = 256
+PIECE = 64  # bytes of a text that go into a sample together
 MAX_LANGUAGES = 256
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -131,15 +133,31 @@ class Model:
         return names, np.where(lettered, np.clip(score, 0.0, 1.0), 0.0)
 
 
+def spread(text: bytes, room: int) -> list[bytes]:
+    """At most ``room`` bytes of a text, separators included: all of it, or pieces from hashed positions, one in each of equal stretches of the whole text."""
+    if len(text) <= room:
+        return [text]
+    size = min(PIECE, room)
+    if not size:
+        return []
+    n, seed, out = (room + 1) // (size + 1), zlib.crc32(text), []
+    for j in range(n):
+        a, z = j * len(text) // n, (j + 1) * len(text) // n
+        a += zlib.crc32(b"%d" % j, seed) % (z - a - size + 1)
+        out.append(text[a : a + size])
+    return out
+
+
 def build(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES, high_symbols: int = HIGH_SYMBOLS, stretch: int = STRETCH) -> Model:
-    """Automata from labelled texts; of each text an equal share goes in, so that long texts don't fill the sample alone."""
+    """Automata from labelled texts; of each text an equal share goes in, from all over it, so that long texts don't fill the sample alone."""
     raw: dict[str, bytes] = {}
     for lang in sorted(samples):
         texts = sorted({t.lower().encode() for t in samples[lang] if t})
         left, parts = sample_bytes, []
         for i, t in enumerate(sorted(texts, key=len)):
-            parts.append(t[: left // (len(texts) - i)])
-            left -= len(parts[-1])
+            own = spread(t, left // (len(texts) - i))
+            parts += own
+            left -= sum(map(len, own)) + max(0, len(own) - 1)
         if any(parts):
             raw[lang] = b"\n".join(parts)
     common = Counter(b for t in raw.values() for b in t if b >= 128)
@@ -179,7 +197,9 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, max_languag
     if len({g for g, _ in ids}) > max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages if the workers can hold a table for each")
     samples: dict[str, list[str]] = {}
-    for r in with_ids(docs.select(id_col, text, lang), sorted({i for _, i in ids}), id_col).where(F.col(lang).isNotNull()).select(lang, F.substring(text, 1, 4 * SAMPLE_BYTES).alias("t")).collect():
+    room = 4 * how.get("sample_bytes", SAMPLE_BYTES)
+    pieces = F.udf(lambda t: b"\n".join(spread(t.lower().encode(), room)).decode("utf-8", "ignore"), "string")  # where the text is, so the driver has no long ones
+    for r in with_ids(docs.select(id_col, text, lang), sorted({i for _, i in ids}), id_col).where(F.col(lang).isNotNull()).select(lang, pieces(F.col(text)).alias("t")).collect():
         samples.setdefault(r[lang], []).append(r["t"])
     return build(samples, **how)
 

@@ -1,17 +1,24 @@
 """Mixing sources to target weights with a low-discrepancy schedule over equal-token blocks.
 
-Each source's texts, shuffled by a keyed hash of the id, form one stream of words, cut into blocks of ``block_tokens`` words. Slot k of the mix takes the
-golden-ratio point k * 0x9E3779B97F4A7C15 mod 2**64 and, through the sources' cumulative target shares, falls to a source; the slot's rank among its source's
-slots names the block: rank mod blocks, in pass rank div blocks. So a source with n slots gives its first n blocks, and begins again after the last one.
+Each source's texts, shuffled by a keyed hash of the id, form one stream of words that begins again at its end. Block k of a source is words
+k * block_tokens to (k + 1) * block_tokens of that endless stream, so every block has the same number of words whatever the source's size. Slot k of the mix
+takes the golden-ratio point k * 0x9E3779B97F4A7C15 mod 2**64 and, through the sources' cumulative target shares, falls to a source; the slot's rank among its
+source's slots names the block.
+
+A source takes floor(target) words, no more and no less: a slot whose block lies past them takes nothing, the slot that crosses the end takes the rest, and a
+source that has fewer slots than that needs (golden-ratio counts are off by a few) gets its missing ranks in closing slots after the schedule's last one.
+Every slot counts for the words that it yields, so sources far smaller than a block meet their target too.
 
 Targets: sources by code point, null last, weigh 3, 1, 2, repeating, and share ``share`` of all words; a target stops at ``most`` times its source's size,
 and the excess is shared anew by weight until none is above. That fixed point is min(most * size, level * weight) for one level.
 
 Scale: the stream positions are prefix sums in two steps, within hash-prefix buckets of a source and over bucket totals, so a source that holds a third of
 all rows is as many groups as its size needs. Slots are counted where they are made and only counts move. The driver holds one row per source, whose
-number is checked against ``max_sources``, and only that table is broadcast.
+number is checked against ``max_sources``, and only that table is broadcast. A very long text is one row of its source's stream, and as many rows of block
+numbers as it has blocks; texts themselves are not read again after they are counted.
 
-Size of a null text: 0. Null sources form one source. Repeated rows each take their place in the stream. Empty tables give no rows.
+Size of a null text: 0. Null sources form one source. A null id is a key of its own. Repeated rows each take their place in the stream, equal keys in order of
+id and size. Columns of the input with the names of results do not matter, as only id, text and source are read. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -24,12 +31,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import discard, materialize
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-BLOCK_TOKENS = 32
+BLOCK_TOKENS = 128
 GOLDEN = 0x9E3779B97F4A7C15
 MAX_SOURCES = 1_000_000
 _ROWS_PER_BUCKET = 50_000
@@ -114,30 +121,26 @@ def sized(docs: DataFrame, seed: str, id_col: str, text: str, source: str) -> Da
 
 
 class Mix:
-    """The mix of a table: ``docs`` (id, source, size, key, s, source_size, target, start, taken) and the schedule behind it."""
+    """The mix of a table: ``docs`` (id, source, size, key, s, source_size, target, words, start) and the schedule behind it."""
 
     def __init__(self, docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_tokens: int = BLOCK_TOKENS, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", max_sources: int = MAX_SOURCES):
         spark = self.spark = docs.sparkSession
-        rows = materialize(sized(docs, seed, id_col, text, source))
+        rows = self._rows = materialize(sized(docs, seed, id_col, text, source))
         totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
         found = totals.limit(max_sources + 1).collect()
         if len(found) > max_sources:
             raise ValueError(f"more than {max_sources} sources; raise max_sources if the driver can hold a row for each")
         found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-        sizes = [r["size"] for r in found]
-        self.block_tokens, self.targets = block_tokens, targets(sizes, share, weights, most)
+        self.names = [r["source"] for r in found]
+        self.sizes = [r["size"] for r in found]
+        self.block_tokens, self.most, self.targets = block_tokens, most, targets(self.sizes, share, weights, most)
+        self.words = [min(math.floor(t), most * z) for t, z in zip(self.targets, self.sizes, strict=True)]
         self.bounds = thresholds(self.targets)
         self.n_slots = math.ceil(added(self.targets) / block_tokens)
         counted = {r["s"]: r["n"] for r in slot_counts(spark, self.n_slots, self.bounds).groupBy("s").agg(F.sum("n").alias("n")).collect()} if self.n_slots else {}
-        self.blocks = [math.ceil(z / block_tokens) for z in sizes]
-        self.slots = [min(counted.get(i, 0), most * b) for i, b in enumerate(self.blocks)]
-        schema = T.StructType.fromDDL("source string, s int, source_size long, target double, passes long, tail long")
-        per = [
-            (r["source"], i, r["size"], self.targets[i], n // b if b else 0, min((n % b) * block_tokens, r["size"]) if b else 0)
-            for i, (r, n, b) in enumerate(zip(found, self.slots, self.blocks, strict=True))
-        ]
-        self.passes = [(p[0], p[4]) for p in per]
-        sources = spark.createDataFrame(per, schema)
+        self.counted = [counted.get(i, 0) for i in range(len(found))]
+        schema = T.StructType.fromDDL("source string, s int, source_size long, target double, words long")
+        sources = spark.createDataFrame(list(zip(self.names, range(len(found)), self.sizes, self.targets, self.words, strict=True)), schema)
         digits = max(2, math.ceil(math.log(max(1, sum(r["n"] for r in found)) / _ROWS_PER_BUCKET, 16)) + 1) if found else 2
         rows = rows.withColumn("bucket", F.substring("key", 1, digits))
         named = rows.join(F.broadcast(sources.withColumnRenamed("source", "_src")), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
@@ -146,16 +149,15 @@ class Mix:
         offsets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("z")).join(F.broadcast(sources.select(F.col("source").alias("_src"), "s")), F.col("source").eqNullSafe(F.col("_src")))
         offsets = offsets.select("s", "bucket", F.coalesce(F.sum("z").over(before), F.lit(0)).alias("offset"))
         placed = named.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["s", "bucket"])
-        placed = placed.withColumn("start", F.col("within") + F.col("offset"))
-        part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("tail") - F.col("start")))
-        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "start", "passes", part.alias("part"), (F.col("passes") * F.col("size") + part).alias("taken"))
+        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "words", (F.col("within") + F.col("offset")).alias("start"))
 
     def schedule(self) -> DataFrame:
-        """(slot, s, rank, pass, block): every slot of the mix in order. Ranks come from counts per chunk of slots, never from one task per source."""
+        """(slot, s, rank, words): every slot of the mix that yields words, the number of them, and the rank that names its block. Ranks come from counts per
+        chunk of slots, never from one task per source; the closing slots, a few per source at most, come after the last one."""
         counts = slot_counts(self.spark, self.n_slots, self.bounds)
         before = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        blocks, most, bounds, n_slots = self.blocks, self.slots, self.bounds, self.n_slots
+        words, bounds, n_slots, b = np.array(self.words, dtype=np.int64), self.bounds, self.n_slots, self.block_tokens
 
         def run(batches):
             for batch in batches:
@@ -163,61 +165,73 @@ class Mix:
                     slots = np.arange(c * _CHUNK, min(n_slots, (c + 1) * _CHUNK), dtype=np.uint64)
                     own = slots[source_of(slots, bounds) == s].astype(np.int64)
                     rank = base + np.arange(len(own))
-                    own, rank = own[rank < most[s]], rank[rank < most[s]]
-                    b = max(1, blocks[s])
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), s, np.int32)), pa.array(rank), pa.array(rank // b), pa.array(rank % b)], names=["slot", "s", "rank", "pass", "block"])
-
-        return starts.select("chunk", "s", "base").mapInArrow(run, "slot long, s int, rank long, pass long, block long")
+                    left = np.minimum(b, words[s] - rank * b)
+                    own, rank, left = own[left > 0], rank[left > 0], left[left > 0]
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), s, np.int32)), pa.array(rank), pa.array(left)], names=["slot", "s", "rank", "words"])
+
+        kind = "slot long, s int, rank long, words long"
+        closing, slot = [], n_slots
+        for s, (have, w) in enumerate(zip(self.counted, self.words, strict=True)):
+            for rank in range(have, -(-w // b)):
+                closing.append((slot, s, rank, min(b, w - rank * b)))
+                slot += 1
+        made = starts.select("chunk", "s", "base").mapInArrow(run, kind)
+        return made.union(self.spark.createDataFrame(closing, kind)) if closing else made
 
     def block_documents(self) -> DataFrame:
-        """(s, block, id, first, n): which words of which text each block holds (first word, number of words)."""
+        """(s, rank, id, start, pass, first, n): which words of which text each block of the endless stream holds (first word, number of words), as far as the
+        source's words go. ``start`` is the text's place in the stream, which tells it from all others that have words."""
         b = self.block_tokens
-        rows = self.docs.where("size > 0").select("s", "id", "start", "size", F.explode(F.sequence(F.expr(f"start div {b}"), F.expr(f"(start + size - 1) div {b}"))).alias("block"))
-        a, z = F.greatest("start", F.col("block") * b), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
-        return rows.select("s", "block", "id", "start", (a - F.col("start")).alias("first"), (z - a).alias("n"))
+        rows = self.docs.where("size > 0").select("s", "id", "start", "size", "source_size", "words", F.explode(F.sequence(F.lit(0), F.lit(self.most - 1))).alias("pass"))
+        rows = rows.withColumn("a", F.col("start") + F.col("pass") * F.col("source_size")).withColumn("z", F.least(F.col("a") + F.col("size"), F.col("words"))).where("a < z")
+        rows = rows.withColumn("rank", F.explode(F.sequence(F.expr(f"a div {b}"), F.expr(f"(z - 1) div {b}"))))
+        a, z = F.greatest("a", F.col("rank") * b), F.least("z", (F.col("rank") + 1) * b)
+        return rows.select("s", "rank", "id", "start", "pass", (a - F.col("a")).alias("first"), (z - a).alias("n"))
 
     def mixed_blocks(self) -> DataFrame:
-        """The mix itself: the schedule joined with the blocks' texts, a row for each slot and text part; order by slot to read it in sequence."""
-        return self.schedule().hint("merge").join(self.block_documents(), ["s", "block"])
+        """The mix itself: the schedule joined with the blocks' texts, a row for each slot and text part; order by slot and then by pass and start to read it
+        in sequence."""
+        return self.schedule().hint("merge").join(self.block_documents(), ["s", "rank"])  # Spark takes the schedule for as small as the numbers of its chunks
 
     def dealt(self) -> DataFrame:
-        """``docs`` with ``taken`` as the slots deal it: each block's words as often as slots name the block, summed per text. A text's place in its source's
-        stream, ``start``, tells it from all others that have words."""
+        """``docs`` with ``taken`` as the slots deal it: the words of its parts in all blocks that slots name, summed per text."""
+        self.settle()
+        words = self.mixed_blocks().groupBy("s", "start").agg(F.sum("n").alias("dealt"))
+        taken = F.when(F.col("size") > 0, F.coalesce("dealt", F.lit(0))).otherwise(0).cast("long").alias("taken")
+        return self.docs.join(words, ["s", "start"], "left").select(*self.docs.columns, taken)
+
+    def settle(self) -> None:
+        """Writes ``docs``, and deletes the table of sizes that it came from."""
         self.docs = materialize(self.docs)
-        slots = self.schedule().groupBy("s", "block").agg(F.count(F.lit(1)).alias("k"))
-        words = self.block_documents().join(slots.hint("merge"), ["s", "block"])  # Spark takes the schedule for as small as the numbers of its chunks
-        words = words.groupBy("s", "start").agg(F.sum(F.col("n") * F.col("k")).alias("dealt"))
-        took = F.when(F.col("size") > 0, F.coalesce("dealt", F.lit(0))).otherwise(0).cast("long")
-        return self.docs.join(words, ["s", "start"], "left").withColumn("taken", took).select(*self.docs.columns)
-
-    def copy_slots(self) -> DataFrame:
-        """(s, id, size, slots): for each text with words the slots, pass by pass, that name the block in which it begins; rows alike in all three share them."""
-        first = self.docs.where("size > 0").groupBy("s", "id", "size").agg(F.expr(f"min(start) div {self.block_tokens}").alias("block"))
-        named = first.join(self.schedule().select("s", "block", "slot").hint("merge"), ["s", "block"])
+        discard(self._rows)
+
+    def copies(self) -> DataFrame:
+        """(s, id, size, slots): for the texts of which the mix takes words, the slots that name the block in which each copy begins, in order of passes. A copy
+        that the source's last word cuts counts if at least half of it is taken; rows alike in id and size share their slots."""
+        rows = self.docs.where("size > 0").groupBy("s", "id", "size", "source_size", "words").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("_k"))
+        rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(self.most - 1)))).withColumn("a", F.col("start") + F.col("pass") * F.col("source_size"))
+        rows = rows.where((F.col("words") - F.col("a")) * 2 >= F.col("size")).where(F.col("a") < F.col("words"))
+        rows = rows.withColumn("rank", F.expr(f"a div {self.block_tokens}"))
+        named = rows.join(self.schedule().select("s", "rank", "slot").hint("merge"), ["s", "rank"])
         return named.groupBy("s", "id", "size").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
 
 
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """Rows of ``docs``, whole, in the order of the schedule, as often as the mix takes them: once for each full pass, and once more if the last pass takes at
-    least half of the words. A copy's place is the slot that names the block in which its text begins, so sources interleave as the slots do.
+    """Rows of ``docs``, whole, in the order of the schedule, as often as the mix takes them: a copy for each pass over its source's stream that reaches at
+    least half of the text. A copy's place is the slot that names the block in which it begins, so sources interleave as the slots do, and each source's words
+    are within one text of its target.
 
-    In a source's stream the last pass takes everything up to one place, so one cut, the key and size of the last text taken, says it for all of the source's
-    rows, and one row per source is joined. Texts are shuffled twice, to meet their slots and to be put in order. A text without words is in no block and goes. Rows that share an
-    id share a key, and come equally often if they are of one size.
+    Texts are shuffled twice, to meet their slots and to be put in order. A text without words is in no block and goes. Rows that share an id and a size share
+    their slots, and come equally often.
     """
     mix = Mix(docs.select(id_col, text, source), id_col=id_col, text=text, source=source, **how)
-    seed = how.get("seed", "mix")
-    last = mix.docs.where((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size"))).groupBy("source").agg(F.max(F.struct("key", "size")).alias("cut"))
-    cuts = {r["source"]: (r["cut"]["key"], r["cut"]["size"]) for r in last.collect()}  # one row per source, of which Mix has checked the number
-    rows = [(name, s, passes, *cuts.get(name, ("", 0))) for s, (name, passes) in enumerate(mix.passes)]
-    per = docs.sparkSession.createDataFrame(rows, "_mix_src string, _mix_s int, _mix_passes long, _mix_key string, _mix_size long")
-    own = docs.withColumns({"_mix_k": _key(F.col(f"`{id_col}`"), seed), "_mix_n": _size(F.col(f"`{text}`"))}).where("_mix_n > 0")
-    joined = own.join(F.broadcast(per), F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_src")))
-    more = (F.col("_mix_k") < F.col("_mix_key")) | ((F.col("_mix_k") == F.col("_mix_key")) & (F.col("_mix_n") <= F.col("_mix_size")))
-    times = (F.col("_mix_passes") + F.when(more, 1).otherwise(0)).cast("int")
-    joined = joined.withColumn("_mix_times", times).where("_mix_times > 0")
-    slots = mix.copy_slots().select(F.col("s").alias("_mix_at_s"), F.col("id").alias("_mix_at_id"), F.col("size").alias("_mix_at_n"), F.col("slots").alias("_mix_slots"))
-    met = joined.join(slots, (F.col("_mix_s") == F.col("_mix_at_s")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_at_id")) & (F.col("_mix_n") == F.col("_mix_at_n")), "left")
-    out = met.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
-    out = out.withColumn("_mix_slot", F.try_element_at("_mix_slots", F.col("_mix_copy"))).orderBy("_mix_slot", F.col(f"`{id_col}`"))
+    mix.settle()
+    slots = materialize(mix.copies())
+    discard(mix.docs)
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(mix.names)), "_mix_s int, _mix_src string")
+    own = docs.withColumn("_mix_n", _size(F.col(f"`{text}`"))).where("_mix_n > 0")
+    own = own.join(F.broadcast(numbers), F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_src")))
+    slots = slots.select(F.col("s").alias("_mix_at_s"), F.col("id").alias("_mix_at_id"), F.col("size").alias("_mix_at_n"), F.col("slots").alias("_mix_slots"))
+    met = own.join(slots, (F.col("_mix_s") == F.col("_mix_at_s")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_at_id")) & (F.col("_mix_n") == F.col("_mix_at_n")))
+    out = met.withColumn("_mix_slot", F.explode("_mix_slots")).orderBy("_mix_slot", F.col(f"`{id_col}`"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,20 +68,10 @@ s3 AS (SELECT *, CAST(1.5 * (SELECT sum(z) FROM s2) AS DOUBLE) AS total,
 s4 AS (SELECT *, CAST(total - c0 AS DOUBLE) / CAST(w0 AS DOUBLE) AS level FROM s3),
 s5 AS (SELECT *, (SELECT min(k) FROM s4 WHERE NOT cap <= level * w) AS f FROM s4),
 s6 AS (SELECT *, CASE WHEN f IS NULL OR k < f THEN CAST(cap AS DOUBLE) ELSE (SELECT level FROM s4 x WHERE x.k = s5.f) * w END AS target FROM s5),
-t AS (SELECT list(target ORDER BY s) AS tl, list(z ORDER BY s) AS zl FROM s6),
-b AS (SELECT s, source, z, target,
-    CASE WHEN s = (SELECT max(s) FROM s6) THEN 18446744073709551616::HUGEINT
-      ELSE CAST(floor(list_reduce(list_slice(tl, 1, s), lambda x, y: x + y) / list_reduce(tl, lambda x, y: x + y) * 18446744073709551616.0::DOUBLE) AS HUGEINT) END AS hi
-  FROM s6, t),
-b2 AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY s), 0::HUGEINT) AS lo FROM b),
-slot AS (SELECT (k::HUGEINT * 11400714819323198485::HUGEINT) % 18446744073709551616::HUGEINT AS p
-  FROM (SELECT unnest(range(0, (SELECT CAST(ceil(list_reduce(tl, lambda x, y: x + y) / 32) AS BIGINT) FROM t))) AS k)),
-n AS (SELECT s, count(*) AS n FROM slot JOIN b2 ON p >= lo AND p < hi GROUP BY s),
-q AS (SELECT b2.*, (z + 31) // 32 AS nb, least(coalesce(n, 0), 2 * ((z + 31) // 32)) AS m FROM b2 LEFT JOIN n USING (s)),
-r AS (SELECT *, CASE WHEN nb = 0 THEN 0 ELSE m // nb END AS passes, CASE WHEN nb = 0 THEN 0 ELSE least((m % nb) * 32, z) END AS tail FROM q),
-p AS (SELECT d.doc_id, d.size, r.z, r.target, passes, tail,
+r AS (SELECT s, source, z, target, least(CAST(floor(target) AS BIGINT), 2 * z) AS w FROM s6),
+p AS (SELECT d.doc_id, d.size, r.z, r.target, r.w,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
-SELECT doc_id, size, z AS source_size, target, CAST(passes * size + greatest(0, least(size, tail - start)) AS BIGINT) AS taken FROM p"""
+SELECT doc_id, size, z AS source_size, target, CAST(greatest(0, least(start + size, w) - start) + greatest(0, least(start + z + size, w) - start - z) AS BIGINT) AS taken FROM p"""
 
 ORACLES = {"op2_licenses": op2(), "op6_topk": OP6, "op10_mix": OP10, "op7_decontaminate": OP7}

@@ -7,9 +7,6 @@ from ligaspark.llm import mixing, queries
 
 def test_taken_is_dealt_by_slots(spark, monkeypatch):
     rows = awkward(12, 200)
-    m = mixing.Mix(frame(spark, rows))
-    closed = sorted(map(repr, m.docs.select("id", "size", "source", "target", "taken").collect()))
-    assert sorted(map(repr, m.dealt().select("id", "size", "source", "target", "taken").collect())) == closed
     called = []
     monkeypatch.setattr(mixing.Mix, "schedule", lambda self, f=mixing.Mix.schedule: called.append(1) or f(self))
     monkeypatch.setattr(queries, "table", lambda *a: frame(spark, rows))

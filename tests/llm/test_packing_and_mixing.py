@@ -87,15 +87,30 @@ def mixed(spark, rows, **how):
     return mixing.Mix(frame(spark, rows), **how)
 
 
+def brute_taken(rows, want, seed="mix"):
+    """{(id, size): words} by writing each source's stream out word by word, as often as its target needs."""
+    import hashlib
+
+    out = {}
+    for s, target in want.items():
+        own = sorted((hashlib.md5(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest()[:16], r[0] is not None, r[0] or 0, len(tokens(r[1]))) for r in rows if r[3] == s)
+        stream = [(k, i) for k, (*_, size) in enumerate(own) for i in range(size)]
+        for k, _ in (stream * 2)[: int(target)]:
+            key = (own[k][2] if own[k][1] else None, own[k][3])
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
 def test_mix(spark):
     rng = random.Random(12)
     rows = awkward(12, 200) + [(5000 + i, "w " * rng.randint(0, 200), "en", rng.choice(["s0", "s0", "s0", "Z", "é", None]), 1) for i in range(300)]
     m = mixed(spark, rows)
-    got = m.docs.collect()
+    got = m.dealt().collect()
     assert sorted(((r["id"], r["size"], r["source"]) for r in got), key=repr) == sorted(((r[0], len(tokens(r[1])), r[3]) for r in rows), key=repr)
-    per = {}
+    per, by_text = {}, {}
     for r in got:
         assert 0 <= r["taken"] <= 2 * r["size"]
+        by_text[r["id"], r["size"]] = by_text.get((r["id"], r["size"]), 0) + r["taken"]
         p = per.setdefault(r["source"], [0, 0, r["target"], r["source_size"]])
         p[0] += r["size"]
         p[1] += r["taken"]
@@ -103,9 +118,19 @@ def test_mix(spark):
     want = reshared([per[s][0] for s in names])
     for s, t in zip(names, want, strict=True):
         size, taken, target, source_size = per[s]
-        assert source_size == size and abs(target - t) < 1e-6 and abs(taken - target) <= 8 * m.block_tokens + 0.001 * target, (s, per[s])
+        assert source_size == size and abs(target - t) < 1e-6 and 0 <= target - taken < 1, (s, per[s])
+    assert {k: v for k, v in by_text.items() if v} == brute_taken(rows, {s: per[s][2] + 1e-9 for s in names})
     again = mixed(spark, list(reversed(rows)))
-    assert sorted(((r["id"], r["size"], r["taken"]) for r in again.docs.collect()), key=repr) == sorted(((r["id"], r["size"], r["taken"]) for r in got), key=repr)
+    assert sorted(((r["id"], r["size"], r["taken"]) for r in again.dealt().collect()), key=repr) == sorted(((r["id"], r["size"], r["taken"]) for r in got), key=repr)
+
+
+@pytest.mark.parametrize("words", [20, 100])
+def test_small_sources_meet_their_targets(spark, words):
+    """Sources smaller than a block: every one within a word of its target."""
+    rows = [(i, "w " * words, "en", f"s{i:04}", 1) for i in range(1000)]
+    got = mixed(spark, rows).dealt().collect()
+    assert len(got) == 1000 and all(0 <= r["target"] - r["taken"] < 1 for r in got)
+    assert abs(sum(r["taken"] for r in got) - 1.5 * 1000 * words) <= 1000
 
 
 def test_schedule(spark):
@@ -115,12 +140,13 @@ def test_schedule(spark):
     assert len({s[0] for s in slots}) == len(slots)
     for s in range(3):
         own = [x for x in slots if x[1] == s]
-        assert [x[2] for x in own] == list(range(m.slots[s])) and all(x[3] * m.blocks[s] + x[4] == x[2] for x in own)
+        assert sorted(x[2] for x in own) == list(range(-(-m.words[s] // 16))) and sum(x[3] for x in own) == m.words[s]
         first = [x for x in own if x[0] < m.n_slots // 4]
         assert abs(len(first) - len(own) / 4) < 5  # each stretch of the mix has its share
-    words = m.mixed_blocks().groupBy("id").agg(F.sum("n").alias("n"))
-    taken = {r["id"]: r["taken"] for r in m.docs.collect() if r["taken"]}
-    assert {r["id"]: r["n"] for r in words.collect()} == taken
+    parts = m.mixed_blocks().groupBy("s", "rank").agg(F.sum("n").alias("n"), F.max("words").alias("w")).collect()
+    assert all(p["n"] == p["w"] for p in parts)  # a slot yields the words that it counts for
+    words = {r["id"]: r["n"] for r in m.mixed_blocks().groupBy("id").agg(F.sum("n").alias("n")).collect()}
+    assert words == {r["id"]: r["taken"] for r in m.dealt().collect() if r["taken"]}
 
 
 def test_copies(spark):
@@ -128,18 +154,26 @@ def test_copies(spark):
     df = frame(spark, rows)
     out = mixing.repeat_documents(df)
     assert out.columns == df.columns
-    n = {}
+    n, per = {}, {}
     for r in out.collect():
         n[r["doc_id"], r["text"]] = n.get((r["doc_id"], r["text"]), 0) + 1
+        per[r["source"]] = per.get(r["source"], 0) + len(tokens(r["text"]))
     for (i, t), k in n.items():
         assert k <= 2 * sum(r[:2] == (i, t) for r in rows) and tokens(t)
-    sizes = sum(len(tokens(r[1])) for r in rows)
-    assert abs(sum(k * len(tokens(t)) for (_, t), k in n.items()) / (1.5 * sizes) - 1) < 0.5
+    targets = {r["source"]: r["target"] for r in mixed(spark, rows).docs.collect()}
+    longest = {s: max(len(tokens(r[1])) for r in rows if r[3] == s) for s in targets}
+    assert all(abs(per.get(s, 0) - t) <= longest[s] + 1 for s, t in targets.items())
+
+
+def test_very_long_text_is_mixed(spark):
+    rows = [(1, "wort " * 400_000, "en", "a", 1), (2, "x y z", "en", "b", 1)]
+    got = {r["id"]: r for r in mixed(spark, rows).dealt().collect()}
+    assert got[1]["size"] == 400_000 and all(0 <= r["target"] - r["taken"] < 1 for r in got.values())
 
 
 def test_mix_of_nothing(spark):
     assert mixed(spark, []).docs.count() == 0 and mixing.repeat_documents(frame(spark, [])).count() == 0
     empty = [(1, "", "en", "a", 0), (2, None, "en", None, 0)]
-    assert [r["taken"] for r in mixed(spark, empty).docs.collect()] == [0, 0]
+    assert [r["taken"] for r in mixed(spark, empty).dealt().collect()] == [0, 0]
     with pytest.raises(ValueError):
         mixed(spark, [(1, "a", "en", "a", 0), (2, "b", "en", "b", 0)], max_sources=1)

@@ -7,19 +7,23 @@ Base kinds, each leftmost and non-overlapping, matches that fail the length drop
 to runs of the full length. The other kinds are added by rules whose keyword gates them and whose checksum or structure must hold:
 
 * ``github``, ``npm``: the last 6 characters are the base-62 CRC-32 of the part before (36 characters after the prefix);
-* ``jwt``: three base64url parts, the first of which decodes to a JSON object with "alg";
+* ``jwt``: three base64url parts, the first of which decodes to a JSON object with "alg" (a first part of more than ``JWT_HEAD`` characters is none);
 * ``iban``: after the keyword IBAN, a number that is 1 modulo 97 by ISO 13616;
 * ``card``: after a keyword of card numbers, 13 to 19 digits that pass the Luhn sum;
 * ``pem``: a private key's header line;
 * ``google``, ``slack``, ``stripe``: fixed prefixes and lengths.
 
-Null and empty texts have no spans. Repeated rows each give their row; a text of any length is scanned whole, in one pass.
+Null and empty texts have no spans. Repeated rows each give their row. Of overlapping matches of one kind the one that begins first counts, and rules of other
+kinds do not suppress it; spans that begin alike come in the order of kinds. A text of any length is scanned whole, in one pass and in linear time: every
+pattern is bounded, or consumes what it matches, or (``jwt``) remembers how far a run reaches. Columns besides id and text are not read, so their names
+cannot clash. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 import re
 import zlib
@@ -34,6 +38,8 @@ ASSIGN = re.compile(rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "iban", "card", "pem", "google", "slack", "stripe")
+JWT_HEAD = 1_024
+_JWT_RUN, _JWT_TAIL = re.compile(rb"[0-9A-Za-z_-]+"), re.compile(rb"\.[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+")
 _BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -51,8 +57,9 @@ def _crc_ok(m: re.Match) -> bool:
     return _crc_tail(body[:-6]) == body[-6:]
 
 
-def _jwt_ok(m: re.Match) -> bool:
-    head = m.group(1)
+def _jwt_ok(head: bytes) -> bool:
+    if len(head) > JWT_HEAD:
+        return False
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
     except (ValueError, TypeError):
@@ -75,7 +82,7 @@ def _luhn_ok(m: re.Match) -> bool:
 RULES: dict[str, tuple] = {
     "github": ((b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_"), re.compile(rb"gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])"), 0, _crc_ok),
     "npm": ((b"npm_",), re.compile(rb"npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])"), 0, _crc_ok),
-    "jwt": ((b"eyj",), re.compile(rb"(eyJ[0-9A-Za-z_-]+)\.[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+"), 0, _jwt_ok),
+    "jwt": ((b"eyj",), None, 0, None),  # see Jwt
     "iban": ((b"iban",), re.compile(rb"(?i:iban)[ :=]{1,4}([A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30})(?![0-9A-Za-z])"), 1, _iban_ok),
     "card": ((b"card", b"visa", b"mastercard", b"credit"), re.compile(rb"(?i:credit card|credit|mastercard|visa|card)(?i:[ _-]?(?:number|no\.?|num))?[ :=#]{1,4}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), 1, _luhn_ok),
     "pem": ((b"-----begin",), re.compile(rb"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----"), 0, None),
@@ -84,6 +91,7 @@ RULES: dict[str, tuple] = {
     "stripe": ((b"sk_live_", b"rk_live_"), re.compile(rb"[rs]k_live_[0-9A-Za-z]{24,}"), 0, None),
 }
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
+_LONGEST = max(len(w) for w in (*_ASSIGN_WORDS, *[w for r in RULES.values() for w in r[0]]))
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -99,12 +107,40 @@ def automaton() -> ahocorasick.Automaton:
     return a
 
 
+class Jwt:
+    """Matches of ``eyJ``, more of its alphabet, and two further parts, found from any place of a run without reading the run again."""
+
+    def __init__(self, text: bytes):
+        self.text, self.stop, self.tail = text, -1, None
+
+    def match(self, start: int) -> int | None:
+        """The end of a match that begins at ``start``."""
+        if not self.text.startswith(b"eyJ", start):
+            return None
+        if start >= self.stop:
+            self.stop = _JWT_RUN.match(self.text, start).end()
+            self.tail = _JWT_TAIL.match(self.text, self.stop)
+        if self.tail is None or self.stop == start + 3 or not _jwt_ok(self.text[start : min(self.stop, start + JWT_HEAD + 1)]):
+            return None
+        return self.tail.end()
+
+
+def hits(text: bytes, words: ahocorasick.Automaton):
+    """(start, kinds) of all keywords, by start. The automaton gives them by end, so a few are held back until no later one can begin before them."""
+    held: list = []
+    for end, (n, kinds) in words.iter(text.lower().decode("latin-1")):
+        while held and held[0][0] <= end - _LONGEST:
+            yield heapq.heappop(held)
+        heapq.heappush(held, (end - n + 1, kinds))
+    while held:
+        yield heapq.heappop(held)
+
+
 def scan(text: bytes, words: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) in bytes, by start and then by kind as listed."""
     found: list[tuple[str, int, int]] = [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    hits = sorted((end - n + 1, kinds) for end, (n, kinds) in words.iter(text.lower().decode("latin-1")))
-    done = dict.fromkeys(KINDS, 0)
-    for start, kinds in hits:
+    done, tokens = dict.fromkeys(KINDS, 0), Jwt(text)
+    for start, kinds in hits(text, words):
         for kind in kinds:
             if start < done[kind]:
                 continue
@@ -120,6 +156,11 @@ def scan(text: bytes, words: ahocorasick.Automaton) -> list[tuple[str, int, int]
                     done[kind] = m.end()
                     if m.end() - start >= 16:
                         found.append((kind, start, m.end()))
+            elif kind == "jwt":
+                end = tokens.match(start)
+                if end is not None:
+                    done[kind] = end
+                    found.append((kind, start, end))
             else:
                 _, pattern, group, check = RULES[kind]
                 m = pattern.match(text, start)

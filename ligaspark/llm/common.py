@@ -105,6 +105,14 @@ def filter_text(df: DataFrame, make: Callable[[], Callable], text: str = "text")
     return inner.mapInArrow(run, inner.schema).toDF(*df.columns)
 
 
+def held(sent: list) -> Iterator:
+    """Values of broadcast variables, one after another; where there are several, each is let go before the next one is loaded from the executor's disk."""
+    for b in sent:
+        yield b.value
+        if len(sent) > 1:
+            b.__dict__.pop("_value", None)
+
+
 # ---------------------------------------------------------------- folds and bounded samples
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import xxhash
 from llm_data import awkward, frame, prose, words
 
@@ -141,12 +142,37 @@ def window_case(spark):
 
 def test_windows_are_brute_force(spark):
     rows, items, bench = window_case(spark)
-    for how in ({}, {"max_windows": 40}):  # one block of items, and several
+    for how in ({}, {"block_bytes": 150}):  # one block of items, and several
         got = decontaminate.report(frame(spark, rows), bench, **how)
         have = sorted((tuple(r) for r in got.collect()), key=repr)
         assert have == sorted(((r[0], *brute_hits(r[1], items)) for r in rows), key=repr)
 
 
+def test_equal_hashes_are_told_apart_by_words(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(decontaminate, "window_hashes", lambda h, w: bytesops.window_hashes(h, w) % np.uint64(3))
+    rng = random.Random(4)
+    items = [(str(k), prose(rng, n)) for k, n in enumerate((30, 12, 3, 11))] + [("9", "Twice the same"), ("10", "twice THE same")]
+    block = decontaminate.Block(items, 10)
+    texts = [items[0][1], "x y " + items[2][1] + " z", items[1][1] + " twice the same", "nothing of it " * 20, ""]
+    words_ = bytesops.Words(pa.array(texts))
+    mask, found = block.scan(words_)
+    for d, t in enumerate(texts):
+        n, hit, k, *_ = brute_hits(t, items)
+        assert (mask[words_.first[d] : words_.first[d + 1]].sum(), len(found[d])) == (hit, k)
+
+
+def test_a_large_benchmark_and_a_very_long_text(spark):
+    """Some 2 MB of items in blocks of 100 kB against a text of 2 MB that holds one of them."""
+    rng = random.Random(3)
+    items = [(k, prose(rng, 40)) for k in range(6_000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "wort " * 400_000 + items[77][1], "en", "s", 1), (2, items[5_999][1], "en", "s", 1), (3, "of the", "en", "s", 1)]
+    got = {r["doc_id"]: r for r in decontaminate.report(frame(spark, rows), bench, block_bytes=100_000).collect()}
+    assert got[1]["n_words"] == 400_040 and got[1]["n_hit"] == 40 and got[1]["n_items"] == 1 and got[2]["n_hit"] == 40 and not got[3]["contaminated"]
+
+
 def test_decontaminate_and_cut(spark):
     rows, items, bench = window_case(spark)
     df = frame(spark, rows)
@@ -168,7 +194,6 @@ def test_windows_of_nothing(spark):
 
 
 def test_hashes_do_not_depend_on_place():
-    import numpy as np
     import pyarrow as pa
 
     texts = ["alpha beta", "beta", "x " * 700_000 + "beta", "Beta-gamma", ""]

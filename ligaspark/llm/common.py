@@ -121,16 +121,18 @@ def remainder(doc_id: Column, m: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(m)
 
 
-def bounded_sample(df: DataFrame, per_group: int, id_col: str = "doc_id", group: str | None = None, seed: int = 7) -> list:
+def bounded_sample(df: DataFrame, per_group: int, id_col: str = "doc_id", group: str | None = None, seed: int = 7, last: str | None = None) -> list:
     """Ids of at most ``per_group`` rows per value of ``group``, spread evenly by hash.
 
     Each hash bucket of a group gives the id of its smallest hash, which is an ordinary aggregate combined before the shuffle: no window, no skew, and
-    the driver gets ``per_group`` ids per group whatever the input's size. Rows with a null id or group take no part. Reruns agree.
+    the driver gets ``per_group`` ids per group whatever the input's size. Rows for which the column ``last`` holds come after the others of their bucket. Rows
+    with a null id or group take no part. Reruns agree.
     """
     h = F.xxhash64(F.col(id_col), F.lit(seed))
     keys = [F.pmod(h, F.lit(per_group)).alias("_b")] + ([F.col(group).alias("_g")] if group else [])
     rows = df.where(F.col(id_col).isNotNull() & (F.col(group).isNotNull() if group else F.lit(True)))
-    rows = rows.groupBy(*keys).agg(F.min(F.struct(F.xxhash64(F.col(id_col), F.lit(seed + 1)).alias("h"), F.col(id_col).alias("i"))).alias("_m"))
+    order = F.struct((F.col(last) if last else F.lit(False)).alias("l"), F.xxhash64(F.col(id_col), F.lit(seed + 1)).alias("h"), F.col(id_col).alias("i"))
+    rows = rows.groupBy(*keys).agg(F.min(order).alias("_m"))
     got = rows.select(*(["_g"] if group else []), F.col("_m.i").alias("_i")).collect()
     return sorted({(r["_g"], r["_i"]) for r in got}) if group else sorted({r["_i"] for r in got})
 

@@ -5,13 +5,18 @@ a text in the same language needs fewer of them. Phrases times log2 of the sampl
 symbol, which makes languages with samples of different lengths comparable.
 
 Symbols are bytes of the lower-cased text: a to z, one symbol for any run of other ASCII, and the ``high_symbols`` commonest bytes of 0x80 and above in the
-samples (one more symbol for the rest). Texts are parsed whole, in stretches of ``stretch`` symbols that run side by side through flat transition tables, so
-a step of all stretches is a few NumPy operations; each stretch begins a phrase of its own, for every language alike.
-
-Fitting takes at most ``docs_per_language`` labelled texts per language, spread by hash, and at most ``sample_bytes`` of their symbols: both bounds are
-parameters, so the tables that go to the workers have a bounded size (at most ``max_languages`` of them).
-
-Null texts and texts without a letter: ``und`` with score 0. No labelled text at all: every text is ``und``. Ties go to the language that sorts first.
+samples (one more symbol for the rest). Texts are parsed whole. For speed a text is parsed in stretches of ``stretch`` symbols side by side, each as if a phrase
+began with it; then each stretch is parsed again from the state in which the one before really ends, up to the symbol where both parses are in the same state
+and so agree from there on. What is counted is the parse of the whole text from its first symbol: no phrase is cut.
+
+Fitting takes at most ``docs_per_language`` labelled texts per language, spread by hash, and of them as many whole texts as ``sample_bytes`` hold; a text of more
+than ``text_bytes`` is taken only where its hash bucket has no shorter one, and then gives pieces from all over it. All bounds are parameters. Languages come in
+blocks of ``languages_per_block``, each a table of its own; where there are several, a worker loads one after another, so any number of languages is told apart
+in the memory of one block.
+
+Null texts and texts without a letter: ``und`` with score 0. No labelled text at all: every text is ``und``. Ties go to the language that sorts first. Repeated rows
+each give their row; for fitting, rows that share id and language count once, by the smallest text. Only the columns named are read, so no other can clash. An
+empty table gives no rows, and fits a model without languages.
 """
 
 from __future__ import annotations
@@ -27,14 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesops import buffer_of
-from .common import bounded_sample, filter_text, map_text, remainder, with_ids
+from .common import bounded_sample, filter_text, held, map_text, remainder, with_ids
 
 DOCS_PER_LANGUAGE = 64
-SAMPLE_BYTES = 16_384
+SAMPLE_BYTES = 32_768
+TEXT_BYTES = 8_192
 HIGH_SYMBOLS = 60
 STRETCH = 256
 PIECE = 64  # bytes of a text that go into a sample together
-MAX_LANGUAGES = 256
+LANGUAGES_PER_BLOCK = 64
+_TOGETHER = 8  # languages whose parses are held at once
+_ROUNDS = 6  # of parsing stretches again side by side; what is left is parsed symbol by symbol
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -98,39 +106,102 @@ class Model:
         start = at[owner] + number * self.stretch
         length = np.minimum(self.stretch, at[owner + 1] - start)
         order = np.argsort(-length, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        before = np.where(number > 0, place[np.arange(len(owner)) - 1], -1)[order] if len(owner) else np.zeros(0, np.int64)
         start, length, owner = start[order], length[order], owner[order]
-        lanes = len(start)
-        count = np.zeros((len(self.languages), lanes), dtype=np.int32)
-        state = np.repeat(self.roots[:, None], lanes, axis=1)
-        active = np.searchsorted(-length, -np.arange(1, self.stretch + 1), side="right")
-        for step in range(self.stretch):
-            k = int(active[step])
-            if not k:
-                break
-            moved = self.table[state[:, :k] + symbols[start[:k] + step]]
-            count[:, :k] += moved & 1
-            state[:, :k] = moved >> 1
         out = np.zeros((len(self.languages), len(n)), dtype=np.int64)
-        for i in range(len(self.languages)):
-            out[i] = np.bincount(owner, weights=count[i], minlength=len(n)) if lanes else 0
+        for a in range(0, len(self.languages) if len(owner) else 0, _TOGETHER):
+            count = self._parse(self.roots[a : a + _TOGETHER], symbols, start, length, before)
+            for i in range(len(count)):
+                out[a + i] = np.bincount(owner, weights=count[i], minlength=len(n))
         return out, n
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        plain = texts.to_pylist()
-        lettered = np.array([bool(t) and bool(_ASCII_LETTER.search(t) or any(map(str.isalpha, t))) for t in plain], dtype=bool)
-        if not self.languages or not len(plain):
-            return ["und"] * len(plain), np.zeros(len(plain))
+    def _parse(self, roots: np.ndarray, symbols: np.ndarray, start: np.ndarray, length: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """(roots, stretches) phrases that begin in each stretch. Stretches come longest first; ``before`` is the one that precedes in the text, or -1."""
+        lanes, top = len(start), int(length[0])
+        count = np.zeros((len(roots), lanes), dtype=np.int32)
+        state = np.repeat(roots[:, None], lanes, axis=1)
+        states, counts = np.empty((top, len(roots), lanes), np.int32), np.empty((top, len(roots), lanes), np.int16)
+        active = np.searchsorted(-length, -np.arange(1, top + 1), side="right")
+        for step, k in enumerate(active.tolist()):
+            moved = self.table[state[:, :k] + symbols[start[:k] + step]]
+            count[:, :k] += moved & 1
+            state[:, :k] = moved >> 1
+            states[step, :, :k], counts[step, :, :k] = state[:, :k], count[:, :k]
+        after = np.full(lanes, -1)
+        after[before[before >= 0]] = np.flatnonzero(before >= 0)
+        total, end = count.copy(), state.copy()
+        lang, lane = (x.ravel() for x in np.meshgrid(np.arange(len(roots)), np.flatnonzero(before >= 0), indexing="ij"))
+        for _ in range(_ROUNDS):
+            if not len(lane):
+                return total
+            was = end[lang, lane]
+            now, began = end[lang, before[lane]], np.zeros(len(lane), dtype=np.int32)
+            going = np.arange(len(lane))
+            for step in range(top):
+                going = going[length[lane[going]] > step]
+                if not len(going):
+                    break
+                g, x = lang[going], lane[going]
+                moved = self.table[now[going] + symbols[start[x] + step]]
+                began[going] += moved & 1
+                now[going] = moved >> 1
+                met = now[going] == states[step, g, x]
+                done = going[met]
+                began[done] += count[g[met], x[met]] - counts[step, g[met], x[met]]
+                now[done] = state[g[met], x[met]]
+                going = going[~met]
+            total[lang, lane], end[lang, lane] = began, now
+            changed = (now != was) & (after[lane] >= 0)
+            lang, lane = lang[changed], after[lane[changed]]
+        table, letters = memoryview(self.table), symbols.tobytes()
+        for g, x in sorted(zip(lang.tolist(), lane.tolist(), strict=True), key=lambda p: (p[0], start[p[1]])):
+            while x >= 0:
+                s, n = int(end[g, before[x]]), 0
+                for c in letters[start[x] : start[x] + length[x]]:
+                    m = table[s + c]
+                    n += m & 1
+                    s = m >> 1
+                total[g, x] = n
+                if s == end[g, x]:
+                    break
+                end[g, x] = s
+                x = int(after[x])
+        return total
+
+    def two_best(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the best language, its entropy and that of the next one (infinite if there is none)."""
         counts, n = self.phrases(texts)
         entropy = counts * self.bits[:, None] / np.maximum(n, 1)
         best = np.argmin(entropy, axis=0)
-        first = entropy[best, np.arange(len(n))]
-        if len(self.languages) > 1:
-            second = np.partition(entropy, 1, axis=0)[1]
-            score = np.where(second > 0, 1 - first / np.maximum(second, 1e-12), 0.0)
-        else:
-            score = np.ones(len(n))
-        names = [self.languages[b] if ok else "und" for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
-        return names, np.where(lettered, np.clip(score, 0.0, 1.0), 0.0)
+        second = np.partition(entropy, 1, axis=0)[1] if len(self.languages) > 1 else np.full(len(n), np.inf)
+        return best, entropy[best, np.arange(len(n))], second
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        return predict([self], texts)
+
+
+def predict(blocks, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text by models that come in the order of their languages, one held at a time."""
+    plain = texts.to_pylist()
+    names = np.full(len(plain), "und", dtype=object)
+    first, second, seen = np.full(len(plain), np.inf), np.full(len(plain), np.inf), 0
+    for m in blocks:
+        if not m.languages or not len(plain):
+            continue
+        best, e1, e2 = m.two_best(texts)
+        better = e1 < first
+        second = np.where(better, np.minimum(first, e2), np.minimum(second, e1))
+        names[better] = np.array(m.languages, dtype=object)[best[better]]
+        first, seen = np.where(better, e1, first), seen + len(m.languages)
+    lettered = np.array([bool(t) and bool(_ASCII_LETTER.search(t) or any(map(str.isalpha, t))) for t in plain], dtype=bool)
+    if seen > 1:
+        score = np.where((second > 0) & np.isfinite(second), 1 - first / np.maximum(second, 1e-12), 0.0)
+    else:
+        score = np.full(len(plain), float(seen))
+    names[~lettered] = "und"
+    return names.tolist(), np.where(lettered, np.clip(score, 0.0, 1.0), 0.0)
 
 
 def spread(text: bytes, room: int) -> list[bytes]:
@@ -149,15 +220,16 @@ def spread(text: bytes, room: int) -> list[bytes]:
 
 
 def build(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES, high_symbols: int = HIGH_SYMBOLS, stretch: int = STRETCH) -> Model:
-    """Automata from labelled texts; of each text an equal share goes in, from all over it, so that long texts don't fill the sample alone."""
+    """Automata from labelled texts: whole ones in order of a hash, as many as fit; if none does, pieces from all over the first."""
     raw: dict[str, bytes] = {}
     for lang in sorted(samples):
-        texts = sorted({t.lower().encode() for t in samples[lang] if t})
-        left, parts = sample_bytes, []
-        for i, t in enumerate(sorted(texts, key=len)):
-            own = spread(t, left // (len(texts) - i))
-            parts += own
-            left -= sum(map(len, own)) + max(0, len(own) - 1)
+        texts = sorted({t.lower().encode() for t in samples[lang] if t}, key=lambda t: (zlib.crc32(t), t))
+        parts, left = [], sample_bytes
+        for t in texts:
+            if len(t) <= left:
+                parts.append(t)
+                left -= len(t) + 1
+        parts = parts or spread(texts[0], sample_bytes) if texts else []
         if any(parts):
             raw[lang] = b"\n".join(parts)
     common = Counter(b for t in raw.values() for b in t if b >= 128)
@@ -191,17 +263,29 @@ def build(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES, high_
     return Model(list(raw), classes, n_symbols, table, np.array(roots, np.int32), np.array(bits), stretch)
 
 
-def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, id_col: str = "doc_id", text: str = "text", lang: str = "lang", **how) -> Model:
-    """A model from rows with a text and a label, at most ``docs_per_language`` of each language."""
-    ids = bounded_sample(docs.where(F.col(text).isNotNull()).select(id_col, lang), docs_per_language, id_col, group=lang, seed=8)
-    if len({g for g, _ in ids}) > max_languages:
-        raise ValueError(f"more than {max_languages} languages; raise max_languages if the workers can hold a table for each")
-    samples: dict[str, list[str]] = {}
-    room = 4 * how.get("sample_bytes", SAMPLE_BYTES)
-    pieces = F.udf(lambda t: b"\n".join(spread(t.lower().encode(), room)).decode("utf-8", "ignore"), "string")  # where the text is, so the driver has no long ones
-    for r in with_ids(docs.select(id_col, text, lang), sorted({i for _, i in ids}), id_col).where(F.col(lang).isNotNull()).select(lang, pieces(F.col(text)).alias("t")).collect():
-        samples.setdefault(r[lang], []).append(r["t"])
-    return build(samples, **how)
+def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, languages_per_block: int = LANGUAGES_PER_BLOCK, text_bytes: int = TEXT_BYTES, id_col: str = "doc_id", text: str = "text", lang: str = "lang", **how) -> list[Model]:
+    """Models of blocks of languages, in order, from rows with a text and a label; the driver holds the samples of one block at a time."""
+    body = F.col(f"`{text}`")
+    known = docs.where(body.isNotNull() & F.col(f"`{lang}`").isNotNull())
+    ids = bounded_sample(known.select(id_col, lang, (F.octet_length(body) > text_bytes).alias("_long")), docs_per_language, id_col, group=lang, seed=8, last="_long")
+    languages = sorted({g for g, _ in ids})
+    room = text_bytes
+
+    def cut(t):
+        raw = t.lower().encode()
+        return t if len(raw) <= room else b"\n".join(spread(raw, room)).decode("utf-8", "ignore")
+
+    pieces = F.udf(cut, "string")  # where the text is, so the driver has no long ones
+    out = []
+    for a in range(0, len(languages), languages_per_block):
+        some = set(languages[a : a + languages_per_block])
+        rows = with_ids(known.select(id_col, text, lang), sorted({i for g, i in ids if g in some}), id_col)
+        rows = rows.where(F.col(lang).isin(*some)).groupBy(id_col, lang).agg(F.min(pieces(body)).alias("t"))
+        samples: dict[str, list[str]] = {}
+        for r in rows.collect():
+            samples.setdefault(r[lang], []).append(r["t"])
+        out.append(build(samples, **how))
+    return out
 
 
 def train_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -209,15 +293,18 @@ def train_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.where(remainder(F.col(id_col), 3) != 1)
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def _predictor(docs: DataFrame, models: list[Model]):
+    sent = [docs.sparkSession.sparkContext.broadcast(m) for m in models]
+    return lambda texts: predict(held(sent), texts)
+
+
+def identify(docs: DataFrame, models: list[Model], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, lang_pred string, score double), a row per row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    told = _predictor(docs, models)
 
     def make():
-        m = sent.value
-
         def f(texts):
-            names, score = m.predict(texts)
+            names, score = told(texts)
             return [pa.array(names, pa.string()), pa.array(score, pa.float64())]
 
         return f
@@ -225,16 +312,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str =
     return map_text(docs, make, "lang_pred string, score double", text=text, carry=(id_col,))
 
 
-def keep_languages(docs: DataFrame, model: Model, allowed: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+def keep_languages(docs: DataFrame, models: list[Model], allowed: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
     """Rows whose predicted language is in ``allowed`` (None: any that was learned); ``und`` goes."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    told = _predictor(docs, models)
 
     def make():
-        m = sent.value
-
-        def f(texts):
-            return [n != "und" and (allowed is None or n in allowed) for n in m.predict(texts)[0]]
-
-        return f
+        return lambda texts: [n != "und" and (allowed is None or n in allowed) for n in told(texts)[0]]
 
     return filter_text(docs, make, text)

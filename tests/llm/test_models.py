@@ -25,18 +25,37 @@ def cut(text, sample):
 
 
 def test_phrases_are_the_greedy_parse():
+    """Of whole texts, whatever the stretches: random ones, periodic ones whose stretches never agree, pieces of the sample, and a long one."""
     rng = random.Random(2)
-    samples = {"a": ["".join(rng.choice("abc ") for _ in range(200))], "b": ["".join(rng.choice("bcd ") for _ in range(200))]}
-    m = language.build(samples, stretch=16)
+    samples = {"a": ["".join(rng.choice("abc ") for _ in range(200))], "b": ["".join(rng.choice("bcd ") for _ in range(200))], "c": ["aab" * 5 + "aaa" + "ab" * 40]}
     squeeze = lambda s: "".join(c for i, c in enumerate(s) if c != " " or s[i - 1 : i] != " ")
     texts = ["".join(rng.choice("abcdx  ") for _ in range(rng.randint(0, 70))) for _ in range(40)]
-    got, n = m.phrases(pa.array(texts))
-    for t, g, k in zip(texts, got.T, n, strict=True):
-        own = squeeze(t)
-        assert k == len(own)
-        for lang, have in zip(m.languages, g, strict=True):
-            sample = squeeze(samples[lang][0])
-            assert have == sum(cut(own[i : i + 16], sample) for i in range(0, len(own), 16)), (t, lang)
+    texts += ["a" * 500, "ab" * 300, "aab" * 200, "abcd" * 100, "", "x" * 100, samples["a"][0] * 4, samples["c"][0][3:] + samples["b"][0], "".join(rng.choice("ab") for _ in range(3000))]
+    for stretch in (3, 16, 256):
+        m = language.build(samples, stretch=stretch)
+        got, n = m.phrases(pa.array(texts))
+        for t, g, k in zip(texts, got.T, n, strict=True):
+            own = squeeze(t)
+            assert k == len(own)
+            for lang, have in zip(m.languages, g, strict=True):
+                assert have == cut(own, squeeze(samples[lang][0])), (t, lang, stretch)
+
+
+def test_a_very_long_periodic_text_is_parsed():
+    m = language.build({"a": ["aaa b"], "b": ["abab ab"]})
+    got, n = m.phrases(pa.array(["a" * 2_000_000, "ab" * 20]))
+    assert got[:, 0].tolist() == [-(-2_000_000 // 3), 2_000_000] and n.tolist() == [2_000_000, 40]
+
+
+def test_many_languages_come_in_blocks(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:02}": prose(rng, 200, ["".join(rng.choice(letters) for _ in range(3)) for _ in range(6)]) for k in range(30)}
+    df = frame(spark, [(100 * k + j, own[x], x, "s", 1) for k, x in enumerate(own) for j in range(3)])
+    many, one = language.fit(df, languages_per_block=7), language.fit(df)
+    assert len(many) == 5 and len(one) == 1
+    a, b = ({r["doc_id"]: (r["lang_pred"], round(r["score"], 9)) for r in language.identify(df, m).collect()} for m in (many, one))
+    assert {i: x[0] for i, x in a.items()} == {i: x[0] for i, x in b.items()} == {100 * k + j: x for k, x in enumerate(own) for j in range(3)}
 
 
 def test_language_accuracy(spark):

@@ -17,5 +17,5 @@ def test_language_is_learned_past_a_shared_opening(spark):
     head = "the common header of every page in this collection " * 8
     body = {"aa": "kato miru sopa lenu ", "bb": "zwrk drgn plst vchm "}
     rows = [(i, head + body[x] * 300, x, "s", 1) for i, x in enumerate(["aa", "bb"] * 40)]
-    model = language.fit(frame(spark, rows), sample_bytes=4_096)
-    assert model.predict(pa.array([body["aa"] * 5, body["bb"] * 5]))[0] == ["aa", "bb"]
+    models = language.fit(frame(spark, rows), sample_bytes=4_096)
+    assert language.predict(models, pa.array([body["aa"] * 5, body["bb"] * 5]))[0] == ["aa", "bb"]

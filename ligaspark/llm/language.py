@@ -35,12 +35,12 @@ from .bytesops import buffer_of
 from .common import bounded_sample, filter_text, held, map_text, remainder, with_ids
 
 DOCS_PER_LANGUAGE = 64
-SAMPLE_BYTES = 32_768
-TEXT_BYTES = 8_192
+SAMPLE_BYTES = 65_536
+TEXT_BYTES = 1_024
 HIGH_SYMBOLS = 60
 STRETCH = 256
 PIECE = 64  # bytes of a text that go into a sample together
-LANGUAGES_PER_BLOCK = 64
+LANGUAGES_PER_BLOCK = 12
 _TOGETHER = 8  # languages whose parses are held at once
 _ROUNDS = 6  # of parsing stretches again side by side; what is left is parsed symbol by symbol
 _ASCII_LETTER = re.compile("[A-Za-z]")

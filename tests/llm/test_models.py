@@ -191,7 +191,9 @@ def test_top_k_is_brute_force(spark, block):
     rows += [(200 + i, rows[0][1]) for i in range(30)]  # a common vector: ties
     rows += [(300, None), (301, [0.1, None, 0.2, 0.1, 0.1, 0.3]), (302, [float("nan")] * 6), (303, [float("inf")] + [0.0] * 5), (None, [0.1] * 6), (310, [0.5, 0.5]), (320, [0.25, 0.5]), (330, []), (5, rows[9][1]), (10, rows[11][1])]
     df = spark.createDataFrame([(i, v, 1.0) for i, v in rows], "vec_id long, embedding array<float>, score double")
-    got = topk.top_k(df, lambda i: i % 10 == 0, block=block, query_block=5)
+    rows += [(400 + i, [c * 4 + 1 for c in rows[i][1]]) for i in range(25)]
+    df = spark.createDataFrame([(i, v, 1.0) for i, v in rows], "vec_id long, embedding array<float>, score double")
+    got = topk.top_k(df, lambda i: i % 10 == 0, block=block, pivots=8, queries_per_salt=5)
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 5, lambda i: i % 10 == 0)
 
 
@@ -199,9 +201,23 @@ def test_pivots_save_work():
     rng = np.random.default_rng(3)
     centers = rng.integers(-200, 200, (20, 8))
     x = (centers[rng.integers(0, 20, 3000)] + rng.integers(-3, 4, (3000, 8))).astype(float)
-    ids = np.arange(3000)
-    *_, work = topk.search(ids[:20], x[:20], ids, x, topk.choose_pivots(x[:256], 16), 5)
-    assert work < 0.5 * 20 * 3000
+    pivots = topk.choose_pivots(x[:256], 16)
+    far, n2 = topk.to_pivots(x, pivots), (x * x).sum(axis=1)
+    block = topk.Candidates(np.arange(3000), x, n2, far)
+    for i in range(20):
+        rows, got = block.best(i, x[i], n2[i], far[i], 5, None)
+        want = sorted((-float(x[i] @ x[j]), j) for j in range(3000) if j != i)[:5]
+        assert [(-s, r) for r, s in zip(rows.tolist(), got, strict=True)] == want
+    assert block.work < 0.5 * 20 * 3000
+
+
+def test_large_components_are_exact(spark):
+    rows = [(i, [1e6 + i, -3e6, 4e6 - i * i]) for i in range(60)] + [(100, [1e300, -1e300, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = lambda v: [max(-(2**31 - 1), min(2**31 - 1, int(np.floor(256 * max(-1e9, min(1e9, c)))))) for c in v]
+    want = sorted((-sum(a * b for a, b in zip(q(rows[50][1]), q(v), strict=True)), i) for i, v in rows if i != 50)[:5]
+    got = [(-r["score"], r["id"]) for r in topk.top_k(df, lambda i: i == 50).orderBy("rank").collect()]
+    assert got == [(max(-(2**63 - 1), s), i) for s, i in want]
 
 
 def test_top_k_of_nothing(spark):

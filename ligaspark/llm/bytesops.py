@@ -131,6 +131,10 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` over each text's words; 0 for a text without words."""
-    sums = np.concatenate([np.zeros(1, dtype=np.float64 if values.dtype.kind == "f" else np.int64), np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
-    return sums[first[1:]] - sums[first[:-1]]
+    """Sum of ``values`` over each text's words or bytes; 0 for a text without any. No array as long as ``values`` is made."""
+    kind = np.float64 if values.dtype.kind == "f" else np.int64
+    out = np.zeros(len(first) - 1, dtype=kind)
+    some = np.flatnonzero(first[1:] > first[:-1])
+    if len(some):
+        out[some] = np.add.reduceat(values, first[:-1][some], dtype=kind)
+    return out

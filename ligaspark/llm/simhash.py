@@ -9,11 +9,15 @@ a value, and all that share one are within 2 of each other, so linking each to t
 emitted. A value has at most 65 fingerprints within 1 bit: no group grows with the data. Copies collapse to one fingerprint before anything is emitted, by
 an aggregate that is combined before the shuffle. Components come from alternating large-star and small-star steps over written tables.
 
-Null text counts as empty; a null id takes part but is never a component's id unless nothing else is there. Repeated rows each give their row.
+Null text counts as empty; a null id takes part but is never a component's id unless nothing else is there. Repeated rows each give their row. Ties (bits set in
+exactly half of the shingles) are 0. A very long text is taken in stretches. Only id and text are read for the links, and ``keep_first`` joins under names of its
+own, so no column can clash. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -24,28 +28,42 @@ from .common import discard, map_text, materialize
 
 WIDTH = 3
 _HASHES = 65_536  # bit counts are summed over so many shingles at a time
+_STRETCH = 262_144  # bytes of a text that are split into words together, and on to the next white space
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def fingerprint(text: bytes, width: int = WIDTH) -> int:
-    """As a signed 64-bit integer."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
+    """As a signed 64-bit integer. A long text is taken in stretches that end at white space, with the last words of one before the next, so what is held besides
+    the text is that of one stretch."""
+    counts, n, carry, at = np.zeros(64, dtype=np.int64), 0, [], 0
+    h = xxhash.xxh64_intdigest
+    while at < len(text):
+        gap = _SPACE.search(text, at + _STRETCH)
+        stop = gap.start() if gap else len(text)
+        words = carry + text[at:stop].lower().split()
+        at = stop
+        if len(words) < width and at < len(text):
+            carry = words
+            continue
+        if len(words) < width:
+            if n or not words:
+                break
+            return _signed(np.unpackbits(np.array([h(b" ".join(words), 42)], dtype=np.uint64).view(np.uint8), bitorder="little"))
+        joined = b" ".join(words)
         ends = np.cumsum([len(w) + 1 for w in words])
         starts = [0, *ends[: len(words) - width].tolist()]
-        h = xxhash.xxh64_intdigest
-        hashes = [h(joined[a:b], 42) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
-    n = len(hashes)
-    counts = np.zeros(64, dtype=np.int64)
-    for a in range(0, n, _HASHES):
-        part = np.array(hashes[a : a + _HASHES], dtype=np.uint64)
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > n, bitorder="little")
-    return int(bits.view(np.int64)[0])
+        hashes = np.array([h(joined[a:b], 42) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], dtype=np.uint64)
+        for a in range(0, len(hashes), _HASHES):
+            counts += np.unpackbits(hashes[a : a + _HASHES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+        carry = words[len(words) - width + 1 :]
+    if not n and carry:
+        return _signed(np.unpackbits(np.array([h(b" ".join(carry), 42)], dtype=np.uint64).view(np.uint8), bitorder="little"))
+    return _signed(counts * 2 > n) if n else 0
+
+
+def _signed(bits: np.ndarray) -> int:
+    return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,7 +133,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 def keep_first(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of near duplicates, the one with the smallest id; columns as they were. Of rows with the same id one stays.
 
-    The rows that go are anti-joined by id, and only ids that occur more than once need a look at whole rows. Rows with a null id go if another row of their
+    The rows that stay are semi-joined by id, and only ids that occur more than once need a look at whole rows. Rows with a null id go if another row of their
     group has an id; else one of them stays.
     """
     marked = materialize(near_duplicates(docs.select(id_col, text), width, id_col, text))

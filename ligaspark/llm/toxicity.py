@@ -9,9 +9,12 @@ negative, a step goes up its gradient instead, which keeps the scorer from memor
 
 Features: whether a word occurs, for at most ``features`` words that at least ``least`` positives have and that are commoner among positives than among all
 texts by more than ``min_z`` standard errors. At most ``positives`` and ``unlabelled`` texts, spread by hash, choose the words and train the scorer; all bounds
-are parameters. A text's score does not fade with its length: what counts is which of these words it has.
+are parameters. Words are counted by an aggregate over the sampled texts, and the driver gets the chosen words and one bit per text and word, however long the
+texts are. A text's score does not fade with its length: what counts is which of these words it has.
 
-Null and empty texts have no words and get the score of the bias. No positives, or no such word: every score is 0. Repeated rows each give their row.
+Null and empty texts have no words and get the score of the bias. No positives, or no such word: every score is 0. Conflicting labels of one id count as their
+mean's nearest class, ties as 1; ties between words go to the smaller hash. Repeated rows each give their row; for fitting, rows that share an id count once, by
+the smallest text. A very long text is a pass of its own. Only the columns named are read, so no other can clash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bytesops import Words
-from .common import bounded_sample, map_text, remainder, with_ids
+from .common import bounded_sample, discard, map_text, materialize, remainder, with_ids
 from .quality import labelled
 
 POSITIVES = 3_000
@@ -83,15 +87,35 @@ def non_negative_pu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 2
     return w[:-1], float(w[-1])
 
 
+def risk(xp: np.ndarray, xu: np.ndarray, prior: float, w: np.ndarray, b: float) -> float:
+    """The non-negative risk of a scorer, as training sees it (without the ridge)."""
+    loss = lambda x, y: np.log1p(np.exp(-np.clip((2 * y - 1) * (x @ w + b), -30, 30))).mean()
+    return prior * loss(xp, 1) + max(0.0, loss(xu, 0) - prior * loss(xp, 0))
+
+
 def _distinct_words():
     def f(texts):
         words = Words(texts)
-        h = words.hashes()
-        return [pa.array([np.unique(h[a:b]).tobytes() for a, b in zip(words.first, words.first[1:], strict=False)], pa.binary())]
+        h = words.hashes().view(np.int64)
+        own = [np.unique(h[a:b]) for a, b in zip(words.first, words.first[1:], strict=False)]
+        ends = np.cumsum([0, *[len(x) for x in own]])
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*own, np.zeros(0, np.int64)])))]
 
     return f
 
 
+def choose_words(rows: DataFrame, n_p: int, n_u: int, features: int, least: int, min_z: float) -> np.ndarray:
+    """Sorted hashes of the words whose rate among positives exceeds that among all texts the most, in standard errors. ``rows``: (h array, p, u), a row per
+    text, with whether it is among the positives and among the unlabelled."""
+    words = rows.select(F.explode("h").alias("h"), F.col("p").cast("int").alias("p"), F.col("u").cast("int").alias("u"))
+    counts = words.groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= least)
+    rest = (F.col("p") + F.col("u")) / F.lit(float(n_p + n_u))
+    error = F.sqrt(F.greatest(rest * (1 - rest), F.lit(1e-9)) * F.lit(1 / n_p + 1 / n_u))
+    z = (F.col("p") / F.lit(float(n_p)) - F.col("u") / F.lit(float(n_u))) / error
+    found = counts.select("h", z.alias("z")).where(F.col("z") > min_z).orderBy(F.desc("z"), "h").limit(features).collect()
+    return np.sort(np.array([r["h"] for r in found], dtype=np.int64).view(np.uint64))
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", keep=lambda i: remainder(i, 5) != 0, prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED, features: int = FEATURES, least: int = LEAST, min_z: float = MIN_Z, id_col: str = "doc_id", text: str = "text") -> Scorer:
     known = labelled(labels, column, keep, id_col)
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")).first()
@@ -101,35 +125,35 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", keep=lambda i
     prior = min(0.9, counts["t"] / counts["n"]) if prior is None else prior
     ids_p = bounded_sample(known.where("y = 1"), positives, id_col, seed=3)
     ids_u = bounded_sample(docs.where(keep(F.col(id_col))).select(id_col), unlabelled, id_col, seed=33)
-    rows = map_text(with_ids(docs.select(id_col, text), sorted({*ids_p, *ids_u}), id_col), _distinct_words, "h binary", text=text, carry=(id_col,)).collect()
-    sets = {r[id_col]: np.frombuffer(r["h"], np.uint64) for r in sorted(rows, key=lambda r: (r[id_col], r["h"]))}
-    pos, unl = [sets[i] for i in ids_p if i in sets], [sets[i] for i in ids_u if i in sets]
-    if not pos or not unl:
-        return none
-    words_p, in_p = np.unique(np.concatenate(pos), return_counts=True)
-    words_p, in_p = words_p[in_p >= least], in_p[in_p >= least]
-    words_u, in_u = np.unique(np.concatenate(unl), return_counts=True)
-    if not len(words_p):
-        return none
-    slot = np.minimum(np.searchsorted(words_u, words_p), max(0, len(words_u) - 1))
-    n_u = np.where(words_u[slot] == words_p, in_u[slot], 0) if len(words_u) else np.zeros(len(words_p))
-    # how far the rate among positives exceeds that among all texts, in standard errors
-    p, q = in_p / len(pos), n_u / len(unl)
-    rest = (in_p + n_u) / (len(pos) + len(unl))
-    z = (p - q) / np.sqrt(np.maximum(rest * (1 - rest), 1e-9) * (1 / len(pos) + 1 / len(unl)))
-    best = np.lexsort((words_p, -z))[:features]
-    keys = np.sort(words_p[best[z[best] > min_z]])
-    if not len(keys):
-        return none
-
-    def matrix(some: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(some), len(keys)), dtype=np.float32)
-        for i, s in enumerate(some):
-            j = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-            x[i, j[keys[j] == s]] = 1
-        return x
-
-    weights, bias = non_negative_pu(matrix(pos), matrix(unl), prior)
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
+    every = sorted({*ids_p, *ids_u})
+    is_p, is_u = set(ids_p), set(ids_u)
+    marks = spark.createDataFrame([(i, i in is_p, i in is_u) for i in every], T.StructType([T.StructField("_i", kind), T.StructField("p", T.BooleanType()), T.StructField("u", T.BooleanType())]))
+    one = with_ids(docs.select(id_col, text), every, id_col).groupBy(F.col(id_col).alias("_i")).agg(F.min(F.col(f"`{text}`")).alias("_t"))
+    texts = materialize(one.join(F.broadcast(marks), "_i"))  # at most as many rows as the bounds say
+    try:
+        n = texts.agg(F.count_if("p").alias("p"), F.count_if("u").alias("u")).first()
+        if not n["p"] or not n["u"]:
+            return none
+        hashed = map_text(texts, _distinct_words, "h array<bigint>", text="_t", carry=("p", "u"))
+        keys = choose_words(hashed, n["p"], n["u"], features, least, min_z)
+        if not len(keys):
+            return none
+        sent = spark.sparkContext.broadcast(Scorer(keys, np.zeros(len(keys)), 0.0))
+
+        def bits():
+            def f(some):
+                x = np.zeros((len(some), len(keys)), dtype=bool)
+                x[sent.value.present(Words(some))] = True
+                return [pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())]
+
+            return f
+
+        rows = sorted(map_text(texts, bits, "x binary", text="_t", carry=("_i", "p", "u")).collect(), key=lambda r: r["_i"])
+    finally:
+        discard(texts)
+    x = np.unpackbits(np.frombuffer(b"".join(r["x"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1, count=len(keys)).astype(np.float32)
+    weights, bias = non_negative_pu(x[[r["p"] for r in rows]], x[[r["u"] for r in rows]], prior)
     return Scorer(keys, weights, bias)
 
 

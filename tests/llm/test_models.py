@@ -1,13 +1,14 @@
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_data import awkward, frame, prose
+from llm_data import awkward, frame, prose, words
 from pyspark.sql import functions as F
 
-from ligaspark.llm import boosting, features, language, quality, queries, topk, toxicity
+from ligaspark.llm import boosting, bytesops, features, language, quality, queries, topk, toxicity
 from ligaspark.llm.common import bounded_sample, remainder
 
 SF = "/root/testdata/sf0.01"
@@ -115,6 +116,64 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(frame(spark, []), s).count() == 0
 
 
+def brute_words(rows, ids_p, ids_u, least, min_z):
+    """{word: z} of the words that count as features, by plain sets."""
+    own = {}
+    for i, t, *_ in rows:
+        if i is not None:
+            own[i] = min((x for x in (own.get(i), t) if x is not None), default=None)
+    sets = {i: set(words(t)) for i, t in own.items()}
+    pos, unl = [sets[i] for i in ids_p if i in sets], [sets[i] for i in ids_u if i in sets]
+    out = {}
+    for w in set().union(*pos):
+        p, u = sum(w in s for s in pos), sum(w in s for s in unl)
+        rest = (p + u) / (len(pos) + len(unl))
+        z = (p / len(pos) - u / len(unl)) / (max(rest * (1 - rest), 1e-9) * (1 / len(pos) + 1 / len(unl))) ** 0.5
+        if p >= least and z > min_z:
+            out[w] = z
+    return out
+
+
+def test_toxicity_is_brute_force(spark):
+    """The words chosen, and the score of every text, from plain sets of words and the scorer's weights."""
+    rng = random.Random(14)
+    rows = awkward(15, 120) + [(3000 + i, prose(rng, 30) + f" villain rogue{i % 3} {'scoundrel' if i % 2 else ''}", "en", "s", 1) for i in range(60)] + [(3001, "other text of one id", "en", "s", 1)]
+    df = frame(spark, rows).repartition(3)
+    labels = [(3000 + i, 1) for i in range(60)] + [(i, 0) for i in range(120)]
+    s = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), least=3, min_z=2.0)
+    kept = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    want = brute_words(rows, [i for i, y in labels if y and kept(i)], sorted({r[0] for r in rows if r[0] is not None and kept(r[0])}), 3, 2.0)
+    hashed = {w: int(bytesops.Words(pa.array([w])).hashes()[0]) for w in want}
+    assert sorted(hashed.values()) == s.keys.tolist() and {"villain", "scoundrel"} <= set(want)
+    weight = {w: s.weights[s.keys.tolist().index(h)] for w, h in hashed.items()}
+    for r in toxicity.score(df, s).collect():
+        texts = [t for i, t, *_ in rows if i == r["doc_id"]]
+        near = [1 / (1 + np.exp(-np.clip(s.bias + sum(weight[w] for w in set(words(t)) & set(weight)), -30, 30))) for t in texts]
+        assert any(abs(r["score"] - x) < 1e-9 for x in near)
+
+
+def test_pu_steps_go_down_the_risk():
+    """Training ends near the least risk that small steps around it can find, and the risk itself is the estimator's, written out row by row."""
+    rng = np.random.default_rng(7)
+    y = rng.random(1500) < 0.3
+    x = np.where(y[:, None], rng.random((1500, 3)) < 0.6, rng.random((1500, 3)) < 0.2).astype(np.float64)
+    xp, prior = x[y][:150], 0.3
+    w, b = toxicity.non_negative_pu(xp.astype(np.float32), x.astype(np.float32), prior, steps=2000)
+    def slow(w, b):
+        loss = lambda r, s: np.log1p(np.exp(-s * (sum(p * q for p, q in zip(r, w, strict=True)) + b)))
+        pos = sum(loss(r, 1) for r in xp) / len(xp)
+        neg = sum(loss(r, -1) for r in x) / len(x) - prior * sum(loss(r, -1) for r in xp) / len(xp)
+        return prior * pos + max(0.0, neg)
+
+    here = toxicity.risk(xp, x, prior, w, b)
+    assert abs(here - slow(w, b)) < 1e-9
+    for j in range(4):
+        for d in (-0.05, 0.05):
+            step = np.eye(4)[j] * d
+            assert toxicity.risk(xp, x, prior, w + step[:3], b + step[3]) > here - 1e-4
+    assert here < toxicity.risk(xp, x, prior, np.zeros(3), 0.0)
+
+
 def test_pu_risk_needs_no_negatives():
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.2
@@ -151,6 +210,72 @@ def test_statistics_of_texts():
     assert np.allclose(t, alone)
 
 
+def brute_statistics(t):
+    """All statistics of one text, from plain words, lines and characters."""
+    t = t or ""
+    raw = t.encode()
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    ws = [m for m in re.finditer("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)]
+    size = [len(m[0].encode()) for m in ws]
+    lines = [x for x in low.split("\n") if x]
+    mean = sum(size) / max(1, len(ws))
+    punct = [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ",."]
+    share = lambda f: sum(f(c) for c in raw) / max(1, len(raw))
+    most = lambda xs: max((xs.count(x) for x in set(xs)), default=0)
+    own, n, k = [m[0] for m in ws], max(1, len(ws)), max(1, len(lines))
+    return [
+        np.log1p(len(raw)), np.log1p(len(ws)), mean, max(0.0, sum(s * s for s in size) / n - mean * mean) ** 0.5, max(size, default=0),
+        sum(65 <= c <= 90 for c in raw) / max(1, sum(c >= 97 for c in low.encode())), share(lambda c: 48 <= c <= 57), share(lambda c: 9 <= c <= 13 or c == 32), share(lambda c: c == 10),
+        share(lambda c: c in b",."), share(lambda c: c in punct), share(lambda c: c >= 128), share(lambda c: c == 124), share(lambda c: c in b"#$%&*"), share(lambda c: c == 33),
+        sum(a == b and a in punct for a, b in zip(raw, raw[1:], strict=False)) / max(1, len(raw)), len(set(own)) / n, most(own) / n, sum(s <= 3 for s in size) / n,
+        np.log1p(len(lines)), len(ws) / k, len(set(lines)) / k, sum("A" <= t[m.start()] <= "Z" for m in ws) / n, most(lines) / k,
+        sum(m.end() < len(t) and ord(t[m.end()]) in punct for m in ws) / n,
+    ]
+
+
+def test_statistics_are_brute_force():
+    rng = random.Random(6)
+    texts = [r[1] for r in awkward(3, 12)] + ["A|b ## !! ;; x-y, z.\n\nA|b\n" * 9, "".join(rng.choice("ab AB\n,.;!#|é0 ") for _ in range(3000)), "x" * 1_200_000 + " y"]
+    got = features.table(pa.array(texts))
+    for t, row in zip(texts, got, strict=True):
+        assert np.allclose(row, brute_statistics(t), rtol=2e-5, atol=1e-6), [(n, a, b) for n, a, b in zip(features.NAMES, row, brute_statistics(t), strict=True) if not np.isclose(a, b, rtol=2e-5, atol=1e-6)]
+
+
+def brute_first_split(x, y, bins, ridge, least):
+    """The best first split of the first tree, over all thresholds between bins of every feature."""
+    p = y.mean()
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + ridge)
+    best = (1e-6, None, None)
+    for j in range(x.shape[1]):
+        for c in np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]).astype(np.float32)):
+            left = x[:, j] <= c
+            if min(left.sum(), (~left).sum()) >= least:
+                value = gain(left) + gain(~left) - gain(np.ones(len(y), bool))
+                if value > best[0] + 1e-12:
+                    best = (value, j, c)
+    return best
+
+
+def test_trees_are_grown_right():
+    """Splits and leaf values of the first tree, by trying all of them; the loss falls with every tree."""
+    rng = np.random.default_rng(5)
+    x = rng.random((600, 4)).astype(np.float32)
+    y = (x[:, 2] + 0.3 * rng.random(600) > 0.7).astype(float)
+    f = boosting.train(x, y, trees=30, depth=2, bins=16, rate=0.2)
+    _, j, c = brute_first_split(x, y, 16, 2.0, 5.0)
+    assert f.feature[0][0] == j and f.threshold[0][0] == c
+    for side, node in ((x[:, j] <= c, 1), (x[:, j] > c, 2)):
+        p = y.mean()
+        xs, ys = x[side], y[side]
+        g, h = p - ys, np.full(len(ys), p * (1 - p))
+        k, t = f.feature[0][node], f.threshold[0][node]
+        for m, leaf in ((xs[:, k] <= t, 2 * (node - 1)), (xs[:, k] > t, 2 * (node - 1) + 1)):
+            assert np.isclose(f.value[0][leaf], -0.2 * g[m].sum() / (h[m].sum() + 2.0) if m.any() else 0.0, atol=1e-5)
+    loss = lambda n: -np.mean(np.log(np.clip(np.where(y > 0, *(lambda s: (s, 1 - s))(boosting.Forest(f.base, f.depth, f.feature[:n], f.threshold[:n], f.value[:n]).score(x))), 1e-12, 1)))
+    assert all(loss(n + 5) < loss(n) for n in range(0, 25, 5))
+
+
 def test_trees_are_walked_right():
     rng = np.random.default_rng(0)
     x = rng.random((800, 5)).astype(np.float32)

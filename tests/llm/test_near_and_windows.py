@@ -61,6 +61,21 @@ def test_simhash_is_brute_force(spark):
     assert sum(1 for i, _, c in want if i is not None and i != c) > 5
 
 
+def test_fingerprints_of_long_texts(monkeypatch):
+    """Stretches do not show: whatever they are, the fingerprint is that of all shingles."""
+    rng = random.Random(6)
+    texts = ["", "  ", "a", "a b", "a b c", " a\tb ", prose(rng, 300), "x" * 500 + " y", "\n".join(prose(rng, 3) for _ in range(40)), "Ünï " * 50]
+    for size in (1, 7, 64, 262_144):
+        monkeypatch.setattr(simhash, "_STRETCH", size)
+        assert [simhash.fingerprint(t.encode()) % 2**64 for t in texts] == [brute_print(t) for t in texts]
+    monkeypatch.setattr(simhash, "_STRETCH", 262_144)
+    long = prose(rng, 250_000)
+    monkeypatch.undo()
+    a = simhash.fingerprint(long.encode())
+    monkeypatch.setattr(simhash, "_STRETCH", 10**9)
+    assert a == simhash.fingerprint(long.encode())
+
+
 def test_ball_links_are_complete(spark):
     rng = random.Random(9)
     prints = {rng.getrandbits(64)}

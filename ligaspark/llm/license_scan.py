@@ -5,11 +5,12 @@ substring and two phrases never share a delimiter. A keyword prefilter on the ra
 gates its regular expression, and matches become intervals of word numbers with the rule's label and rank. A detection is suppressed if its interval lies
 within that of a detection of a better rank, or within a longer one (or the same one by an earlier rule) of its own rank.
 
-Ranks: 1 exact identifiers and full legal names with a version, 2 names with a version or a fixed notice, 3 general mentions. The rules come from one table
-of licenses and a few forms of mention, several hundred in all.
+Ranks: 1 exact identifiers and full legal names with a version, 2 sentences of license texts and notices, 3 general mentions. The rules are written by hand, in
+``license_rules``; ties between rules of one rank and interval go to the one listed first.
 
 Nothing is shuffled: a row's rules, suppression and labels are evaluated within the row. Null text: no words, no labels, score 0. Repeated rows each give
-their row.
+their row. A text of any length is one row; a gated one is held about three times over, as words, while it is scanned. Only id and text are read, so no other
+column can clash. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -19,81 +20,13 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_rules import compiled, listed
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_WORD_EITHER_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Fixed phrases that always count, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-
-#: label -> (name without "license", versions, SPDX identifiers as words)
-LICENSES: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
-    "mit": (("mit", "expat", "massachusetts institute of technology"), (), ("mit", "mit 0")),
-    "apache": (("apache", "apache software"), ("1 0", "1 1", "2 0"), ("apache 2 0", "apache 1 1", "apache 1 0")),
-    "gpl": (("gnu general public", "gnu gpl", "gpl", "gplv2", "gplv3"), ("2", "2 0", "3", "3 0"), ("gpl 2 0 only", "gpl 2 0 or later", "gpl 3 0 only", "gpl 3 0 or later")),
-    "lgpl": (("gnu lesser general public", "gnu library general public", "gnu lgpl", "lgpl"), ("2", "2 1", "3", "3 0"), ("lgpl 2 1 only", "lgpl 2 1 or later", "lgpl 3 0 only", "lgpl 3 0 or later")),
-    "agpl": (("gnu affero general public", "affero general public", "agpl"), ("3", "3 0"), ("agpl 3 0 only", "agpl 3 0 or later")),
-    "bsd": (("bsd", "simplified bsd", "new bsd", "revised bsd", "modified bsd", "freebsd", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"), (), ("bsd 2 clause", "bsd 3 clause", "bsd 4 clause", "0bsd")),
-    "mpl": (("mozilla public", "mpl"), ("1 0", "1 1", "2 0"), ("mpl 1 1", "mpl 2 0")),
-    "epl": (("eclipse public", "epl"), ("1 0", "2 0"), ("epl 1 0", "epl 2 0")),
-    "cddl": (("common development and distribution", "cddl"), ("1 0", "1 1"), ("cddl 1 0", "cddl 1 1")),
-    "cpl": (("common public", "ibm public"), ("1 0",), ("cpl 1 0", "ipl 1 0")),
-    "isc": (("isc", "internet systems consortium"), (), ("isc",)),
-    "zlib": (("zlib", "zlib libpng"), (), ("zlib", "zlib acknowledgement")),
-    "bsl": (("boost software", "boost"), ("1 0",), ("bsl 1 0",)),
-    "artistic": (("artistic", "perl artistic"), ("1 0", "2 0"), ("artistic 1 0", "artistic 2 0")),
-    "unlicense": (("unlicense", "the unlicense"), (), ("unlicense",)),
-    "wtfpl": (("do what the fuck you want to public", "wtfpl"), ("2", "2 0"), ("wtfpl",)),
-    "cc0": (("creative commons zero", "cc0", "creative commons public domain dedication"), ("1 0",), ("cc0 1 0",)),
-    "cc-by": (("creative commons attribution", "cc by"), ("2 0", "2 5", "3 0", "4 0"), ("cc by 3 0", "cc by 4 0")),
-    "cc-by-sa": (("creative commons attribution sharealike", "creative commons attribution share alike", "cc by sa"), ("2 0", "2 5", "3 0", "4 0"), ("cc by sa 3 0", "cc by sa 4 0")),
-    "cc-by-nc": (("creative commons attribution noncommercial", "creative commons attribution non commercial", "cc by nc"), ("2 0", "3 0", "4 0"), ("cc by nc 4 0",)),
-    "cc-by-nc-sa": (("creative commons attribution noncommercial sharealike", "cc by nc sa"), ("2 0", "3 0", "4 0"), ("cc by nc sa 4 0",)),
-    "cc-by-nd": (("creative commons attribution noderivatives", "creative commons attribution no derivatives", "cc by nd"), ("3 0", "4 0"), ("cc by nd 4 0",)),
-    "cc-by-nc-nd": (("creative commons attribution noncommercial noderivatives", "cc by nc nd"), ("3 0", "4 0"), ("cc by nc nd 4 0",)),
-    "odbl": (("open data commons open database", "open database", "odbl"), ("1 0",), ("odbl 1 0",)),
-    "ofl": (("sil open font", "open font"), ("1 0", "1 1"), ("ofl 1 1",)),
-    "gfdl": (("gnu free documentation", "gfdl"), ("1 1", "1 2", "1 3"), ("gfdl 1 3 only", "gfdl 1 3 or later")),
-    "eupl": (("european union public", "eupl"), ("1 0", "1 1", "1 2"), ("eupl 1 1", "eupl 1 2")),
-    "ms-pl": (("microsoft public", "ms pl"), (), ("ms pl",)),
-    "ms-rl": (("microsoft reciprocal", "ms rl"), (), ("ms rl",)),
-    "python": (("python software foundation", "psf"), ("2", "2 0"), ("psf 2 0", "python 2 0")),
-    "php": (("php",), ("3 0", "3 01"), ("php 3 0", "php 3 01")),
-    "ruby": (("ruby",), (), ("ruby",)),
-    "openssl": (("openssl", "ssleay"), (), ("openssl",)),
-    "postgresql": (("postgresql",), (), ("postgresql",)),
-    "x11": (("x11", "x consortium"), (), ("x11",)),
-    "ncsa": (("university of illinois ncsa open source", "ncsa"), (), ("ncsa",)),
-    "vim": (("vim",), (), ("vim",)),
-    "json": (("json",), (), ("json",)),
-    "beerware": (("beer ware", "beerware"), ("42",), ("beerware",)),
-    "openrail": (("open responsible ai", "creativeml open rail m", "bigscience openrail m", "openrail"), (), ("openrail m",)),
-    "afl": (("academic free",), ("2 1", "3 0"), ("afl 2 1", "afl 3 0")),
-    "osl": (("open software",), ("2 1", "3 0"), ("osl 2 1", "osl 3 0")),
-    "upl": (("universal permissive",), ("1 0",), ("upl 1 0",)),
-    "sspl": (("server side public",), ("1", "1 0"), ("sspl 1 0",)),
-    "busl": (("business source",), ("1 1",), ("busl 1 1",)),
-    "elastic": (("elastic",), ("2 0",), ("elastic 2 0",)),
-    "proprietary": (("proprietary",), (), ()),
-}
-#: Names that mean the license without the word "license" too, if a version follows.
-ACRONYMS = ("gpl", "lgpl", "agpl", "mpl", "epl", "cddl", "wtfpl", "cc0", "odbl", "eupl", "gfdl", "cc by", "cc by sa", "cc by nc", "cc by nc sa", "cc by nd", "cc by nc nd")
-#: label -> sentences of a license's own text, as words
-NOTICES: dict[str, tuple[tuple[str, str], ...]] = {
-    "mit": (("hereby", "permission is hereby granted free of charge to any person obtaining a copy"), ("copyright", "the above copyright notice and this permission notice shall be included in all copies or substantial portions")),
-    "apache": (("licen", "you may not use this file except in compliance with the license"), ("licen", "licensed to the apache software foundation")),
-    "gpl": (("licen", "you can redistribute it and or modify it under the terms of the gnu general public license"), ("licen", "you should have received a copy of the gnu general public license")),
-    "lgpl": (("licen", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"), ("licen", "you should have received a copy of the gnu lesser general public license")),
-    "agpl": (("licen", "you should have received a copy of the gnu affero general public license"),),
-    "bsd": (("redistribution", "redistribution and use in source and binary forms with or without modification are permitted"), ("copyright", "neither the name of the copyright holder nor the names of its contributors")),
-    "isc": (("hereby", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),),
-    "mpl": (("licen", "this source code form is subject to the terms of the mozilla public license"), ("licen", "the contents of this file are subject to the mozilla public license")),
-    "zlib": (("warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),),
-    "bsl": (("hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),),
-    "unlicense": (("unencumbered", "this is free and unencumbered software released into the public domain"),),
-    "cc0": (("copyright", "has waived all copyright and related or neighboring rights"),),
-    "proprietary": (("reserved", "all rights reserved"), ("copying", "unauthorized copying of this file")),
-    "public-domain": (("domain", "released into the public domain"), ("domain", "dedicated to the public domain"), ("domain", "this work is in the public domain")),
-}
 CONFIDENCE = {1: 1.0, 2: 0.9, 3: 0.6}
 
 
@@ -107,30 +40,8 @@ def rules() -> list[tuple[int, str, str, str, str]]:
 
     ``gate`` is one of a few strings that the prefilter looks for, ``keyword`` the rule's own; every match holds both. Patterns have no look-arounds.
     """
-    out: list[tuple[int, str, str, str, str]] = []
-    maybe = lambda *w: "".join(f"(?: {x} )?" for x in w)
-    under = "(?: licensed | released | distributed | available | provided )(?: under )" + maybe("the", "terms", "of", "the")
-    for label, (names, versions, spdx) in LICENSES.items():
-        for s in spdx:
-            out.append((1, label, "spdx", as_pattern(s.split()[0]).strip(), as_pattern("spdx license identifier") + as_pattern(s)))
-        for n in names:
-            key, own = as_pattern(n), n in ACRONYMS
-            for v in versions:
-                number = "(?: v?" + v.split()[0] + " )" + as_pattern(" ".join(v.split()[1:]))
-                out.append((1, label, "licen", key, key + " license " + maybe("version") + number))
-                if own:
-                    out.append((2, label, key, key, key + maybe("version") + number))
-            out.append((2, label, "licensed", key, under.replace(" released | distributed | available | provided ", "").replace("(?: licensed |)", " licensed ") + key))
-            out.append((2, label, "licen", key, under + key + " licen[cs]e "))
-            out.append((3, label, "licen", key, key + " licen[cs]es? "))
-        if spdx:
-            out.append((2, label, "licenses", "opensource", as_pattern("opensource org licenses") + "(?:" + "|".join(sorted(map(as_pattern, spdx), key=lambda x: (-len(x), x))) + ")"))
-    for label, sentences in NOTICES.items():
-        for gate, s in sentences:
-            out.append((2, label, gate, max(s.split(), key=len), as_pattern(s)))
-    for phrase, label in BASE.items():
-        out.append((3, label, "licen", as_pattern(phrase), as_pattern(phrase)))
-    return sorted(out, key=lambda r: r[0])
+    out = [(rank, label, *compiled(signature)) for rank, label, signature in listed()]
+    return out + [(3, label, *compiled(phrase)) for phrase, label in BASE.items()]
 
 
 def gates(table: list[tuple[int, str, str, str, str]]) -> list[str]:

@@ -38,7 +38,8 @@ QUERIES_PER_SALT = 1_000_000
 _STATS = 65_536  # blocks whose ranges a worker holds at once
 _ROUND = 64  # candidates evaluated at first; twice as many each time
 _CLAMP = (1 << 31) - 1
-_EXACT = 2.0**53
+_EXACT, _EXACT_SINGLE = 2.0**53, 2.0**24
+_QUERIES = 16  # whose bounds are computed together
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -89,28 +90,40 @@ class Candidates:
     def __init__(self, ids: np.ndarray, x: np.ndarray, n2: np.ndarray, far: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x, self.n2, self.far = ids[order], x[order], n2[order], far[order]
-        self.work = 0
-
-    def best(self, own, q: np.ndarray, n2: float, far: np.ndarray, k: int, least) -> tuple[np.ndarray, list]:
-        """Rows and scores of the k best candidates that reach ``least`` (None: any), but those of the id ``own``, best first, ties by id."""
-        live = np.arange(len(self.ids))
-        bound = np.zeros(len(live))
-        for j in range(self.far.shape[1]):  # pivot after pivot: what one rules out, no other looks at
-            np.maximum(bound, np.abs(self.far[live, j] - far[j]), out=bound)
-            if least is not None and j % 4 == 3:
-                stay = _upper(bound, n2 + self.n2[live]) >= least
-                live, bound = live[stay], bound[stay]
-                if not len(live):
-                    break
-        upper = _upper(bound, n2 + self.n2[live])
+        self.top, self.single, self.work = np.abs(self.x).max(initial=0), None, 0
+
+    def best(self, owns: list, q: np.ndarray, n2: np.ndarray, far: np.ndarray, k: int, least: list) -> list[tuple[np.ndarray, list]]:
+        """For each query the rows and scores of its k best candidates that reach its ``least`` (None: any), but those of its own id; best first, ties by id.
+
+        Bounds of some queries at a time come from the table. A query that the bounds leave few candidates evaluates them in their order. One that they leave many
+        evaluates the most promising first, and then, at once, all whose bound reaches the k-th best of those."""
+        out = []
+        for a in range(0, len(owns), _QUERIES):
+            rows = slice(a, a + _QUERIES)
+            bound = np.zeros((len(owns[rows]), len(self.ids)))
+            for j in range(self.far.shape[1]):
+                np.maximum(bound, np.abs(far[rows, j][:, None] - self.far[None, :, j]), out=bound)
+            upper = _upper(bound, n2[rows][:, None] + self.n2[None, :])
+            for i, own in enumerate(owns[rows]):
+                low = least[a + i]
+                live = np.arange(len(self.ids)) if low is None else np.flatnonzero(upper[i] >= low)
+                live = live[self.ids[live] != own]
+                if len(live) > max(4 * _ROUND, len(self.ids) // 8):
+                    first = live[np.argpartition(-upper[i, live], _ROUND)[:_ROUND]]
+                    found = self._ordered(first, upper[i, first], q[a + i], k, low)
+                    low = found[1][-1] if len(found[1]) == k else low
+                    out.append(self._at_once(live if low is None else live[upper[i, live] >= low], q[a + i], k))
+                else:
+                    out.append(self._ordered(live, upper[i, live], q[a + i], k, low))
+        return out
+
+    def _ordered(self, live: np.ndarray, upper: np.ndarray, q: np.ndarray, k: int, kth) -> tuple[np.ndarray, list]:
         rank = np.argsort(-upper, kind="stable")
         live, upper = live[rank], upper[rank]
         rows, found, at, step = np.zeros(0, np.int64), [], 0, _ROUND
-        kth = least
         while at < len(live) and (kth is None or upper[at] >= kth):
             part = live[at : at + step]
             at, step = at + step, step * 2
-            part = part[self.ids[part] != own]
             self.work += len(part)
             got = scores(q, self.x[part])
             if kth is not None:
@@ -122,6 +135,24 @@ class Candidates:
                 kth = found[-1] if kth is None else max(kth, found[-1])
         return rows, found
 
+    def _at_once(self, live: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, list]:
+        self.work += len(live)
+        got = self._all(q)[live]
+        if len(live) > k:
+            near = got >= np.partition(got, len(got) - k)[len(got) - k]
+            live, got = live[near], got[near]
+        keep = sorted(range(len(live)), key=lambda i: (-got[i], live[i]))[:k]  # the k best and what ties with the last
+        return live[keep], got[keep].tolist()
+
+    def _all(self, q: np.ndarray) -> np.ndarray:
+        """Scores of all rows, which are read in place; in single precision where that is exact too."""
+        top = np.abs(q).max(initial=0) * self.top * self.x.shape[1]
+        if top < _EXACT_SINGLE:
+            if self.single is None:
+                self.single = self.x.astype(np.float32)
+            return (self.single @ q.astype(np.float32)).astype(np.float64)
+        return scores(q, self.x)
+
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
@@ -274,9 +305,8 @@ def _met(table: DataFrame, routed: DataFrame, k: int, salts: int) -> DataFrame:
                 if block is None:
                     continue
                 out_q, out_x, out_s = [], [], []
-                least = part.column(5).to_pylist()
-                for i, (own, n2) in enumerate(zip(part.column(0).to_pylist(), part.column(3).to_numpy().tolist(), strict=True)):
-                    rows_, got = block.best(own, x[i], n2, far[i], k, least[i])
+                owns = part.column(0).to_pylist()
+                for own, (rows_, got) in zip(owns, block.best(owns, x, part.column(3).to_numpy(), far, k, part.column(5).to_pylist()), strict=True):
                     out_q += [own] * len(got)
                     out_x += block.ids[rows_].tolist()
                     out_s += [int(v) for v in got]

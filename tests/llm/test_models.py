@@ -329,8 +329,7 @@ def test_pivots_save_work():
     pivots = topk.choose_pivots(x[:256], 16)
     far, n2 = topk.to_pivots(x, pivots), (x * x).sum(axis=1)
     block = topk.Candidates(np.arange(3000), x, n2, far)
-    for i in range(20):
-        rows, got = block.best(i, x[i], n2[i], far[i], 5, None)
+    for i, (rows, got) in enumerate(block.best(list(range(20)), x[:20], n2[:20], far[:20], 5, [None] * 20)):
         want = sorted((-float(x[i] @ x[j]), j) for j in range(3000) if j != i)[:5]
         assert [(-s, r) for r, s in zip(rows.tolist(), got, strict=True)] == want
     assert block.work < 0.5 * 20 * 3000

@@ -63,3 +63,28 @@ def all_starts(seq: Column, pattern: str) -> Column:
 def base_at(seq: Column) -> Column:
     """The characters of a string, one per element."""
     return F.filter(F.split(seq, ""), lambda c: c != "")
+
+
+# The bases that each IUPAC letter stands for, as bits of A, C, G and T.
+IUPAC = {"A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15, "X": 0}
+
+
+def base_mask(base: Column, wild: bool = True) -> Column:
+    """Bits of the bases that a letter stands for, in either case; 0 for any other character, and for ambiguous letters unless ``wild``."""
+    some = {c: m for c, m in IUPAC.items() if wild or c in "ACGTU"}
+    table = F.create_map(*[F.lit(x) for pair in some.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.upper(base)), F.lit(0))
+
+
+def prefix_agreement(ref: Column, query: Column, wildcard_ref: bool = False, wildcard_query: bool = False) -> Column:
+    """struct<ref_start, ref_stop, query_start, query_stop, matches, cost>: both strings letter by letter over the shorter length, without gaps. IUPAC letters stand
+    for their bases where asked for; else letters agree if they are the same."""
+    n = F.least(F.length(ref), F.length(query))
+    if wildcard_ref or wildcard_query:
+        same = lambda a, b: base_mask(a, wildcard_ref).bitwiseAND(base_mask(b, wildcard_query)) != 0
+    else:
+        same = lambda a, b: a == b
+    agree = F.filter(F.zip_with(base_at(ref), base_at(query), lambda a, b: a.isNotNull() & b.isNotNull() & same(a, b)), lambda x: x)
+    matches = F.size(agree)
+    zero = F.lit(0)
+    return F.struct(zero.alias("ref_start"), n.alias("ref_stop"), zero.alias("query_start"), n.alias("query_stop"), matches.alias("matches"), (n - matches).alias("cost"))

@@ -1,7 +1,8 @@
 """De-duplication of contacts: exact, by fragment tags (two ways), and within a distance.
 
 ``exact`` and ``strict`` are aggregates over the whole key, combined before the shuffle. ``islands`` and ``distance`` depend on an order; both group by more
-than the chromosome pair, so that one pair of chromosomes is never one task: islands by the first fragment, distance by stretches between gaps.
+than the chromosome pair, so that one pair of chromosomes is never one task: islands by the first fragment, distance by
+the cuts between rows that cannot belong together.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,52 +52,73 @@ def islands(df: DataFrame) -> DataFrame:
 def distance(df: DataFrame, most: int) -> DataFrame:
     """Greedy runs: a row goes if each coordinate is within ``most`` of the last kept row's and chromosomes and strands are the same.
 
-    Rows come in the order of the sort. A run cannot reach across a gap of more than ``most`` between consecutive first coordinates, so gaps split a pair of
-    chromosomes into stretches that are scanned apart; each is a sequence, and scanned as one.
+    Rows come in the order of the sort. The last kept row is the row before or within ``most`` of it in every coordinate, so a row whose strands differ from the
+    row before, or of which a coordinate is more than twice ``most`` away from it, surely stays and begins a run of its own. Those cuts come from one window over
+    bins of the first coordinate; most runs are single rows, which stay without a further look, and only the rest is scanned in order.
     """
     first = ["start1", "start2", "end1", "end2"] if is_bedpe(df) else ["pos1", "pos2"]
-    order = ["chr1", "chr2", *first, "strand1", "strand2"]
+    columns = list(df.columns)
+    place = F.struct(*first, "strand1", "strand2")
     rows = df.withColumn("_bin", F.floor(F.col(first[0]) / F.lit(max(1, most) * 4096)))
-    # a stretch begins where no row of the pair lies within `most` below; whether one does is seen from the bin and the last coordinate of the bins before
-    within = Window.partitionBy("chr1", "chr2", "_bin").orderBy(first[0])
-    tops = rows.groupBy("chr1", "chr2", "_bin").agg(F.max(first[0]).alias("_top"))
-    before = tops.select("chr1", "chr2", "_bin", F.lag("_top").over(Window.partitionBy("chr1", "chr2").orderBy("_bin")).alias("_below"))
+    within = Window.partitionBy("chr1", "chr2", "_bin").orderBy(*first, "strand1", "strand2", "name")
+    along = Window.partitionBy("chr1", "chr2").orderBy("_bin")  # over one row per bin
+    ends = rows.groupBy("chr1", "chr2", "_bin").agg(F.max(place).alias("_last"))
+    before = ends.select("chr1", "chr2", "_bin", F.lag("_last").over(along).alias("_below"))
     rows = rows.join(before, ["chr1", "chr2", "_bin"])
-    prior = F.coalesce(F.lag(first[0]).over(within), F.col("_below"))
-    rows = rows.withColumn("_cut", (prior.isNull() | (F.col(first[0]) - prior > most)).cast("long"))
+    prior = F.coalesce(F.lag(place).over(within), F.col("_below"))
+    rows = rows.withColumn("_p", prior)
+    apart = [F.abs(F.col(c) - F.col(f"_p.{c}")) > 2 * most for c in first]
+    cut = F.col("_p").isNull() | (F.col("strand1") != F.col("_p.strand1")) | (F.col("strand2") != F.col("_p.strand2"))
+    for c in apart:
+        cut = cut | c
+    rows = rows.withColumn("_cut", cut.cast("long")).withColumn("_run", F.sum("_cut").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_alone", (F.col("_cut") == 1) & (F.lead("_cut").over(within) == 1)).drop("_below", "_p")
+    # runs go on over bins: the first rows of a bin that are no cut belong to the last run of the bin before
     counts = rows.groupBy("chr1", "chr2", "_bin").agg(F.sum("_cut").alias("_n"))
-    starts = counts.select("chr1", "chr2", "_bin", F.coalesce(F.sum("_n").over(Window.partitionBy("chr1", "chr2").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    rows = rows.join(starts, ["chr1", "chr2", "_bin"])
-    rows = rows.withColumn("_run", F.col("_base") + F.sum("_cut").over(within.rangeBetween(Window.unboundedPreceding, 0)))
-    placed = rows.repartition("chr1", "chr2", "_run").sortWithinPartitions("chr1", "chr2", "_run", *first, "strand1", "strand2", "name")
-
-    columns = list(df.columns)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = None  # of the run that the batch before ended in
-        for pdf in batches:
-            if not len(pdf):
+    starts = counts.select("chr1", "chr2", "_bin", F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    alone = rows.where(F.coalesce("_alone", F.lit(False))).select(*columns)
+    rest = rows.where(~F.coalesce("_alone", F.lit(False))).join(starts, ["chr1", "chr2", "_bin"]).withColumn("_run", F.col("_base") + F.col("_run"))
+    placed = rest.repartition("chr1", "chr2", "_run").sortWithinPartitions("chr1", "chr2", "_run", *first, "strand1", "strand2", "name").select(*columns, "_run")
+    width = len(columns)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # run, coordinates and strands of the row kept last
+        at = [columns.index(c) for c in first]
+        names = [columns.index(c) for c in ("chr1", "chr2", "strand1", "strand2")]
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            place = pdf[["chr1", "chr2", "_run"]]
-            begins = (place != place.shift()).any(axis=1).to_numpy()
-            begins[0] = base is None or base[0] != tuple(place.iloc[0])
+            run = batch.column(width).to_numpy()
+            chrom = [batch.column(i).to_numpy(zero_copy_only=False) for i in names[:2]]
+            strand = [batch.column(i).to_numpy(zero_copy_only=False) for i in names[2:]]
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in at], axis=1)
+            begins = np.ones(len(run), dtype=bool)
+            begins[1:] = (run[1:] != run[:-1]) | (chrom[0][1:] != chrom[0][:-1]) | (chrom[1][1:] != chrom[1][:-1])
+            here = (run[0], chrom[0][0], chrom[1][0])
+            start = np.flatnonzero(begins)
+            size = np.diff(np.append(start, len(run)))
             keep = begins.copy()
-            starts = np.flatnonzero(begins)
-            sizes = np.diff(np.append(starts, len(pdf)))
-            xs, strands = pdf[first].to_numpy(np.int64), (pdf["strand1"] + pdf["strand2"]).to_numpy()
-            # rows alone in their run stay; only longer runs, and what goes on from the batch before, are walked through
-            for a, n in [*([(-1, starts[0] if len(starts) else len(pdf))] if not begins[0] else []), *((s, k) for s, k in zip(starts.tolist(), sizes.tolist(), strict=True) if k > 1)]:
-                x, st = (base[1], base[2]) if a < 0 else (xs[a], strands[a])
-                for i in range(max(a + 1, 0), max(a, 0) + n):
-                    if st != strands[i] or (np.abs(xs[i] - x) > most).any():
-                        keep[i] = True
-                        x, st = xs[i], strands[i]
-                base = (base[0], x, st) if a < 0 else (tuple(place.iloc[a]), x, st)
-            if len(starts) and (base is None or base[0] != tuple(place.iloc[starts[-1]])):
-                base = (tuple(place.iloc[starts[-1]]), xs[starts[-1]], strands[starts[-1]])
-            yield pdf[keep][columns]
-
-    return placed.mapInPandas(scan, df.schema)
+            base, marks = x[start], [s[start] for s in strand]
+            if last is not None and last[0] == here:  # goes on from the batch before
+                keep[0] = (np.abs(x[0] - last[1]) > most).any() or strand[0][0] != last[2] or strand[1][0] != last[3]
+                if not keep[0]:
+                    base[0] = last[1]
+                    marks[0][0], marks[1][0] = last[2], last[3]
+            live = np.flatnonzero(size > 1)
+            step = 1
+            while len(live):  # all runs of the batch advance together, a row at a time
+                i = start[live] + step
+                far = (np.abs(x[i] - base[live]) > most).any(axis=1) | (strand[0][i] != marks[0][live]) | (strand[1][i] != marks[1][live])
+                keep[i[far]] = True
+                new = live[far]
+                base[new] = x[i[far]]
+                marks[0][new], marks[1][new] = strand[0][i[far]], strand[1][i[far]]
+                step += 1
+                live = live[size[live] > step]
+            last = ((run[-1], chrom[0][-1], chrom[1][-1]), base[-1], marks[0][-1], marks[1][-1])
+            yield batch.select(list(range(width))).filter(pa.array(keep))
+
+    return alone.unionByName(placed.mapInArrow(scan, df.schema))
 
 
 def dedup(df: DataFrame, mode: str = "exact", most: int = 0) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.sequences import reverse_complement_text, site_starts
 from ..genome import Site
 
-#: Sites up to which the position arrays are sent to the workers (8 bytes each); beyond, ends are joined with bins of sites.
-BROADCAST_SITES = 20_000_000
+#: Sites up to which the position arrays are sent to the workers (8 bytes each, 16 MB in all); beyond, ends are joined with bins of sites.
+BROADCAST_SITES = 2_000_000
 SITES_PER_BIN = 8
 
 
@@ -57,8 +57,8 @@ def _decide(fs, fe, lo, hi, start, end):
 
 
 def _by_arrays(df: DataFrame, sites: DataFrame, site_len: int) -> DataFrame:
-    rows = sites.groupBy("chrom").agg(F.sort_array(F.collect_set("pos")).alias("p")).collect()
-    arrays = {r["chrom"]: np.array(r["p"], dtype=np.int64) for r in rows}
+    held = sites.select("chrom", "pos").distinct().toPandas()  # checked against BROADCAST_SITES
+    arrays = {c: np.sort(g["pos"].to_numpy(np.int64)) for c, g in held.groupby("chrom")}
     sent = df.sparkSession.sparkContext.broadcast(arrays)
 
     @F.pandas_udf("idx long, side string, dis long")
@@ -149,10 +149,16 @@ def contact_type(threshold: int = -1) -> Column:
 def classify(df: DataFrame, sites: DataFrame, site_len: int, threshold: int = -1, method: str = "auto") -> DataFrame:
     """Contacts with their fragments, class, and the tags ``index-side``. With a threshold, contacts that it settles have no fragments.
 
-    Intra-chromosomal contacts on a chromosome that has no sites are dropped when their fragments are needed, as nothing is known of them.
+    Contacts that need their fragments and have an end on a chromosome without sites are dropped, as nothing is known of them: without a threshold those are all
+    contacts, across chromosomes too; with one, those within a chromosome that it does not settle.
     """
-    found = find_fragments(df, sites, site_len, method)
     settled = F.lit(False) if threshold == -1 else (F.col("chr1") != F.col("chr2")) | (F.abs(F.col("start1") - F.col("start2")) > threshold)
+    names = sites.select("chrom").distinct()  # chromosomes: a few hundred rows at most
+    for k in (1, 2):
+        df = df.join(names.select(F.col("chrom").alias(f"_c{k}")), F.col(f"chr{k}") == F.col(f"_c{k}"), "left")
+    known = F.col("_c1").isNotNull() & F.col("_c2").isNotNull()
+    df = df.where(settled | known).drop("_c1", "_c2")
+    found = find_fragments(df, sites, site_len, method)
     found = found.withColumn("type", contact_type(threshold))
     if threshold != -1:
         found = found.withColumns({c: F.when(~settled, F.col(c)) for c in ("frag1", "side1", "dis1", "frag2", "side2", "dis2")})

@@ -11,6 +11,9 @@ ADAPTER = "AGATCGGAAGAGCACACGTC"
 
 SITES = "SELECT DISTINCT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey * 97 + (p_size * 13) % 89 AS pos FROM part"
 
+#: Sites without those of one chromosome, whose contacts have no fragments then.
+SOME_SITES = SITES + " WHERE p_partkey % 5 <> 4"
+
 CONTACTS = """
 SELECT concat('chr', c1) AS chr1, s1 AS start1, s1 + 20 AS end1, concat('chr', c2) AS chr2,
   CASE WHEN s2 < 0 THEN 0 ELSE s2 END AS start2, CASE WHEN s2 < 0 THEN 20 ELSE s2 + 20 END AS end2,
@@ -26,26 +29,22 @@ SELECT concat('r', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey
   CASE WHEN l_returnflag = 'R' THEN 4 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 16 ELSE 0 END AS flag,
   concat('chr', l_partkey % 5 + 1) AS rname, l_partkey * 97 AS pos, l_partkey * 97 + 20 AS end_pos, l_suppkey % 38 AS mapq FROM lineitem"""
 
-#: No read uses more than the first 120 letters of a text.
-READS = f"""
-SELECT concat('q', doc_id) AS seqid, doc_id AS rec_idx,
-  CASE WHEN doc_id % 4 = 0 THEN substr(dna, 1, 90)
-    ELSE concat(substr(dna, 1, CAST(8 + doc_id % 19 AS INT)), '{LINKER}', substr(dna, 40, CAST(8 + doc_id % 17 AS INT)), '{ADAPTER}') END AS seq
-FROM (SELECT doc_id, translate(lower(substr(regexp_replace(text, '[^A-Za-z]', ''/*g*/), 1, 120)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS dna FROM documents) d
-WHERE length(dna) >= 90"""
-
 #: Whole texts as sequences, a row per document; without a letter, an empty one.
 WHOLE = """
 SELECT concat('q', doc_id) AS seqid, doc_id AS rec_idx,
   translate(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''/*g*/)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents"""
 
-#: Whole texts cut into reads of the same two shapes as READS, the short rest included: every letter is in one read. DuckDB only; Spark has ``tiles``.
+#: Whole texts cut into reads, the short rest included, so that every letter is in one read: of every fourth document plain pieces of 90 letters, of the others a
+#: linker after the first ``l`` letters of each piece and an adapter at its end. DuckDB only; Spark has ``tiles``.
 TILES = f"""
 SELECT concat(seqid, '_', k) AS seqid, doc_id * 1000000000 + k AS rec_idx,
   CASE WHEN doc_id % 4 = 0 THEN substr(seq, 1 + k * w, w) ELSE concat(substr(seq, 1 + k * w, l), '{LINKER}', substr(seq, 1 + k * w + l, w - l), '{ADAPTER}') END AS seq
 FROM (SELECT *, unnest(range(0, (length(seq) + w - 1) // w)) AS k
  FROM (SELECT seqid, rec_idx AS doc_id, seq, 8 + rec_idx % 19 AS l, CASE WHEN rec_idx % 4 = 0 THEN 90 ELSE 16 + rec_idx % 19 + rec_idx % 17 END AS w FROM ({WHOLE}) e) f) g"""
 
+#: The same with a linker and an adapter in every piece.
+LINKED = TILES.replace("doc_id % 4 = 0", "FALSE").replace("rec_idx % 4 = 0", "FALSE")
+
 #: Chromosomes of the derived tables; long enough for every position.
 SIZES = [(f"chr{k}", 20_000_000) for k in range(1, 6)]
 
@@ -58,8 +57,8 @@ def _run(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
     return spark.sql(sql.replace("/*g*/", "").replace(f"FROM {table}", "FROM {source}"), source=spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
-def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, SITES, "part")
+def sites(spark: SparkSession, sf_dir: str, some: bool = False) -> DataFrame:
+    return _run(spark, sf_dir, SOME_SITES if some else SITES, "part")
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,19 +69,16 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, ALIGNMENTS, "lineitem")
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, READS, "documents")
-
-
 def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, WHOLE, "documents")
 
 
-def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of TILES; one pass of a pattern over each text, as a substring by position walks the text from its beginning."""
+def tiles(spark: SparkSession, sf_dir: str, linked: bool = False) -> DataFrame:
+    """The rows of TILES, or of LINKED; one pass of a pattern over each text, as a substring by position walks the text from its beginning."""
     doc = F.col("rec_idx")
     left = 8 + doc % 19
-    width = F.when(doc % 4 == 0, 90).otherwise(left + 8 + doc % 17)
+    plain = F.lit(False) if linked else doc % 4 == 0
+    width = F.when(plain, 90).otherwise(left + 8 + doc % 17)
     cut = whole(spark, sf_dir).select("seqid", "rec_idx", F.posexplode(F.regexp_extract_all("seq", F.concat(F.lit(".{1,"), width.cast("string"), F.lit("}")), F.lit(0))).alias("k", "t"))
-    linked = F.concat(F.left("t", left.cast("int")), F.lit(LINKER), F.substr(F.col("t"), (left + 1).cast("int")), F.lit(ADAPTER))
-    return cut.select(F.concat_ws("_", "seqid", "k").alias("seqid"), (doc * 1_000_000_000 + F.col("k")).alias("rec_idx"), F.when(doc % 4 == 0, F.col("t")).otherwise(linked).alias("seq"))
+    made = F.concat(F.left("t", left.cast("int")), F.lit(LINKER), F.substr(F.col("t"), (left + 1).cast("int")), F.lit(ADAPTER))
+    return cut.select(F.concat_ws("_", "seqid", "k").alias("seqid"), (doc * 1_000_000_000 + F.col("k")).alias("rec_idx"), F.when(plain, F.col("t")).otherwise(made).alias("seq"))

@@ -26,6 +26,7 @@ _FLIP = ", ".join(f"CASE WHEN {_SWAP} THEN {f}{b} ELSE {f}{a} END AS {f}{a}" for
 _C = f"contacts AS ({derive.CONTACTS}), up AS (SELECT {_FLIP}, name, score FROM contacts)"
 _U = f"uniq AS (SELECT {_KEY}, min(name) AS name, 0 AS score FROM up GROUP BY {_KEY})"
 _P = "pairs AS (SELECT name, chr1, start1 AS pos1, chr2, start2 AS pos2, strand1, strand2 FROM up)"
+_S1 = f"sites AS ({derive.SOME_SITES}), rs AS (SELECT chrom, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos) AS rk FROM sites)"
 _S = f"sites AS ({derive.SITES}), rs AS (SELECT chrom, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos) AS rk FROM sites)"
 
 
@@ -44,9 +45,10 @@ def _typed(source: str, threshold: int = -1) -> str:
     far = "FALSE" if threshold == -1 else f"abs(start1 - start2) > {threshold}"
     settled = "FALSE" if threshold == -1 else f"(chr1 <> chr2 OR abs(start1 - start2) > {threshold})"
     null = lambda c: f"CASE WHEN NOT {settled} THEN {c} END AS {c}"
-    return f"""{_C}, {_S}, {_end(1, source)}, {_end(2, source)},
+    known = "chr1 IN (SELECT chrom FROM sites) AND chr2 IN (SELECT chrom FROM sites)"
+    return f"""{_C}, {_S1}, {_end(1, source)}, {_end(2, source)},
  raw AS (SELECT c.*, frag1, side1, dis1, frag2, side2, dis2, CASE WHEN chr1 <> chr2 OR {far} THEN 'normal' WHEN frag1 = frag2 THEN 'self-ligation'
-  WHEN frag2 - frag1 = 1 AND side2 = 's' AND side1 = 't' THEN 're-ligation' ELSE 'normal' END AS type FROM {source} c JOIN f1 USING (name) JOIN f2 USING (name)),
+  WHEN frag2 - frag1 = 1 AND side2 = 's' AND side1 = 't' THEN 're-ligation' ELSE 'normal' END AS type FROM {source} c JOIN f1 USING (name) JOIN f2 USING (name) WHERE {settled} OR ({known})),
  typed AS (SELECT chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2, type, {', '.join(null(c) for c in ('frag1', 'side1', 'dis1', 'frag2', 'side2', 'dis2'))},
   concat(frag1, '-', side1) AS tag1, concat(frag2, '-', side2) AS tag2 FROM raw)"""
 
@@ -65,8 +67,8 @@ def _up(s, d):
     return contacts.upper_triangle(derive.contacts(s, d))
 
 
-def _classified(s, d, threshold=-1):
-    return fragments.classify(derive.contacts(s, d), derive.sites(s, d), _L, threshold)
+def _classified(s, d, threshold=-1, method="auto"):
+    return fragments.classify(derive.contacts(s, d), derive.sites(s, d, some=True), _L, threshold, method)
 
 
 def _sizes(s):
@@ -103,16 +105,6 @@ def interval_centers(s, d):
     return derive.contacts(s, d).select("name", mid(1), mid(2))
 
 
-@query("SELECT * FROM pairs ORDER BY chr1, chr2, pos1, pos2, strand1, strand2, name LIMIT 100", _C, _P)
-def sort_pairs_topn(s, d):
-    return contacts.to_pairs(derive.contacts(s, d)).orderBy("chr1", "chr2", "pos1", "pos2", "strand1", "strand2", "name").limit(100)
-
-
-@query(f"SELECT {_KEY}, name, score FROM up ORDER BY {_KEY}, name LIMIT 100", _C)
-def sort_bedpe_topn(s, d):
-    return _up(s, d).orderBy(*[c.strip() for c in _KEY.split(",")], "name").limit(100)
-
-
 @query("SELECT * FROM pairs ORDER BY chr1, chr2, pos1, pos2, strand1, strand2, name", _C, _P)
 def sort_pairs(s, d):
     return contacts.sort_contacts(contacts.to_pairs(derive.contacts(s, d)), "name")
@@ -172,7 +164,7 @@ _LINE = "concat_ws(chr(9), " + ", ".join(_TAGGED.split(", ")) + ")"
 
 def _tagged(s, d):
     up = contacts.upper_triangle(derive.contacts(s, d))
-    return fragments.classify(up, derive.sites(s, d), _L).select(*_TAGGED.split(", "))
+    return fragments.classify(up, derive.sites(s, d, some=True), _L).select(*_TAGGED.split(", "))
 
 
 @query(
@@ -188,7 +180,19 @@ def dedup_etag_strict(s, d):
     return dedup.dedup(_tagged(s, d), "etag_strict")
 
 
-@query()
+_NEAR = " AND ".join(f"abs(r.{c} - w.b{i}) <= 50" for i, c in enumerate(("start1", "start2", "end1", "end2")))
+_FAR = " OR ".join(f"abs({c} - lag({c}) OVER o) > 100" for c in ("start1", "start2", "end1", "end2"))
+
+
+@query(
+    f"SELECT {_KEY}, name, score FROM w WHERE keep",
+    f"RECURSIVE {_C}",
+    f"q AS MATERIALIZED (SELECT *, coalesce({_FAR}, TRUE) OR lag(strand1) OVER o <> strand1 OR lag(strand2) OVER o <> strand2 AS cut, row_number() OVER o AS k FROM up WINDOW o AS (PARTITION BY chr1, chr2 ORDER BY start1, start2, end1, end2, strand1, strand2, name))",
+    "r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY chr1, chr2, run ORDER BY k) AS j FROM (SELECT *, sum(CAST(cut AS INT)) OVER (PARTITION BY chr1, chr2 ORDER BY k) AS run FROM q))",
+    f"w AS (SELECT {_KEY}, name, score, run, j, start1 AS b0, start2 AS b1, end1 AS b2, end2 AS b3, TRUE AS keep FROM r WHERE j = 1 UNION ALL SELECT {', '.join('r.' + c.strip() for c in _KEY.split(','))}, r.name, r.score, r.run, r.j, "
+    + ", ".join(f"CASE WHEN {_NEAR} THEN w.b{i} ELSE r.{c} END" for i, c in enumerate(("start1", "start2", "end1", "end2")))
+    + f", NOT ({_NEAR}) FROM w JOIN r ON r.chr1 = w.chr1 AND r.chr2 = w.chr2 AND r.run = w.run AND r.j = w.j + 1)",
+)
 def dedup_distance(s, d):
     return dedup.distance(_up(s, d), 50)
 
@@ -241,6 +245,11 @@ def classify_contacts(s, d):
     return _classified(s, d).select("name", "frag1", "side1", "dis1", "frag2", "side2", "dis2", "type", "tag1", "tag2")
 
 
+@query("SELECT name, frag1, side1, dis1, frag2, side2, dis2, type, tag1, tag2 FROM typed", _typed("contacts"))
+def classify_contacts_bins(s, d):
+    return _classified(s, d, method="bins").select("name", "frag1", "side1", "dis1", "frag2", "side2", "dis2", "type", "tag1", "tag2")
+
+
 @query("SELECT type, count(*) AS count, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM typed) AS share FROM typed GROUP BY type", _typed("contacts"))
 def type_counts(s, d):
     return qc.type_counts(_classified(s, d))
@@ -323,7 +332,7 @@ def span_loglog(s, d):
 
 @query("SELECT normal - final AS duplicated, CAST(normal - final AS DOUBLE) / raw AS of_raw, CAST(normal - final AS DOUBLE) / normal AS of_normal FROM (SELECT (SELECT count(*) FROM typed) AS raw, (SELECT count(*) FROM typed WHERE type = 'normal') AS normal, (SELECT count(*) FROM (SELECT DISTINCT chr1, chr2, start1, start2, end1, end2, strand1, strand2 FROM typed WHERE type = 'normal')) AS final)", _typed("up"))
 def duplication_ratio(s, d):
-    t = fragments.classify(_up(s, d), derive.sites(s, d), _L)
+    t = fragments.classify(_up(s, d), derive.sites(s, d, some=True), _L)
     normal = t.where(F.col("type") == fragments.NORMAL)
     final = normal.select(*[c.strip() for c in _KEY.split(",")]).distinct().agg(F.count(F.lit(1)).alias("final"))  # one row, as below
     counts = t.agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("type") == fragments.NORMAL).alias("normal")).join(F.broadcast(final))
@@ -429,9 +438,14 @@ def vc_normalize(s, d):
     return matrix.vanilla_coverage(_pixels(s, d)).withColumn("balanced", F.round("balanced", 6))
 
 
-@query()
+_ROUNDS = 8
+_BOTH = "cells AS MATERIALIZED (SELECT bin1_id AS i, bin2_id AS j, count FROM px UNION ALL SELECT bin2_id, bin1_id, count FROM px WHERE bin1_id <> bin2_id), w0 AS (SELECT DISTINCT i, 1.0::DOUBLE AS w FROM cells)"
+_ICE = ", ".join(f"s{k} AS MATERIALIZED (SELECT i, sum(count * a.w * b.w) AS t FROM cells JOIN w{k} a USING (i) JOIN (SELECT i AS j, w FROM w{k}) b USING (j) GROUP BY i), w{k + 1} AS MATERIALIZED (SELECT i, w / sqrt(t / (SELECT avg(t) FROM s{k})) AS w FROM w{k} JOIN s{k} USING (i))" for k in range(_ROUNDS))
+
+
+@query(f"SELECT i AS bin_id, round(w, 6) AS weight FROM w{_ROUNDS}", _C, _SZ, _off(500_000), _px(500_000), _BOTH, _ICE)
 def ice_balance(s, d):
-    return matrix.balance(_pixels(s, d, 500_000), iterations=20)
+    return matrix.balance(_pixels(s, d, 500_000), iterations=_ROUNDS, tolerance=0.0).withColumn("weight", F.round("weight", 6))
 
 
 @query("SELECT CAST(min(count) FILTER (count > (SELECT min(count) FROM px)) AS DOUBLE) AS lo, CAST(max(count) AS DOUBLE) AS hi FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
@@ -452,81 +466,56 @@ def position_units(s, d):
 
 # ---------------------------------------------------------------- sequences
 
-_R = f"reads AS ({derive.READS})"
 _W = f"reads AS ({derive.WHOLE})"
 _T = f"reads AS ({derive.TILES})"
+_K = f"reads AS ({derive.LINKED})"
 
 
-_REVERSE_COMPLEMENT_SQL = "SELECT seqid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM reads"
-
-
-@query(_REVERSE_COMPLEMENT_SQL, _R)
+@query("SELECT seqid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM reads", _W)
 def reverse_complement(s, d):
-    return derive.reads(s, d).select("seqid", sequences.reverse_complement(F.col("seq")).alias("rc"))
-
-
-@query(_REVERSE_COMPLEMENT_SQL, _W)
-def reverse_complement_whole(s, d):
     return derive.whole(s, d).select("seqid", sequences.reverse_complement(F.col("seq")).alias("rc"))
 
 
-_RESTRICTION_SCAN_SQL = (
-    "SELECT chrom, '+' AS strand, CAST(pos AS BIGINT) AS pos FROM (SELECT seqid AS chrom, unnest(list_transform(list_filter(range(1, len(seq) - 2), lambda i: substr(seq, i, 4) = 'TTAA' AND (len(seq) - len(replace(seq, 'TTAATTAA', '')) >= 0)), lambda i: i)) AS pos FROM reads WHERE FALSE) UNION SELECT seqid, '+', 0 FROM reads UNION SELECT seqid, '+', len(seq) FROM reads"
-    " UNION SELECT seqid, '+', len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))"
+@query(
+    "SELECT seqid AS chrom, '+' AS strand, CAST(0 AS BIGINT) AS pos FROM reads UNION SELECT seqid, '+', len(seq) FROM reads"
+    " UNION SELECT seqid, '+', len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))",
+    _W,
 )
-
-
-@query(_RESTRICTION_SCAN_SQL, _R)
 def restriction_scan(s, d):
-    return fragments.scan_sites(derive.reads(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
+    return fragments.scan_sites(derive.whole(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
 
 
-@query(_RESTRICTION_SCAN_SQL, _W)
-def restriction_scan_whole(s, d):
-    return fragments.scan_sites(derive.whole(s, d).select(F.col("seqid").alias("name"), "seq"), _SITE)
+@query(
+    "SELECT seqid AS chrom, '+' AS strand, CAST(0 AS BIGINT) AS pos FROM reads UNION SELECT seqid, '+', len(seq) FROM reads"
+    + "".join(f" UNION SELECT seqid, '{st}', len(array_to_string(list_slice(p, 1, k), '{sub}')) + 1 FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, '{sub}') AS p FROM reads))" for st, sub in (("+", "CAGT"), ("-", "ACTG"))),
+    _W,
+)
+def restriction_scan_both_strands(s, d):
+    return fragments.scan_sites(derive.whole(s, d).select(F.col("seqid").alias("name"), "seq"), genome.parse_site("C^AGT"))
 
 
 _BF = "ch AS (SELECT unnest(range(0, len(seq))) AS pos, unnest(string_split(seq, '')) AS base FROM reads), bf AS (SELECT CAST(pos AS INT) AS pos, base, count(*) / sum(count(*)) OVER (PARTITION BY pos) AS p FROM ch GROUP BY pos, base)"
-_CONS = "cons AS (SELECT pos, coalesce(arg_min(base, strpos('ATCG-', base)) FILTER (p >= 0.3), 'N') AS base FROM bf GROUP BY pos)"
 
 
-_BASE_FREQUENCY_SQL = "SELECT pos, base, CAST(p AS DOUBLE) AS p FROM bf"
+def _cons(share: float) -> str:
+    return f"cons AS (SELECT pos, coalesce(arg_min(base, strpos('ATCG-', base)) FILTER (p >= {share}), 'N') AS base FROM bf GROUP BY pos)"
 
 
-@query(_BASE_FREQUENCY_SQL, _R, _BF)
-def base_frequency(s, d):
-    return adapters.base_frequency(derive.reads(s, d))
+_RUN = "SELECT run FROM (SELECT unnest(string_split(string_agg(base, '' ORDER BY pos), 'N')) AS run, unnest(range(0, 100000)) AS i FROM cons) WHERE run IS NOT NULL ORDER BY len(run) DESC, i DESC LIMIT 1"
 
 
-@query(_BASE_FREQUENCY_SQL, _W, _BF)
-def base_frequency_whole(s, d):
+@query("SELECT pos, base, CAST(p AS DOUBLE) AS p FROM bf", _W, _BF)
+def base_frequency(s, d):
     return adapters.base_frequency(derive.whole(s, d))
 
 
-_CONSENSUS_SQL = "SELECT pos, base FROM cons"
-
-
-@query(_CONSENSUS_SQL, _R, _BF, _CONS)
+@query("SELECT pos, base FROM cons", _T, _BF, _cons(0.3))
 def consensus(s, d):
-    return adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
-
-
-@query(_CONSENSUS_SQL, _T, _BF, _CONS)
-def consensus_tiled(s, d):
     return adapters.consensus(adapters.base_frequency(derive.tiles(s, d)), 0.3)
 
 
-_LONGEST_CONSERVED_RUN_SQL = "SELECT run FROM (SELECT unnest(string_split(string_agg(base, '' ORDER BY pos), 'N')) AS run, unnest(range(0, 100000)) AS i FROM cons) WHERE run IS NOT NULL ORDER BY len(run) DESC, i DESC LIMIT 1"
-
-
-@query(_LONGEST_CONSERVED_RUN_SQL, _R, _BF, _CONS)
+@query(_RUN, _T, _BF, _cons(0.3))
 def longest_conserved_run(s, d):
-    cons = adapters.consensus(adapters.base_frequency(derive.reads(s, d)), 0.3)
-    return adapters.joined(cons).select(adapters.longest_run(F.col("consensus")).alias("run"))
-
-
-@query(_LONGEST_CONSERVED_RUN_SQL, _T, _BF, _CONS)
-def longest_conserved_run_tiled(s, d):
     cons = adapters.consensus(adapters.base_frequency(derive.tiles(s, d)), 0.3)
     return adapters.joined(cons).select(adapters.longest_run(F.col("consensus")).alias("run"))
 
@@ -535,97 +524,89 @@ _LK, _N = derive.LINKER, len(derive.LINKER)
 _XS = f"xs AS (SELECT seqid, seq, CAST(strpos(seq, '{_LK}') AS BIGINT) AS pos FROM reads)"
 
 
-_EXACT_LINKER_SPLIT_SQL = f"SELECT seqid, pos, CASE WHEN pos > 0 THEN substr(seq, 1, pos - 1) END AS \"left\", CASE WHEN pos > 0 THEN substr(seq, pos + {_N}) END AS \"right\" FROM xs"
-
-
-@query(_EXACT_LINKER_SPLIT_SQL, _R, _XS)
+@query(f"SELECT seqid, pos, CASE WHEN pos > 0 THEN substr(seq, 1, pos - 1) END AS \"left\", CASE WHEN pos > 0 THEN substr(seq, pos + {_N}) END AS \"right\" FROM xs", _T, _XS)
 def exact_linker_split(s, d):
-    return trim.exact_split(derive.reads(s, d), derive.LINKER)
-
-
-@query(_EXACT_LINKER_SPLIT_SQL, _T, _XS)
-def exact_linker_split_tiled(s, d):
     return trim.exact_split(derive.tiles(s, d), derive.LINKER)
 
 
-_PET_LENGTH_CLIP_SQL = "SELECT seqid, CASE WHEN pos - 1 > 22 THEN right(substr(seq, 1, pos - 1), 20) ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0"
+def _cut(s, d):
+    return trim.exact_split(derive.tiles(s, d), derive.LINKER).where("pos > 0")
 
 
-@query(_PET_LENGTH_CLIP_SQL, _R, _XS)
+@query("SELECT seqid, CASE WHEN pos - 1 > 22 THEN right(substr(seq, 1, pos - 1), 20) ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _T, _XS)
 def pet_length_clip(s, d):
-    cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
-    return cut.select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
-
-
-@query(_PET_LENGTH_CLIP_SQL, _T, _XS)
-def pet_length_clip_tiled(s, d):
-    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER).where("pos > 0")
-    return cut.select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
-
+    return _cut(s, d).select("seqid", trim.clip(F.col("left"), 22, 20, keep_end=True).alias("pet1"))
 
-_BASE_RESCUE_SQL = "SELECT seqid, CASE WHEN substr(seq, 1, pos - 1) LIKE '%TTA' THEN substr(seq, 1, pos - 1) || 'A' ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0"
 
-
-@query(_BASE_RESCUE_SQL, _R, _XS)
+@query("SELECT seqid, CASE WHEN substr(seq, 1, pos - 1) LIKE '%TTA' THEN substr(seq, 1, pos - 1) || 'A' ELSE substr(seq, 1, pos - 1) END AS pet1 FROM xs WHERE pos > 0", _T, _XS)
 def base_rescue(s, d):
-    cut = trim.exact_split(derive.reads(s, d), derive.LINKER).where("pos > 0")
-    return cut.select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
+    return _cut(s, d).select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
 
 
-@query(_BASE_RESCUE_SQL, _T, _XS)
-def base_rescue_tiled(s, d):
-    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER).where("pos > 0")
-    return cut.select("seqid", trim.rescue(F.col("left"), _SITE, left=True).alias("pet1"))
+@query("SELECT count(*) AS total, count(*) FILTER (pos = 0) AS without_linker, count(*) FILTER (pos > 0 AND pos - 1 < 10) AS left_short, count(*) FILTER (pos - 1 > 22) AS left_long FROM xs", _T, _XS)
+def flag_counts_exact(s, d):
+    n = F.length("left")
+    return trim.exact_split(derive.tiles(s, d), derive.LINKER).agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
 
 
-def _trimmed(s, d):
+def _trimmed(s, d, linked=True):
     cfg = trim.TrimConfig((derive.LINKER,), _SITE, mismatch=4, adapter=derive.ADAPTER)
-    return trim.trim(derive.tiles(s, d).withColumn("quality", F.expr("repeat('I', length(seq))")), cfg)
+    return trim.trim(derive.tiles(s, d, linked).withColumn("quality", F.expr("repeat('I', length(seq))")), cfg)
 
 
-@query()
+_AD = len(derive.ADAPTER)
+#: Trimming of reads that hold the linker and end in the adapter: 0-based bounds a and b of the first tag, c and z of the second, before rescue and after.
+_TRIM = f"""x0 AS (SELECT seqid, seq, strpos(seq, '{_LK}') - 1 AS b, strpos(seq, '{_LK}') - 1 + {_N} AS c, len(seq) - {_AD} AS z FROM reads),
+x1 AS (SELECT *, CASE WHEN b > 22 THEN 64 WHEN b < 10 THEN 32 ELSE 0 END + CASE WHEN z - c > 22 THEN 256 WHEN z - c < 10 THEN 128 ELSE 0 END AS f,
+  substr(seq, CASE WHEN b > 22 THEN b - 20 ELSE 0 END + 1, CASE WHEN b > 22 THEN 20 ELSE b END) AS l, substr(seq, c + 1, CASE WHEN z - c > 22 THEN 20 ELSE z - c END) AS r FROM x0),
+x2 AS (SELECT *, CAST(2 + f + CASE WHEN l LIKE '%TTA' THEN 8 ELSE 0 END + CASE WHEN r LIKE 'TAA%' THEN 16 ELSE 0 END AS INT) AS flag,
+  CASE WHEN l LIKE '%TTA' THEN l || 'A' ELSE l END AS pet1, CASE WHEN r LIKE 'TAA%' THEN 'T' || r ELSE r END AS pet2 FROM x1)"""
+_VALID = "flag & 161 = 0"
+
+
+@query("SELECT seqid, flag, pet1, pet2 FROM x2", _K, _TRIM)
 def trim_reads(s, d):
     return _trimmed(s, d).select("seqid", "flag", F.col("pet1.seq").alias("pet1"), F.col("pet2.seq").alias("pet2"))
 
 
 @query()
-def align_locate(s, d):
-    return _trimmed(s, d).select("seqid", "linker.*")
-
-
-_FLAG_COUNTS_EXACT_SQL = "SELECT count(*) AS total, count(*) FILTER (pos = 0) AS without_linker, count(*) FILTER (pos > 0 AND pos - 1 < 10) AS left_short, count(*) FILTER (pos - 1 > 22) AS left_long FROM xs"
+def trim_reads_inexact(s, d):
+    """Reads of which a quarter has no linker: the aligner looks at each of those. Held against scalar alignment in the tests."""
+    return _trimmed(s, d, False).select("seqid", "flag", F.col("pet1.seq").alias("pet1"), F.col("pet2.seq").alias("pet2"), "linker.*")
 
 
-@query(_FLAG_COUNTS_EXACT_SQL, _R, _XS)
-def flag_counts_exact(s, d):
-    cut = trim.exact_split(derive.reads(s, d), derive.LINKER)
-    n = F.length("left")
-    return cut.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
-
-
-@query(_FLAG_COUNTS_EXACT_SQL, _T, _XS)
-def flag_counts_exact_tiled(s, d):
-    cut = trim.exact_split(derive.tiles(s, d), derive.LINKER)
-    n = F.length("left")
-    return cut.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pos") == 0).alias("without_linker"), F.count_if(n < 10).alias("left_short"), F.count_if(n > 22).alias("left_long"))
+@query(f"SELECT seqid, CAST(b AS INT) AS ref_start, CAST(c AS INT) AS ref_stop, 0 AS query_start, {_N} AS query_stop, {_N} AS matches, 0 AS cost FROM x2", _K, _TRIM)
+def align_locate(s, d):
+    return _trimmed(s, d).select("seqid", "linker.*")
 
 
-@query()
+@query(
+    f"SELECT count(*) AS total, CAST(0 AS BIGINT) AS unlinked, CAST(0 AS BIGINT) AS \"inter\", count(*) FILTER ({_VALID}) AS valid, "
+    + ", ".join(f"count(*) FILTER (flag & {b} <> 0) AS {n}" for n, b in (("intra", 2), ("adapter_unmatched", 4), ("added_left", 8), ("added_right", 16), ("left_short", 32), ("left_long", 64), ("right_short", 128), ("right_long", 256)))
+    + " FROM x2",
+    _K,
+    _TRIM,
+)
 def flag_counts(s, d):
     return trim.flag_counts(_trimmed(s, d))
 
 
-@query()
+@query(f"SELECT pet, CAST(length AS INT) AS length, count(*) AS count FROM (SELECT 1 AS pet, len(pet1) AS length FROM x2 WHERE {_VALID} UNION ALL SELECT 2, len(pet2) FROM x2 WHERE {_VALID}) GROUP BY 1, 2", _K, _TRIM)
 def pet_length_distribution(s, d):
     return trim.length_distribution(_trimmed(s, d))
 
 
-@query()
+@query(f"SELECT part, CAST(score AS INT) AS score, count(*) AS count FROM (SELECT 'linker' AS part, {_N} AS score FROM x2 UNION ALL SELECT 'adapter', {_AD} FROM x2) GROUP BY 1, 2 ORDER BY part, count DESC, score", _K, _TRIM)
 def score_distribution(s, d):
-    return trim.score_distribution(_trimmed(s, d))
+    return trim.score_distribution(_trimmed(s, d)).orderBy("part", F.desc("count"), "score")
 
 
-@query()
+@query(
+    f"SELECT seqid AS read_ID, flag, seq AS read_seq, CAST(b AS VARCHAR) AS linker_start, CAST(c AS VARCHAR) AS linker_end, '0' AS linker_query_start, '{_N}' AS linker_query_end, '{_N}' AS linker_match, '0' AS linker_cost, pet1 AS PET1_seq,"
+    f" substr(seq, c + 1) AS PET2_seq_with_adapter, CAST(z - c AS VARCHAR) AS adapter_start, CAST(z - c + {_AD} AS VARCHAR) AS adapter_end, '0' AS adapter_query_start, '{_AD}' AS adapter_query_end, '{_AD}' AS adapter_match, '0' AS adapter_cost, pet2 AS pet2_seq FROM x2",
+    _K,
+    _TRIM,
+)
 def flag_table(s, d):
     return trim.flag_table(_trimmed(s, d))
 
@@ -636,35 +617,37 @@ def quality_encoding(s, d):
     return adapters.quality_range(s.read.parquet(f"{d}/documents.parquet").select(quality.alias("quality")))
 
 
-@query()
+_TAIL = derive.ADAPTER[:12]
+_FEW = f"every AS ({derive.TILES}), reads AS (SELECT substr(seq, strpos(seq, '{_TAIL}')) AS seq FROM every WHERE strpos(seq, '{_TAIL}') > 0 ORDER BY rec_idx LIMIT 1000)"
+
+
+@query("SELECT run AS adapter FROM (" + _RUN + ")", _FEW, _BF, _cons(0.75))
 def adapter_inference(s, d):
-    linked = derive.reads(s, d).where(F.instr("seq", derive.ADAPTER[:12]) > 0).withColumn("seq", F.expr(f"substring(seq, instr(seq, '{derive.ADAPTER[:12]}'), length(seq))"))
+    linked = derive.tiles(s, d).where(F.instr("seq", _TAIL) > 0).withColumn("seq", F.expr(f"substring(seq, instr(seq, '{_TAIL}'), length(seq))"))
     return s.createDataFrame([(adapters.infer_adapter(linked, 1000, 0, 0.75),)], "adapter string")
 
 
-@query("SELECT seqid, seq FROM reads ORDER BY rec_idx LIMIT 50", _R)
+@query("SELECT seqid, seq FROM reads ORDER BY rec_idx LIMIT 50", _T)
 def first_n_records(s, d):
-    return adapters.first_records(derive.reads(s, d), 50).select("seqid", "seq")
-
-
-@query("SELECT seqid FROM reads ORDER BY md5(seqid), seqid LIMIT 100", _R)
-def sample_reads(s, d):
-    return derive.reads(s, d).orderBy(F.md5("seqid"), "seqid").limit(100).select("seqid")
+    return adapters.first_records(derive.tiles(s, d), 50).select("seqid", "seq")
 
 
-@query("SELECT m AS sub FROM (SELECT DISTINCT seqid, substr(seq, i, 6) AS m FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 4)) AS i FROM reads WHERE rec_idx % 4 <> 0)) GROUP BY m HAVING count(*) = (SELECT count(*) FROM reads WHERE rec_idx % 4 <> 0)", _R)
+@query(f"SELECT m AS sub FROM (SELECT DISTINCT seqid, substr(seq, i, 6) AS m FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 4)) AS i FROM reads WHERE strpos(seq, '{_LK}') > 0)) GROUP BY m HAVING count(*) = (SELECT count(*) FROM reads WHERE strpos(seq, '{_LK}') > 0)", _T)
 def common_substrings(s, d):
-    return adapters.common_substrings(derive.reads(s, d).where(F.instr("seq", derive.LINKER) > 0), 6)
+    return adapters.common_substrings(derive.tiles(s, d).where(F.instr("seq", derive.LINKER) > 0), 6)
 
 
-_PATTERN_OCCURRENCES_SQL = "SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'"
+@query("SELECT seqid, CAST(i - 1 AS INT) AS start FROM (SELECT seqid, seq, unnest(range(1, len(seq) - 1)) AS i FROM reads) WHERE substr(seq, i, 3) = 'CGC'", _W)
+def pattern_occurrences(s, d):
+    return derive.whole(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))
 
 
-@query(_PATTERN_OCCURRENCES_SQL, _R)
-def pattern_occurrences(s, d):
-    return derive.reads(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))
+@query("SELECT seqid, CAST(n AS INT) AS n, CAST(list_sum(list_transform(range(1, n + 1), lambda i: CASE WHEN substr(l, i, 1) = substr(r, i, 1) THEN 1 ELSE 0 END)) AS INT) AS matches FROM (SELECT *, least(len(l), len(r)) AS n FROM (SELECT seqid, substr(seq, 1, 60) AS l, substr(reverse(seq), 1, 60) AS r FROM reads) e) f", _T)
+def prefix_comparison(s, d):
+    """Each read's first 60 letters against its last 60 backwards, letter by letter: 60 is the width of the comparison, and no read has more than 110."""
+    two = derive.tiles(s, d).select("seqid", F.left("seq", F.lit(60)).alias("l"), F.left(F.reverse("seq"), F.lit(60)).alias("r"))
+    got = sequences.prefix_agreement(F.col("l"), F.col("r"))
+    return two.select("seqid", got["ref_stop"].alias("n"), got["matches"].alias("matches"))
 
 
-@query(_PATTERN_OCCURRENCES_SQL, _W)
-def pattern_occurrences_whole(s, d):
-    return derive.whole(s, d).select("seqid", F.explode(sequences.all_starts(F.col("seq"), "CGC")).alias("start"))
+from . import file_queries  # noqa: E402, F401 - registers the queries over files

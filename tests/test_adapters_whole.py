@@ -18,7 +18,7 @@ def test_more_than_2000_common_kmers(spark):
 
 def test_linked_reads_by_what_they_hold(spark, monkeypatch):
     rows = [("a", 1, "G" * 9 + derive.LINKER + "CCCC" + derive.ADAPTER), ("b", 4, "T" * 7 + derive.LINKER + "GG" + derive.ADAPTER), ("c", 5, "A" * 50)]
-    monkeypatch.setattr(derive, "reads", lambda s, d: spark.createDataFrame(rows, "seqid string, rec_idx long, seq string"))
+    monkeypatch.setattr(derive, "tiles", lambda s, d: spark.createDataFrame(rows, "seqid string, rec_idx long, seq string"))
     got = {r["sub"] for r in QUERIES["common_substrings"](spark, "").collect()}
     assert {derive.LINKER[i : i + 6] for i in range(len(derive.LINKER) - 5)} <= got and "AAAAAA" not in got
     rows[:] = [(f"u{i}", 2 * i + 1, "ACGT"[i % 4] * 40) for i in range(8)] + [(f"l{i}", 4 * i, "TG" * i + derive.ADAPTER) for i in range(8)]

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,57 +73,67 @@ def _find_linkers(reads: list[str], cfg: TrimConfig) -> tuple[np.ndarray, np.nda
     return hit, which
 
 
-def trim_batch(pdf: pd.DataFrame, cfg: TrimConfig) -> pd.DataFrame:
-    reads = pdf["seq"].fillna("").tolist()
-    quals = pdf["quality"].fillna("").tolist()
+def _hits(a: np.ndarray) -> pa.StructArray:
+    """Alignments as structs; null where there is none."""
+    names = ("ref_start", "ref_stop", "query_start", "query_stop", "matches", "cost")
+    return pa.StructArray.from_arrays([pa.array(a[:, k], pa.int32()) for k in range(6)], names=names, mask=pa.array(a[:, 1] < 0))
+
+
+def _end(seqs: list, quals: list) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(seqs, pa.string()), pa.array(quals, pa.string())], names=("seq", "qual"), mask=pa.array([s is None for s in seqs], pa.bool_()))
+
+
+def trim_reads(reads: list[str], quals: list[str], cfg: TrimConfig) -> tuple:
+    """Flags, both tags, and the linker's and the adapter's alignments of some reads. Bounds are computed for all reads at once; only the cuts are made one by one."""
+    n = len(reads)
     hit, which = _find_linkers(reads, cfg)
-    linked = np.flatnonzero(which >= 0)
-    adapters = np.full((len(reads), 6), -1, dtype=np.int32)
-    if cfg.adapter and len(linked):
-        adapters[linked] = locate_many([reads[i][hit[i, 1] :] for i in linked], cfg.adapter)
+    linked = which >= 0
+    adapters = np.full((n, 6), -1, dtype=np.int32)
     n_ad = len(cfg.adapter)
-    limit = np.float32(cfg.adapter_cost / n_ad) if n_ad else np.float32(0)
-    left_mark, right_mark = cfg.site.left + cfg.site.middle, cfg.site.middle + cfg.site.right
-    rows = []
-    struct = lambda a: None if a[1] < 0 else dict(zip(("ref_start", "ref_stop", "query_start", "query_stop", "matches", "cost"), map(int, a), strict=True))
-    for i, (seq, qual) in enumerate(zip(reads, quals, strict=True)):
-        if which[i] < 0:
-            rows.append((UNLINKED, None, None, struct(hit[i]), None))
+    if n_ad and linked.any():
+        adapters[linked] = locate_many([reads[i][hit[i, 1] :] for i in np.flatnonzero(linked).tolist()], cfg.adapter)
+    flag = np.where(linked, 0, UNLINKED).astype(np.int32)
+    flag[linked & ((len(cfg.linkers) == 1) | (which < 2) | cfg.explicit)] |= INTRA
+    a, b, c = np.zeros(n, np.int64), hit[:, 0].astype(np.int64), hit[:, 1].astype(np.int64)
+    z = np.array([len(r) for r in reads], dtype=np.int64)
+    if n_ad:
+        near = (adapters[:, 1] >= 0) & (adapters[:, 5].astype(np.float64) / n_ad < float(np.float32(cfg.adapter_cost / n_ad)))
+        flag[linked & ~near] |= NO_ADAPTER
+        at = c + adapters[:, 0]
+        z = np.where(near & (at > 0), at, z)
+    for short, long, lo, hi in ((LEFT_SHORT, LEFT_LONG, a, b), (RIGHT_SHORT, RIGHT_LONG, c, z)):
+        size = hi - lo
+        flag[linked & (size > cfg.longest)] |= long
+        flag[linked & (size < cfg.shortest)] |= short
+    a = np.where(b - a > cfg.longest, b - cfg.cut_len, a)
+    z = np.where(z - c > cfg.longest, c + cfg.cut_len, z)
+    left_mark, right_mark, site = cfg.site.left + cfg.site.middle, cfg.site.middle + cfg.site.right, cfg.site
+    out = [[None] * n for _ in range(4)]
+    for i, (lo, hi, lo2, hi2) in enumerate(zip(a.tolist(), b.tolist(), c.tolist(), z.tolist(), strict=True)):
+        if not linked[i]:
             continue
-        flag = INTRA if len(cfg.linkers) == 1 or which[i] < 2 or cfg.explicit else 0
-        a, b, z = 0, int(hit[i, 0]), len(seq)
-        c = int(hit[i, 1])
-        if n_ad:
-            if adapters[i, 1] < 0 or not float(adapters[i, 5]) / n_ad < float(limit):
-                flag |= NO_ADAPTER
-            elif c + int(adapters[i, 0]) > 0:
-                z = c + int(adapters[i, 0])
-        if b - a > cfg.longest:
-            flag, a = flag | LEFT_LONG, b - cfg.cut_len
-        elif b - a < cfg.shortest:
-            flag |= LEFT_SHORT
-        if z - c > cfg.longest:
-            flag, z = flag | RIGHT_LONG, c + cfg.cut_len
-        elif z - c < cfg.shortest:
-            flag |= RIGHT_SHORT
-        left, right, left_q, right_q = seq[a:b], seq[c:z], qual[a:b], qual[c:z]
+        seq, qual = reads[i], quals[i]
+        left, right, left_q, right_q = seq[lo:hi], seq[lo2:hi2], qual[lo:hi], qual[lo2:hi2]
         if left.endswith(left_mark):
-            flag, left, left_q = flag | ADDED_LEFT, left + cfg.site.right, left_q + qual[-1:] * len(cfg.site.right)
+            flag[i] |= ADDED_LEFT
+            left, left_q = left + site.right, left_q + qual[-1:] * len(site.right)
         if right.startswith(right_mark):
-            flag, right, right_q = flag | ADDED_RIGHT, cfg.site.left + right, qual[:1] * len(cfg.site.left) + right_q
-        rows.append((flag, {"seq": left, "qual": left_q}, {"seq": right, "qual": right_q}, struct(hit[i]), struct(adapters[i])))
-    cols = list(zip(*rows, strict=True)) or [[]] * 5
-    return pd.DataFrame({"seqid": pdf["seqid"], "seq": pdf["seq"], "quality": pdf["quality"], "flag": np.array(cols[0], dtype=np.int32), "pet1": cols[1], "pet2": cols[2], "linker": cols[3], "adapter": cols[4]})
+            flag[i] |= ADDED_RIGHT
+            right, right_q = site.left + right, qual[:1] * len(site.left) + right_q
+        out[0][i], out[1][i], out[2][i], out[3][i] = left, left_q, right, right_q
+    return flag, _end(out[0], out[1]), _end(out[2], out[3]), _hits(hit), _hits(adapters)
 
 
 def trim(reads: DataFrame, cfg: TrimConfig) -> DataFrame:
     """(seqid, seq, quality, flag, pet1, pet2, linker, adapter), a row per read; one pass, no shuffle."""
+    names = ["seqid", "seq", "quality", "flag", "pet1", "pet2", "linker", "adapter"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield trim_batch(pdf, cfg)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flag, *rest = trim_reads([r or "" for r in batch.column(1).to_pylist()], [q or "" for q in batch.column(2).to_pylist()], cfg)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flag), *rest], names=names)
 
-    return reads.select("seqid", "seq", "quality").mapInPandas(run, RESULT)
+    return reads.select("seqid", "seq", "quality").mapInArrow(run, RESULT)
 
 
 def has(bit: int) -> Column:

@@ -6,12 +6,11 @@ chromosome's offset, so no range join is needed.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..genome import Region
+from ..session import discard, written
 from .contacts import is_bedpe
 
 
@@ -73,15 +72,19 @@ def mirrored(pixels: DataFrame) -> DataFrame:
 
 
 def fetch(pixels: DataFrame, bins: DataFrame, region1: Region, region2: Region | None = None) -> DataFrame:
-    """(i, j, count): cells of a rectangle, from the first bin of each region; mirrored when both regions are the same."""
+    """(i, j, count): cells of a rectangle, from the first bin of each region; mirrored when both regions are the same.
+
+    A region is a run of bins, so its bounds are two numbers; they filter the pixels in the scan, in both triangles, before anything is mirrored.
+    """
     region2 = region2 or region1
-    pick = lambda r, k: bins.where(_in(r)).select(F.col("bin_id").alias(k))
-    one, two = pick(region1, "_a"), pick(region2, "_b")
-    low1, low2 = one.agg(F.min("_a").alias("_la")), two.agg(F.min("_b").alias("_lb"))
-    both = mirrored(pixels)
-    cells = both.join(one, F.col("bin1_id") == F.col("_a")).join(two, F.col("bin2_id") == F.col("_b"))
-    cells = cells.join(F.broadcast(low1)).join(F.broadcast(low2))
-    return cells.select((F.col("bin1_id") - F.col("_la")).alias("i"), (F.col("bin2_id") - F.col("_lb")).alias("j"), "count")
+    ends = bins.agg(*[f(F.when(_in(r), F.col("bin_id"))).alias(n) for r, k in ((region1, 1), (region2, 2)) for f, n in ((F.min, f"a{k}"), (F.max, f"z{k}"))]).first()  # one row
+    if ends["a1"] is None or ends["a2"] is None:
+        return pixels.select(F.col("bin1_id").alias("i"), F.col("bin2_id").alias("j"), "count").limit(0)
+    one = lambda c: F.col(c).between(ends["a1"], ends["z1"])
+    two = lambda c: F.col(c).between(ends["a2"], ends["z2"])
+    near = pixels.where((one("bin1_id") & two("bin2_id")) | (two("bin1_id") & one("bin2_id")))
+    cells = mirrored(near).where(one("bin1_id") & two("bin2_id"))
+    return cells.select((F.col("bin1_id") - ends["a1"]).alias("i"), (F.col("bin2_id") - ends["a2"]).alias("j"), "count")
 
 
 def _in(region: Region):
@@ -119,31 +122,37 @@ def divide_by(pixels: DataFrame, norms: DataFrame) -> DataFrame:
 def balance(pixels: DataFrame, iterations: int = 50, tolerance: float = 1e-5, ignore_diagonals: int = 0) -> DataFrame:
     """(bin_id, weight): iterative correction (Imakaev et al. 2012), rows of the balanced matrix all sum to about 1 times a constant.
 
-    A loop on the driver over grouped sums; weights are written to the checkpoint folder each round, so plans stay short and a lost executor costs a reread.
+    A loop on the driver over grouped sums. The pixels are written once, each round's weights (a row per bin) in a table of their own that the next round's
+    replaces, so no round computes anything twice, plans stay short, and a lost executor costs a reread.
     """
-    used = pixels.where(F.col("bin2_id") - F.col("bin1_id") >= ignore_diagonals).select("bin1_id", "bin2_id", F.col("count").cast("double").alias("count"))
-    weights = _written(marginals(used).select("bin_id", F.lit(1.0).alias("weight")))
+    used = written(pixels.where(F.col("bin2_id") - F.col("bin1_id") >= ignore_diagonals).select("bin1_id", "bin2_id", F.col("count").cast("double").alias("count")))
+    weights = written(marginals(used).select("bin_id", F.lit(1.0).alias("weight"), F.lit(None).cast("double").alias("_d")))
     for _ in range(iterations):
         scaled = used
         for k in (1, 2):
             scaled = scaled.join(weights.select(F.col("bin_id").alias(f"bin{k}_id"), F.col("weight").alias(f"_w{k}")), f"bin{k}_id")
         sums = marginals(scaled.select("bin1_id", "bin2_id", (F.col("count") * F.col("_w1") * F.col("_w2")).alias("v")), "v")
-        stats = sums.agg(F.avg("total").alias("m"))
-        nxt = _written(weights.join(sums, "bin_id").join(F.broadcast(stats)).select("bin_id", (F.col("weight") / F.sqrt(F.col("total") / F.col("m"))).alias("weight"), ((F.col("total") / F.col("m") - 1) * (F.col("total") / F.col("m") - 1)).alias("_d")))
-        worst = nxt.agg(F.avg("_d").alias("d")).first()["d"]
-        weights = nxt.select("bin_id", "weight")
+        stats = sums.agg(F.avg("total").alias("m"))  # one row
+        off = F.col("total") / F.col("m")
+        now = written(weights.select("bin_id", "weight").join(sums, "bin_id").join(F.broadcast(stats)).select("bin_id", (F.col("weight") / F.sqrt(off)).alias("weight"), ((off - 1) * (off - 1)).alias("_d")))
+        discard(weights)
+        weights = now
+        worst = now.agg(F.avg("_d").alias("d")).first()["d"]
         if worst is None or worst < tolerance:
             break
-    return weights
-
+    discard(used)
+    out = weights.select("bin_id", "weight")
+    out._ligaspark_path = weights._ligaspark_path
+    return out
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` by way of a table in the shared folder of the session."""
-    from ..session import shared_folder
 
-    path = f"{shared_folder(df.sparkSession)}/matrix-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def knight_ruiz(pixels: DataFrame, iterations: int = 200, tolerance: float = 1e-10) -> DataFrame:
+    """(bin_id, norm): the vector of Knight and Ruiz (2013), by whose products counts are divided: every row of the result sums to the mean row sum of the counts.
+    Their scaling is unique, so it is reached by the balancing rounds above, to a tighter end, and scaled once."""
+    weights = balance(pixels, iterations, tolerance)
+    total = marginals(apply_weights(pixels, weights).select("bin1_id", "bin2_id", F.col("balanced").alias("v")), "v").agg(F.avg("total").alias("_b"))
+    wanted = marginals(pixels).agg(F.avg("total").alias("_c"))  # one row each
+    return weights.join(F.broadcast(total)).join(F.broadcast(wanted)).select("bin_id", (1 / (F.col("weight") * F.sqrt(F.col("_c") / F.col("_b")))).alias("norm"))
 
 
 def apply_weights(pixels: DataFrame, weights: DataFrame) -> DataFrame:

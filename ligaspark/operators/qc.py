@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .contacts import is_inter, span, upper_triangle
@@ -73,11 +73,42 @@ def upper_long(wide: DataFrame, chroms: list[str]) -> DataFrame:
     return long.where(F.array_position(order, F.col("chr2")) >= F.array_position(order, F.col("chr1")))
 
 
+def quantiles(df: DataFrame, value: str, shares: dict[str, float], *by: str) -> DataFrame:
+    """A row per group with the exact linear quantiles; nulls do not count.
+
+    Values are counted first, which combines before the shuffle. Ranks are running sums in two steps, within buckets of values and over bucket totals, so no task
+    holds all values of a group; then only the rows at the two ranks around each quantile are left.
+    """
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    ends = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_k").alias("_n"))
+    same = lambda a, b: a.join(F.broadcast(b)) if not by else a.join(b, list(by))
+    spread = F.col("_hi") - F.col("_lo")
+    rows = same(rows, ends).withColumn("_b", F.when(spread == 0, F.lit(0)).otherwise(F.floor((F.col("_v") - F.col("_lo")) * 4096 / F.when(spread != 0, spread))).cast("int"))
+    group = [*by] or [F.lit(0)]
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over one row per bucket
+    totals = rows.groupBy(*by, "_b").agg(F.sum("_k").alias("_t")).withColumn("_base", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    up = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = rows.join(totals, [*by, "_b"]).withColumn("_z", F.col("_base") + F.sum("_k").over(up)).withColumn("_a", F.col("_z") - F.col("_k"))
+    out = []
+    for name, p in shares.items():
+        at = (F.col("_n") - 1) * F.lit(p)
+        low, high = F.floor(at), F.ceil(at)
+        pick = lambda r: F.max(F.when((F.col("_a") <= r) & (r < F.col("_z")), F.col("_v")))  # noqa: B023, E731
+        out += [pick(low).alias(f"_l_{name}"), pick(high).alias(f"_h_{name}")]
+    got = ranked.groupBy(*by).agg(F.max("_n").alias("_n"), *out)
+    part = lambda p: (F.col("_n") - 1) * F.lit(p) - F.floor((F.col("_n") - 1) * F.lit(p))
+    return got.select(*by, *[(F.col(f"_l_{n}") + part(p) * (F.col(f"_h_{n}") - F.col(f"_l_{n}"))).alias(n) for n, p in shares.items()])
+
+
 def describe(df: DataFrame, value: str, *by: str) -> DataFrame:
     """count, mean, sample deviation, minimum, exact linear quartiles, maximum; nulls do not count."""
     v = F.col(value)
-    stats = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *[F.percentile(v, p).alias(n) for n, p in PERCENTS.items()], F.max(v).alias("max")]
-    return df.groupBy(*by).agg(*stats) if by else df.agg(*stats)
+    stats = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+    plain = df.groupBy(*by).agg(*stats) if by else df.agg(*stats)
+    ranks = quantiles(df, value, PERCENTS, *by)
+    both = plain.join(F.broadcast(ranks), F.lit(True), "left") if not by else plain.join(ranks, list(by), "left")
+    return both.select(*by, "count", "mean", "std", "min", *PERCENTS, "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 1000) -> DataFrame:
@@ -100,10 +131,30 @@ def log_log(hist: DataFrame) -> DataFrame:
 
 def quantile_trim(df: DataFrame, value: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Rows strictly between two exact quantiles."""
-    ends = df.agg(F.percentile(value, low).alias("_a"), F.percentile(value, high).alias("_z"))  # one row
+    ends = quantiles(df, value, {"_a": low, "_z": high})  # one row
     return df.join(F.broadcast(ends)).where((F.col(value) > F.col("_a")) & (F.col(value) < F.col("_z"))).drop("_a", "_z")
 
 
+def alignment_ratios(uniques: DataFrame, valid: int) -> DataFrame:
+    """(end, count, ratio): unique alignments of each end, and pairs, over the valid tag pairs. ``uniques``: one row with end1, end2, paired."""
+    return funnel(uniques.withColumn("valid", F.lit(valid)), ["end1", "end2", "paired"], "valid").select(F.col("step").alias("end"), "count", "ratio")
+
+
+def read_funnel(flags: DataFrame, mapped: DataFrame, final: DataFrame) -> DataFrame:
+    """(ord, step, count, ratio to raw reads) of a whole run, nine steps; reads across linkers are null where linkers can't tell. Each input is one row:
+    counters of trimming, ``mapped`` (unique pairs), and the composition of the last contacts."""
+    one = flags.select(F.col("total").alias("raw"), (F.col("total") - F.col("unlinked")).alias("linker"), F.col("intra").alias("same_linker"), F.when(F.col("inter") > 0, F.col("inter")).alias("across_linkers"), F.col("valid"))
+    last = final.select(F.col("total").alias("non_redundant"), "inter", "intra")
+    one = one.join(F.broadcast(mapped)).join(F.broadcast(last))
+    return funnel(one, ["raw", "linker", "same_linker", "across_linkers", "valid", "mapped", "non_redundant", "inter", "intra"], "raw")
+
+
+def split_by(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows for which a condition holds, and the others (unknown included)."""
+    yes = F.coalesce(condition, F.lit(False))
+    return df.where(yes), df.where(~yes)
+
+
 def duplication(raw: Column, normal: Column, final: Column) -> list[Column]:
     return [(normal - final).alias("duplicated"), ratio(normal - final, raw).alias("of_raw"), ratio(normal - final, normal).alias("of_normal")]
 

@@ -1,37 +1,41 @@
 """FASTQ and FASTA, read through Spark's text source, so from any store and compressed as it may be.
 
-A record is four lines by number, as a quality line may begin with any character. Lines are numbered per file; a trailing partial record is dropped.
+A record is four lines by number, as a quality line may begin with any character. Lines are numbered per file, from line counts of the file's blocks; a trailing
+partial record is dropped. All of it is Spark's own expressions: lines go through no Python.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """(n, value): lines of one file with their numbers. Numbers come from line counts per partition, so the lines themselves stay in place."""
-    rdd = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1], x[0][0]))
-    return spark.createDataFrame(rdd, T.StructType([T.StructField("n", T.LongType()), T.StructField("value", T.StringType())]))
+def _numbered(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    """(file, block, n, value): lines with their numbers in their file. A block of a file is read in order by one task, so its lines' numbers are its first line's and
+    on; the blocks, a row for each read of a store, are the only thing that is summed up. ``file`` is the number of its path and its full name."""
+    raw = None
+    for i, path in enumerate(paths):
+        row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # its number in the task
+        part = spark.read.text(path).select("value", F.struct(F.lit(i).alias("i"), F.col("_metadata.file_path").alias("f")).alias("file"), F.col("_metadata.file_block_start").alias("block"), row.alias("id"))
+        raw = part if raw is None else raw.unionByName(part)
+    blocks = raw.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("lines"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("base"))
+    return raw.join(blocks, ["file", "block"]).select("file", "block", (F.col("base") + F.col("id") - F.col("first")).alias("n"), "value")
 
 
 def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
-    """(rec_idx, seqid, seq, quality); the id is the header's first word without its mark. Indexes count on from one file to the next."""
-    out, base = None, 0
-    for path in paths:
-        rows = _numbered(spark, path)
-        part = rows.groupBy(F.expr("n div 4").alias("r")).agg(
-            *[F.max(F.when(F.expr("n % 4") == k, F.rtrim(F.col("value")))).alias(name) for k, name in ((0, "head"), (1, "seq"), (2, "_plus"), (3, "quality"))]
-        )
-        part = part.where(F.col("quality").isNotNull())
-        part = part.select((F.col("r") + base).alias("rec_idx"), F.substring_index(F.regexp_replace(F.split("head", r"\s+")[0], "^@", ""), " ", 1).alias("seqid"), "seq", "quality")
-        out = part if out is None else out.unionByName(part)
-        if len(paths) > 1:
-            base += rows.count() // 4
-    return out
+    """(rec_idx, seqid, seq, quality); the id is the header's first word without its mark. Indexes count on from one path to the next, in a folder by name; a folder's files each
+    hold whole records."""
+    rows = _numbered(spark, paths)
+    part = rows.groupBy("file", F.expr("n div 4").alias("r")).agg(
+        *[F.max(F.when(F.expr("n % 4") == k, F.rtrim(F.col("value")))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "quality"))]
+    )
+    part = part.where(F.col("quality").isNotNull())
+    counts = rows.groupBy("file").agg(F.expr("count(1) div 4").alias("_k"))  # a row per file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("file", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    return part.join(bases, "file").select((F.col("r") + F.col("_base")).alias("rec_idx"), F.substring_index(F.regexp_replace(F.split("head", r"\s+")[0], "^@", ""), " ", 1).alias("seqid"), "seq", "quality")
 
 
 def write_fastq(df: DataFrame, path: str, gz: bool = False) -> None:
@@ -41,18 +45,31 @@ def write_fastq(df: DataFrame, path: str, gz: bool = False) -> None:
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(name, seq): the whole header after its mark, and all of its lines joined. A record is assembled in one place: a chromosome at most."""
-    rows = _numbered(spark, path)
+    rows = _numbered(spark, (path,))
     head = F.startswith("value", F.lit(">"))
-    heads = np.array([r["n"] for r in rows.where(head).select("n").orderBy("n").toLocalIterator()], dtype=np.int64)  # one number per record
-    sent = spark.sparkContext.broadcast(heads)
+    per = rows.groupBy("file", "block").agg(F.count_if(head).alias("k"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per.select("file", "block", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
+    upto = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(bases, ["file", "block"]).withColumn("r", F.col("base") + F.sum(head.cast("long")).over(upto))
+    out = rows.where("r > 0").groupBy("file", "r").agg(F.max(F.when(head, F.expr("substring(value, 2, length(value))"))).alias("name"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~head, F.struct("n", F.trim("value").alias("v"))))), lambda x: x["v"]), "").alias("seq"))
+    return out.select("name", "seq")
 
-    @F.pandas_udf("long")
-    def record(n: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(sent.value, n.to_numpy(np.int64), side="right"))
 
-    rows = rows.withColumn("r", record("n"))
-    out = rows.where("r > 0").groupBy("r").agg(F.max(F.when(head, F.expr("substring(value, 2, length(value))"))).alias("name"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~head, F.struct("n", F.trim("value").alias("v"))))), lambda x: x["v"]), "").alias("seq"))
-    return out.select("name", "seq")
+def write_fasta(df: DataFrame, path: str, width: int = 60) -> None:
+    """Records of (name, seq) with lines of ``width`` letters."""
+    lines = F.array_join(F.regexp_extract_all("seq", F.lit(f".{{1,{width}}}"), F.lit(0)), "\n")
+    df.select(F.concat(F.lit(">"), F.col("name"), F.when(F.col("seq") != "", F.concat(F.lit("\n"), lines)).otherwise(F.lit(""))).alias("value")).write.text(path)
+
+
+def write_index(fasta: DataFrame, path: str) -> None:
+    """Sequences as Parquet by name, so that one chromosome is read without the others."""
+    fasta.withColumn("chrom", F.split("name", r"\s+")[0]).write.partitionBy("chrom").parquet(path)
+
+
+def read_chromosome(spark: SparkSession, path: str, chrom: str) -> DataFrame:
+    """(name, seq) of one chromosome of :func:`write_index`'s; the others' files are not opened."""
+    return spark.read.parquet(path).where(F.col("chrom") == chrom).select("name", "seq")
 
 
 def split_records(df: DataFrame, n: int) -> DataFrame:

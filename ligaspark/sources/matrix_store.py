@@ -7,18 +7,37 @@ from pyspark.sql import functions as F
 
 from ..genome import Region, choose_resolution
 from ..operators import matrix
+from ..session import discard
 
 
 def write_store(pixels: DataFrame, sizes: DataFrame, base: int, resolutions: list[int], path: str, balanced: bool = False) -> None:
-    """Pixels of the base width at all resolutions, with weights where balancing is asked for and converges."""
+    """Pixels of the base width at all resolutions, with weights where balancing is asked for and converges. Each resolution is computed from the coarsest one
+    before it that divides it, as it has been written."""
     sizes.write.parquet(f"{path}/chroms")
-    for r in sorted(set(resolutions)):
-        part = pixels if r == base else matrix.coarsen(pixels, sizes, base, r)
-        part.repartitionByRange("bin1_id").sortWithinPartitions("bin1_id", "bin2_id").write.parquet(f"{path}/pixels/resolution={r}")
+    made: dict[int, DataFrame] = {}
+    for r in sorted(set(resolutions) | {base}):
+        source = max((m for m in made if r % m == 0), default=None)
+        part = pixels if source is None else matrix.coarsen(made[source], sizes, source, r)
+        here = f"{path}/pixels/resolution={r}"
+        part.repartitionByRange("bin1_id").sortWithinPartitions("bin1_id", "bin2_id").write.parquet(here)
+        made[r] = pixels.sparkSession.read.parquet(here)
         bins = matrix.make_bins(sizes, r)
-        weights = matrix.balance(part) if balanced else None
+        weights = matrix.balance(made[r]) if balanced else None
         bins = bins.join(weights, "bin_id", "left") if weights is not None else bins.withColumn("weight", F.lit(None).cast("double"))
         bins.write.parquet(f"{path}/bins/resolution={r}")
+        if weights is not None:
+            discard(weights)
+
+
+def file_kind(path: str) -> str:
+    """"hic", "mcool" or "cool" by the suffix, "store" for a folder of this module's; ValueError for anything else."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    for suffix, kind in ((".hic", "hic"), (".mcool", "mcool"), (".cool", "cool")):
+        if name.endswith(suffix):
+            return kind
+    if "." not in name or name.endswith((".matrix", ".store")):
+        return "store"
+    raise ValueError(f"no matrix file: {path}")
 
 
 class MatrixStore:
@@ -33,6 +52,11 @@ class MatrixStore:
         rows = self.spark.read.parquet(f"{self.path}/bins").select("resolution").distinct().collect()
         return sorted(r["resolution"] for r in rows)
 
+    @property
+    def is_multi(self) -> bool:
+        """Whether there is more than one resolution."""
+        return len(self.resolutions) > 1
+
     @property
     def lengths(self) -> dict[str, int]:
         return {r["chrom"]: r["length"] for r in self.chroms.orderBy("ord").collect()}

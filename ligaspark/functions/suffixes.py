@@ -1,0 +1,59 @@
+"""Search for any pattern in some sequences: a suffix array over all of them, for sequences that fit on one machine. Large tables are searched by
+:func:`ligaspark.functions.sequences.all_starts` instead, row by row."""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+class SuffixIndex:
+    """Suffixes of several texts in order, each text closed by a mark of its own that no pattern holds; sorted by doubling (Manber and Myers 1993)."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = list(texts)
+        codes = [np.array([ord(c) + len(texts) for c in t] + [i], dtype=np.int64) for i, t in enumerate(texts)]
+        self.starts = np.cumsum([0, *[len(c) for c in codes]])
+        whole = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        rank, n, k = whole, len(whole), 1
+        order = np.argsort(rank, kind="stable")
+        while n:
+            second = np.full(n, -1, dtype=np.int64)
+            second[: n - k] = rank[k:] if k < n else second[: n - k]
+            order = np.lexsort((second, rank))
+            new = np.ones(n, dtype=np.int64)
+            new[0] = 0
+            new[1:] = (rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1])
+            rank = np.empty(n, dtype=np.int64)
+            rank[order] = np.cumsum(new)
+            if rank[order[-1]] == n - 1 or k >= n:
+                break
+            k *= 2
+        self.order = order
+
+    def _suffix(self, at: int) -> str:
+        t = int(np.searchsorted(self.starts, at, side="right")) - 1
+        return self.texts[t][at - int(self.starts[t]) :]
+
+    def _bound(self, pattern: str, after: bool) -> int:
+        low, high, n = 0, len(self.order), len(pattern)
+        while low < high:
+            mid = (low + high) // 2
+            own = self._suffix(int(self.order[mid]))[:n]
+            if own < pattern or (after and own == pattern):
+                low = mid + 1
+            else:
+                high = mid
+        return low
+
+    def find_all(self, pattern: str) -> list[tuple[int, int]]:
+        """(text, position) of every occurrence, in that order."""
+        if not pattern:
+            return []
+        found = self.order[self._bound(pattern, False) : self._bound(pattern, True)]
+        texts = np.searchsorted(self.starts, found, side="right") - 1
+        return sorted(zip(texts.tolist(), (found - self.starts[texts]).tolist(), strict=True))
+
+    def find(self, pattern: str) -> int:
+        """The first position of a pattern in the first text that holds it, or -1."""
+        found = self.find_all(pattern)
+        return found[0][1] if found else -1

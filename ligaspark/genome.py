@@ -33,6 +33,14 @@ def chromosome_sizes(spark: SparkSession, which: str | list[tuple[str, int]]) ->
     return spark.createDataFrame([(c, n, i) for i, (c, n) in enumerate(which)], CHROM_SIZES)
 
 
+def preset_lines(which: str) -> str:
+    """A preset as the text of a chromosome file: a name and a length on each line."""
+    if which not in PRESETS:
+        raise ValueError(f"no preset {which}; there are {', '.join(supported_chromosomes())}")
+    words = PRESETS[which].split()
+    return "".join(f"{c}\t{n}\n" for c, n in zip(words[::2], words[1::2], strict=True))
+
+
 def natural_key(chrom: Column) -> list[Column]:
     """Sort columns for "version" order: names without digits after those with, numbers by value."""
     head, digits = F.regexp_extract(chrom, r"^(\D*)", 1), F.regexp_extract(chrom, r"(\d+)", 1)

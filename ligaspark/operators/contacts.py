@@ -54,6 +54,19 @@ def sort_contacts(df: DataFrame, *ties: str) -> DataFrame:
     return df.orderBy(*(BEDPE_KEY if is_bedpe(df) else PAIRS_KEY), *ties)
 
 
+def sort_by_first(df: DataFrame) -> DataFrame:
+    """Contacts by their first end: chromosomes in version order, then start and end."""
+    return df.orderBy(*natural_key(F.col("chr1")), "start1", "end1")
+
+
+def merge_sorted(*runs: DataFrame) -> DataFrame:
+    """Sorted tables of contacts as one, sorted. Spark deals the rows out by ranges of the key and sorts each range, which costs what a merge of many runs would."""
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return sort_contacts(out)
+
+
 def sort_bed(df: DataFrame) -> DataFrame:
     return df.orderBy(*natural_key(F.col("chr")), "start", "end")
 

@@ -45,7 +45,7 @@ def inner_sites(positions: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- nearest fragment
 
-def _decide(fs, fe, lo, hi, start, end):
+def nearest_rule(fs, fe, lo, hi, start, end):
     """The rule, over NumPy arrays; lo or hi is masked out by -1 in fs or by the flag ``hi < 0`` of no site."""
     none_above = hi < 0
     near_lo = np.abs(start - lo) < np.abs(end - hi)
@@ -74,7 +74,7 @@ def _by_arrays(df: DataFrame, sites: DataFrame, site_len: int) -> DataFrame:
             fs, fe = np.searchsorted(p, s[at] + 1, side="right"), np.searchsorted(p, e[at] - site_len - 1, side="right")
             lo = p[np.maximum(fs - 1, 0)]
             hi = np.where(fe < len(p), p[np.minimum(fe, len(p) - 1)], -1)
-            i, sd, d, unknown = _decide(fs, fe, lo, hi, s[at], e[at])
+            i, sd, d, unknown = nearest_rule(fs, fe, lo, hi, s[at], e[at])
             idx[at], side[at] = i, sd
             d = d.astype(object)
             d[unknown] = None

@@ -384,6 +384,7 @@ def iterative_rollup(s, d):
 # ---------------------------------------------------------------- matrices
 
 _BIN = 100_000
+_SIZES_SQL = "CAST(24 AS BIGINT)"  # chromosomes of the preset hg38
 _SZ = "sz AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {n}::BIGINT, {i})" for i, (c, n) in enumerate(derive.SIZES)) + ") t(chrom, length, ord))"
 
 
@@ -611,10 +612,11 @@ def flag_table(s, d):
     return trim.flag_table(_trimmed(s, d))
 
 
-@query("SELECT CAST(min(ascii(c)) AS INT) AS lowest, CAST(max(ascii(c)) AS INT) AS highest FROM (SELECT unnest(string_split(repeat(chr(CAST(64 + doc_id % 40 AS INT)), 3) || 'B', '')) AS c FROM documents)")
+@query("SELECT CAST(min(ascii(c)) AS INT) AS lowest, CAST(max(ascii(c)) AS INT) AS highest FROM (SELECT unnest(string_split(concat(repeat(chr(CAST(64 + rec_idx % 40 AS INT)), CAST(greatest(len(seq) - 1, 0) AS INT)), 'B'), '')) AS c FROM reads)", _W)
 def quality_encoding(s, d):
-    quality = F.concat(F.repeat(F.char(64 + F.col("doc_id") % 40), F.lit(3)), F.lit("B"))
-    return adapters.quality_range(s.read.parquet(f"{d}/documents.parquet").select(quality.alias("quality")))
+    """Qualities as long as the sequences, of codes 64 to 103 by record, each closed by a B."""
+    quality = F.concat(F.expr("repeat(char(64 + rec_idx % 40), cast(greatest(length(seq) - 1, 0) AS INT))"), F.lit("B"))
+    return adapters.quality_range(derive.whole(s, d).select(quality.alias("quality")))
 
 
 _TAIL = derive.ADAPTER[:12]

@@ -5,11 +5,12 @@ Lines are split on any white space and written with tabs; comment lines are skip
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..operators.alignments import by_class, parse_sam
 from ..operators.contacts import sort_bed, sort_contacts, without_marks
 
 
@@ -61,19 +62,43 @@ def read_contacts(spark: SparkSession, path: str) -> DataFrame:
     return read_bedpe(spark, path, tags=len(first["value"].split()) >= 14)
 
 
-def _reference_length(cigar: Column) -> Column:
-    """Bases of the reference that a CIGAR covers: lengths of M, D, N, = and X."""
-    parts = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
-    return F.aggregate(F.transform(parts, lambda x: x.cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
-
-
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of a SAM text file; positions are 0-based, ends exclusive."""
-    rows = spark.read.text(path).where(~F.startswith("value", F.lit("@"))).where("value <> ''")
-    at = F.split("value", "\t")
-    g = lambda i: F.get(at, F.lit(i))
-    pos = g(3).cast("long") - 1
-    return rows.select(g(0).alias("read_id"), g(1).cast("int").alias("flag"), g(2).alias("rname"), pos.alias("pos"), (pos + _reference_length(g(5))).alias("end_pos"), g(4).cast("int").alias("mapq"), g(9).alias("seq"), g(10).alias("qual"))
+    return parse_sam(spark.read.text(path))
+
+
+def write_sam(sam: DataFrame, path: str) -> None:
+    """Alignments as SAM text without a header. Where there is no CIGAR the whole stretch counts as matched."""
+    has = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in sam.columns else F.lit(other)
+    lost = F.col("flag").bitwiseAND(4) != 0
+    cigar = F.col("cigar") if "cigar" in sam.columns else F.when(lost, "*").otherwise(F.concat((F.col("end_pos") - F.col("pos")).cast("string"), F.lit("M")))
+    fields = [F.col("read_id"), F.col("flag").cast("string"), F.coalesce("rname", F.lit("*")), F.coalesce(F.col("pos") + 1, F.lit(0)).cast("string"), F.col("mapq").cast("string"), F.coalesce(cigar, F.lit("*")), F.lit("*"), F.lit("0"), F.lit("0"), has("seq", "*"), has("qual", "*")]
+    sam.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+
+
+def write_by_class(sam: DataFrame, mapq: int, path: str) -> None:
+    """A folder of SAM text for each class of alignments: ``path.unique``, ``path.other``, ``path.unmapped``."""
+    for name, part in by_class(sam, mapq).items():
+        write_sam(part, f"{path}.{name}")
+
+
+def write_lengths(lengths: DataFrame, path: str) -> None:
+    """Fragment lengths (chrom, length) as lines of a chromosome and up to some thousand of its lengths."""
+    rows = lengths.withColumn("_b", F.pmod(F.xxhash64("length", F.monotonically_increasing_id()), F.lit(64)))
+    line = rows.groupBy("chrom", "_b").agg(F.concat_ws("\t", F.collect_list(F.col("length").cast("string"))).alias("v"))
+    line.select(F.concat_ws("\t", "chrom", "v").alias("value")).write.text(path)
+
+
+def read_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, length) from lines of a chromosome and its lengths, as many as there are."""
+    at = F.split(F.trim("value"), r"\s+")
+    rows = lines(spark, path).select(at[0].alias("chrom"), F.explode(F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0)))).alias("v"))
+    return rows.select("chrom", F.col("v").try_cast("long").alias("length")).where("length is not null")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A tab-separated table with a line of names, numbers as such and a dot for what is absent: statistics that a verb has written."""
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=True, nullValue=".")
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
@@ -106,9 +131,12 @@ def read_sections(spark: SparkSession, path: str, step: str) -> DataFrame:
     return spark.createDataFrame(out, S.QC)
 
 
-def write_lines(df: DataFrame, path: str, gz: bool = False) -> None:
+def write_lines(df: DataFrame, path: str, gz: bool = False) -> int:
+    """Rows as lines of tab-separated fields, a dot for what is null; gives their number, which the write itself counts."""
+    seen = Observation()
     text = df.select(F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(".")) for c in df.columns]).alias("value"))
-    text.write.text(path, compression="gzip" if gz else "none")
+    text.observe(seen, F.count(F.lit(1)).alias("n")).write.text(path, compression="gzip" if gz else "none")
+    return seen.get["n"]
 
 
 def write_pairs(df: DataFrame, path: str) -> None:
@@ -120,9 +148,10 @@ def write_fragments(bed: DataFrame, path: str) -> None:
     write_lines(sort_bed(bed), path)
 
 
-def sample_lines(spark: SparkSession, path: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` lines at random, all if there are fewer; the same for the same seed and content."""
-    return spark.read.text(path).orderBy(F.xxhash64(F.col("value"), F.lit(seed)), "value").limit(n)
+def sample_lines(spark: SparkSession, path: str, n: int, seed: int = 0, order: str = "xxhash64") -> DataFrame:
+    """``n`` lines at random, all if there are fewer; the same for the same seed and content. ``order``: the hash they are drawn by; md5 takes no seed."""
+    h = F.md5("value") if order == "md5" else F.xxhash64(F.col("value"), F.lit(seed))
+    return spark.read.text(path).orderBy(h, "value").limit(n)
 
 
 def is_gzip(spark: SparkSession, path: str) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from .operators import adapters, alignments, contacts, dedup, fragments, qc, tri
 from .plans import config, figures, report
 from .session import session
 from .sources import fastx, hic, text
+from .sources.hic_writer import write_hic
 from .sources.matrix_store import MatrixStore, write_store
 
 
@@ -55,10 +57,22 @@ def extract_pet(spark, a):
 
 
 def build_bedpe(spark, a):
-    beds = [alignments.to_bed(text.read_sam(spark, p), a.mapq) for p in (a.sam1, a.sam2)]
+    """From the two ends' SAM files, or, with ``--aligner``, from their FASTQ files through a program, in rounds for what stays unmapped; commands are separated
+    by semicolons, one for each round. ``--sinks`` keeps each class of alignments as SAM text."""
+    beds = []
+    for k, path in ((1, a.end1), (2, a.end2)):
+        if a.aligner:
+            sam, counts = alignments.iterate(fastx.read_fastq(spark, path), alignments.command_aligner(*a.aligner.split(";")), a.mapq, a.iterations)
+            rows = [(i, c, n) for i, now in enumerate(counts) for c, n in now.items()]
+            table = alignments.rollup(spark.createDataFrame(rows, "round int, class string, count long"))
+        else:
+            sam = text.read_sam(spark, path)
+            table = alignments.class_counts(sam, a.mapq)
+        if a.sinks:
+            text.write_by_class(sam, a.mapq, f"{a.out}.end{k}")
+        _table(spark, f"{a.out}.end{k}.tsv", table)
+        beds.append(alignments.to_bed(sam, a.mapq))
     text.write_lines(alignments.pair_ends(*beds), a.out)
-    for k, p in ((1, a.sam1), (2, a.sam2)):
-        _table(spark, f"{a.out}.end{k}.tsv", alignments.class_counts(text.read_sam(spark, p), a.mapq))
 
 
 def noise_reduce(spark, a):
@@ -94,14 +108,24 @@ def extract_fragments(spark, a):
 
 
 def fragment_length_dist(spark, a):
-    parts = [fragments.fragment_lengths(text.read_bed(spark, p).select(F.col("chr").alias("chrom"), F.col("start").alias("pos"))).withColumn("label", F.lit(p)) for p in a.files]
+    """Of fragment tables (BED), or of files of lengths that ``--save`` has written before."""
+    parts = []
+    for p in a.files:
+        own = text.read_lengths(spark, p) if p.rstrip("/").endswith(".lengths") else fragments.fragment_lengths(text.read_bed(spark, p).select(F.col("chr").alias("chrom"), F.col("start").alias("pos")))
+        if a.save and not p.rstrip("/").endswith(".lengths"):
+            text.write_lengths(own, f"{p.rstrip('/')}.lengths")
+        parts.append(own.withColumn("label", F.lit(p)))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
     every = qc.quantile_trim(every, "length") if a.trim else every
     stats = qc.describe(every, "length", "label")
     _table(spark, f"{a.out}.tsv", stats)
-    write_text(spark, f"{a.out}.svg", figures.boxes(stats, "label", "fragment lengths"))
+    if a.kind == "box":
+        return write_text(spark, f"{a.out}.svg", figures.boxes(stats, "label", "fragment lengths"))
+    some = every.withColumn("_h", F.xxhash64("label", "chrom", "length"))
+    drawn = {r["label"]: sorted(r["v"]) for r in some.groupBy("label", F.pmod("_h", F.lit(2_000)).alias("_b")).agg(F.min_by("length", "_h").alias("x")).groupBy("label").agg(F.collect_list("x").alias("v")).collect()}  # 2000 lengths a label at most
+    write_text(spark, f"{a.out}.svg", figures.density(drawn, "fragment lengths"))
 
 
 def infer_adapter(spark, a):
@@ -124,7 +148,9 @@ def plot_contact_map(spark, a):
 
 
 def interactions_qc(spark, a):
-    comp = qc.composition(text.read_contacts(spark, a.input), a.cutoff)
+    """Counts by kind of contact; all zero for a file without records."""
+    none = text.lines(spark, a.input).first() is None
+    comp = qc.composition(spark.createDataFrame([], text.S.BEDPE) if none else text.read_contacts(spark, a.input), a.cutoff)
     write_text(spark, a.out, report.as_text(qc.as_sections(comp, "contacts", "composition")))
 
 
@@ -138,9 +164,9 @@ def chr_interactions(spark, a):
 
 def pet_span_dist(spark, a):
     df = text.read_contacts(spark, a.input)
+    if a.sample:  # by a hash of the row, so reruns draw the same
+        df = df.orderBy(F.xxhash64(*df.columns), *df.columns).limit(a.sample)
     spans = df.select(contacts.intra_span(df).alias("span"))
-    if a.sample:
-        spans = spans.orderBy(F.xxhash64(F.struct("span", F.monotonically_increasing_id()))).limit(a.sample)
     _table(spark, f"{a.out}.describe.tsv", qc.describe(spans, "span"))
     hist = qc.histogram(spans, "span", a.bins)
     _table(spark, f"{a.out}.hist.tsv", hist.orderBy("bin"))
@@ -152,7 +178,7 @@ def gen_qc_report(spark, a):
     for p in a.files:
         part = text.read_sections(spark, p, p.rsplit("/", 1)[-1])
         every = part if every is None else every.unionByName(part)
-    write_text(spark, a.out, report.as_html(every) if a.format == "html" else report.as_text(every))
+    write_text(spark, a.out, {"html": report.as_html, "txt": report.as_text, "json": report.as_json}[a.format](every))
 
 
 def make_matrix(spark, a):
@@ -166,7 +192,32 @@ def make_matrix(spark, a):
 
 
 def pipeline(spark, a):
-    write_text(spark, a.out, "\n".join(["[run]", *(f"{k} = {v!r}" for k, v in vars(config.Config()).items())]) + "\n")
+    """Without ``--run`` writes a configuration with all defaults; with it, runs the one named: reads to pairs, matrices and a report below ``out``."""
+    if not a.run_config:
+        return write_text(spark, a.out, "\n".join(["[run]", *(f"{k} = {v!r}" for k, v in vars(config.Config()).items())]) + "\n")
+    from .plans import pipeline as whole
+
+    cfg = config.load("\n".join(r["value"] for r in spark.read.text(a.run_config, wholetext=True).collect()))
+    config.required(cfg, "fastq", "sites", "aligner")
+    sizes = _sizes(spark, cfg.chromosomes)
+    names = [r["chrom"] for r in sizes.orderBy("ord").collect()]
+    for sample, path in config.find_samples(spark, cfg.fastq).items():
+        out, began = f"{a.out}/{sample}", time.time()
+        run = whole.run_pipeline(fastx.read_fastq(spark, path), text.read_sites(spark, cfg.sites), alignments.command_aligner(*cfg.aligner.split(";")), cfg, f"{out}/stages")
+        middle = time.time()
+        text.write_pairs(run.pairs, f"{out}/pairs")
+        base = min(cfg.resolutions)
+        write_store(run.pixels(sizes, base), sizes, base, cfg.resolutions, f"{out}/matrix", cfg.balance)
+        if cfg.hic:
+            store = MatrixStore(spark, f"{out}/matrix")
+            write_hic(spark, {r: store.pixels(r) for r in cfg.resolutions}, sizes, f"{out}/matrix.hic", cfg.chromosomes)
+        times = spark.createDataFrame([("reads to pairs", middle - began), ("matrices", time.time() - middle)], "stage string, seconds double")
+        body = whole_page(run, names, times) if cfg.report == "html" else report.as_text(run.qc)
+        write_text(spark, f"{out}/report.{'html' if cfg.report == 'html' else 'txt'}", body)
+
+
+def whole_page(run, names, times) -> str:
+    return report.whole_report(run, names, times)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -186,12 +237,12 @@ def parser() -> argparse.ArgumentParser:
                 v.add_argument(flag, default=default, type=type(default) if default is not None else None)
 
     verb(extract_pet, "fastq", "out", linkers="", linker_a="", linker_b="", site="A^AGCTT", mismatch=0.12, adapter="", mismatch_adapter=0.3, shortest=10, longest=22, cut_len=20)
-    verb(build_bedpe, "sam1", "sam2", "out", mapq=1)
+    verb(build_bedpe, "end1", "end2", "out", mapq=1, aligner="", iterations=1, sinks=False)
     verb(noise_reduce, "bedpe", "sites", "out", site_len=4, threshold=-1)
     verb(bedpe2pairs, "bedpe", "out", dedup="")
     verb(remove_redundancy, "input", "out", distance=0, by_etag=False, keep_order=False)
     verb(extract_fragments, "fasta", "site", "out", format="tab")
-    verb(fragment_length_dist, "files", out="lengths", trim=False)
+    verb(fragment_length_dist, "files", out="lengths", trim=False, kind="box", save=False)
     verb(infer_adapter, "fastq", n=1000, start=70, threshold=0.75, figure="")
     verb(plot_contact_map, "path", "out", region="", binsize=0, balance=False)
     verb(interactions_qc, "input", "out", cutoff=20_000)
@@ -199,7 +250,7 @@ def parser() -> argparse.ArgumentParser:
     verb(pet_span_dist, "input", "out", sample=0, bins=1000)
     verb(gen_qc_report, "files", out="report.html", format="html")
     verb(make_matrix, "pairs", "chromosomes", "out", resolutions="5000,10000,25000,50000,100000,250000,500000,1000000,2500000", balance=False, main=False)
-    verb(pipeline, "out")
+    verb(pipeline, "out", run_config="")
     return p
 
 

@@ -16,6 +16,8 @@ class Config:
     """What a whole run needs. Required fields have no default that works."""
 
     fastq: str = ""
+    sites: str = ""
+    aligner: str = ""
     restriction_site: str = "T^TAA"
     chromosomes: str = "hg19"
     linker_a: str = ""
@@ -36,6 +38,8 @@ class Config:
     long_range: int = 5000
     dedup: str = "etag"
     resolutions: list = field(default_factory=lambda: [2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000])
+    balance: bool = False
+    hic: bool = False
     report: str = "html"
 
 

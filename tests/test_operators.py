@@ -203,3 +203,70 @@ def test_phred(spark, low, high, want):
 
 def test_phred_bad_tails(spark):
     assert adapters.infer_phred(spark.createDataFrame([("BBBBBhhhggg",)], "quality string")) == 64
+
+
+def test_contacts_on_chromosomes_without_sites_are_dropped(spark):
+    df = bedpe(spark, {"a": ("chr1", 90, "chr1", 500, "+", "+"), "b": ("chr9", 5, "chr9", 9, "+", "+"), "c": ("chr1", 5, "chr9", 9, "+", "+"), "d": ("chr9", 5, "chr9", 900, "+", "+"), "e": ("chr9", 5, "chr8", 9, "+", "+")})
+    sites = spark.createDataFrame([("chr1", 100), ("chr1", 400)], "chrom string, pos long")
+    for method in ("arrays", "bins"):
+        assert {r["name"] for r in fragments.classify(df, sites, 4, -1, method).collect()} == {"a"}
+        far = {r["name"]: (r["type"], r["frag1"]) for r in fragments.classify(df, sites, 4, 300, method).collect()}
+        assert set(far) == {"a", "c", "d", "e"} and far["d"] == ("normal", None)
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), float(rng.choice([rng.gauss(0, 1000), 5, 5, -3]))) for _ in range(900)] + [("c", 7.0), ("d", None), ("e", 1.0), ("e", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    for r in qc.describe(df, "v", "g").collect():
+        own = [v for g, v in rows if g == r["g"] and v is not None]
+        want = [float(x) for x in np.percentile(own, [25, 50, 75])] if own else [None] * 3
+        assert [r[k] for k in ("p25", "p50", "p75")] == (pytest.approx(want) if own else want) and r["count"] == len(own)
+    every = [v for _, v in rows if v is not None]
+    low, high = np.percentile(every, [5, 95])
+    assert qc.quantile_trim(df, "v").count() == sum(low < v < high for v in every)
+    assert qc.describe(df.limit(0), "v").first()["p50"] is None
+
+
+def test_norms_even_out_rows(spark):
+    rng = random.Random(3)
+    cells = [(i, j, rng.randint(1, 40)) for i in range(12) for j in range(i, 12)]
+    px = spark.createDataFrame(cells, "bin1_id long, bin2_id long, count long")
+    norm = {r["bin_id"]: r["norm"] for r in matrix.knight_ruiz(px).collect()}
+    sums = [sum(c / (norm[i] * norm[j]) for i, j, c in cells if k in (i, j)) for k in range(12)]
+    mean = sum(c * (1 if i == j else 2) for i, j, c in cells) / 12
+    assert max(abs(s - mean) for s in sums) < 1e-2 * mean
+
+
+def test_suffixes_and_tables():
+    from ligaspark.functions.alignment import cost_table, locate, star_alignment
+    from ligaspark.functions.suffixes import SuffixIndex
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 40))) for _ in range(6)]
+    index = SuffixIndex(texts)
+    for p in ("a", "ab", "bab", "aaaa", "abababab", "c", "b" * 50):
+        assert index.find_all(p) == [(t, i) for t, s in enumerate(texts) for i in range(len(s)) if s.startswith(p, i)]
+    assert index.find("") == -1 and SuffixIndex([]).find("a") == -1
+    for _ in range(20):
+        read, query = ("".join(rng.choice("ACG") for _ in range(rng.randint(1, 12))) for _ in range(2))
+        table, hit = cost_table(read, query), locate(read, query)
+        if hit:
+            assert table[hit[3]][hit[1]] == hit[5]
+    got = star_alignment(["ACGTACGT", "ACGACGT", "ACGTTACGT", "", "CGTACG"])
+    assert len({len(x) for x in got}) == 1 and [x.replace("-", "") for x in got] == ["ACGTACGT", "ACGACGT", "ACGTTACGT", "", "CGTACG"]
+    assert star_alignment([]) == []
+
+
+def test_prefixes_with_wildcards(spark):
+    from ligaspark.functions.alignment import compare_prefixes
+    from ligaspark.functions.sequences import prefix_agreement
+
+    rng = random.Random(2)
+    pairs = [("".join(rng.choice("ACGTNRYacgtX-") for _ in range(rng.randint(0, 9))), "".join(rng.choice("ACGTUNWSacg") for _ in range(rng.randint(0, 9)))) for _ in range(80)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for wild in ((False, False), (True, False), (False, True), (True, True)):
+        rows = df.select("a", "b", prefix_agreement(F.col("a"), F.col("b"), *wild).alias("x")).collect()
+        assert all(tuple(r["x"]) == compare_prefixes(r["a"], r["b"], *wild) for r in rows)

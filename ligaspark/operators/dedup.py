@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import BEDPE_KEY, PAIRS_KEY
+from ..session import written
 from .contacts import is_bedpe
 
 
@@ -31,13 +32,12 @@ def exact(df: DataFrame) -> DataFrame:
 
 
 def strict(df: DataFrame) -> DataFrame:
-    """One row per chromosomes, fragment tags and strands, the one with the smallest line."""
+    """One row per chromosomes, fragment tags and strands: the smallest by its other columns in their order."""
     _need_tags(df)
     key = ["tag1", "tag2", "chr1", "chr2", "strand1", "strand2"]
-    rows = df.withColumn("_line", _line(df))
-    rest = ["_line", *[c for c in df.columns if c not in key]]
-    out = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r"))
-    return out.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest[1:]]).select(*df.columns)
+    rest = [c for c in df.columns if c not in key]
+    out = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r"))
+    return out.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def islands(df: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def distance(df: DataFrame, most: int) -> DataFrame:
 
     Rows come in the order of the sort. The last kept row is the row before or within ``most`` of it in every coordinate, so a row whose strands differ from the
     row before, or of which a coordinate is more than twice ``most`` away from it, surely stays and begins a run of its own. Those cuts come from one window over
-    bins of the first coordinate; most runs are single rows, which stay without a further look, and only the rest is scanned in order.
+    bins of the first coordinate, whose result is written; most runs are single rows, which stay without a further look, and only the rest is scanned in order.
     """
     first = ["start1", "start2", "end1", "end2"] if is_bedpe(df) else ["pos1", "pos2"]
     columns = list(df.columns)
@@ -63,21 +63,23 @@ def distance(df: DataFrame, most: int) -> DataFrame:
     within = Window.partitionBy("chr1", "chr2", "_bin").orderBy(*first, "strand1", "strand2", "name")
     along = Window.partitionBy("chr1", "chr2").orderBy("_bin")  # over one row per bin
     ends = rows.groupBy("chr1", "chr2", "_bin").agg(F.max(place).alias("_last"))
-    before = ends.select("chr1", "chr2", "_bin", F.lag("_last").over(along).alias("_below"))
-    rows = rows.join(before, ["chr1", "chr2", "_bin"])
-    prior = F.coalesce(F.lag(place).over(within), F.col("_below"))
-    rows = rows.withColumn("_p", prior)
-    apart = [F.abs(F.col(c) - F.col(f"_p.{c}")) > 2 * most for c in first]
-    cut = F.col("_p").isNull() | (F.col("strand1") != F.col("_p.strand1")) | (F.col("strand2") != F.col("_p.strand2"))
-    for c in apart:
-        cut = cut | c
-    rows = rows.withColumn("_cut", cut.cast("long")).withColumn("_run", F.sum("_cut").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_alone", (F.col("_cut") == 1) & (F.lead("_cut").over(within) == 1)).drop("_below", "_p")
+    below = ends.select("chr1", "chr2", "_bin", F.lag("_last").over(along).alias("_l")).where("_l is not null")
+    # each bin begins with a copy of the last place below it, which sorts before all of its rows
+    below = below.select("chr1", "chr2", "_bin", *[F.col(f"_l.{c}").alias(c) for c in (*first, "strand1", "strand2")], F.lit(True).alias("_copy"))
+    rows = rows.withColumn("_copy", F.lit(False)).unionByName(below, allowMissingColumns=True)
+    cut = F.lag("chr1").over(within).isNull()
+    for c in first:
+        cut = cut | (F.abs(F.col(c) - F.lag(c).over(within)) > 2 * most)
+    for c in ("strand1", "strand2"):
+        cut = cut | (F.col(c) != F.lag(c).over(within))
+    rows = rows.withColumn("_cut", F.when(F.col("_copy"), 0).otherwise(cut.cast("long")).cast("long")).withColumn("_run", F.sum("_cut").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_alone", (F.col("_cut") == 1) & (F.lead("_cut").over(within) == 1)).where(~F.col("_copy"))
+    rows = written(rows.select(*columns, "_bin", "_cut", "_run", F.coalesce("_alone", F.lit(False)).alias("_alone")))  # read three times below
     # runs go on over bins: the first rows of a bin that are no cut belong to the last run of the bin before
     counts = rows.groupBy("chr1", "chr2", "_bin").agg(F.sum("_cut").alias("_n"))
     starts = counts.select("chr1", "chr2", "_bin", F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    alone = rows.where(F.coalesce("_alone", F.lit(False))).select(*columns)
-    rest = rows.where(~F.coalesce("_alone", F.lit(False))).join(starts, ["chr1", "chr2", "_bin"]).withColumn("_run", F.col("_base") + F.col("_run"))
+    alone = rows.where("_alone").select(*columns)
+    rest = rows.where("not _alone").join(starts, ["chr1", "chr2", "_bin"]).withColumn("_run", F.col("_base") + F.col("_run"))
     placed = rest.repartition("chr1", "chr2", "_run").sortWithinPartitions("chr1", "chr2", "_run", *first, "strand1", "strand2", "name").select(*columns, "_run")
     width = len(columns)
 

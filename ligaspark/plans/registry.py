@@ -175,7 +175,7 @@ def dedup_etag_compat(s, d):
     return dedup.dedup(_tagged(s, d), "etag")
 
 
-@query(f"SELECT {_TAGGED} FROM typed QUALIFY row_number() OVER (PARTITION BY chr1, chr2, tag1, tag2, strand1, strand2 ORDER BY {_LINE}) = 1", _typed("up"))
+@query(f"SELECT {_TAGGED} FROM typed QUALIFY row_number() OVER (PARTITION BY chr1, chr2, tag1, tag2, strand1, strand2 ORDER BY start1, end1, start2, end2, name, score, dis1, dis2) = 1", _typed("up"))
 def dedup_etag_strict(s, d):
     return dedup.dedup(_tagged(s, d), "etag_strict")
 

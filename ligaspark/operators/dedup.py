@@ -19,6 +19,9 @@ from ..session import written
 from .contacts import is_bedpe
 
 
+# Groups of several strings have a hash of them as their first key: sorts compare the first eight bytes of the first key, which would be the same for most rows.
+
+
 def _line(df: DataFrame):
     return F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns])
 
@@ -36,7 +39,7 @@ def strict(df: DataFrame) -> DataFrame:
     _need_tags(df)
     key = ["tag1", "tag2", "chr1", "chr2", "strand1", "strand2"]
     rest = [c for c in df.columns if c not in key]
-    out = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r"))
+    out = df.groupBy(F.xxhash64(*key).alias("_h"), *key).agg(F.min(F.struct(*rest)).alias("_r"))
     return out.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
@@ -44,7 +47,7 @@ def islands(df: DataFrame) -> DataFrame:
     """Rows that differ in second tag or strands from the row before, ordered by the first distance as text: equal rows that are apart both stay."""
     _need_tags(df)
     rows = df.withColumn("_line", _line(df))
-    w = Window.partitionBy("tag1", "chr1", "chr2").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
+    w = Window.partitionBy(F.xxhash64("tag1", "chr1", "chr2"), "tag1", "chr1", "chr2").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
     mine = F.struct("tag2", "strand1", "strand2")
     return rows.withColumn("_p", F.lag(mine).over(w)).where(F.col("_p").isNull() | (F.col("_p") != mine)).select(*df.columns)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_folder
+from ..session import discard, written as materialize  # noqa: F401 - tables in the shared folder, for all operators
 
 #: Bytes of text that one NumPy pass works on; bounds a worker's memory whatever the batch size (a longer text is a pass of its own).
 PASS_BYTES = 1_000_000
@@ -23,29 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# ---------------------------------------------------------------- tables in the shared folder
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends, and a lost executor costs no more than a reread."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ligaspark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._ligaspark_path = path
-    return back
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete tables that :func:`materialize` wrote and no plan reads any more."""
-    for df in frames:
-        path = getattr(df, "_ligaspark_path", None)
-        if path:
-            sc = df.sparkSession.sparkContext
-            p = sc._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
 # ---------------------------------------------------------------- Arrow mapping
 
 

@@ -10,7 +10,8 @@ matrix, the padding at a row's end being a segment of its own), ``position_reset
 ``doc_ids`` (null: padding) and ``parts`` (number of the part in its text). Joining a text's parts in order gives its ids back.
 
 Null and empty texts are a lone ``eos``. Null ids are kept as -1 in ``parts``'s sign: their segments have a null id and a part >= 0, padding has part -1.
-Repeated rows each take their place. An empty table gives no rows.
+Repeated rows each take their place. Parts of equal length keep their order. A very long text is encoded whole and split; its ids are held at once. Only id and text
+are read, so no other column can clash. An empty table gives no rows.
 """
 
 from __future__ import annotations

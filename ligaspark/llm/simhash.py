@@ -28,6 +28,7 @@ from .common import discard, map_text, materialize
 
 WIDTH = 3
 _HASHES = 65_536  # bit counts are summed over so many shingles at a time
+_HOT = 10_000
 _STRETCH = 262_144  # bytes of a text that are split into words together, and on to the next white space
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -119,15 +120,25 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp long, component): a row per row of ``docs``; component is the smallest id reachable over links, the row's own included."""
     prints = materialize(fingerprints(docs, width, id_col, text).toDF("id", "fp"))
-    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("first")))
-    found = materialize(components(ball_links(distinct)))
+    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
+    found = materialize(components(ball_links(distinct.select("fp"))))
     linked = found.join(distinct.withColumnRenamed("fp", "node"), "node")
     least = materialize(linked.groupBy("root").agg(F.min("first").alias("component")))
     named = found.join(least, "root").select(F.col("node").alias("fp"), "component")
-    label = materialize(distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "first").alias("component")))
-    out = prints.join(label, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    label = materialize(distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("component", "first").alias("component")))
+    out = _labelled(prints, label)
     discard(found, least, distinct)
-    return out
+    return out.select(F.col("id").alias(id_col), "fp", "component")
+
+
+def _labelled(prints: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows with their fingerprint's component. Fingerprints that hold more than one row in ``_HOT`` are fewer than ``_HOT``: their labels are sent to the rows, so
+    a large group of copies is never one task; the other rows are shuffled to theirs."""
+    total = label.agg(F.sum("n").alias("n"))  # one row
+    hot = label.join(F.broadcast(total.withColumnRenamed("n", "_t"))).where(F.col("n") * _HOT > F.col("_t")).select(F.col("fp").alias("_f"), F.col("component").alias("_c"))
+    told = prints.join(F.broadcast(hot), F.col("fp") == F.col("_f"), "left")
+    rest = told.where("_f is null").select("id", "fp").join(label.select("fp", "component"), "fp").select("id", "fp", "component")
+    return told.where("_f is not null").select("id", "fp", F.col("_c").alias("component")).unionByName(rest)
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:

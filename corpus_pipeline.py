@@ -5,11 +5,15 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last re
 1. language ID: texts of no learned language (``und``: null, or without a letter) go;
 2. near-duplicates: of each group that SimHash links, the row with the smallest id stays;
 3. decontamination: a text that holds a window of a benchmark item goes;
-4. mixing: each source's texts are taken as often as its target says, whole, so a row comes up to twice;
+4. mixing: each source's texts are taken as often as its target says, whole and in the order of the schedule, so a row comes up to twice;
 5. packing: token ids in binary matrices, a row per matrix.
 
-No stage is expressible in SQL as a whole (fingerprints need XXH64 with a seed, languages an automaton), so ``ORACLE_SQL`` is None and the tests hold the
-stages against brute force.
+Null texts, and texts without a letter, go in the first stage, so no later one has any; a null id, language, source or length stays as it is. Repeated rows are
+copies, of which the second stage leaves one; ties between them go to the smallest id, and between rows of one id to the smallest row. Very long texts are kept
+whole throughout. Further columns pass through all stages but the last, whatever their names. An empty table gives no rows in any stage.
+
+No stage is expressible in SQL as a whole (DuckDB has no XXH64 with a seed for the fingerprints, and no automaton for languages), so ``ORACLE_SQL`` is None and the
+tests hold the stages against brute force.
 """
 
 from __future__ import annotations

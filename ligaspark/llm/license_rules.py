@@ -396,13 +396,14 @@ proprietary: commercial license|licence
 """
 
 
-def compiled(signature: str) -> tuple[str, str, str]:
-    """(gate, key, pattern): a signature as a regular expression over words that each lie between two spaces of their own, the gate that every match has, and a
-    word that every match has between its spaces (or again the gate, if all its words have alternatives)."""
-    out, must, groups = [], [], []
+def compiled(signature: str) -> tuple[str, list[str], str]:
+    """(gate, keys, pattern): a signature as a regular expression over words that each lie between two spaces of their own, the gate that every match has, and
+    plain strings of which every match has one: the longest run of words that must be there, or the ways of the alternative that has the longest ones."""
+    out, groups, runs = [], [], [[]]
     for token in signature.split():
         if token.startswith("*"):
             out.append("(?: [^ ]+ ){0," + token[1:] + "}")
+            runs.append([])
             continue
         optional, token = token.endswith("?"), token.rstrip("?")
         ways = ["".join(f" {w} " for w in way.split("_")) for way in token.split("|")]
@@ -410,13 +411,17 @@ def compiled(signature: str) -> tuple[str, str, str]:
             groups.append(ways)
         if optional or len(ways) > 1:
             out.append("(?:" + "|".join(sorted(ways, key=lambda x: (-len(x), x))) + ")" + ("?" if optional else ""))
+            runs.append([])
         else:
             out += ways
-            must.append(ways[0])
+            runs[-1] += ways
     gate = next((g for g in GATES if any(all(g in way for way in ways) for ways in groups)), None)
     if gate is None:
         raise ValueError(f"no gate for the signature {signature!r}")
-    return gate, max(must, key=len, default=gate), "".join(out)
+    phrase = max(("".join(r) for r in runs), key=len)
+    spread = [ways for ways in groups if len(ways) > 1 and not all("licen" in way for way in ways)]
+    keys = [phrase] if phrase and (len(phrase) > 12 or not spread) else min(spread, key=len) if spread else [gate]
+    return gate, sorted(keys), "".join(out)
 
 
 def listed() -> list[tuple[int, str, str]]:

@@ -1,8 +1,8 @@
 """License scan by ordered signature rules, all in Spark's own expressions.
 
 A text becomes its words (ASCII letters lower-cased, runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``), each between two spaces of its own, so that a phrase is a plain
-substring and two phrases never share a delimiter. A keyword prefilter on the raw text gates all rules: most texts are only counted. In the others, each rule's own keyword
-gates its regular expression, and matches become intervals of word numbers with the rule's label and rank. A detection is suppressed if its interval lies
+substring and two phrases never share a delimiter. A keyword prefilter on the raw text gates all rules: most texts are only counted. In the others, each rule's own keys
+gate its regular expression, and matches become intervals of word numbers with the rule's label and rank. A detection is suppressed if its interval lies
 within that of a detection of a better rank, or within a longer one (or the same one by an earlier rule) of its own rank.
 
 Ranks: 1 exact identifiers and full legal names with a version, 2 sentences of license texts and notices, 3 general mentions. The rules are written by hand, in
@@ -35,22 +35,23 @@ def as_pattern(words: str) -> str:
     return "".join(f" {w} " for w in words.split())
 
 
-def rules() -> list[tuple[int, str, str, str, str]]:
-    """(rank, label, gate, keyword, pattern), in the order in which ties are decided.
+def rules() -> list[tuple[int, str, str, list[str], str]]:
+    """(rank, label, gate, keys, pattern), in the order in which ties are decided.
 
-    ``gate`` is one of a few strings that the prefilter looks for, ``keyword`` the rule's own; every match holds both. Patterns have no look-arounds.
+    ``gate`` is one of a few strings that the prefilter looks for, ``keys`` are the rule's own; every match holds the gate and one of the keys. Patterns have no
+    look-arounds.
     """
     out = [(rank, label, *compiled(signature)) for rank, label, signature in listed()]
     return out + [(3, label, *compiled(phrase)) for phrase, label in BASE.items()]
 
 
-def gates(table: list[tuple[int, str, str, str, str]]) -> list[str]:
+def gates(table: list[tuple[int, str, str, list[str], str]]) -> list[str]:
     """The strings of which every rule's match holds one, without those that contain another."""
     found = sorted({g for _, _, g, _, _ in table}, key=lambda g: (len(g), g))
     return [g for i, g in enumerate(found) if not any(x in g for x in found[:i])]
 
 
-def may_match(text: Column, table: list[tuple[int, str, str, str, str]]) -> Column:
+def may_match(text: Column, table: list[tuple[int, str, str, list[str], str]]) -> Column:
     """Whether the raw text holds all words of some gate; passes all texts that a rule can match, and few others. Searches are plain substrings."""
     low = F.lower(text)
     out = F.lit(False)
@@ -81,10 +82,10 @@ def count_words(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, NOT_WORD_EITHER_CASE)) - ends).cast("long")
 
 
-def detections(pad: Column, table: list[tuple[int, str, str, str, str]]) -> Column:
-    """array<struct<start, stop, rank, rule, label>>: intervals of word numbers, of all rules whose keyword is there."""
-    listed = [{"rank": rank, "rule": i, "label": label, "key": key, "pattern": pattern} for i, (rank, label, _, key, pattern) in enumerate(table)]
-    packed = F.from_json(F.lit(json.dumps(listed)), "array<struct<rank:int,rule:int,label:string,key:string,pattern:string>>")  # folded to a literal
+def detections(pad: Column, table: list[tuple[int, str, str, list[str], str]]) -> Column:
+    """array<struct<start, stop, rank, rule, label>>: intervals of word numbers, of all rules of which a key is there."""
+    listed = [{"rank": rank, "rule": i, "label": label, "gate": gate, "keys": keys, "pattern": pattern} for i, (rank, label, gate, keys, pattern) in enumerate(table)]
+    packed = F.from_json(F.lit(json.dumps(listed)), "array<struct<rank:int,rule:int,label:string,gate:string,keys:array<string>,pattern:string>>")  # folded to a literal
 
     def of_rule(r):
         gaps, hits = F.split(pad, r["pattern"], -1), F.regexp_extract_all(pad, r["pattern"], F.lit(0))
@@ -100,7 +101,10 @@ def detections(pad: Column, table: list[tuple[int, str, str, str, str]]) -> Colu
         spans = F.aggregate(pairs, empty, step, lambda acc: acc["out"])
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), r["rank"].alias("rank"), r["rule"].alias("rule"), r["label"].alias("label")))
 
-    return F.flatten(F.transform(F.filter(packed, lambda r: F.contains(pad, r["key"])), of_rule))
+    # the gates that are there, as the variable of a lambda, so that they are found once and not for every rule
+    there = F.filter(F.array(*[F.lit(g) for g in sorted({r["gate"] for r in listed})]), lambda g: F.contains(pad, g))
+    some = F.transform(F.array(there), lambda found: F.filter(packed, lambda r: F.array_contains(found, r["gate"]) & F.exists(r["keys"], lambda k: F.contains(pad, k))))
+    return F.flatten(F.transform(F.flatten(some), of_rule))
 
 
 def suppressed(found: Column) -> Column:

@@ -10,17 +10,17 @@ _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 def op2() -> str:
     """The signature rules as a table, matches placed by the lengths of what lies between them, and suppression by comparing all detections of a text."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    rules = ", ".join(f"({rank}, {i}, {quoted(label)}, {quoted(key)}, {quoted(pattern)})" for i, (rank, label, _, key, pattern) in enumerate(license_scan.rules()))
-    base = ", ".join(f"({quoted(license_scan.as_pattern(p))}, {quoted(v)})" for p, v in license_scan.BASE.items())
+    rules = ", ".join(f"({rank}, {i}, {quoted(label)}, [{', '.join(map(quoted, keys))}], {quoted(pattern)})" for i, (rank, label, _, keys, pattern) in enumerate(license_scan.rules()))
+    base = ", ".join(f"([{quoted(license_scan.as_pattern(p))}], {quoted(v)})" for p, v in license_scan.BASE.items())
     spaces = lambda x: f"(len({x}) - len(replace({x}, ' ', ''))) // 2"
     confidence = " ".join(f"WHEN {k} THEN {v}" for k, v in license_scan.CONFIDENCE.items())
     found = f"""SELECT x.*, {spaces('left_of')} AS a, {spaces('left_of')} + {spaces('hit')} AS z FROM (SELECT *, hits[k] AS hit,
       array_to_string(list_slice(gaps, 1, k), '') || array_to_string(list_slice(hits, 1, k - 1), '') AS left_of FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM (SELECT d.*, r.*,
-      string_split_regex(pad, r.pattern) AS gaps, regexp_extract_all(pad, r.pattern) AS hits FROM d JOIN {{rules}} r ON contains(pad, r.key)))) x"""
+      string_split_regex(pad, r.pattern) AS gaps, regexp_extract_all(pad, r.pattern) AS hits FROM d JOIN {{rules}} r ON len(list_filter(r.keys, lambda k: contains(pad, k))) > 0))) x"""
     return f"""
 WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 d AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CASE WHEN len(w) = 0 THEN '' ELSE ' ' || array_to_string(w, '  ') || ' ' END AS pad FROM w),
-rules(rank, rule, label, key, pattern) AS (VALUES {rules}), base(key, label, pattern) AS (SELECT col0, col1, col0 FROM (VALUES {base})),
+rules(rank, rule, label, keys, pattern) AS (VALUES {rules}), base(keys, label, pattern) AS (SELECT col0, col1, col0[1] FROM (VALUES {base})),
 b AS ({found.format(rules='base')}),
 bd AS (SELECT doc_id, count(*) AS n_base, min(a) AS first_word, max(a) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
 m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY a, z DESC, rank, rule) AS n FROM ({found.format(rules='rules')})),

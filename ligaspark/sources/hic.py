@@ -1,11 +1,12 @@
 """Reader of binary ``.hic`` matrices (versions 6 to 8), little-endian, through Hadoop's file systems.
 
-The driver reads the header, the footer's index and the raw blocks that a region needs; workers inflate and decode the blocks. Blocks of a pair of chromosomes are
-bounded by the region asked for.
+The driver reads the header and the footer's index; tasks get the positions of the blocks that a region needs, read them, inflate and decode them. Where a file is in a
+store that only the driver's session reaches, the driver reads the blocks instead, and hands them on a few megabytes at a time.
 """
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -13,10 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..genome import Region
+from ..session import written
+
+
+_HANDED = 16_000_000  # bytes of blocks that the driver holds at once where it has to read them
 
 
 class Bytes:
@@ -167,6 +173,23 @@ def norm_vector(source, position: int) -> np.ndarray:
     return np.frombuffer(b.take(8 * n), "<f8")
 
 
+def task_reader(path: str):
+    """A function that opens the file in a task, or None if its store is not one that workers reach by themselves."""
+    try:
+        store, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:/") else f"file://{os.path.abspath(path)}")
+        if store.get_file_info(inner).type != fs.FileType.File:
+            return None
+    except (pa.ArrowInvalid, OSError, NotImplementedError):
+        return None
+    uri = path
+
+    def opened():
+        own, place = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:/") else f"file://{inner}")
+        return own.open_input_file(place)
+
+    return opened
+
+
 def blocks_of(bins1: tuple[int, int], bins2: tuple[int, int], per: int, columns: int, intra: bool) -> list[int]:
     """Numbers of the blocks that a rectangle of bins touches, in both triangles within a chromosome."""
     a = range(bins1[0] // per, bins1[1] // per + 1)
@@ -177,7 +200,7 @@ def blocks_of(bins1: tuple[int, int], bins2: tuple[int, int], per: int, columns:
 
 def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region | None = None, width: int | None = None, unit: str = "BP", norm: str = "NONE", source=None) -> DataFrame:
     """(x, y, count) of a region, positions of bin starts. ``norm``: NONE, VC, VC_SQRT or KR, by which counts are divided (infinite where both norms' product is 0)."""
-    source = source or HadoopFile(spark, path)
+    given, source = source is not None, source or HadoopFile(spark, path)
     head = read_header(source)
     number = {c.removeprefix("chr"): i for i, (c, _) in enumerate(head.chromosomes)}
     region2 = region2 or region1
@@ -192,13 +215,19 @@ def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region |
     per, columns, blocks = block_index(source, matrices[f"{c1}_{c2}"][0], unit, width)
     limits = [(r.start or 0, r.end if r.end is not None else head.chromosomes[c][1]) for r, c in ((one, c1), (two, c2))]
     wanted = blocks_of(*[(a // width, z // width) for a, z in limits], per, columns, c1 == c2)
-    rows = [(source.read_at(*blocks[k]),) for k in wanted if k in blocks]
+    places = [blocks[k] for k in wanted if k in blocks]
     norms = None if norm == "NONE" else [norm_vector(source, vectors[(norm, c, unit, width)][0]) for c in (c1, c2)]
     version, sent = head.version, spark.sparkContext.broadcast(norms)
 
+    reach = None if given else task_reader(path)
+
     def run(batches) -> Iterator[pa.RecordBatch]:
+        file = reach() if reach else None
         for batch in batches:
-            for data in batch.column(0).to_pylist():
+            for at, size, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file is not None:
+                    file.seek(at)
+                    data = file.read(size)
                 x, y, c = decode_block(data, version)
                 if sent.value is not None:
                     with np.errstate(divide="ignore", invalid="ignore"):
@@ -206,7 +235,19 @@ def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region |
                         c = np.where(product == 0, np.inf, c / product)
                 yield pa.RecordBatch.from_arrays([pa.array(x * width), pa.array(y * width), pa.array(c)], names=["x", "y", "count"])
 
-    made = spark.createDataFrame(rows, "data binary").repartition(max(1, min(len(rows), 64))).mapInArrow(run, schema) if rows else spark.createDataFrame([], schema)
+    if not places:
+        return spark.createDataFrame([], schema)
+    made, at = None, 0
+    while at < len(places):
+        some, size = [], 0
+        while at < len(places) and (reach or not some or size + places[at][1] <= _HANDED):
+            some.append((*places[at], None if reach else source.read_at(*places[at])))
+            size += places[at][1]
+            at += 1
+        part = spark.createDataFrame(some, "at long, size int, data binary").repartition(max(1, min(len(some), 1024))).mapInArrow(run, schema)
+        if not reach and at < len(places):
+            part = written(part)
+        made = part if made is None else made.unionByName(part)
     (a1, z1), (a2, z2) = limits
     inside = F.col("x").between(a1, z1) & F.col("y").between(a2, z2)
     if c1 == c2:

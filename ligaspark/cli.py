@@ -130,7 +130,7 @@ def fragment_length_dist(spark, a):
 
 def infer_adapter(spark, a):
     reads = fastx.read_fastq(spark, a.fastq)
-    print(adapters.infer_adapter(reads, a.n, a.start, a.threshold))
+    print(adapters.infer_adapter(reads, a.n, a.start, a.threshold, align=a.align))
     if a.figure:
         write_text(spark, a.figure, figures.stacked_bars(adapters.base_frequency(adapters.first_records(reads, a.n)), "bases by position"))
 
@@ -243,7 +243,7 @@ def parser() -> argparse.ArgumentParser:
     verb(remove_redundancy, "input", "out", distance=0, by_etag=False, keep_order=False)
     verb(extract_fragments, "fasta", "site", "out", format="tab")
     verb(fragment_length_dist, "files", out="lengths", trim=False, kind="box", save=False)
-    verb(infer_adapter, "fastq", n=1000, start=70, threshold=0.75, figure="")
+    verb(infer_adapter, "fastq", n=1000, start=70, threshold=0.75, figure="", align=False)
     verb(plot_contact_map, "path", "out", region="", binsize=0, balance=False)
     verb(interactions_qc, "input", "out", cutoff=20_000)
     verb(chr_interactions, "pairs", "chromosomes", "out")

@@ -1,7 +1,7 @@
 """Adapter inference, consensus sequences, base frequencies and quality encodings.
 
-There is no multiple-alignment program here: reads are taken from a fixed start, where the adapter begins at the same place in most of them, and columns are
-compared without gaps. If no column is conserved enough, the commonest k-mers are joined greedily instead.
+Reads are taken from a fixed start, where the adapter begins at the same place in most of them, and columns are compared without gaps, or, for a bounded number of
+reads, after a multiple alignment. If no column is conserved enough, the commonest k-mers are joined greedily instead.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.alignment import star_alignment
+
 ORDER = ("A", "T", "C", "G", "-")
 
 
@@ -41,10 +43,19 @@ def longest_run(text):
     return F.array_max(runs)["run"]
 
 
-def infer_adapter(reads: DataFrame, n: int = 1000, start: int = 70, threshold: float = 0.75, order: str = "rec_idx", k: int = 12) -> str:
-    """The conserved sequence that begins at ``start`` in the first ``n`` reads; "" if there is none."""
+ALIGNED = 200
+
+
+def aligned(few: DataFrame, most: int = ALIGNED) -> DataFrame:
+    """(seq): at most ``most`` of the sequences with gaps, all of one length."""
+    rows = sorted(r["seq"] for r in few.orderBy(F.xxhash64("seq"), "seq").limit(most).select("seq").collect())
+    return few.sparkSession.createDataFrame([(x,) for x in star_alignment(rows)], "seq string")
+
+
+def infer_adapter(reads: DataFrame, n: int = 1000, start: int = 70, threshold: float = 0.75, order: str = "rec_idx", k: int = 12, align: bool = False) -> str:
+    """The conserved sequence that begins at ``start`` in the first ``n`` reads; "" if there is none. ``align``: columns are those of a multiple alignment."""
     few = first_records(reads, n, order).select(F.expr(f"substring(seq, {start + 1}, length(seq))").alias("seq")).where("seq <> ''")
-    row = joined(consensus(base_frequency(few), threshold)).select(longest_run(F.col("consensus")).alias("run")).first()
+    row = joined(consensus(base_frequency(aligned(few) if align else few), threshold)).select(longest_run(F.col("consensus")).alias("run")).first()
     run = row["run"] or ""
     if len(run) >= k:
         return run

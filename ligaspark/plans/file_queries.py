@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import genome
+from ..functions import registered
 from ..operators import adapters, alignments, contacts, dedup, fragments, matrix, qc, trim
 from ..session import work_path, written
 from ..sources import fastx, hic, text
 from ..sources.hic_writer import write_hic
 from ..sources.matrix_store import MatrixStore, write_store
+from ..streaming import counters
 from . import derive, report
 from .registry import (
-    _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _P, _S, _SIZES_SQL, _SITE, _SZ, _T, _U, _VC, _W, _classified, _describe_sql, _LEN, _off, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
+    _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _P, _S, _SIZES_SQL, _SZ, _T, _U, _VC, _W, _describe_sql, _LEN, _off, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
 )
 
 _COLS = "chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2"
@@ -329,4 +331,47 @@ def commonest_symbols(s, d):
     return adapters.common_symbols(derive.whole(s, d).select(quality.alias("quality")))
 
 
-_ = (_SITE, _classified)
+
+# ---------------------------------------------------------------- streams and SQL functions
+
+
+def _streamed(s, df, mode):
+    """What a stream over all files that are there gives in the end."""
+    name = "ligaspark_" + work_path(s, "stream").rsplit("-", 1)[-1]
+    q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", work_path(s, "checkpoint")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return s.table(name)
+
+
+def _pair_files(s, d):
+    path = work_path(s, "arriving")
+    pairs = contacts.to_pairs(derive.contacts(s, d))
+    pairs.repartition(6).select(F.concat_ws("\t", *pairs.columns).alias("value")).write.text(path)
+    return counters.stream_pairs(s, path, files_per_trigger=2)
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (chr1 <> chr2) AS \"inter\", count(*) FILTER (chr1 = chr2) AS intra, count(*) FILTER (chr1 = chr2 AND abs(pos2 - pos1) >= 20000) AS long_range FROM pairs", _C, _P)
+def streamed_composition(s, d):
+    """Counters over files that arrive two at a time."""
+    return _streamed(s, counters.running_composition(_pair_files(s, d)), "complete")
+
+
+@query("SELECT DISTINCT chr1, chr2, pos1, pos2, strand1, strand2 FROM pairs", _C, _P)
+def streamed_unique_pairs(s, d):
+    rows = _pair_files(s, d).withColumn("arrived", F.timestamp_seconds(F.lit(1_700_000_000)))
+    return _streamed(s, counters.unique_pairs(rows, "arrived"), "append").select("chr1", "chr2", "pos1", "pos2", "strand1", "strand2")
+
+
+@query(f"SELECT seqid, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, CAST(b AS INT) AS at, flag FROM x2", _K, _TRIM)  # noqa: F541
+def sql_functions(s, d):
+    """The functions that are registered for SQL text."""
+    registered.register(s)
+    reads = _with_quality(derive.tiles(s, d, linked=True))
+    cut = f"trim_read(seq, quality, '{derive.LINKER}', 'T^TAA', '{derive.ADAPTER}').flag"
+    return s.sql(f"SELECT seqid, revcomp(seq) AS rc, align_locate(seq, '{derive.LINKER}').ref_start AS at, {cut} AS flag FROM {{reads}}", reads=reads)
+
+
+@query("SELECT seqid AS name, CAST(len(array_to_string(list_slice(p, 1, k), 'TTAA')) + 1 AS BIGINT) AS pos FROM (SELECT seqid, p, unnest(range(1, len(p))) AS k FROM (SELECT seqid, string_split(seq, 'TTAA') AS p FROM reads))", _W)
+def sql_table_function(s, d):
+    registered.register(s)
+    return s.sql("SELECT seqid AS name, pos FROM {reads}, LATERAL site_cuts(seq, 'TTAA', 1)", reads=derive.whole(s, d))

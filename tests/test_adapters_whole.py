@@ -32,3 +32,15 @@ def test_reads_of_more_than_200_bases(spark):
     reads = spark.createDataFrame([("long", seq[100:450], "I" * 350), ("off", seq[100:449] + ("A" if seq[449] != "A" else "C"), "I" * 350)], "seqid string, seq string, quality string")
     got = {r["read_id"]: (r["flag"], r["pos"], r["mapq"]) for r in pipeline.exact_aligner(genome, 20)(reads, 1).collect()}
     assert got["long"] == (0, 100, 60) and got["off"][0] == 4
+
+
+def test_adapters_of_reads_with_gaps(spark):
+    rng = random.Random(9)
+    adapter = "AGATCGGAAGAGCACACGTCTGAACTCCAG"
+    rows = []
+    for i in range(60):
+        at = rng.randrange(len(adapter))
+        rows.append((i, adapter if i % 5 else adapter[:at] + adapter[at + 1 :]))  # every fifth read lacks a base
+    reads = spark.createDataFrame(rows, "rec_idx long, seq string")
+    assert adapters.infer_adapter(reads, 60, 0, 0.75, align=True) == adapter
+    assert adapters.infer_adapter(reads.limit(0), 60, 0, 0.75, align=True) == ""

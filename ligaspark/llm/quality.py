@@ -3,7 +3,7 @@
 The trees are trained on the driver from at most ``sample`` labelled rows (spread by hash; the bound is a parameter), whose statistics the workers compute, and
 sent to the workers as a few flat arrays. Every whole text is scored. Null and empty texts are scored by their (zero) statistics. No labelled rows: every score
 is 0.5. Conflicting labels of one id count as their mean's nearest class, ties as 1; ties between splits go to the feature that is listed first and the lower
-threshold. Repeated rows each give their row; for training, rows that share an id count once, by the smallest text. A very long text is a pass of its own. Only
+threshold. Repeated rows each give their row; for training, rows that share an id count once, by the smallest statistics. A very long text is a pass of its own. Only
 the columns named are read, so no other can clash. An empty table gives no rows.
 """
 
@@ -38,10 +38,12 @@ def _statistics():
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", keep=lambda i: remainder(i, 4) != 2, sample: int = SAMPLE, id_col: str = "doc_id", text: str = "text", **how) -> Forest:
     known = labelled(labels, column, keep, id_col)
     ids = bounded_sample(known, sample, id_col, seed=4)
-    texts = with_ids(docs.select(id_col, text), ids, id_col).groupBy(id_col).agg(F.min(F.col(f"`{text}`")).alias("_t"))
     y = {r[id_col]: r["y"] for r in with_ids(known, ids, id_col).collect()}
-    rows = map_text(texts, _statistics, "x array<float>", text="_t", carry=(id_col,)).collect() if ids else []
-    rows = sorted({(r[id_col], tuple(r["x"])) for r in rows})
+    if ids:
+        made = map_text(with_ids(docs.select(id_col, text), ids, id_col), _statistics, "x array<float>", text=text, carry=(id_col,))
+        rows = sorted((r[id_col], tuple(r["x"])) for r in made.groupBy(id_col).agg(F.min("x").alias("x")).collect())
+    else:
+        rows = []
     x = np.array([r[1] for r in rows], dtype=np.float32).reshape(len(rows), len(NAMES))
     return train(x, np.array([y[r[0]] for r in rows], dtype=np.float64), **how)
 

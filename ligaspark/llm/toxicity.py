@@ -9,12 +9,12 @@ negative, a step goes up its gradient instead, which keeps the scorer from memor
 
 Features: whether a word occurs, for at most ``features`` words that at least ``least`` positives have and that are commoner among positives than among all
 texts by more than ``min_z`` standard errors. At most ``positives`` and ``unlabelled`` texts, spread by hash, choose the words and train the scorer; all bounds
-are parameters. Words are counted by an aggregate over the sampled texts, and the driver gets the chosen words and one bit per text and word, however long the
-texts are. A text's score does not fade with its length: what counts is which of these words it has.
+are parameters. Words are counted by an aggregate over the sampled texts, and the driver gets the chosen words and which of them each text has, however long
+the texts are. A text's score does not fade with its length: what counts is which of these words it has.
 
 Null and empty texts have no words and get the score of the bias. No positives, or no such word: every score is 0. Conflicting labels of one id count as their
-mean's nearest class, ties as 1; ties between words go to the smaller hash. Repeated rows each give their row; for fitting, rows that share an id count once, by
-the smallest text. A very long text is a pass of its own. Only the columns named are read, so no other can clash. An empty table gives no rows.
+mean's nearest class, ties as 1; ties between words go to the smaller hash. Repeated rows each give their row; for fitting, rows that share an id count as one
+text of all their words. A very long text is a pass of its own. Only the columns named are read, so no other can clash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytesops import Words
-from .common import bounded_sample, discard, map_text, materialize, remainder, with_ids
+from .common import bounded_sample, map_text, remainder, with_ids
 from .quality import labelled
 
 POSITIVES = 3_000
@@ -104,11 +104,10 @@ def _distinct_words():
     return f
 
 
-def choose_words(rows: DataFrame, n_p: int, n_u: int, features: int, least: int, min_z: float) -> np.ndarray:
-    """Sorted hashes of the words whose rate among positives exceeds that among all texts the most, in standard errors. ``rows``: (h array, p, u), a row per
-    text, with whether it is among the positives and among the unlabelled."""
-    words = rows.select(F.explode("h").alias("h"), F.col("p").cast("int").alias("p"), F.col("u").cast("int").alias("u"))
-    counts = words.groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= least)
+def choose_words(words: DataFrame, n_p: int, n_u: int, features: int, least: int, min_z: float) -> np.ndarray:
+    """Sorted hashes of the words whose rate among positives exceeds that among all texts the most, in standard errors. ``words``: (h, p, u), a row per text and
+    word, with whether the text is among the positives and among the unlabelled."""
+    counts = words.groupBy("h").agg(F.count_if("p").alias("p"), F.count_if("u").alias("u")).where(F.col("p") >= least)
     rest = (F.col("p") + F.col("u")) / F.lit(float(n_p + n_u))
     error = F.sqrt(F.greatest(rest * (1 - rest), F.lit(1e-9)) * F.lit(1 / n_p + 1 / n_u))
     z = (F.col("p") / F.lit(float(n_p)) - F.col("u") / F.lit(float(n_u))) / error
@@ -129,31 +128,31 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", keep=lambda i
     every = sorted({*ids_p, *ids_u})
     is_p, is_u = set(ids_p), set(ids_u)
     marks = spark.createDataFrame([(i, i in is_p, i in is_u) for i in every], T.StructType([T.StructField("_i", kind), T.StructField("p", T.BooleanType()), T.StructField("u", T.BooleanType())]))
-    one = with_ids(docs.select(id_col, text), every, id_col).groupBy(F.col(id_col).alias("_i")).agg(F.min(F.col(f"`{text}`")).alias("_t"))
-    texts = materialize(one.join(F.broadcast(marks), "_i"))  # at most as many rows as the bounds say
-    try:
-        n = texts.agg(F.count_if("p").alias("p"), F.count_if("u").alias("u")).first()
-        if not n["p"] or not n["u"]:
-            return none
-        hashed = map_text(texts, _distinct_words, "h array<bigint>", text="_t", carry=("p", "u"))
-        keys = choose_words(hashed, n["p"], n["u"], features, least, min_z)
-        if not len(keys):
-            return none
-        sent = spark.sparkContext.broadcast(Scorer(keys, np.zeros(len(keys)), 0.0))
-
-        def bits():
-            def f(some):
-                x = np.zeros((len(some), len(keys)), dtype=bool)
-                x[sent.value.present(Words(some))] = True
-                return [pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())]
-
-            return f
-
-        rows = sorted(map_text(texts, bits, "x binary", text="_t", carry=("_i", "p", "u")).collect(), key=lambda r: r["_i"])
-    finally:
-        discard(texts)
-    x = np.unpackbits(np.frombuffer(b"".join(r["x"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1, count=len(keys)).astype(np.float32)
-    weights, bias = non_negative_pu(x[[r["p"] for r in rows]], x[[r["u"] for r in rows]], prior)
+    some = with_ids(docs.select(id_col, text), every, id_col)
+    n = some.select(F.col(id_col).alias("_i")).distinct().join(F.broadcast(marks), "_i").agg(F.count_if("p").alias("p"), F.count_if("u").alias("u")).first()
+    if not n["p"] or not n["u"]:
+        return none
+    words = map_text(some, _distinct_words, "h array<bigint>", text=text, carry=(id_col,)).select(F.col(id_col).alias("_i"), F.explode("h").alias("h")).distinct()
+    keys = choose_words(words.join(F.broadcast(marks), "_i"), n["p"], n["u"], features, least, min_z)
+    if not len(keys):
+        return none
+    sent = spark.sparkContext.broadcast(Scorer(keys, np.zeros(len(keys)), 0.0))
+
+    def numbers():
+        def f(texts):
+            doc, at = sent.value.present(Words(texts))
+            ends = np.searchsorted(doc, np.arange(len(texts) + 1))
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at, pa.int32()))]
+
+        return f
+
+    own = map_text(some, numbers, "k array<int>", text=text, carry=(id_col,))
+    own = own.select(F.col(id_col).alias("_i"), F.explode_outer("k").alias("k")).groupBy("_i").agg(F.sort_array(F.collect_set("k")).alias("k"))  # features at most
+    rows = sorted(own.collect(), key=lambda r: r["_i"])
+    x = np.zeros((len(rows), len(keys)), dtype=np.float32)
+    for i, r in enumerate(rows):
+        x[i, r["k"]] = 1
+    weights, bias = non_negative_pu(x[[r["_i"] in is_p for r in rows]], x[[r["_i"] in is_u for r in rows]], prior)
     return Scorer(keys, weights, bias)
 
 

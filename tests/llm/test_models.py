@@ -118,11 +118,10 @@ def test_toxicity_of_odd_rows(spark):
 
 def brute_words(rows, ids_p, ids_u, least, min_z):
     """{word: z} of the words that count as features, by plain sets."""
-    own = {}
+    sets = {}
     for i, t, *_ in rows:
         if i is not None:
-            own[i] = min((x for x in (own.get(i), t) if x is not None), default=None)
-    sets = {i: set(words(t)) for i, t in own.items()}
+            sets.setdefault(i, set()).update(words(t))
     pos, unl = [sets[i] for i in ids_p if i in sets], [sets[i] for i in ids_u if i in sets]
     out = {}
     for w in set().union(*pos):

@@ -53,7 +53,7 @@ def test_many_languages_come_in_blocks(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     own = {f"l{k:02}": prose(rng, 200, ["".join(rng.choice(letters) for _ in range(3)) for _ in range(6)]) for k in range(30)}
     df = frame(spark, [(100 * k + j, own[x], x, "s", 1) for k, x in enumerate(own) for j in range(3)])
-    many, one = language.fit(df, languages_per_block=7), language.fit(df)
+    many, one = language.fit(df, languages_per_block=7), language.fit(df, languages_per_block=64)
     assert len(many) == 5 and len(one) == 1
     a, b = ({r["doc_id"]: (r["lang_pred"], round(r["score"], 9)) for r in language.identify(df, m).collect()} for m in (many, one))
     assert {i: x[0] for i, x in a.items()} == {i: x[0] for i, x in b.items()} == {100 * k + j: x for k, x in enumerate(own) for j in range(3)}

@@ -6,6 +6,10 @@ reads, after a multiple alignment. If no column is conserved enough, the commone
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +22,42 @@ def first_records(reads: DataFrame, n: int, order: str = "rec_idx") -> DataFrame
     return reads.orderBy(order).limit(n)
 
 
+_TOGETHER = 1_000_000  # letters counted at a time
+
+
 def base_frequency(seqs: DataFrame, seq: str = "seq") -> DataFrame:
-    """(pos, base, p): shares of A, T, C, G and gaps by column; N is left out."""
-    rows = seqs.select(F.posexplode(F.filter(F.split(F.upper(seq), ""), lambda c: c != "")).alias("pos", "base")).where(F.col("base").isin(*ORDER))
-    counts = rows.groupBy("pos", "base").agg(F.count(F.lit(1)).alias("n"))
+    """(pos, base, p): shares of A, T, C, G and gaps by column; N is left out. Letters are counted where they are, some at a time; only counts are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = np.full(256, len(ORDER), dtype=np.uint8)
+        for k, b in enumerate(ORDER):
+            codes[[ord(b), ord(b.lower())]] = k
+
+        def counted(base: int, texts: list[str]) -> pa.RecordBatch:
+            size = np.array([len(t) for t in texts])
+            code = codes[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)]
+            pos = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+            known = code < len(ORDER)
+            n = np.bincount(pos[known] * len(ORDER) + code[known])
+            at = np.flatnonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array((at // len(ORDER) + base).astype(np.int32)), pa.array([ORDER[k] for k in (at % len(ORDER)).tolist()], pa.string()), pa.array(n[at].astype(np.int64))], names=["pos", "base", "n"])
+
+        held, letters = [], 0
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                if not t:
+                    continue
+                for a in range(_TOGETHER, len(t), _TOGETHER):  # the rest of a long sequence, from its own positions on
+                    yield counted(a, [t[a : a + _TOGETHER]])
+                held.append(t[:_TOGETHER])
+                letters += len(held[-1])
+                if letters >= _TOGETHER:
+                    yield counted(0, held)
+                    held, letters = [], 0
+        if held:
+            yield counted(0, held)
+
+    counts = seqs.select(F.col(seq).cast("string")).mapInArrow(run, "pos int, base string, n long").groupBy("pos", "base").agg(F.sum("n").alias("n"))
     return counts.select("pos", "base", (F.col("n") / F.sum("n").over(Window.partitionBy("pos"))).alias("p"))
 
 

@@ -44,3 +44,17 @@ def test_adapters_of_reads_with_gaps(spark):
     reads = spark.createDataFrame(rows, "rec_idx long, seq string")
     assert adapters.infer_adapter(reads, 60, 0, 0.75, align=True) == adapter
     assert adapters.infer_adapter(reads.limit(0), 60, 0, 0.75, align=True) == ""
+
+
+def test_frequencies_of_long_sequences(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "_TOGETHER", 7)
+    seqs = ["ACGTNacgt-" * 3, "", None, "AC", "TTTTTTT", "éCGT"]
+    df = spark.createDataFrame([(x,) for x in seqs], "seq string")
+    want = {}
+    for x in seqs:
+        for i, c in enumerate((x or "").upper()):
+            if c in "ATCG-":
+                want.setdefault(i, {}).setdefault(c, 0)
+                want[i][c] += 1
+    got = {(r["pos"], r["base"]): r["p"] for r in adapters.base_frequency(df).collect()}
+    assert got == {(i, c): n / sum(v.values()) for i, v in want.items() for c, n in v.items()}

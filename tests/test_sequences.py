@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,3 +102,51 @@ def test_sites_and_regions(spark):
     assert choose_resolution(1_000_000, [1000, 2000, 5000]) == 2000 and choose_resolution(10, [1000, 5000]) == 1000
     df = spark.createDataFrame([(2_500_000,), (3_000_000,), (500,), (25_000,)], "n long")
     assert [r[0] for r in df.select(proper_unit(F.col("n"))).collect()] == ["2M500K", "3M", "0K", "25K"]
+
+
+def plain_trim(seq, cfg):
+    """(flag, first tag, second tag) of one read, by the scalar table and one rule after another."""
+    linker, adapter, site = cfg.linkers[0], cfg.adapter, cfg.site
+    at = seq.find(linker)
+    hit = (at, at + len(linker), 0, 0, 0, 0) if at >= 0 else cell_by_cell(seq, linker) if seq else None
+    if hit is None or hit[5] > cfg.linker_cost:
+        return 1, None, None
+    flag, b, c, z, rest = 2, hit[0], hit[1], len(seq), seq[hit[1] :]
+    found = cell_by_cell(rest, adapter) if rest else None
+    if found is None or found[5] / len(adapter) >= float(np.float32(cfg.adapter_cost / len(adapter))):  # a limit in single precision, a share in double
+        flag |= 4
+    else:
+        z = c + found[0]
+    a = 0
+    flag |= 64 if b - a > cfg.longest else 32 if b - a < cfg.shortest else 0
+    flag |= 256 if z - c > cfg.longest else 128 if z - c < cfg.shortest else 0
+    left = seq[b - cfg.cut_len : b] if b > cfg.longest else seq[:b]
+    right = seq[c : c + cfg.cut_len] if z - c > cfg.longest else seq[c:z]
+    if left.endswith(site.left + site.middle):
+        flag, left = flag | 8, left + site.right
+    if right.startswith(site.middle + site.right):
+        flag, right = flag | 16, site.left + right
+    return flag, left, right
+
+
+def test_trimming_is_the_rules():
+    """Reads with exact, changed, cut and absent linkers and adapters."""
+    from ligaspark.operators import trim
+
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    linker, adapter = "GTCGGATCCTAAGC", "AGATCGGAAG"
+    cfg = trim.TrimConfig((linker,), parse_site("T^TAA"), mismatch=3, adapter=adapter, mismatch_adapter=4)
+
+    def worn(s):
+        for _ in range(rng.choice([0, 0, 1, 2, 3, 5])):
+            i = rng.randrange(len(s))
+            s = s[:i] + rng.choice(["", "A", "CG", "T"]) + s[i + 1 :]
+        return s or "A"
+
+    reads = ["", "A", linker, linker[3:], word(90)] + [word(rng.randint(0, 30)) + rng.choice(["", "TTA"]) + worn(linker) + rng.choice(["", "TAA"]) + word(rng.randint(0, 30)) + rng.choice([worn(adapter), ""]) for _ in range(250)]
+    flag, left, right, *_ = trim.trim_reads(reads, ["I" * len(r) for r in reads], cfg)
+    got = list(zip(flag.tolist(), left.field(0).to_pylist(), right.field(0).to_pylist(), strict=True))
+    want = [plain_trim(r, cfg) for r in reads]
+    assert [(r, g, w) for r, g, w in zip(reads, got, want, strict=True) if g != w] == []
+    assert len({w[0] for w in want}) > 15

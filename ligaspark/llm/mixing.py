@@ -13,7 +13,8 @@ Targets: sources by code point, null last, weigh 3, 1, 2, repeating, and share `
 and the excess is shared anew by weight until none is above. That fixed point is min(most * size, level * weight) for one level.
 
 Scale: the stream positions are prefix sums in two steps, within hash-prefix buckets of a source and over bucket totals, so a source that holds a third of
-all rows is as many groups as its size needs. Slots are counted where they are made and only counts move. The driver holds one row per source, whose
+all rows is as many groups as its size needs. Rows alike in id, source and size are counted before they are moved, so an id that holds a third of all rows is
+one row until its copies get their places. Slots are counted where they are made and only counts move; a chunk's slots are dealt to its sources in one pass. The driver holds one row per source, whose
 number is checked against ``max_sources``, and only that table is broadcast. A very long text is one row of its source's stream, and as many rows of block
 numbers as it has blocks; texts themselves are not read again after they are counted.
 
@@ -41,6 +42,7 @@ GOLDEN = 0x9E3779B97F4A7C15
 MAX_SOURCES = 1_000_000
 _ROWS_PER_BUCKET = 50_000
 _CHUNK = 1 << 16
+_SLOT_TASKS = 10_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -125,8 +127,9 @@ class Mix:
 
     def __init__(self, docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_tokens: int = BLOCK_TOKENS, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", max_sources: int = MAX_SOURCES):
         spark = self.spark = docs.sparkSession
-        rows = self._rows = materialize(sized(docs, seed, id_col, text, source))
-        totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        alike = sized(docs, seed, id_col, text, source).groupBy("id", "source", "size", "key").agg(F.count(F.lit(1)).alias("copies"))
+        rows = self._rows = materialize(alike.withColumn("all", F.col("size") * F.col("copies")))
+        totals = rows.groupBy("source").agg(F.sum("all").alias("size"), F.count(F.lit(1)).alias("n"))
         found = totals.limit(max_sources + 1).collect()
         if len(found) > max_sources:
             raise ValueError(f"more than {max_sources} sources; raise max_sources if the driver can hold a row for each")
@@ -146,10 +149,13 @@ class Mix:
         named = rows.join(F.broadcast(sources.withColumnRenamed("source", "_src")), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
         within = Window.partitionBy("s", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
         before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("z")).join(F.broadcast(sources.select(F.col("source").alias("_src"), "s")), F.col("source").eqNullSafe(F.col("_src")))
+        offsets = rows.groupBy("source", "bucket").agg(F.sum("all").alias("z")).join(F.broadcast(sources.select(F.col("source").alias("_src"), "s")), F.col("source").eqNullSafe(F.col("_src")))
         offsets = offsets.select("s", "bucket", F.coalesce(F.sum("z").over(before), F.lit(0)).alias("offset"))
-        placed = named.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["s", "bucket"])
-        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "words", (F.col("within") + F.col("offset")).alias("start"))
+        placed = named.withColumn("within", F.coalesce(F.sum("all").over(within), F.lit(0))).join(offsets, ["s", "bucket"])
+        placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {_CHUNK}"))))
+        placed = placed.withColumn("copy", F.explode(F.sequence(F.col("part") * _CHUNK, F.least("copies", (F.col("part") + 1) * _CHUNK) - 1)))
+        start = F.col("within") + F.col("offset") + F.col("copy") * F.col("size")
+        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "words", start.alias("start"))
 
     def schedule(self) -> DataFrame:
         """(slot, s, rank, words): every slot of the mix that yields words, the number of them, and the rank that names its block. Ranks come from counts per
@@ -157,17 +163,30 @@ class Mix:
         counts = slot_counts(self.spark, self.n_slots, self.bounds)
         before = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        tasks = min(max(1, math.ceil(self.n_slots / _CHUNK)), _SLOT_TASKS)  # stated, as a chunk's few rows stand for all of its slots
+        starts = starts.select("chunk", "s", "base").repartition(tasks, "chunk").sortWithinPartitions("chunk", "s")
         words, bounds, n_slots, b = np.array(self.words, dtype=np.int64), self.bounds, self.n_slots, self.block_tokens
 
         def run(batches):
+            at = None
             for batch in batches:
-                for c, s, base in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                    slots = np.arange(c * _CHUNK, min(n_slots, (c + 1) * _CHUNK), dtype=np.uint64)
-                    own = slots[source_of(slots, bounds) == s].astype(np.int64)
-                    rank = base + np.arange(len(own))
-                    left = np.minimum(b, words[s] - rank * b)
-                    own, rank, left = own[left > 0], rank[left > 0], left[left > 0]
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), s, np.int32)), pa.array(rank), pa.array(left)], names=["slot", "s", "rank", "words"])
+                chunk, s, base = (x.to_numpy() for x in batch.columns)
+                cuts = [*np.flatnonzero(np.diff(chunk, prepend=-1)), len(chunk)]
+                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                    if chunk[lo] != at:  # the chunk's slots by source, laid out once however many sources it has
+                        at = int(chunk[lo])
+                        slots = np.arange(at * _CHUNK, min(n_slots, (at + 1) * _CHUNK), dtype=np.uint64)
+                        owner = source_of(slots, bounds)
+                        by = np.argsort(owner, kind="stable")
+                        slots, owner = slots[by].astype(np.int64), owner[by]
+                    first = np.searchsorted(owner, s[lo:hi])
+                    n = np.searchsorted(owner, s[lo:hi], side="right") - first
+                    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    who, rank = np.repeat(s[lo:hi], n), np.repeat(base[lo:hi], n) + nth
+                    left = np.minimum(b, words[who] - rank * b)
+                    own = slots[np.repeat(first, n) + nth]
+                    keep = left > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (own, who, rank, left)], names=["slot", "s", "rank", "words"])
 
         kind = "slot long, s int, rank long, words long"
         closing, slot = [], n_slots
@@ -175,7 +194,7 @@ class Mix:
             for rank in range(have, -(-w // b)):
                 closing.append((slot, s, rank, min(b, w - rank * b)))
                 slot += 1
-        made = starts.select("chunk", "s", "base").mapInArrow(run, kind)
+        made = starts.mapInArrow(run, kind)
         return made.union(self.spark.createDataFrame(closing, kind)) if closing else made
 
     def block_documents(self) -> DataFrame:

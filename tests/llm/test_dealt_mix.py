@@ -22,3 +22,34 @@ def test_copies_follow_the_schedule(spark):
     for s in ("s0", "s1", "s2"):  # each quarter has its share of each source
         for q in range(4):
             assert abs(got[q * n : (q + 1) * n].count(s) - got.count(s) / 4) <= 6
+
+
+def test_schedule_ranks_slots_one_by_one(spark):
+    """Several chunks of slots and many sources: every slot's source by its golden-ratio point, and its rank by counting."""
+    rows = [(i, "w " * (3_000 if i % 7 else 9_000), "en", f"s{i % 40:02}", 1) for i in range(240)]
+    m = mixing.Mix(frame(spark, rows), block_tokens=8)
+    assert m.n_slots > 2 * mixing._CHUNK
+    total, ends = sum(m.targets), []
+    for t in m.targets:
+        ends.append((ends[-1] if ends else 0) + t)
+    seen, want = {}, {}
+    for slot in range(m.n_slots):
+        point = slot * 0x9E3779B97F4A7C15 % 2**64 / 2.0**64
+        s = next(i for i, e in enumerate(ends) if point < e / total or i == len(ends) - 1)
+        rank = seen[s] = seen.get(s, -1) + 1
+        if (left := min(8, m.words[s] - 8 * rank)) > 0:
+            want[slot] = (s, rank, left)
+    got = {r["slot"]: (r["s"], r["rank"], r["words"]) for r in m.schedule().collect()}
+    assert {k: v for k, v in got.items() if k < m.n_slots} == want
+    for s, w in enumerate(m.words):
+        assert sum(v[2] for v in got.values() if v[0] == s) == w
+
+
+def test_one_id_on_a_third_of_all_rows(spark):
+    """More equal rows than one explode makes: each has its own words of the stream, and the source meets its target."""
+    n = mixing._CHUNK + 1_000
+    rows = [(7, "a b", "en", "s", 1)] * n + [(i, "c d e", "en", "t" if i % 2 else None, 1) for i in range(2_000)]
+    m = mixing.Mix(frame(spark, rows))
+    got = m.dealt().where("id = 7 and size = 2").selectExpr("count(*) n", "count(distinct start) d", "sum(taken) t", "max(taken) k").first()
+    assert (got["n"], got["d"]) == (n, n) and got["k"] <= 4
+    assert got["t"] == m.words[m.names.index("s")]

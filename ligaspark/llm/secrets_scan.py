@@ -38,7 +38,7 @@ ASSIGN = re.compile(rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "iban", "card", "pem", "google", "slack", "stripe")
-JWT_HEAD = 1_024
+JWT_HEAD, JWT_LEAST = 1_024, len('{"alg":0}') * 4 // 3
 _JWT_RUN, _JWT_TAIL = re.compile(rb"[0-9A-Za-z_-]+"), re.compile(rb"\.[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+")
 _BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -58,10 +58,11 @@ def _crc_ok(m: re.Match) -> bool:
 
 
 def _jwt_ok(head: bytes) -> bool:
-    if len(head) > JWT_HEAD:
+    if not JWT_LEAST <= len(head) <= JWT_HEAD:
         return False
     try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
+        raw = base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4))
+        return (b'"alg"' in raw or b"\\u" in raw) and "alg" in json.loads(raw)  # most hits are not worth parsing
     except (ValueError, TypeError):
         return False
 

@@ -17,6 +17,7 @@ are read, so no other column can clash. An empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,9 @@ WINDOW_TOKENS = 1_000_000
 #: How the public byte-level vocabulary splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 EOS = 50256
+#: What ``\\s`` of the pattern matches. Runs of so many are split off before the pattern sees them, as its look-ahead gives up on very long ones.
+_LONG_SPACE = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+_SPACE_RULE = r"|\s+(?!\S)|\s+"
 
 
 class Capacities:
@@ -88,11 +92,30 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def encoder(vocabulary: bytes, pattern: str = PATTERN):
-    """text -> array of ids, for a file of base64 tokens and ranks; strings of special tokens are ordinary text."""
+    """text -> array of ids, for a file of base64 tokens and ranks; strings of special tokens are ordinary text.
+
+    A pattern that ends in ``_SPACE_RULE`` takes a run of white space as one piece, but for its last character if more text follows, whatever is around it. So
+    long runs are cut out and merged as the one piece that they are, and what is before and after is encoded by itself, with the same ids.
+    """
     import tiktoken
 
     ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in vocabulary.splitlines() if line)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+    made = lambda p: tiktoken.Encoding("own", pat_str=p, mergeable_ranks=ranks, special_tokens={})
+    plain, whole = made(pattern), []
+
+    def encode(text: str, disallowed_special: tuple = ()) -> np.ndarray:
+        out, at = [], 0
+        for m in _LONG_SPACE.finditer(text) if pattern.endswith(_SPACE_RULE) else ():
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            if not whole:
+                whole.append(made("(?s).+"))
+            out.append(plain.encode_to_numpy(text[at : m.start()], disallowed_special=disallowed_special))
+            out.append(whole[0].encode_to_numpy(text[m.start() : end], disallowed_special=disallowed_special))
+            at = end
+        out.append(plain.encode_to_numpy(text[at:] if at else text, disallowed_special=disallowed_special))
+        return np.concatenate(out) if len(out) > 1 else out[0]
+
+    return encode
 
 
 def matrices(parts: list[np.ndarray], owners: list, numbers: list[int], seq_len: int, rows: int, pad: int, kind: type) -> Iterator[tuple]:
@@ -145,7 +168,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, pattern: str = PATTERN,
             id_type = batch.column(0).type
             for some in pieces(batch, 1):
                 for owner, t in zip(some.column(0).to_pylist(), some.column(1), strict=True):
-                    ids = np.append(encode(t.as_py() or "", disallowed_special=()), eos).astype(kind)
+                    ids = np.append(encode(t.as_py() or ""), eos).astype(kind)
                     for number, a in enumerate(range(0, len(ids), seq_len)):
                         parts.append(ids[a : a + seq_len])
                         owners.append(owner)

@@ -1,5 +1,7 @@
 """Texts longer than a pass of the byte operators, through every operator and every stage."""
 
+import base64
+
 import numpy as np
 import pytest
 from llm_data import frame, prose, words
@@ -75,3 +77,25 @@ def test_stages_on_a_long_text(spark, docs, tmp_path):
             assert now.columns == docs.columns
     parts = sorted(p for r in now.collect() for d, p in zip(r["doc_ids"], r["parts"], strict=True) if d == 1)
     assert parts and parts[0] == 0 and set(range(max(parts) + 1)) == set(parts)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "7", ".", " a", " \n", "\u3000"])
+def test_five_megabytes_of_one_kind(spark, unit):
+    """Packed and unpacked; the ids equal the plain encoding of the same kind of text below the length at which the plain encoder gives up."""
+    import tiktoken
+
+    with open(f"{common.tokenizer_dir()}/byte_bpe_50k.tiktoken", "rb") as f:
+        raw = f.read()
+    encode = packing.encoder(raw)
+    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in raw.splitlines())}
+    plain = tiktoken.Encoding("plain", pat_str=packing.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for tail in ("", "x", " x", "\nx", "7"):
+        short = "head " + unit * 30_000 + tail
+        assert np.array_equal(encode(short), plain.encode_to_numpy(short))
+    text = unit * (5_000_000 // len(unit)) + "x"
+    parts = {}
+    for r in packing.pack(frame(spark, [(1, text, "en", "a", 1)])).collect():
+        for (_, p), ids in packing.unpack(r).items():
+            parts[p] = ids
+    ids = np.concatenate([parts[p] for p in sorted(parts)])
+    assert ids[-1] == packing.EOS and plain.decode(ids[:-1].tolist()) == text

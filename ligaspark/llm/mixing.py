@@ -43,6 +43,7 @@ MAX_SOURCES = 1_000_000
 _ROWS_PER_BUCKET = 50_000
 _CHUNK = 1 << 16
 _SLOT_TASKS = 10_000
+_PLACES = 4_096
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -113,21 +114,25 @@ def _key(id_col: Column, seed: str) -> Column:
     return F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("")))), 1, 16)
 
 
-def sized(docs: DataFrame, seed: str, id_col: str, text: str, source: str) -> DataFrame:
+def sized(docs: DataFrame, seed: str, id_col: str, text: str, source: str, row: str | None = None) -> DataFrame:
+    """(id, source, size, key) of every row, and ``row``, a digest of the whole row, where rows alike in id and size are to be told apart."""
     return docs.select(
         F.col(id_col).alias("id"),
         F.col(source).cast("string").alias("source"),
         _size(F.col(text)).alias("size"),
-        _key(F.col(id_col), seed).alias("key"),
+        _key(F.concat_ws(":", F.col(id_col).cast("string"), F.col(row)) if row else F.col(id_col), seed).alias("key"),
+        *([F.col(row).alias("row")] if row else []),
     )
 
 
 class Mix:
     """The mix of a table: ``docs`` (id, source, size, key, s, source_size, target, words, start) and the schedule behind it."""
 
-    def __init__(self, docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_tokens: int = BLOCK_TOKENS, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", max_sources: int = MAX_SOURCES):
+    def __init__(self, docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_tokens: int = BLOCK_TOKENS, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", max_sources: int = MAX_SOURCES, row: str | None = None):
         spark = self.spark = docs.sparkSession
-        alike = sized(docs, seed, id_col, text, source).groupBy("id", "source", "size", "key").agg(F.count(F.lit(1)).alias("copies"))
+        alike = sized(docs, seed, id_col, text, source, row)
+        alike = alike.groupBy(*alike.columns).agg(F.count(F.lit(1)).alias("copies"))
+        own, told = (["row"], ["row", "copies"]) if row else ([], [])
         rows = self._rows = materialize(alike.withColumn("all", F.col("size") * F.col("copies")))
         totals = rows.groupBy("source").agg(F.sum("all").alias("size"), F.count(F.lit(1)).alias("n"))
         found = totals.limit(max_sources + 1).collect()
@@ -147,7 +152,7 @@ class Mix:
         digits = max(2, math.ceil(math.log(max(1, sum(r["n"] for r in found)) / _ROWS_PER_BUCKET, 16)) + 1) if found else 2
         rows = rows.withColumn("bucket", F.substring("key", 1, digits))
         named = rows.join(F.broadcast(sources.withColumnRenamed("source", "_src")), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
-        within = Window.partitionBy("s", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        within = Window.partitionBy("s", "bucket").orderBy("key", "id", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
         before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         offsets = rows.groupBy("source", "bucket").agg(F.sum("all").alias("z")).join(F.broadcast(sources.select(F.col("source").alias("_src"), "s")), F.col("source").eqNullSafe(F.col("_src")))
         offsets = offsets.select("s", "bucket", F.coalesce(F.sum("z").over(before), F.lit(0)).alias("offset"))
@@ -155,7 +160,7 @@ class Mix:
         placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {_CHUNK}"))))
         placed = placed.withColumn("copy", F.explode(F.sequence(F.col("part") * _CHUNK, F.least("copies", (F.col("part") + 1) * _CHUNK) - 1)))
         start = F.col("within") + F.col("offset") + F.col("copy") * F.col("size")
-        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "words", start.alias("start"))
+        self.docs = placed.select("id", "source", "size", "key", "s", "source_size", "target", "words", start.alias("start"), *told)
 
     def schedule(self) -> DataFrame:
         """(slot, s, rank, words): every slot of the mix that yields words, the number of them, and the rank that names its block. Ranks come from counts per
@@ -225,32 +230,33 @@ class Mix:
         discard(self._rows)
 
     def copies(self) -> DataFrame:
-        """(s, id, size, slots): for the texts of which the mix takes words, the slots that name the block in which each copy begins, in order of passes. A copy
-        that the source's last word cuts counts if at least half of it is taken; rows alike in id and size share their slots."""
-        rows = self.docs.where("size > 0").groupBy("s", "id", "size", "source_size", "words").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("_k"))
-        rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(self.most - 1)))).withColumn("a", F.col("start") + F.col("pass") * F.col("source_size"))
+        """(row, copies, slot): for every copy of the texts of which the mix takes words, and every pass, the slot that names the block in which it begins. A copy
+        that the source's last word cuts counts if at least half of it is taken. Needs the digests of rows (``row``)."""
+        rows = self.docs.where("size > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(self.most - 1)))).withColumn("a", F.col("start") + F.col("pass") * F.col("source_size"))
         rows = rows.where((F.col("words") - F.col("a")) * 2 >= F.col("size")).where(F.col("a") < F.col("words"))
         rows = rows.withColumn("rank", F.expr(f"a div {self.block_tokens}"))
-        named = rows.join(self.schedule().select("s", "rank", "slot").hint("merge"), ["s", "rank"])
-        return named.groupBy("s", "id", "size").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+        return rows.join(self.schedule().select("s", "rank", "slot").hint("merge"), ["s", "rank"]).select("row", "copies", "slot")
 
 
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """Rows of ``docs``, whole, in the order of the schedule, as often as the mix takes them: a copy for each pass over its source's stream that reaches at
     least half of the text. A copy's place is the slot that names the block in which it begins, so sources interleave as the slots do, and each source's words
-    are within one text of its target.
+    are within one text of its target, whatever ids and sizes its rows share.
 
-    Texts are shuffled twice, to meet their slots and to be put in order. A text without words is in no block and goes. Rows that share an id and a size share
-    their slots, and come equally often.
+    A row is known by a digest of all its columns, so rows that share an id, or have none, take their own places. Rows alike in every column are one text that
+    has the places of all of them; places of one row are dealt out by slot, ``_PLACES`` or so to a key, so many copies of a row are many keys. Texts are
+    shuffled three times: to find the rows that are alike, to meet their slots and to be put in order. A text without words is in no block and goes.
     """
-    mix = Mix(docs.select(id_col, text, source), id_col=id_col, text=text, source=source, **how)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    named = dict(zip(docs.columns, names, strict=True))
+    own = docs.toDF(*names)
+    own = own.withColumn("_row", F.md5(F.to_json(F.struct(*names))))
+    mix = Mix(own, id_col=named[id_col], text=named[text], source=named[source], row="_row", **how)
     mix.settle()
-    slots = materialize(mix.copies())
+    parts = F.expr(f"1 + (copies * {mix.most} - 1) div {_PLACES}")
+    slots = materialize(mix.copies().select(F.col("row").alias("_at"), (F.col("slot") % parts).alias("_at_part"), "slot"))
     discard(mix.docs)
-    numbers = docs.sparkSession.createDataFrame(list(enumerate(mix.names)), "_mix_s int, _mix_src string")
-    own = docs.withColumn("_mix_n", _size(F.col(f"`{text}`"))).where("_mix_n > 0")
-    own = own.join(F.broadcast(numbers), F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_mix_src")))
-    slots = slots.select(F.col("s").alias("_mix_at_s"), F.col("id").alias("_mix_at_id"), F.col("size").alias("_mix_at_n"), F.col("slots").alias("_mix_slots"))
-    met = own.join(slots, (F.col("_mix_s") == F.col("_mix_at_s")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_at_id")) & (F.col("_mix_n") == F.col("_mix_at_n")))
-    out = met.withColumn("_mix_slot", F.explode("_mix_slots")).orderBy("_mix_slot", F.col(f"`{id_col}`"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    texts = own.where(_size(F.col(named[text])) > 0).groupBy("_row").agg(*[F.first(c).alias(c) for c in names], F.count(F.lit(1)).alias("copies"))
+    texts = texts.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    met = texts.join(slots, (F.col("_row") == F.col("_at")) & (F.col("_part") == F.col("_at_part")))
+    return met.orderBy("slot", named[id_col], "_row").select(*names).toDF(*docs.columns)

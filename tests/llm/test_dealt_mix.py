@@ -53,3 +53,36 @@ def test_one_id_on_a_third_of_all_rows(spark):
     got = m.dealt().where("id = 7 and size = 2").selectExpr("count(*) n", "count(distinct start) d", "sum(taken) t", "max(taken) k").first()
     assert (got["n"], got["d"]) == (n, n) and got["k"] <= 4
     assert got["t"] == m.words[m.names.index("s")]
+
+
+def check_words(spark, rows):
+    """Each source's words in the repeated documents, against its target by the brute-force sharing; every copy whole, every distinct row at most twice per copy."""
+    from collections import Counter
+
+    from llm_data import tokens
+    from test_packing_and_mixing import reshared
+
+    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(len(tokens(r[1])) for r in rows if r[3] == s) for s in names]
+    got = [tuple(r) for r in mixing.repeat_documents(frame(spark, rows)).collect()]
+    had = Counter(tuple(r) for r in frame(spark, rows).collect())
+    assert all(n <= 2 * had[r] for r, n in Counter(got).items())
+    for s, target in zip(names, reshared(sizes), strict=True):
+        longest = max(len(tokens(r[1])) for r in rows if r[3] == s)
+        assert abs(sum(len(tokens(r[1])) for r in got if r[3] == s) - target) <= longest, s
+    return Counter(got)
+
+
+def test_rows_that_share_an_id_and_a_size(spark):
+    """Three sources of texts of ten words: two without ids, and one whose rows are alike in every column."""
+    text = lambda s, i: " ".join(f"{s}{i}w{k}" for k in range(10))
+    rows = [(None, text("a", i), "en", "a", 1) for i in range(1000)] + [(None, text("b", i), "en", "b", 1) for i in range(1000)] + [(i, text("c", i), "en", "c", 1) for i in range(1000)]
+    check_words(spark, rows)
+    check_words(spark, [(7, text("a", i % 3), None, "a", 1) for i in range(900)] + [(None, text("b", i), "en", None, 1) for i in range(300)] + [(i // 2, text("c", i), "en", "c", 1) for i in range(700)])
+    check_words(spark, awkward(13, 80))
+
+
+def test_many_equal_rows_are_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_PLACES", 16)
+    taken = check_words(spark, [(7, "a b c", "en", "a", 1)] * 600 + [(i, "d e f g", "en", "b", 1) for i in range(300)])
+    assert max(taken.values()) > 300

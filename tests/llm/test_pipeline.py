@@ -21,7 +21,7 @@ def test_names():
     import __spark_entry__ as e
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "near-duplicates", "decontamination", "mixing", "packing"]
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES} and set(QUERIES) | {"pipeline"} <= set(e.queries())
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES} and set(QUERIES) | {"pipeline"} <= set(e.queries())
 
 
 def test_stages(spark, tmp_path):

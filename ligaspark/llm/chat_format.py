@@ -39,13 +39,19 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, rf"([<\[])\\(\\*+(?:{TAILS}))", r"$1$2")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often, and inside whatever lambda, it is read: it is the variable of a lambda over an array of one."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def running_sums(lengths: Column) -> Column:
     """The sums of the first, the first two, ... elements of an array of integers."""
     add = lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x))
     stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _STRETCH).cast("int")), lambda k: F.slice(lengths, k * _STRETCH + 1, _STRETCH))
     within = F.transform(stretches, lambda s: F.aggregate(s, F.array(F.lit(0)), add))
-    before = F.aggregate(within, F.array(F.lit(0)), lambda sums, w: F.concat(sums, F.array(F.element_at(sums, -1) + F.element_at(w, -1))))
-    return F.flatten(F.transform(within, lambda w, k: F.transform(F.slice(w, 2, F.size(w)), lambda x: x + F.get(before, k))))
+    before = lambda w: F.aggregate(w, F.array(F.lit(0)), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + F.element_at(x, -1))))
+    raised = lambda w, b: F.flatten(F.transform(w, lambda x, k: F.transform(F.slice(x, 2, F.size(x)), lambda y: y + F.get(b, k))))
+    return bound(within, lambda w: bound(before(w), lambda b: raised(w, b)))
 
 
 def _segments(role: Column, texts: Column) -> Column:

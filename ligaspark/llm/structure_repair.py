@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chat_format import bound
+
 STRETCH = 256
 _NEVER = 1 << 40  # the cost of a state that cannot be reached
 _SPACE = " \t\n\x0b\x0c\r"
@@ -48,8 +50,7 @@ def _step(acc: Column, row: Column) -> Column:
         F.least(_by(u, DELETE, "D"), _by(open_, keep("u"), "K"), _by(open_, stay + REROLE, "R")).alias("u"),
         F.least(_by(a, DELETE, "D"), _by(u, keep("a"), "K"), _by(u, stay + REROLE, "S")).alias("a"),
     )
-    # an array of one makes ``moved`` a bound variable, which is computed once
-    return F.element_at(F.transform(F.array(moved), _inserted), 1)
+    return bound(moved, _inserted)
 
 
 def _inserted(m: Column) -> Column:
@@ -74,8 +75,8 @@ def cheapest(rows: Column) -> Column:
     states = lambda k: F.when(k == 0, F.array(F.lit(0))).otherwise(F.array(*[F.lit(q) for q in range(4)]))
     fold = lambda k, q: F.aggregate(F.slice(rows, k * STRETCH + 1, STRETCH), _begin(q, k), _step)
     folds = F.transform(F.sequence(F.lit(0), last), lambda k: F.transform(states(k), lambda q: fold(k, q)))
-    whole = F.transform(F.array(folds), lambda f: F.aggregate(F.slice(f, 2, F.size(f)), F.get(F.get(f, F.lit(0)), F.lit(0)), _joined))
-    return F.element_at(F.transform(whole, lambda w: F.least(w["e"], w["a"])), 1)
+    whole = bound(folds, lambda f: F.aggregate(F.slice(f, 2, F.size(f)), F.get(F.get(f, F.lit(0)), F.lit(0)), _joined))
+    return bound(whole, lambda w: F.least(w["e"], w["a"]))
 
 
 def repaired(rows: Column, edits: Column) -> Column:

@@ -39,8 +39,8 @@ def _by(x: Column, cost, letter: str) -> Column:
 def _step(acc: Column, row: Column) -> Column:
     """All four states after one row and, perhaps, one insertion."""
     extra = F.when(row["fault"] == "truncated", TRUNCATED).otherwise(0).cast("long")
-    bound = row["fault"].isin("blank", "duplicate")
-    stay = F.when(bound, F.lit(_NEVER)).otherwise(extra)
+    must = row["fault"].isin("blank", "duplicate")
+    stay = F.when(must, F.lit(_NEVER)).otherwise(extra)
     keep = lambda initial: F.when(row["initial"] == initial, stay).otherwise(F.lit(_NEVER))
     e, s, u, a = (acc[k] for k in _STATES)
     open_ = F.least(e, s, a)

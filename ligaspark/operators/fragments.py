@@ -21,7 +21,7 @@ def scan_sites(fasta: DataFrame, site: Site) -> DataFrame:
     bounds = fasta.select(F.col("name").alias("chrom"), F.lit("+").alias("strand"), F.explode(F.array(F.lit(0).cast("long"), F.length("seq").cast("long"))).alias("pos"))
     out = cuts(site.seq, "+").union(bounds)
     other = reverse_complement_text(site.seq)
-    return (out if other == site.seq.upper() else out.union(cuts(other, "-"))).distinct()
+    return (out if other.upper() == site.seq.upper() else out.union(cuts(other, "-"))).distinct()
 
 
 def restriction_fragments(sites: DataFrame) -> DataFrame:

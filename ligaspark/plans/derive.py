@@ -45,6 +45,21 @@ FROM (SELECT *, unnest(range(0, (length(seq) + w - 1) // w)) AS k
 #: The same with a linker and an adapter in every piece.
 LINKED = TILES.replace("doc_id % 4 = 0", "FALSE").replace("rec_idx % 4 = 0", "FALSE")
 
+#: The benchmark's texts as sequences of a small genome.
+GENOME = """
+SELECT concat('b', item_id) AS name, item_id,
+  translate(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''/*g*/)), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM benchmark"""
+
+#: A read for each supplier: 30 letters of a sequence of that genome with up to two substitutions, or a deletion, or an insertion, or letters from nowhere; some from the other strand.
+GENOME_READS = """
+SELECT seqid, CASE WHEN turned THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM (SELECT seqid, turned, CASE kind
+  WHEN 0 THEN t WHEN 1 THEN concat(substr(t, 1, 9), translate(substr(t, 10, 1), 'ACGT', 'CGTA'), substr(t, 11))
+  WHEN 2 THEN concat(substr(t, 1, 4), translate(substr(t, 5, 1), 'ACGT', 'GTAC'), substr(t, 6, 13), translate(substr(t, 19, 1), 'ACGT', 'TACG'), substr(t, 20))
+  WHEN 3 THEN concat(substr(t, 1, 14), substr(t, 16)) WHEN 4 THEN concat(substr(t, 1, 14), 'A', substr(t, 15)) ELSE substr(repeat('ACCGTTGACA', 4), 1 + k % 7, 30) END AS seq
+ FROM (SELECT concat('s', s_suppkey) AS seqid, s_suppkey AS k, s_suppkey % 6 AS kind, s_suppkey % 7 = 0 AS turned, substr(seq, CAST(1 + s_suppkey * 7919 % (length(seq) - 40) AS INT), 30) AS t
+  FROM (SELECT s_suppkey, s_suppkey % (SELECT count(*) FROM genome WHERE length(seq) > 60) AS i FROM supplier) a
+  JOIN (SELECT seq, row_number() OVER (ORDER BY item_id) - 1 AS i FROM genome WHERE length(seq) > 60) b USING (i)) c) d"""
+
 #: Chromosomes of the derived tables; long enough for every position.
 SIZES = [(f"chr{k}", 20_000_000) for k in range(1, 6)]
 
@@ -69,6 +84,15 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, ALIGNMENTS, "lineitem")
 
 
+def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, GENOME, "benchmark")
+
+
+def genome_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = GENOME_READS.replace("FROM genome", "FROM {genome}").replace("FROM supplier", "FROM {supplier}")
+    return spark.sql(sql, genome=genome(spark, sf_dir), supplier=spark.read.parquet(f"{sf_dir}/supplier.parquet"))
+
+
 def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, WHOLE, "documents")
 

@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from .. import genome
 from ..functions import registered
-from ..operators import adapters, alignments, contacts, dedup, fragments, matrix, qc, trim
+from ..operators import adapters, alignments, contacts, dedup, fragments, genome_scan, mapping, matrix, qc, trim
 from ..session import work_path, written
-from ..sources import bam, fastx, hic, text
+from ..sources import bam, fastx, fastx_source, hic, text
 from ..sources.hic_writer import write_hic
 from ..sources.matrix_store import MatrixStore, write_store
 from ..streaming import counters
 from . import derive, report
 from .registry import (
-    _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _P, _S, _SIZES_SQL, _SZ, _T, _U, _VC, _W, _describe_sql, _LEN, _off, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
+    _SITE, ORACLES, _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _OWN_SZ, _P, _S, _SZ, _T, _U, _VC, _W, _describe_sql, _LEN, _off, _own_sizes, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
 )
 
 _COLS = "chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2"
@@ -162,20 +162,23 @@ def unmapped_to_fastq(s, d):
     return fastx.read_fastq(s, path).select("seqid", "seq")
 
 
-@query("SELECT chrom, length, CAST(ord AS INT) AS ord FROM sz", _SZ)
+@query("SELECT chrom, length, CAST(ord AS INT) AS ord FROM sz", _C, _OWN_SZ)
 def chromosome_file(s, d):
+    """Chromosomes as long as the contacts reach, by way of a file of lengths."""
     path = work_path(s, "chromosomes")
-    _sizes(s).coalesce(1).orderBy("ord").select(F.concat_ws("\t", "chrom", "length").alias("value")).write.text(path)
+    _own_sizes(s, d).orderBy("ord").select(F.concat_ws("\t", "chrom", "length").alias("value")).write.text(path)
     return text.read_chromosomes(s, path)
 
 
-@query(f"SELECT 'hg38' AS preset, {_SIZES_SQL} AS chromosomes, 3088269832::BIGINT AS letters")
+@query("SELECT chr AS chrom, CASE chr WHEN 'chr1' THEN 248956422 WHEN 'chr2' THEN 242193529 WHEN 'chr3' THEN 198295559 WHEN 'chr4' THEN 190214555 WHEN 'chr5' THEN 181538259 END::BIGINT AS length, count(*) AS ends FROM (SELECT unnest([chr1, chr2]) AS chr FROM contacts) GROUP BY 1", _C)
 def chromosome_presets(s, d):
+    """Ends of contacts on the chromosomes of a preset, read from its file."""
     from ..cli import write_text
 
     path = work_path(s, "preset")
     write_text(s, path, genome.preset_lines("hg38"))
-    return text.read_chromosomes(s, path).agg(F.count(F.lit(1)).alias("chromosomes"), F.sum("length").alias("letters")).select(F.lit("hg38").alias("preset"), "chromosomes", "letters")
+    ends = derive.contacts(s, d).select(F.explode(F.array("chr1", "chr2")).alias("chrom")).groupBy("chrom").agg(F.count(F.lit(1)).alias("ends"))
+    return text.read_chromosomes(s, path).join(ends, "chrom").select("chrom", "length", "ends")
 
 
 @query("SELECT 'contacts' AS step, 'contacts: composition' AS section, CAST(ord AS INT) AS ord, key, value FROM (SELECT 0 AS ord, 'total' AS key, CAST(total AS VARCHAR) AS value FROM comp UNION ALL SELECT 1, 'inter', CAST(\"inter\" AS VARCHAR) FROM comp UNION ALL SELECT 2, 'intra', CAST(intra AS VARCHAR) FROM comp UNION ALL SELECT 3, 'long_range', CAST(long_range AS VARCHAR) FROM comp)", _C, _U, _COMP)
@@ -216,7 +219,7 @@ def sample_reads(s, d):
 def fastq_split(s, d):
     """Reads in seven runs of consecutive records, by their numbers in the order of the table."""
     path = work_path(s, "fastq")
-    fastx.write_fastq(_with_quality(derive.tiles(s, d)).orderBy("rec_idx").coalesce(1), path)
+    fastx.write_fastq(_with_quality(derive.tiles(s, d)).orderBy("rec_idx"), path)
     split = fastx.split_records(fastx.read_fastq(s, path), 7)
     return split.groupBy("chunk").agg(F.count(F.lit(1)).alias("reads"), F.min("seqid").alias("first"))
 
@@ -336,11 +339,15 @@ def commonest_symbols(s, d):
 
 
 def _streamed(s, df, mode):
-    """What a stream over all files that are there gives in the end."""
-    name = "ligaspark_" + work_path(s, "stream").rsplit("-", 1)[-1]
-    q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", work_path(s, "checkpoint")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return s.table(name)
+    """What a stream over all files that are there gives in the end, by way of files: rows as they come, or the last state of all of them."""
+    out = work_path(s, "streamed")
+    q = df.writeStream.outputMode(mode).option("checkpointLocation", work_path(s, "checkpoint")).trigger(availableNow=True)
+    if mode == "append":
+        q = q.format("parquet").option("path", out)
+    else:
+        q = q.foreachBatch(lambda state, _: state.write.mode("overwrite").parquet(out))
+    q.start().awaitTermination()
+    return s.read.schema(df.schema).parquet(out)
 
 
 def _pair_files(s, d):
@@ -389,3 +396,72 @@ def bam_round_trip(s, d):
     sam = sam.withColumns({"cigar": F.when(lost, "*").otherwise("5S12M2I3M1D2N9S"), "rname": F.when(lost, "*").otherwise(F.col("rname")), "pos": F.when(lost, -1).otherwise(F.col("pos"))})
     bam.write_bam(sam, path, derive.SIZES)
     return bam.read_bam(s, path, "read_id string, flag int, rname string, pos long, end_pos long, mapq int, cigar string, seq string, qual string", split_bytes=1 << 20)
+
+
+@query("SELECT seqid, seq, repeat('I', len(seq)) AS quality FROM reads", _T)
+def fastq_source(s, d):
+    """Reads of plain files cut into many stretches, in one scan."""
+    path = work_path(s, "fastq")
+    fastx.write_fastq(_with_quality(derive.tiles(s, d)), path)
+    return fastx_source.read_fastq(s, path, "seqid string, seq string, quality string", split_bytes=1 << 20)
+
+
+@query("SELECT length(seq) AS length, count(*) AS reads FROM reads GROUP BY 1", _T)
+def fastq_stream(s, d):
+    """Reads of a folder of files as a stream, written to files, counted by length."""
+    path, out = work_path(s, "fastq"), work_path(s, "reads")
+    fastx.write_fastq(_with_quality(derive.tiles(s, d)), path)
+    q = fastx_source.stream_fastq(s, path, "seqid string, seq string").writeStream.format("parquet").option("checkpointLocation", work_path(s, "checkpoint")).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    return s.read.schema("seqid string, seq string").parquet(out).groupBy(F.length("seq").cast("long").alias("length")).agg(F.count(F.lit(1)).alias("reads"))
+
+
+def _pieces(s, d, piece=1_000):
+    path = work_path(s, "fasta")
+    fastx.write_fasta(derive.whole(s, d).select(F.col("seqid").alias("name"), "seq"), path)
+    return fastx_source.read_pieces(s, path, piece)
+
+
+@query("SELECT seqid AS name, len(seq) AS letters, CAST(greatest(1, ceil(len(seq) / 1000)) AS BIGINT) AS pieces, md5(substr(seq, 1, 1000)) AS first FROM reads", _W)
+def fasta_pieces(s, d):
+    """Sequences as pieces of a thousand letters at most."""
+    pieces = _pieces(s, d).groupBy("file", "record", "name").agg(F.sum(F.length("seq")).cast("long").alias("letters"), F.count(F.lit(1)).alias("pieces"), F.md5(F.max(F.when(F.col("start") == 0, F.col("seq")))).alias("first"))
+    return pieces.select("name", "letters", "pieces", "first")
+
+
+@query(ORACLES["restriction_scan"])
+def restriction_scan_pieces(s, d):
+    return genome_scan.scan_pieces(_pieces(s, d), _SITE)
+
+
+@query(ORACLES["restriction_scan_both_strands"])
+def restriction_scan_pieces_both_strands(s, d):
+    return genome_scan.scan_pieces(_pieces(s, d), genome.parse_site("C^AGT"))
+
+
+_MAP = f"""genome AS ({derive.GENOME}), reads AS MATERIALIZED ({derive.GENOME_READS}), rs AS (SELECT seqid, '+' AS strand, seq AS r FROM reads UNION ALL SELECT seqid, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM reads),
+w AS MATERIALIZED (SELECT name, a, substr(seq, a + 1, 33) AS t FROM (SELECT name, seq, unnest(range(0, len(seq))) AS a FROM genome)),
+hit AS MATERIALIZED (SELECT seqid, strand, name, a, a + len(r) + v AS z, levenshtein(substr(t, 1, len(r) + v), r) AS diff FROM rs, w, (VALUES (-2), (-1), (0), (1), (2)) x(v) WHERE len(r) + v <= len(t) AND levenshtein(substr(t, 1, len(r) + v), r) <= 2)"""
+
+
+def _mapped_sql(k: int) -> str:
+    return f"""m{k} AS (SELECT seqid, diff, arg_min(struct_pack(name, a, z, strand), (name, a, z, strand)) AS p, count(DISTINCT (name, strand)) = 1 AND max(a) - min(a) <= {k} AS lone
+  FROM hit WHERE diff = (SELECT min(diff) FROM hit h WHERE h.seqid = hit.seqid) AND diff <= {k} GROUP BY seqid, diff)"""
+
+
+def _index(s, d):
+    return mapping.Index(derive.genome(s, d).select("name", F.lit(0).alias("start"), "seq"), 40, 2, 9)
+
+
+@query("SELECT r.seqid AS read_id, CASE WHEN p IS NULL THEN 4 WHEN p.strand = '-' THEN 16 ELSE 0 END AS flag, coalesce(p.name, '*') AS rname, coalesce(p.a, -1) AS pos, coalesce(p.z, -1) AS end_pos, CASE WHEN lone THEN 37 ELSE 0 END AS mapq, CAST(diff AS INT) AS differences FROM reads r LEFT JOIN m2 USING (seqid)", _MAP, _mapped_sql(2))
+def map_with_differences(s, d):
+    """Reads within two substitutions, insertions or deletions of places of the benchmark's texts."""
+    found = _index(s, d).map(_with_quality(derive.genome_reads(s, d)), 2)
+    return found.select("read_id", "flag", "rname", "pos", "end_pos", "mapq", "differences")
+
+
+@query("SELECT CAST(round AS INT) AS round, class, count(*) AS count FROM (" + " UNION ALL ".join(f"SELECT {k} AS round, CASE WHEN m.seqid IS NULL THEN 'unmapped' WHEN lone THEN 'unique' ELSE 'other' END AS class FROM reads r LEFT JOIN m{k} m USING (seqid)" + (f" WHERE r.seqid NOT IN (SELECT seqid FROM m{k - 1})" if k else "") for k in range(3)) + ") GROUP BY 1, 2", _MAP, *[_mapped_sql(k) for k in range(3)])
+def mapping_rounds(s, d):
+    """Iterative mapping: round i allows i differences, and only what is unmapped goes on."""
+    _, counts = alignments.iterate(_with_quality(derive.genome_reads(s, d)), _index(s, d).aligner(), 20, 3)
+    return s.createDataFrame([(i, c, n) for i, now in enumerate(counts) for c, n in now.items()], "round int, class string, count long")

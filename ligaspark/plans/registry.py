@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import genome
@@ -384,10 +384,19 @@ def iterative_rollup(s, d):
 # ---------------------------------------------------------------- matrices
 
 _BIN = 100_000
-_SIZES_SQL = "CAST(24 AS BIGINT)"  # chromosomes of the preset hg38
 _SZ = "sz AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {n}::BIGINT, {i})" for i, (c, n) in enumerate(derive.SIZES)) + ") t(chrom, length, ord))"
 
 
+#: Chromosomes as long as the contacts reach.
+_OWN_SZ = "sz AS (SELECT chrom, length, row_number() OVER (ORDER BY chrom) - 1 AS ord FROM (SELECT chrom, max(e) AS length FROM (SELECT chr1 AS chrom, end1 AS e FROM contacts UNION ALL SELECT chr2, end2 FROM contacts) GROUP BY chrom))"
+
+
+def _own_sizes(s, d):
+    c = derive.contacts(s, d)
+    reach = c.select(F.explode(F.array(*[F.struct(F.col(f"chr{k}").alias("chrom"), F.col(f"end{k}").alias("e")) for k in (1, 2)])).alias("x")).groupBy("x.chrom").agg(F.max("x.e").alias("length"))
+    return reach.withColumn("ord", (F.row_number().over(Window.orderBy("chrom")) - 1).cast("int"))  # a row per chromosome
+
+
 def _off(binsize: int, name: str = "o") -> str:
     return f"{name} AS (SELECT *, CAST(ceil(length / {binsize}) AS BIGINT) AS n_bins, CAST(coalesce(sum(ceil(length / {binsize})) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM sz)"
 
@@ -401,14 +410,14 @@ def _pixels(s, d, binsize=_BIN):
     return matrix.bin_contacts(derive.contacts(s, d), _sizes(s), binsize)
 
 
-@query("SELECT * FROM o", _SZ, _off(30_000_000 // 7))
+@query("SELECT chrom, length, CAST(ord AS INT) AS ord, n_bins, \"offset\" FROM o", _C, _OWN_SZ, _off(300_000 // 7))
 def genome_offsets(s, d):
-    return matrix.genome_offsets(_sizes(s), 30_000_000 // 7)
+    return matrix.genome_offsets(_own_sizes(s, d), 300_000 // 7)
 
 
-@query(f"SELECT \"offset\" + k AS bin_id, chrom, k * {30_000} AS start, least((k + 1) * {30_000}, length) AS \"end\" FROM o, LATERAL (SELECT unnest(range(0, n_bins)) AS k)", _SZ, _off(30_000))
+@query(f"SELECT \"offset\" + k AS bin_id, chrom, k * {30_000} AS start, least((k + 1) * {30_000}, length) AS \"end\" FROM o, LATERAL (SELECT unnest(range(0, n_bins)) AS k)", _C, _OWN_SZ, _off(30_000))
 def make_bins(s, d):
-    return matrix.make_bins(_sizes(s), 30_000)
+    return matrix.make_bins(_own_sizes(s, d), 30_000)
 
 
 @query("SELECT * FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
@@ -454,10 +463,11 @@ def matrix_value_range(s, d):
     return qc.value_range(_pixels(s, d), "count")
 
 
-@query("SELECT CAST(max(r) AS INT) AS resolution FROM (VALUES (5000), (10000), (25000), (50000), (100000), (250000)) t(r) WHERE 20000000 // r >= 500")
+@query("SELECT chrom, CAST(coalesce(max(r) FILTER (length // r >= 50), 1000) AS INT) AS resolution FROM sz, (VALUES (1000), (5000), (10000), (25000), (50000), (100000)) t(r) GROUP BY chrom", _C, _OWN_SZ)
 def resolution_choice(s, d):
-    r = genome.choose_resolution(20_000_000, [250_000, 100_000, 50_000, 25_000, 10_000, 5_000])
-    return s.createDataFrame([(r,)], "resolution int")
+    """For each chromosome, as long as the contacts reach, the coarsest resolution that gives fifty bins."""
+    found = [(r["chrom"], genome.choose_resolution(r["length"], [100_000, 50_000, 25_000, 10_000, 5_000, 1_000], 50)) for r in _own_sizes(s, d).collect()]
+    return s.createDataFrame(found, "chrom string, resolution int")
 
 
 @query("SELECT p_partkey, CASE WHEN n // 1000000 = 0 THEN concat(n // 1000, 'K') WHEN n % 1000000 // 1000 = 0 THEN concat(n // 1000000, 'M') ELSE concat(n // 1000000, 'M', n % 1000000 // 1000, 'K') END AS unit FROM (SELECT p_partkey, p_partkey * 25000 AS n FROM part)")

@@ -580,10 +580,75 @@ def trim_reads(s, d):
     return _trimmed(s, d).select("seqid", "flag", F.col("pet1.seq").alias("pet1"), F.col("pet2.seq").alias("pet2"))
 
 
-@query()
+def _aligned(name: str, source: str, seq: str, query: str) -> str:
+    """CTEs up to ``name`` (seqid, s, e, qs, qe, matches, cost): every read of ``source`` against ``query``, cell by cell, a row of the table for each letter of the read.
+    A cell is one integer of cost, matches and where the alignment began; the ends at the query's end are kept behind the row."""
+    n, cost, match, zero = len(query), 1 << 42, 1 << 21, 1 << 20
+    codes = f"[{', '.join(str(ord(c)) for c in query)}]"
+    of = lambda v: f"({v} // {cost})"
+    moved = f"CASE WHEN {of('h[j[1]]')} <= {of('h[j[1] + 1]')} AND {of('h[j[1]]')} <= {of('r[j[1]]')} THEN h[j[1]] WHEN {of('h[j[1] + 1]')} <= {of('r[j[1]]')} THEN h[j[1] + 1] ELSE r[j[1]] END + {cost}"
+    row = f"list_reduce(list_concat([[{zero} - x[1]]], {[[j] for j in range(1, n + 1)]}), lambda r, j: list_append(r, CASE WHEN {codes}[j[1]] = x[2] THEN h[j[1]] + {match} ELSE {moved} END))"
+    return f"""{name}_t AS MATERIALIZED (SELECT seqid, length({seq}) AS m, list_reduce(list_concat([[{', '.join(f'{zero + j}::BIGINT' for j in range(n + 1))}]],
+   list_transform(range(1, length({seq}) + 1), lambda i: [i, CAST(ascii(substr({seq}, i, 1)) AS BIGINT)])), lambda h, x: list_concat({row}, list_slice(h, {n + 2}, len(h)), [h[{n + 1}]])) AS h FROM {source} WHERE length({seq}) > 0 AND strpos({seq}, '{query}') = 0),
+ {name}_e AS (SELECT seqid, c[1] AS ord, c[2] AS i, c[3] AS j, c[4] // {cost} AS cost, c[4] % {cost} // {match} AS matches, c[4] % {match} - {zero} AS origin FROM (SELECT seqid, unnest(list_concat(list_transform(range(1, {n + 1}), lambda j: [j, m, j, h[j + 1]]),
+   list_transform(range(0, m + 1), lambda i: [{n + 1} + i, i, {n}, CASE WHEN i = m THEN h[{n + 1}] ELSE h[{n + 2} + i] END]))) AS c FROM {name}_t)),
+ {name} AS MATERIALIZED (SELECT seqid, greatest(-origin, 0) AS s, i AS e, greatest(origin, 0) AS qs, j AS qe, matches, cost FROM {name}_e WHERE i + least(origin, 0) >= 1 AND cost <= i + least(origin, 0)
+   QUALIFY row_number() OVER (PARTITION BY seqid ORDER BY matches DESC, cost, ord) = 1)"""
+
+
+def _trim_cte(linkers: tuple[str, ...], most: int) -> str:
+    """CTEs up to ``cut``: reads with the best of their linkers, the adapter behind it, bounds, flags and tags."""
+    dp = ",\n ".join(_aligned(f"l{k}", "reads", "seq", q) for k, q in enumerate(linkers))
+    exact = lambda k: f"strpos(seq, '{linkers[k]}')"
+    # linkers come in order; the first that occurs as it is ends the search, else the cheapest near one counts, and where none is near the last one is shown
+    shown = ["{'s': NULL::BIGINT, 'e': NULL::BIGINT, 'qs': NULL::BIGINT, 'qe': NULL::BIGINT, 'matches': NULL::BIGINT, 'cost': NULL::BIGINT, 'which': -1, 'best': 1073741824::BIGINT, 'over': FALSE}"]
+    for k, q in enumerate(linkers):
+        was, n = f"a{k}", len(q)
+        hit = f"{{'s': {exact(k)} - 1, 'e': {exact(k)} - 1 + {n}, 'qs': 0, 'qe': {n}, 'matches': {n}, 'cost': 0, 'which': {k}, 'best': 0, 'over': TRUE}}"
+        got = f"l{k}.s, 'e': l{k}.e, 'qs': l{k}.qs, 'qe': l{k}.qe, 'matches': l{k}.matches, 'cost': l{k}.cost"
+        shown.append(f"CASE WHEN {was}.over THEN {was} WHEN {exact(k)} > 0 THEN {hit} WHEN l{k}.cost <= {most} AND l{k}.cost < {was}.best THEN {{'s': {got}, 'which': {k}, 'best': l{k}.cost, 'over': FALSE}}"
+                     f" WHEN {was}.which < 0 AND (l{k}.cost IS NULL OR l{k}.cost > {most}) THEN {{'s': {got}, 'which': -1, 'best': {was}.best, 'over': FALSE}} ELSE {was} END")
+    steps = "".join(f",\n s{k + 1} AS (SELECT seqid, seq, q, {e} AS a{k + 1} FROM s{k} LEFT JOIN l{k} USING (seqid))" for k, e in enumerate(shown[1:]))
+    intra = "2" if len(linkers) == 1 else "CASE WHEN h.which < 2 THEN 2 ELSE 0 END"
+    ad, n = derive.ADAPTER, len(derive.ADAPTER)
+    return f"""{dp},
+ s0 AS (SELECT seqid, seq, translate(seq, 'ACGT', '5?IJ') AS q, {shown[0]} AS a0 FROM reads){steps},
+ found AS MATERIALIZED (SELECT *, h.which >= 0 AS linked, substr(seq, CAST(h.e AS INT) + 1) AS rest FROM (SELECT seqid, seq, q, a{len(linkers)} AS h FROM s{len(linkers)})),
+ linked AS MATERIALIZED (SELECT * FROM found WHERE linked),
+ {_aligned('ad', 'linked', 'rest', ad)},
+ b0 AS (SELECT f.*, CASE WHEN ends_with(rest, '{ad}') THEN length(rest) - {n} WHEN strpos(rest, '{ad}') > 0 THEN strpos(rest, '{ad}') - 1 ELSE ad.s END AS ad_s,
+   CASE WHEN strpos(rest, '{ad}') > 0 THEN 0 ELSE ad.cost END AS ad_cost FROM found f LEFT JOIN ad USING (seqid)),
+ b1 AS (SELECT *, linked AND coalesce(ad_cost <= 6, FALSE) AS near, h.s AS b, h.e AS c FROM b0),
+ b2 AS (SELECT *, CASE WHEN near AND c + ad_s > 0 THEN c + ad_s ELSE length(seq) END AS z FROM b1),
+ b3 AS (SELECT *, CASE WHEN linked THEN {intra} + CASE WHEN near THEN 0 ELSE 4 END + CASE WHEN b > 22 THEN 64 WHEN b < 10 THEN 32 ELSE 0 END + CASE WHEN z - c > 22 THEN 256 WHEN z - c < 10 THEN 128 ELSE 0 END ELSE 1 END AS f,
+   CASE WHEN b > 22 THEN b - 20 ELSE 0 END AS x, CASE WHEN z - c > 22 THEN c + 20 ELSE z END AS y FROM b2),
+ b4 AS (SELECT *, CASE WHEN linked THEN substr(seq, CAST(x + 1 AS INT), CAST(greatest(b - x, 0) AS INT)) END AS l, CASE WHEN linked THEN substr(q, CAST(x + 1 AS INT), CAST(greatest(b - x, 0) AS INT)) END AS lq,
+   CASE WHEN linked THEN substr(seq, CAST(c + 1 AS INT), CAST(greatest(y - c, 0) AS INT)) END AS r, CASE WHEN linked THEN substr(q, CAST(c + 1 AS INT), CAST(greatest(y - c, 0) AS INT)) END AS rq FROM b3),
+ cut AS (SELECT seqid, CAST(f + CASE WHEN l LIKE '%TTA' THEN 8 ELSE 0 END + CASE WHEN r LIKE 'TAA%' THEN 16 ELSE 0 END AS INT) AS flag, CASE WHEN l LIKE '%TTA' THEN l || 'A' ELSE l END AS pet1, CASE WHEN l LIKE '%TTA' THEN lq || right(q, 1) ELSE lq END AS qual1,
+   CASE WHEN r LIKE 'TAA%' THEN 'T' || r ELSE r END AS pet2, CASE WHEN r LIKE 'TAA%' THEN left(q, 1) || rq ELSE rq END AS qual2, CAST(h.s AS INT) AS ref_start, CAST(h.e AS INT) AS ref_stop, CAST(h.qs AS INT) AS query_start, CAST(h.qe AS INT) AS query_stop,
+   CAST(h.matches AS INT) AS matches, CAST(h.cost AS INT) AS cost, CAST(CASE WHEN linked THEN ad_s END AS INT) AS adapter_start, CAST(CASE WHEN linked THEN ad_cost END AS INT) AS adapter_cost FROM b4)"""
+
+
+def _inexact(s, d, linkers, mismatch):
+    cfg = trim.TrimConfig(linkers, _SITE, mismatch=mismatch, adapter=derive.ADAPTER)
+    reads = derive.tiles(s, d).withColumn("quality", F.translate("seq", "ACGT", "5?IJ"))
+    ends = [F.col(f"pet{k}.{c}").alias(f"{n}{k}") for k in (1, 2) for c, n in (("seq", "pet"), ("qual", "qual"))]
+    return trim.trim(reads, cfg).select("seqid", "flag", *ends, "linker.*", F.col("adapter.ref_start").alias("adapter_start"), F.col("adapter.cost").alias("adapter_cost"))
+
+
+@query("SELECT * FROM cut", _T, _trim_cte((derive.LINKER,), 4))
 def trim_reads_inexact(s, d):
-    """Reads of which a quarter has no linker: the aligner looks at each of those. Held against scalar alignment in the tests."""
-    return _trimmed(s, d, False).select("seqid", "flag", F.col("pet1.seq").alias("pet1"), F.col("pet2.seq").alias("pet2"), "linker.*")
+    """Reads of which a quarter has no linker: the aligner looks at each of those. With qualities, and the adapter's alignment."""
+    return _inexact(s, d, (derive.LINKER,), 4)
+
+
+_OTHER_LINKERS = ("GACCTGAATTCAGGTC", "ACGACGTTAACGTCGT")
+
+
+@query("SELECT * FROM cut", _T, _trim_cte((derive.LINKER, *_OTHER_LINKERS), 8))
+def trim_reads_linkers(s, d):
+    """Three linkers and up to eight differences: reads without the first take the cheapest of them, and most of those are inexact."""
+    return _inexact(s, d, (derive.LINKER, *_OTHER_LINKERS), 8)
 
 
 @query(f"SELECT seqid, CAST(b AS INT) AS ref_start, CAST(c AS INT) AS ref_stop, 0 AS query_start, {_N} AS query_stop, {_N} AS matches, 0 AS cost FROM x2", _K, _TRIM)

@@ -1,6 +1,6 @@
 """De-duplication of contacts: exact, by fragment tags (two ways), and within a distance.
 
-``exact`` and ``strict`` are aggregates over the whole key, combined before the shuffle. ``islands`` and ``distance`` depend on an order; both group by more
+``exact`` is an aggregate over the whole key, combined before the shuffle; ``strict`` takes the first row of each key after one sort. ``islands`` and ``distance`` depend on an order; both group by more
 than the chromosome pair, so that one pair of chromosomes is never one task: islands by the first fragment, distance by
 the cuts between rows that cannot belong together.
 """
@@ -19,7 +19,13 @@ from ..session import written
 from .contacts import is_bedpe
 
 
-# Groups of several strings have a hash of them as their first key: sorts compare the first eight bytes of the first key, which would be the same for most rows.
+# Tag groups are dealt out by a hash of their key, which is also the first key of the one sort that follows: sorts compare the first eight bytes of the first
+# key, and those of several strings would be the same for most rows. Nothing is combined before the shuffle, as few rows of real libraries share their tags.
+
+
+def _dealt(df: DataFrame, *key: str) -> DataFrame:
+    """``df`` with ``_h``, the hash by which it is dealt out."""
+    return df.withColumn("_h", F.xxhash64(*key)).repartition("_h")
 
 
 def _line(df: DataFrame):
@@ -38,16 +44,15 @@ def strict(df: DataFrame) -> DataFrame:
     """One row per chromosomes, fragment tags and strands: the smallest by its other columns in their order."""
     _need_tags(df)
     key = ["tag1", "tag2", "chr1", "chr2", "strand1", "strand2"]
-    rest = [c for c in df.columns if c not in key]
-    out = df.groupBy(F.xxhash64(*key).alias("_h"), *key).agg(F.min(F.struct(*rest)).alias("_r"))
-    return out.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
+    w = Window.partitionBy("_h", *key).orderBy(*[c for c in df.columns if c not in key])
+    return _dealt(df, *key).withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*df.columns)
 
 
 def islands(df: DataFrame) -> DataFrame:
     """Rows that differ in second tag or strands from the row before, ordered by the first distance as text: equal rows that are apart both stay."""
     _need_tags(df)
-    rows = df.withColumn("_line", _line(df))
-    w = Window.partitionBy(F.xxhash64("tag1", "chr1", "chr2"), "tag1", "chr1", "chr2").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
+    rows = _dealt(df, "tag1", "chr1", "chr2").withColumn("_line", _line(df))
+    w = Window.partitionBy("_h", "tag1", "chr1", "chr2").orderBy(F.col("dis1").cast("string"), "strand1", "strand2", "_line")
     mine = F.struct("tag2", "strand1", "strand2")
     return rows.withColumn("_p", F.lag(mine).over(w)).where(F.col("_p").isNull() | (F.col("_p") != mine)).select(*df.columns)
 

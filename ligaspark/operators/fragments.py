@@ -61,27 +61,26 @@ def _by_arrays(df: DataFrame, sites: DataFrame, site_len: int) -> DataFrame:
     arrays = {c: np.sort(g["pos"].to_numpy(np.int64)) for c, g in held.groupby("chrom")}
     sent = df.sparkSession.sparkContext.broadcast(arrays)
 
-    @F.pandas_udf("idx long, side string, dis long")
+    @F.pandas_udf("idx long, before boolean, dis long")
     def nearest(chrom: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
-        idx, side, dis = np.zeros(len(chrom), np.int64), np.full(len(chrom), "s", dtype=object), np.zeros(len(chrom), dtype=object)
+        n = len(chrom)
+        idx, before, dis, unknown = np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n, np.int64), np.zeros(n, bool)
         s, e = start.to_numpy(np.int64), end.to_numpy(np.int64)
         codes, names = pd.factorize(chrom)
         for k, name in enumerate(names):
             p = sent.value.get(name)
-            at = np.flatnonzero(codes == k)
             if p is None or not len(p):
                 continue
+            at = np.flatnonzero(codes == k)
             fs, fe = np.searchsorted(p, s[at] + 1, side="right"), np.searchsorted(p, e[at] - site_len - 1, side="right")
             lo = p[np.maximum(fs - 1, 0)]
             hi = np.where(fe < len(p), p[np.minimum(fe, len(p) - 1)], -1)
-            i, sd, d, unknown = nearest_rule(fs, fe, lo, hi, s[at], e[at])
-            idx[at], side[at] = i, sd
-            d = d.astype(object)
-            d[unknown] = None
-            dis[at] = d
-        return pd.DataFrame({"idx": idx, "side": side, "dis": pd.array(dis, dtype="Int64")})
-
-    return df.withColumns({f"_f{k}": nearest(f"chr{k}", f"start{k}", f"end{k}") for k in (1, 2)})
+            idx[at], side, dis[at], unknown[at] = nearest_rule(fs, fe, lo, hi, s[at], e[at])
+            before[at] = side == "s"
+        return pd.DataFrame({"idx": idx, "before": before, "dis": pd.arrays.IntegerArray(dis, unknown)})
+
+    found = df.withColumns({f"_f{k}": nearest(f"chr{k}", f"start{k}", f"end{k}") for k in (1, 2)})
+    return found.withColumns({f"_f{k}": F.struct(F.col(f"_f{k}.idx").alias("idx"), F.when(F.col(f"_f{k}.before"), "s").otherwise("t").alias("side"), F.col(f"_f{k}.dis").alias("dis")) for k in (1, 2)})
 
 
 def site_bins(sites: DataFrame, width: int) -> DataFrame:

@@ -1,7 +1,7 @@
 """Adapter inference, consensus sequences, base frequencies and quality encodings.
 
-Reads are taken from a fixed start, where the adapter begins at the same place in most of them, and columns are compared without gaps, or, for a bounded number of
-reads, after a multiple alignment. If no column is conserved enough, the commonest k-mers are joined greedily instead.
+Reads are taken from a fixed start, where the adapter begins at the same place in most of them, and columns are compared without gaps, or
+after a multiple alignment. If no column is conserved enough, the commonest k-mers are joined greedily instead.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.alignment import star_alignment
+from ..functions import profiles
+from ..session import written
 
 ORDER = ("A", "T", "C", "G", "-")
 
@@ -79,19 +80,58 @@ def longest_run(text):
     return F.array_max(runs)["run"]
 
 
-ALIGNED = 200
+_TOGETHER_SEQS, _ARITY = 64, 16  # different sequences that are aligned in one group, and profiles that are merged in one
 
 
-def aligned(few: DataFrame, most: int = ALIGNED) -> DataFrame:
-    """(seq): at most ``most`` of the sequences with gaps, all of one length."""
-    rows = sorted(r["seq"] for r in few.orderBy(F.xxhash64("seq"), "seq").limit(most).select("seq").collect())
-    return few.sparkSession.createDataFrame([(x,) for x in star_alignment(rows)], "seq string")
+def aligned_frequency(seqs: DataFrame, seq: str = "seq") -> DataFrame:
+    """(pos, base, p): shares of A, T, C, G and gaps in the columns of a multiple alignment of any number of sequences; N is left out.
+
+    Equal sequences are counted first. The different ones are dealt by a hash to groups of about ``_TOGETHER_SEQS``; in each, the commonest is aligned with the next
+    one, and so on, and the groups' profiles are merged in a tree, ``_ARITY`` at a time. What moves are profiles, as wide as a sequence, and each level is written.
+    Groups and orders follow from the sequences alone, so reruns agree. Null and empty sequences take no part; none at all give no rows.
+    """
+    distinct = written(seqs.select(F.col(seq).cast("string").alias("s")).where("s <> ''").groupBy("s").agg(F.count(F.lit(1)).alias("n")))
+    groups = -(-distinct.count() // _TOGETHER_SEQS)
+    if not groups:
+        return seqs.sparkSession.createDataFrame([], "pos int, base string, p double")
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.select(["s", "n", "g"]).to_pylist()), key=lambda r: (-r["n"], r["s"]))
+        yield _merge(rows[0]["g"], [(profiles.of_sequence(r["s"], r["n"]), r["n"]) for r in rows])
+
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["g"])
+        yield _merge(rows[0]["up"], [(np.frombuffer(r["columns"], np.int64).reshape(-1, 5), r["n"]) for r in rows])
+
+    schema = "g long, n long, columns binary"
+    level = written(distinct.withColumn("g", F.pmod(F.xxhash64("s"), F.lit(groups))).groupBy("g").applyInArrow(begin, schema))
+    while groups > 1:
+        groups = -(-groups // _ARITY)
+        level = written(level.withColumn("up", F.expr(f"g div {_ARITY}")).groupBy("up").applyInArrow(go_on, schema))
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts = np.frombuffer(row["columns"], np.int64).reshape(-1, 5)
+                total = counts.sum(axis=1)
+                at, k = np.nonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([profiles.LETTERS[i] for i in k.tolist()], pa.string()), pa.array(counts[at, k] / total[at])], names=["pos", "base", "p"])
+
+    return level.mapInArrow(shares, "pos int, base string, p double")
+
+
+def _merge(group: int, parts: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+    columns, n = parts[0]
+    for other, m in parts[1:]:
+        columns = profiles.merged(columns, n, other, m)
+        n += m
+    return pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([n], pa.int64()), pa.array([columns.tobytes()], pa.binary())], names=["g", "n", "columns"])
 
 
 def infer_adapter(reads: DataFrame, n: int = 1000, start: int = 70, threshold: float = 0.75, order: str = "rec_idx", k: int = 12, align: bool = False) -> str:
     """The conserved sequence that begins at ``start`` in the first ``n`` reads; "" if there is none. ``align``: columns are those of a multiple alignment."""
     few = first_records(reads, n, order).select(F.expr(f"substring(seq, {start + 1}, length(seq))").alias("seq")).where("seq <> ''")
-    row = joined(consensus(base_frequency(aligned(few) if align else few), threshold)).select(longest_run(F.col("consensus")).alias("run")).first()
+    row = joined(consensus(aligned_frequency(few) if align else base_frequency(few), threshold)).select(longest_run(F.col("consensus")).alias("run")).first()
     run = row["run"] or ""
     if len(run) >= k:
         return run

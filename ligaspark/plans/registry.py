@@ -728,3 +728,22 @@ def prefix_comparison(s, d):
 
 
 from . import file_queries  # noqa: E402, F401 - registers the queries over files
+
+
+def _edited(s, d):
+    """For each customer the adapter, whole or with a letter left out, put in or replaced at a place of its own."""
+    at, n, ad = F.col("c_custkey") % (len(derive.ADAPTER) - 4) + 2, len(derive.ADAPTER), F.lit(derive.ADAPTER)
+    left = F.substr(ad, F.lit(1), at.cast("int"))
+    rest = lambda k: F.substr(ad, (at + k).cast("int"), F.lit(n))
+    letter = F.substr(F.lit("ACGT"), (F.expr("c_custkey div 7") % 4 + 1).cast("int"), F.lit(1))
+    kind = F.col("c_custkey") % 6
+    seq = F.when(kind == 0, F.concat(left, rest(2))).when(kind == 1, F.concat(left, letter, rest(1))).when(kind == 2, F.concat(left, letter, rest(2))).otherwise(ad)
+    return s.read.parquet(f"{d}/customer.parquet").select(seq.alias("seq"))
+
+
+@query(f"SELECT '{derive.ADAPTER}' AS consensus, {len(derive.ADAPTER)} AS conserved FROM (SELECT count(*) AS n FROM customer) WHERE n > 0")
+def aligned_consensus(s, d):
+    """The adapter behind reads with insertions and deletions, from a multiple alignment of all of them, and how many of its columns most reads agree on."""
+    columns = adapters.consensus(adapters.aligned_frequency(_edited(s, d)), 0.6)
+    kept = F.replace("consensus", F.lit("-"), F.lit(""))
+    return adapters.joined(columns).select(kept.alias("consensus"), F.length(kept).alias("conserved"))

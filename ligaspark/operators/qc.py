@@ -76,15 +76,18 @@ def upper_long(wide: DataFrame, chroms: list[str]) -> DataFrame:
 def quantiles(df: DataFrame, value: str, shares: dict[str, float], *by: str) -> DataFrame:
     """A row per group with the exact linear quantiles; nulls do not count.
 
-    Values are counted first, which combines before the shuffle. Ranks are running sums in two steps, within buckets of values and over bucket totals, so no task
-    holds all values of a group; then only the rows at the two ranks around each quantile are left.
+    Values are counted first, which combines before the shuffle. Ranks are running sums in two steps, within buckets of values and over bucket totals; then only the
+    rows at the two ranks around each quantile are left. Buckets are even in the logarithm of the distance from the least value and from the greatest, so
+    values far more crowded than the range between them, as those of spans are, or far outliers at either end, still fall into many.
     """
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
     ends = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_k").alias("_n"))
     same = lambda a, b: a.join(F.broadcast(b)) if not by else a.join(b, list(by))
     spread = F.col("_hi") - F.col("_lo")
-    rows = same(rows, ends).withColumn("_b", F.when(spread == 0, F.lit(0)).otherwise(F.floor((F.col("_v") - F.col("_lo")) * 4096 / F.when(spread != 0, spread))).cast("int"))
+    depth = lambda far: F.floor(F.log1p(far / F.when(spread != 0, spread) * 2.0**40) * 64)  # noqa: E731 - rises with ``far``, so their difference rises with the value
+    bucket = depth(F.col("_v") - F.col("_lo")) - depth(F.col("_hi") - F.col("_v"))
+    rows = same(rows, ends).withColumn("_b", F.when(spread == 0, F.lit(0)).otherwise(bucket).cast("int"))
     group = [*by] or [F.lit(0)]
     before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over one row per bucket
     totals = rows.groupBy(*by, "_b").agg(F.sum("_k").alias("_t")).withColumn("_base", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")

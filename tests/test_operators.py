@@ -270,3 +270,19 @@ def test_prefixes_with_wildcards(spark):
     for wild in ((False, False), (True, False), (False, True), (True, True)):
         rows = df.select("a", "b", prefix_agreement(F.col("a"), F.col("b"), *wild).alias("x")).collect()
         assert all(tuple(r["x"]) == compare_prefixes(r["a"], r["b"], *wild) for r in rows)
+
+
+def test_quantiles_with_far_outliers(spark):
+    """Exact whatever the spread, at either end."""
+    import numpy as np
+
+    from ligaspark.operators import qc
+
+    rng = np.random.default_rng(3)
+    for far in ([1e12], [-1e12], [1e12, -1e12], []):
+        x = np.concatenate([rng.exponential(300, 2_000).round(2), np.array(far), [5.0] * 7])
+        df = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(x)], "v double, g int")
+        got = qc.quantiles(df, "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}).first()
+        assert np.allclose([got[k] for k in "abcde"], np.quantile(x, [0, 0.25, 0.5, 0.99, 1]), rtol=1e-12, atol=1e-9)
+        for r in qc.quantiles(df, "v", {"c": 0.5}, "g").collect():
+            assert np.isclose(r["c"], np.quantile(x[r["g"] :: 2], 0.5))

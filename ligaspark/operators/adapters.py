@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import profiles
 from ..session import written
+from . import suffix_array
 
 ORDER = ("A", "T", "C", "G", "-")
 
@@ -208,14 +209,11 @@ def common_substrings(seqs: DataFrame, length: int, seq: str = "seq") -> DataFra
 
 
 def longest_common_substring(seqs: DataFrame, seq: str = "seq") -> str:
-    """By bisection over lengths: if a substring of some length is common, so are shorter ones. Ties go to the one that sorts first."""
-    top = seqs.agg(F.min(F.length(seq)).alias("n")).first()["n"] or 0
-    low, best = 0, ""
-    while low < top:
-        mid = (low + top + 1) // 2
-        found = common_substrings(seqs, mid, seq).agg(F.min("sub").alias("s")).first()["s"]
-        if found is None:
-            top = mid - 1
-        else:
-            low, best = mid, found
+    """The longest substring of all rows, by names of substrings (:mod:`suffix_array`). Ties go to the one that sorts first; a null or empty row leaves nothing."""
+    n = seqs.count()
+    if not n:
+        return ""
+    found = suffix_array.ranks(seqs.select(F.monotonically_increasing_id().alias("name"), seq), "name", seq)
+    best = suffix_array.longest_common(found, n)
+    found.discard()
     return best

@@ -727,7 +727,7 @@ def prefix_comparison(s, d):
     return two.select("seqid", got["ref_stop"].alias("n"), got["matches"].alias("matches"))
 
 
-from . import file_queries  # noqa: E402, F401 - registers the queries over files
+from . import file_queries, suffix_queries  # noqa: E402, F401 - register the queries over files and of suffix arrays
 
 
 def _edited(s, d):

@@ -146,13 +146,81 @@ def balance(pixels: DataFrame, iterations: int = 50, tolerance: float = 1e-5, ig
     return out
 
 
-def knight_ruiz(pixels: DataFrame, iterations: int = 200, tolerance: float = 1e-10) -> DataFrame:
-    """(bin_id, norm): the vector of Knight and Ruiz (2013), by whose products counts are divided: every row of the result sums to the mean row sum of the counts.
-    Their scaling is unique, so it is reached by the balancing rounds above, to a tighter end, and scaled once."""
-    weights = balance(pixels, iterations, tolerance)
-    total = marginals(apply_weights(pixels, weights).select("bin1_id", "bin2_id", F.col("balanced").alias("v")), "v").agg(F.avg("total").alias("_b"))
-    wanted = marginals(pixels).agg(F.avg("total").alias("_c"))  # one row each
-    return weights.join(F.broadcast(total)).join(F.broadcast(wanted)).select("bin_id", (1 / (F.col("weight") * F.sqrt(F.col("_c") / F.col("_b")))).alias("norm"))
+def on_diagonal_bins(pixels: DataFrame) -> DataFrame:
+    """Pixels between bins that have contacts within themselves. Such a matrix can be balanced (each of its cells lies on a permutation without zeros); others may not."""
+    for k in (1, 2):
+        pixels = pixels.join(_diagonal(pixels).withColumnRenamed("bin_id", f"bin{k}_id"), f"bin{k}_id", "left_semi")
+    return pixels.select("bin1_id", "bin2_id", "count")
+
+
+def _diagonal(pixels: DataFrame) -> DataFrame:
+    return pixels.where("bin1_id = bin2_id AND count > 0").select(F.col("bin1_id").alias("bin_id"))
+
+
+def knight_ruiz(pixels: DataFrame, iterations: int = 300, tolerance: float = 1e-9) -> DataFrame:
+    """(bin_id, norm): the vector by whose products counts are divided so that every row sums to the mean row sum of the counts, by the method of Knight and Ruiz (2013).
+
+    Sought is x > 0 with x * (A x) = 1 in every row. Newton's equation for the factors y by which x changes, (diag(x * A x) + X A X) (y - 1) = 1 - x * A x, is solved by conjugate
+    gradients, preconditioned by its diagonal, only as far as the residual so far deserves; a step that would leave 0.1 < y < 3 is cut there. It ends where the norm of 1 - x * A x
+    is at most ``tolerance``, or after so many products with the matrix: then, as for matrices that no x balances (see :func:`on_diagonal_bins`), with what it has. Bins whose counts are all 0 have no norm.
+
+    A product is a join of the cells, written once, with a row per bin, and a sum by row; the vectors are a table per step that replaces the last; the driver sees sums over bins only.
+    """
+    cells = written(mirrored(pixels.where("count > 0")).select(F.col("bin1_id").alias("i"), F.col("bin2_id").alias("j"), F.col("count").cast("double").alias("a")))
+
+    def times(vectors: DataFrame, value) -> DataFrame:
+        """``vectors`` with ``t``, the matrix's product with a value of them; written."""
+        sums = cells.join(vectors.select(F.col("bin_id").alias("j"), value.alias("_q")), "j").groupBy("i").agg(F.sum(F.col("a") * F.col("_q")).alias("t"))
+        return written(vectors.join(sums.withColumnRenamed("i", "bin_id"), "bin_id"))
+
+    def add(vectors: DataFrame, **values) -> list:
+        return list(vectors.agg(*[f.alias(n) for n, f in values.items()]).first())
+
+    x, v, r, p, y, t = map(F.col, "xvrpyt")
+    start = cells.select(F.col("i").alias("bin_id")).distinct().select("bin_id", F.lit(1.0).alias("x"))
+    now, done, forcing, before = times(start, x), 1, 0.1, None
+    scale = add(now, mean=F.avg("t"))[0]  # the mean row sum of the counts; x begins where rows sum to 1 on average
+    if scale is None:
+        discard(cells)
+        return now.select("bin_id", x.alias("norm"))
+    now = _replaced(now, now.select("bin_id", F.lit(scale**-0.5).alias("x"), (t / scale).alias("v")))
+    while True:
+        rest = add(now, rest=F.sum((1 - v) * (1 - v)))[0]
+        if before is not None and before > 0:
+            forcing = min(0.1, max(0.9 * rest / before, 0.5 * tolerance / max(rest, tolerance**2) ** 0.5))
+        if rest <= tolerance**2 or done >= iterations:
+            break
+        before = rest
+        step = now.select("bin_id", "x", "v", (1 - v).alias("r"), ((1 - v) / v).alias("p"), F.lit(1.0).alias("y"))
+        size = add(step, size=F.sum(r * r / v))[0]
+        held = None
+        while size > max(forcing**2 * rest, tolerance**2) and done < iterations:
+            made = times(step, x * p)
+            discard(*([held] if held is not None else []))
+            held, done = made, done + 1
+            w = x * t + v * p
+            far = size / add(made, pw=F.sum(p * w))[0]
+            room = F.min(F.when(p < 0, (0.1 - y) / p).when(p > 0, (3 - y) / p))
+            reach, after = add(made, room=room, after=F.sum((r - far * w) * (r - far * w) / v))
+            cut = reach is not None and reach <= far
+            far = reach if cut else far
+            step = made.select("bin_id", "x", "v", (r - far * w).alias("r"), ((r - far * w) / v + (after / size) * p).alias("p"), (y + far * p).alias("y"))
+            size = after
+            if cut:
+                break
+        moved = times(step.select("bin_id", (x * y).alias("x")), x)
+        discard(*([held] if held is not None else []), now)
+        now, done = _replaced(moved, moved.select("bin_id", "x", (x * t).alias("v"))), done + 1
+    discard(cells)
+    out = now.select("bin_id", (1 / (x * F.lit(scale) ** 0.5)).alias("norm"))
+    out._ligaspark_path = now._ligaspark_path
+    return out
+
+
+def _replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A frame over a written table, carrying its path on, so that it is deleted with it."""
+    new._ligaspark_path = old._ligaspark_path
+    return new
 
 
 def apply_weights(pixels: DataFrame, weights: DataFrame) -> DataFrame:

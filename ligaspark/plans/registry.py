@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import genome
 from ..functions import sequences
 from ..operators import adapters, alignments, contacts, dedup, fragments, matrix, qc, trim
+from ..session import written
 from . import derive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -458,6 +459,17 @@ def ice_balance(s, d):
     return matrix.balance(_pixels(s, d, 500_000), iterations=_ROUNDS, tolerance=0.0).withColumn("weight", F.round("weight", 6))
 
 
+# Geometric averages of x and of what would balance each row, over and over.
+_KR = """dg AS (SELECT bin1_id AS b FROM px WHERE bin1_id = bin2_id), own AS (SELECT * FROM px WHERE bin1_id IN (FROM dg) AND bin2_id IN (FROM dg)),
+cells AS MATERIALIZED (SELECT bin1_id AS i, bin2_id AS j, count FROM own UNION ALL SELECT bin2_id, bin1_id, count FROM own WHERE bin1_id <> bin2_id),
+rounds AS (SELECT 0 AS k, i, 1.0::DOUBLE AS x FROM (SELECT DISTINCT i FROM cells) UNION ALL SELECT k + 1, c.i, sqrt(max(r.x) FILTER (c.i = c.j) / sum(c.count * r.x)) FROM rounds r JOIN cells c ON c.j = r.i WHERE k < 200 GROUP BY k, c.i)"""
+
+
+@query("SELECT i AS bin_id, round(1 / (x * sqrt((SELECT sum(count) / count(DISTINCT i) FROM cells))), 5) AS norm FROM rounds WHERE k = 200", "RECURSIVE " + _C, _SZ, _off(5_000), _px(5_000), _KR)
+def knight_ruiz_norms(s, d):
+    return matrix.knight_ruiz(matrix.on_diagonal_bins(written(_pixels(s, d, 5_000)))).withColumn("norm", F.round("norm", 5))
+
+
 @query("SELECT CAST(min(count) FILTER (count > (SELECT min(count) FROM px)) AS DOUBLE) AS lo, CAST(max(count) AS DOUBLE) AS hi FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
 def matrix_value_range(s, d):
     return qc.value_range(_pixels(s, d), "count")

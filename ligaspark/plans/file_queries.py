@@ -14,7 +14,7 @@ from ..sources.matrix_store import MatrixStore, write_store
 from ..streaming import counters
 from . import derive, report
 from .registry import (
-    _SITE, ORACLES, _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _OWN_SZ, _P, _S, _SZ, _T, _U, _VC, _W, _describe_sql, _LEN, _off, _own_sizes, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
+    _SITE, ORACLES, _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _OWN_SZ, _P, _S, _SZ, _T, _U, _VC, _W, _describe_sql, _expected_sql, _LEN, _off, _own_sizes, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
 )
 
 _COLS = "chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2"
@@ -280,6 +280,12 @@ def hic_normalized(s, d):
     return hic.read_hic(s, _hic_file(s, d, vectors), genome.Region("chr2"), width=500_000, norm="VC").withColumn("count", F.round("count", 6))
 
 
+@query("SELECT (bin1_id - a) * 500000 AS x, (bin2_id - a) * 500000 AS y, round(count * f / e, 6) AS count FROM nr JOIN ex USING (dist) JOIN fc USING (chrom), (SELECT \"offset\" AS a FROM o WHERE chrom = 'chr2') WHERE chrom = 'chr2'", _C, _SZ, _off(500_000), _px(500_000), _expected_sql())
+def hic_over_expected(s, d):
+    """Counts of a ``.hic`` file over the expected counts that it holds."""
+    return hic.read_hic(s, _hic_file(s, d), genome.Region("chr2"), width=500_000, over_expected=True).withColumn("count", F.round("count", 6))
+
+
 @query("SELECT 'derived' AS genome, CAST(8 AS INT) AS version, 'chr1,chr2,chr3,chr4,chr5' AS chromosomes, '500000,100000' AS resolutions")
 def hic_header(s, d):
     h = hic.read_header(hic.HadoopFile(s, _hic_file(s, d)))

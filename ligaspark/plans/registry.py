@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import genome
 from ..functions import sequences
-from ..operators import adapters, alignments, contacts, dedup, fragments, matrix, qc, trim
+from ..operators import adapters, alignments, contacts, dedup, expected, fragments, matrix, qc, trim
 from ..session import written
 from . import derive
 
@@ -470,6 +470,22 @@ def knight_ruiz_norms(s, d):
     return matrix.knight_ruiz(matrix.on_diagonal_bins(written(_pixels(s, d, 5_000)))).withColumn("norm", F.round("norm", 5))
 
 
+def _expected_sql() -> str:
+    """CTEs up to ``oe``: sums by distance, their running sums, for each distance the narrowest window that holds enough, and factors of chromosomes."""
+    return f"""nr AS (SELECT px.*, a.chrom, bin2_id - bin1_id AS dist FROM px JOIN o a ON bin1_id >= a."offset" AND bin2_id < a."offset" + a.n_bins),
+ds AS (SELECT k AS dist, (SELECT sum(greatest(n_bins - k, 0)) FROM o) AS cells FROM range(0, (SELECT max(n_bins) FROM o)) t(k)),
+sm AS MATERIALIZED (SELECT dist, sum(coalesce(n, 0)) OVER w AS so, sum(cells) OVER w AS sc FROM ds LEFT JOIN (SELECT dist, sum(count) AS n FROM nr GROUP BY dist) USING (dist) WINDOW w AS (ORDER BY dist)),
+wn AS (SELECT a.dist, w, z.so - coalesce(y.so, 0) AS n, z.sc - coalesce(y.sc, 0) AS cells FROM sm a CROSS JOIN range(0, (SELECT count(*) FROM sm)) v(w)
+ JOIN sm z ON z.dist = least(a.dist + w, (SELECT max(dist) FROM sm)) LEFT JOIN sm y ON y.dist = a.dist - w - 1),
+ex AS MATERIALIZED (SELECT dist, arg_min(n / cells, w) AS e FROM wn WHERE n >= 400 OR w = (SELECT max(w) FROM wn) GROUP BY dist),
+fc AS (SELECT chrom, sum(e * (n_bins - dist)) / (SELECT sum(count) FROM nr WHERE nr.chrom = o.chrom) AS f FROM o JOIN ex ON dist < n_bins GROUP BY chrom)"""
+
+
+@query("SELECT bin1_id, bin2_id, count, round(count * f / e, 6) AS oe FROM nr JOIN ex USING (dist) JOIN fc USING (chrom)", _C, _SZ, _off(50_000), _px(50_000), _expected_sql())
+def observed_over_expected(s, d):
+    return expected.over_expected(written(_pixels(s, d, 50_000)), _sizes(s), 50_000).withColumn("oe", F.round("oe", 6))
+
+
 @query("SELECT CAST(min(count) FILTER (count > (SELECT min(count) FROM px)) AS DOUBLE) AS lo, CAST(max(count) AS DOUBLE) AS hi FROM px", _C, _SZ, _off(_BIN), _px(_BIN))
 def matrix_value_range(s, d):
     return qc.value_range(_pixels(s, d), "count")

@@ -41,6 +41,9 @@ class Bytes:
         self.at += n
         return out
 
+    def skip(self, n: int) -> None:
+        self.at += n
+
     def numbers(self, fmt: str):
         got = struct.unpack("<" + fmt, self.take(struct.calcsize("<" + fmt)))
         return got[0] if len(got) == 1 else got
@@ -103,24 +106,35 @@ def read_header(source) -> Header:
 
 def read_footer(source, master: int) -> tuple[dict[str, tuple[int, int]], dict[tuple, tuple[int, int]]]:
     """Positions and sizes of matrices by ``c1_c2``, and of normalization vectors by (type, chromosome number, unit, width)."""
+    matrices, vectors, _ = _footer(source, master, False)
+    return matrices, vectors
+
+
+def read_expected(source, master: int) -> dict[tuple, tuple[np.ndarray, dict[int, float]]]:
+    """By (type, unit, width): expected counts by distance in bins, and by chromosome number what they are divided by. Type NONE is of counts as they are."""
+    return _footer(source, master, True)[2]
+
+
+def _footer(source, master: int, wanted: bool):
     b = Bytes(source, master)
     b.numbers("i")
     matrices = {}
     for _ in range(b.numbers("i")):
         key = b.text()
         matrices[key] = b.numbers("qi")
+    expected = {}
     for normed in (False, True):
         for _ in range(b.numbers("i")):
-            if normed:
-                b.text()
-            b.text(), b.numbers("i")
-            b.take(8 * b.numbers("i"))
-            b.take(12 * b.numbers("i"))
+            key = (b.text() if normed else "NONE", b.text(), b.numbers("i"))
+            n = b.numbers("i")
+            values = np.frombuffer(b.take(8 * n), "<f8") if wanted else b.skip(8 * n)
+            factors = np.frombuffer(b.take(12 * b.numbers("i")), np.dtype([("c", "<i4"), ("f", "<f8")]))
+            expected[key] = (values, dict(zip(factors["c"].tolist(), factors["f"].tolist(), strict=True)))
     vectors = {}
     for _ in range(b.numbers("i")):
         key = (b.text(), b.numbers("i"), b.text(), b.numbers("i"))
         vectors[key] = b.numbers("qi")
-    return matrices, vectors
+    return matrices, vectors, expected
 
 
 def block_index(source, position: int, unit: str, width: int) -> tuple[int, int, dict[int, tuple[int, int]]]:
@@ -198,8 +212,9 @@ def blocks_of(bins1: tuple[int, int], bins2: tuple[int, int], per: int, columns:
     return sorted(found | ({r * columns + c for c in z for r in a} if intra else set()))
 
 
-def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region | None = None, width: int | None = None, unit: str = "BP", norm: str = "NONE", source=None) -> DataFrame:
-    """(x, y, count) of a region, positions of bin starts. ``norm``: NONE, VC, VC_SQRT or KR, by which counts are divided (infinite where both norms' product is 0)."""
+def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region | None = None, width: int | None = None, unit: str = "BP", norm: str = "NONE", source=None, over_expected: bool = False) -> DataFrame:
+    """(x, y, count) of a region, positions of bin starts. ``norm``: NONE, VC, VC_SQRT or KR, by which counts are divided (infinite where both norms' product is 0).
+    ``over_expected``: within a chromosome, counts over what the file says is expected at their distance (of that ``norm``); infinite where that is 0."""
     given, source = source is not None, source or HadoopFile(spark, path)
     head = read_header(source)
     number = {c.removeprefix("chr"): i for i, (c, _) in enumerate(head.chromosomes)}
@@ -217,7 +232,16 @@ def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region |
     wanted = blocks_of(*[(a // width, z // width) for a, z in limits], per, columns, c1 == c2)
     places = [blocks[k] for k in wanted if k in blocks]
     norms = None if norm == "NONE" else [norm_vector(source, vectors[(norm, c, unit, width)][0]) for c in (c1, c2)]
-    version, sent = head.version, spark.sparkContext.broadcast(norms)
+    hoped = None
+    if over_expected:
+        if c1 != c2:
+            raise ValueError("expected counts are of cells within a chromosome")
+        found = read_expected(source, head.master)
+        if (norm, unit, width) not in found:
+            raise ValueError(f"the file holds no expected counts of {norm} at {width}")
+        values, factors = found[norm, unit, width]
+        hoped = values / factors.get(c1, 1.0)
+    version, sent, wanted_over = head.version, spark.sparkContext.broadcast(norms), spark.sparkContext.broadcast(hoped)  # as long as the chromosomes have bins
 
     reach = None if given else task_reader(path)
 
@@ -233,6 +257,10 @@ def read_hic(spark: SparkSession, path: str, region1: Region, region2: Region |
                     with np.errstate(divide="ignore", invalid="ignore"):
                         product = sent.value[0][x] * sent.value[1][y]
                         c = np.where(product == 0, np.inf, c / product)
+                if wanted_over.value is not None:
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        here = wanted_over.value[np.minimum(np.abs(x - y), len(wanted_over.value) - 1)]
+                        c = np.where(here == 0, np.inf, c / here)
                 yield pa.RecordBatch.from_arrays([pa.array(x * width), pa.array(y * width), pa.array(c)], names=["x", "y", "count"])
 
     if not places:

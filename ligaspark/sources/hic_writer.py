@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import matrix
+from ..operators import expected, matrix
 from ..session import discard, written
 
 BLOCK = 1000
@@ -109,7 +109,13 @@ def write_hic(spark: SparkSession, pixels: dict[int, DataFrame], sizes: DataFram
                 listed.append(_text(name) + struct.pack("<i", c) + _text("BP") + struct.pack("<i", r) + struct.pack("<qi", at, len(data)))
                 vectors.append(data)
                 at += len(data)
-    footer = struct.pack("<i", len(entries)) + b"".join(entries) + struct.pack("<ii", 0, 0)
+    number = {c: k for k, (c, _) in enumerate(chroms, 1)}
+    hoped = b""
+    for r in resolutions:
+        values, factors = expected.expected(pixels[r], sizes, r)
+        hoped += _text("BP") + struct.pack("<ii", r, len(values)) + np.asarray(values, "<f8").tobytes()
+        hoped += struct.pack("<i", len(factors)) + b"".join(struct.pack("<id", number[c], f) for c, f in factors.items())
+    footer = struct.pack("<i", len(entries)) + b"".join(entries) + struct.pack("<i", len(resolutions)) + hoped + struct.pack("<i", 0)
     footer = struct.pack("<i", len(footer)) + footer + struct.pack("<i", len(listed)) + b"".join(listed)
 
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from .. import genome
 from ..functions import registered
 from ..operators import adapters, alignments, contacts, dedup, fragments, genome_scan, mapping, matrix, qc, trim
 from ..session import work_path, written
-from ..sources import bam, fastx, fastx_source, hic, text
+from ..sources import bam, fastx, fastx_source, hic, pair_index, text
 from ..sources.hic_writer import write_hic
 from ..sources.matrix_store import MatrixStore, write_store
 from ..streaming import counters
@@ -292,6 +292,17 @@ def hic_header(s, d):
     return s.createDataFrame([(h.genome, h.version, ",".join(c for c, _ in h.chromosomes[1:]), ",".join(map(str, h.resolutions)))], "genome string, version int, chromosomes string, resolutions string")
 
 
+_RECT = "chr1 = '{}' AND pos1 >= 2000 AND pos1 < 90000 AND chr2 = '{}' AND pos2 >= 10000 AND pos2 < 150000"
+
+
+@query(f"SELECT * FROM pairs WHERE {_RECT.format('chr2', 'chr2')} OR (chr1 = 'chr2' AND pos1 >= 10000 AND pos1 < 150000 AND chr2 = 'chr2' AND pos2 >= 2000 AND pos2 < 90000)", _C, _P)
+def pair_index_rectangle(s, d):
+    """Pairs with one end in each of two regions, from a layout by the Z-curve of both positions."""
+    path = work_path(s, "pair-index")
+    pair_index.write_index(contacts.to_pairs(derive.contacts(s, d)), path)
+    return pair_index.read_index(s, path, genome.Region("chr2", 2_000, 90_000), genome.Region("chr2", 10_000, 150_000))
+
+
 # ---------------------------------------------------------------- sorts, splits and funnels
 
 

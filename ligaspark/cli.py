@@ -1,10 +1,15 @@
-"""Command line: ``python -m ligaspark VERB ...``; one verb per tool of the pipeline. Paths may be in any store that the session reads."""
+"""Command line: ``python -m ligaspark VERB ...``; one verb per tool of the pipeline. Paths may be in any store that the session reads.
+
+Installed packages add verbs by entry points of the group ``ligaspark.verbs``: a function of (spark, arguments), whose attribute ``arguments``, if it has one, is given the verb's
+parser.
+"""
 
 from __future__ import annotations
 
 import argparse
 import sys
 import time
+from importlib.metadata import entry_points
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,6 +256,13 @@ def parser() -> argparse.ArgumentParser:
     verb(gen_qc_report, "files", out="report.html", format="html")
     verb(make_matrix, "pairs", "chromosomes", "out", resolutions="5000,10000,25000,50000,100000,250000,500000,1000000,2500000", balance=False, main=False)
     verb(pipeline, "out", run_config="")
+    for entry in sorted(entry_points(group="ligaspark.verbs"), key=lambda e: e.name):
+        if entry.name in verbs.choices:
+            raise ValueError(f"two verbs are called {entry.name}")
+        f = entry.load()
+        v = verbs.add_parser(entry.name)
+        v.set_defaults(run=f)
+        getattr(f, "arguments", lambda parser: None)(v)
     return p
 
 

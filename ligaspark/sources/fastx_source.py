@@ -293,10 +293,12 @@ def stream_fastq(spark: SparkSession, path: str, columns: str = FASTQ, split_byt
 
 
 def read_pieces(spark: SparkSession, path: str, piece: int = PIECE, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """(record, name, start, seq): pieces of FASTA sequences with their record's number and name and their place in it, none longer than ``piece``.
+    """(record, name, start, seq): pieces of FASTA sequences with their record's number and name and their place in it: all of ``piece`` letters but a record's last,
+    wherever stretches begin; one of no letters for a record without any.
 
     The pieces are written once; their places are sums over their lengths alone, first within stretches and then over the stretches' totals, so no task holds
-    more than the numbers of one stretch's pieces or of one file's stretches. Lines before the first header of a file are dropped.
+    more than the numbers of one stretch's pieces or of one file's stretches. Where a record goes on from one stretch to the next, its pieces in the later one, and the
+    last in the earlier one, are cut anew at multiples of ``piece`` and joined; no others are moved. Lines before the first header of a file are dropped.
     """
     spark.dataSource.register(FastaSource)
     pieces = written(spark.read.format("fasta").option("piece", piece).option("split_bytes", split_bytes).load(path).withColumn("n", F.length("seq")))
@@ -305,13 +307,26 @@ def read_pieces(spark: SparkSession, path: str, piece: int = PIECE, split_bytes:
     begins = F.col("name").isNotNull()
     light = light.withColumn("k", F.count_if(begins).over(upto)).withColumn("z", F.sum("n").over(upto))
     light = light.withColumn("begun", F.last(F.when(begins, F.struct("name", (F.col("z") - F.col("n")).alias("at"))), True).over(upto))
-    parts = light.groupBy("file", "part").agg(F.max("k").alias("k"), F.max("z").alias("z"), F.max_by("begun", "nth").alias("begun"))
+    parts = light.groupBy("file", "part").agg(F.max("k").alias("k"), F.max("z").alias("z"), F.max("nth").alias("last"), F.max_by("begun", "nth").alias("begun"))
     # of the parts before: how many records, how many letters, and the last record's name and the place where it begins, counted from the file's first letter
     before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
     parts = parts.withColumn("k0", zero(F.sum("k").over(before))).withColumn("z0", zero(F.sum("z").over(before)))
     parts = parts.withColumn("open", F.when(F.col("begun").isNotNull(), F.struct(F.col("begun.name").alias("name"), (F.col("begun.at") + F.col("z0")).alias("at"))))
-    parts = parts.select("file", "part", "k0", "z0", F.last("open", True).over(before).alias("open"))
+    parts = parts.select("file", "part", "k0", "z0", "last", F.last("open", True).over(before).alias("open"))
     placed = light.join(parts, ["file", "part"]).withColumn("own", F.when(F.col("begun").isNotNull(), F.struct(F.col("begun.name").alias("name"), (F.col("begun.at") + F.col("z0")).alias("at"))).otherwise(F.col("open")))
-    placed = placed.where("own is not null").select("file", "part", "nth", (F.col("k0") + F.col("k")).alias("record"), F.col("own.name").alias("name"), (F.col("z0") + F.col("z") - F.col("n") - F.col("own.at")).alias("start"))
-    return placed.join(pieces.select("file", "part", "nth", "seq"), ["file", "part", "nth"]).select("file", "record", "name", "start", "seq")
+    placed = placed.where("own is not null and (n > 0 or name is not null)")
+    # only a stretch's last piece, and those of a record that began before it, can have been cut at other places than multiples of ``piece``
+    edge = (F.col("k") == 0) | (F.col("nth") == F.col("last"))
+    placed = placed.select("file", "part", "nth", (F.col("k0") + F.col("k")).alias("record"), F.col("own.name").alias("name"), (F.col("z0") + F.col("z") - F.col("n") - F.col("own.at")).alias("start"), edge.alias("edge"))
+    placed = written(placed)
+    texts = pieces.select("file", "part", "nth", "seq")
+    columns = ["file", "record", "name", "start", "seq"]
+    inner = placed.where("not edge").join(texts, ["file", "part", "nth"]).select(*columns)
+    first, after = F.expr(f"start div {piece}"), F.expr(f"(start + greatest(length(seq), 1) - 1) div {piece}")
+    cut = placed.where("edge").join(texts, ["file", "part", "nth"]).select(*columns, F.explode(F.sequence(first, after)).alias("b"))
+    a = F.greatest(F.col("b") * piece - F.col("start"), F.lit(0))  # where block b begins in the piece
+    z = F.least((F.col("b") + 1) * piece - F.col("start"), F.length("seq"))
+    cut = cut.select("file", "record", "name", "b", F.struct((F.col("start") + a).alias("at"), F.substring("seq", (a + 1).cast("int"), (z - a).cast("int")).alias("seq")).alias("x"))
+    whole = cut.groupBy("file", "record", "name", "b").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["seq"]), "").alias("seq"))  # a piece in all
+    return inner.unionByName(whole.select("file", "record", "name", (F.col("b") * piece).alias("start"), "seq"))

@@ -7,6 +7,7 @@ import pytest
 from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
+from ligaspark.sources import fastx_source
 
 
 @pytest.fixture
@@ -33,3 +34,17 @@ def larger(spark, tmp_path):
 
 def test_sequences_without_a_letter(larger):
     larger("base_frequency", {"documents": "SELECT * REPLACE (CASE WHEN doc_id % 9 = 1 THEN '12 !' WHEN doc_id % 9 = 2 THEN NULL ELSE text END AS text) FROM {}"})
+
+
+def test_pieces_across_stretches(larger, monkeypatch):
+    monkeypatch.setattr(fastx_source.read_pieces, "__defaults__", (fastx_source.PIECE, 1_111))
+    larger("fasta_pieces", {"documents": "SELECT * REPLACE (CASE WHEN doc_id % 9 = 1 THEN '12 !' ELSE text END AS text) FROM {}"})
+
+
+@pytest.mark.parametrize("split", [40, 97, 411])
+def test_pieces_are_whole(spark, tmp_path, split):
+    sizes = [0, 1, 99, 100, 101, 700, 0, 1_234]
+    seqs = [("ACGTTGCAAC" * 200)[k : k + n] for k, n in enumerate(sizes)]
+    (tmp_path / "a.fa").write_text("".join(f">s{k}\n" + "".join(q[a : a + 37] + "\n\n" for a in range(0, len(q), 37)) for k, q in enumerate(seqs)))
+    got = sorted(tuple(r) for r in fastx_source.read_pieces(spark, str(tmp_path), 100, split).select("name", "start", "seq").collect())
+    assert got == sorted((f"s{k}", a, q[a : a + 100]) for k, q in enumerate(seqs) for a in range(0, max(1, len(q)), 100))

@@ -14,7 +14,7 @@ from ..sources.matrix_store import MatrixStore, write_store
 from ..streaming import counters
 from . import derive, report
 from .registry import (
-    _SITE, ORACLES, _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _OWN_SZ, _P, _S, _SZ, _T, _U, _VC, _W, _describe_sql, _expected_sql, _LEN, _off, _own_sizes, _pixels, _px, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
+    _SITE, ORACLES, _ALN, _BIN, _C, _COMP, _K, _KEY, _L, _OWN_SZ, _P, _S, _SZ, _T, _U, _VC, _W, _describe_sql, _expected_sql, _LEN, _off, _own_sizes, _pixels, _px, _reached_sizes, _sizes, _TRIM, _trimmed, _typed, _up, _VALID, query,
 )
 
 _COLS = "chr1, start1, end1, chr2, start2, end2, name, score, strand1, strand2"
@@ -251,17 +251,20 @@ def matrix_store_metadata(s, d):
 _HIC = "cells AS (SELECT least(start1, start2) // 500000 * 500000 AS x, greatest(start1, start2) // 500000 * 500000 AS y FROM contacts WHERE chr1 = 'chr2' AND chr2 = 'chr2')"
 
 
-def _hic_file(s, d, norms=None):
+def _hic_file(s, d, norms=None, sizes=None):
     path = work_path(s, "matrix") + ".hic"
-    base = written(_pixels(s, d, 100_000))
-    coarse = written(matrix.coarsen(base, _sizes(s), 100_000, 500_000))
-    write_hic(s, {100_000: base, 500_000: coarse}, _sizes(s), path, "derived", norms(coarse) if norms else None)
+    sizes = _sizes(s) if sizes is None else sizes
+    base = written(matrix.bin_contacts(derive.contacts(s, d), sizes, 100_000))
+    coarse = written(matrix.coarsen(base, sizes, 100_000, 500_000))
+    write_hic(s, {100_000: base, 500_000: coarse}, sizes, path, "derived", norms(coarse) if norms else None)
     return path
 
 
 @query("SELECT x, y, CAST(count(*) AS DOUBLE) AS count FROM cells WHERE x BETWEEN 0 AND 20000000 GROUP BY x, y", _C, _HIC)
 def hic_round_trip(s, d):
-    return hic.read_hic(s, _hic_file(s, d), genome.Region("chr2"), width=500_000)
+    """Cells of which one end lies in the first 20 million letters, however far the contacts reach."""
+    path = _hic_file(s, d, sizes=_reached_sizes(s, d))
+    return hic.read_hic(s, path, genome.Region("chr2", 0, 20_000_000), genome.Region("chr2"), width=500_000)
 
 
 @query("SELECT (least(start1, start2) // 100000) * 100000 AS x, (greatest(start1, start2) // 100000) * 100000 AS y, CAST(count(*) AS DOUBLE) AS count FROM contacts WHERE chr1 = 'chr3' AND chr2 = 'chr3' AND (least(start1, start2) // 100000) * 100000 BETWEEN 300000 AND 1200000 AND (greatest(start1, start2) // 100000) * 100000 BETWEEN 300000 AND 1200000 GROUP BY 1, 2", _C)

@@ -48,3 +48,7 @@ def test_pieces_are_whole(spark, tmp_path, split):
     (tmp_path / "a.fa").write_text("".join(f">s{k}\n" + "".join(q[a : a + 37] + "\n\n" for a in range(0, len(q), 37)) for k, q in enumerate(seqs)))
     got = sorted(tuple(r) for r in fastx_source.read_pieces(spark, str(tmp_path), 100, split).select("name", "start", "seq").collect())
     assert got == sorted((f"s{k}", a, q[a : a + 100]) for k, q in enumerate(seqs) for a in range(0, max(1, len(q)), 100))
+
+
+def test_contacts_beyond_the_chromosomes(larger):
+    larger("hic_round_trip", {"lineitem": "SELECT * REPLACE (l_partkey + 205900 AS l_partkey) FROM {}"})

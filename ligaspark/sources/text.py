@@ -83,16 +83,16 @@ def write_by_class(sam: DataFrame, mapq: int, path: str) -> None:
 
 
 def write_lengths(lengths: DataFrame, path: str) -> None:
-    """Fragment lengths (chrom, length) as lines of a chromosome and up to some thousand of its lengths."""
-    rows = lengths.withColumn("_b", F.pmod(F.xxhash64("length", F.monotonically_increasing_id()), F.lit(64)))
+    """Fragment lengths (chrom, length) as lines of a chromosome and up to 4 096 of its lengths."""
+    rows = lengths.withColumn("_b", F.monotonically_increasing_id()).withColumn("_b", F.expr("_b div 4096"))
     line = rows.groupBy("chrom", "_b").agg(F.concat_ws("\t", F.collect_list(F.col("length").cast("string"))).alias("v"))
     line.select(F.concat_ws("\t", "chrom", "v").alias("value")).write.text(path)
 
 
 def read_lengths(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, length) from lines of a chromosome and its lengths, as many as there are."""
-    at = F.split(F.trim("value"), r"\s+")
-    rows = lines(spark, path).select(at[0].alias("chrom"), F.explode(F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0)))).alias("v"))
+    at = F.col("at")  # a column of its own below the explosion, so that a line is split once and not for each of its lengths
+    rows = lines(spark, path).select(F.split(F.trim("value"), r"\s+").alias("at")).select(at[0].alias("chrom"), F.explode(F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0)))).alias("v"))
     return rows.select("chrom", F.col("v").try_cast("long").alias("length")).where("length is not null")
 
 

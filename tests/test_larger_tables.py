@@ -4,10 +4,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
-from ligaspark.sources import fastx_source
+from ligaspark.sources import fastx_source, text
 
 
 @pytest.fixture
@@ -52,3 +53,14 @@ def test_pieces_are_whole(spark, tmp_path, split):
 
 def test_contacts_beyond_the_chromosomes(larger):
     larger("hic_round_trip", {"lineitem": "SELECT * REPLACE (l_partkey + 205900 AS l_partkey) FROM {}"})
+
+
+def test_lines_of_lengths_are_split_once(spark, tmp_path):
+    rows = spark.range(300_000, numPartitions=1).select(F.lit("c").alias("chrom"), (F.col("id") % 97).alias("length"))
+    text.write_lengths(rows, f"{tmp_path}/n")
+    assert spark.read.text(f"{tmp_path}/n").select(F.max(F.size(F.split("value", "\t")))).first()[0] <= 4_097
+    back = text.read_lengths(spark, f"{tmp_path}/n")
+    assert back._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert back.groupBy("length").count().exceptAll(rows.groupBy("length").count()).count() == 0 and back.count() == 300_000
+
+

@@ -81,7 +81,7 @@ def length_cache_round_trip(s, d):
 def statistics_round_trip(s, d):
     path = work_path(s, "table")
     stats = qc.describe(fragments.fragment_lengths(derive.sites(s, d)), "length", "chrom").withColumn("std", F.round("std", 6))
-    stats.coalesce(1).write.csv(path, sep="\t", header=True, nullValue=".")
+    stats.repartition(1).write.csv(path, sep="\t", header=True, nullValue=".")
     back = text.read_table(s, path)
     whole = [F.col(c).cast("long").alias(c) if c in ("count", "min", "max") else F.col(c).cast("string" if c == "chrom" else "double").alias(c) for c in back.columns]
     return back.select(*whole)

@@ -64,3 +64,6 @@ def test_lines_of_lengths_are_split_once(spark, tmp_path):
     assert back.groupBy("length").count().exceptAll(rows.groupBy("length").count()).count() == 0 and back.count() == 300_000
 
 
+def test_statistics_are_not_made_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", None)
+    assert queries()["statistics_round_trip"](spark, DATA).count() == 5

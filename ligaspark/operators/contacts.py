@@ -72,9 +72,9 @@ def sort_bed(df: DataFrame) -> DataFrame:
 
 
 def on_chromosomes(df: DataFrame, chroms: DataFrame) -> DataFrame:
-    """Contacts with both ends on the listed chromosomes. The list is small, and Spark sees its size."""
+    """Contacts with both ends on the listed chromosomes. The list is small, so it goes to the contacts, of which few chromosomes would make few tasks."""
     for k in (1, 2):
-        df = df.join(chroms.select(F.col("chrom").alias(f"chr{k}")).distinct(), f"chr{k}", "left_semi")
+        df = df.join(F.broadcast(chroms.select(F.col("chrom").alias(f"chr{k}")).distinct()), f"chr{k}", "left_semi")
     return df
 
 

@@ -67,3 +67,8 @@ def test_lines_of_lengths_are_split_once(spark, tmp_path):
 def test_statistics_are_not_made_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "coalesce", None)
     assert queries()["statistics_round_trip"](spark, DATA).count() == 5
+
+
+def test_chromosomes_listed_move_no_contacts(spark):
+    plan = queries()["chrom_whitelist_semi"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..genome import Region, natural_key, with_chr
@@ -54,9 +54,14 @@ def sort_contacts(df: DataFrame, *ties: str) -> DataFrame:
     return df.orderBy(*(BEDPE_KEY if is_bedpe(df) else PAIRS_KEY), *ties)
 
 
-def sort_by_first(df: DataFrame) -> DataFrame:
-    """Contacts by their first end: chromosomes in version order, then start and end."""
-    return df.orderBy(*natural_key(F.col("chr1")), "start1", "end1")
+def sort_by_first(df: DataFrame, *ties: str) -> DataFrame:
+    """Contacts by their first end: chromosomes in version order, then start and end, and then the columns ``ties``.
+
+    A chromosome's rank and the start make one number, the first key of the sort, so that its prefix tells most rows apart; a null start comes first."""
+    rank = (F.row_number().over(Window.orderBy(*natural_key(F.col("chr1"))))).cast("long")  # a row per chromosome
+    ranks = df.select("chr1").where("chr1 is not null").distinct().withColumn("_k", rank)
+    place = F.col("_k") * (1 << 40) + F.coalesce("start1", F.lit(-(1 << 39)))
+    return df.join(F.broadcast(ranks), "chr1", "left").orderBy(place, "start1", "end1", *ties).select(*df.columns)
 
 
 def merge_sorted(*runs: DataFrame) -> DataFrame:

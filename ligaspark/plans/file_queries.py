@@ -321,7 +321,7 @@ def pair_index_rectangle(s, d):
 
 @query("SELECT chr1, start1, end1, name FROM contacts ORDER BY CAST(substr(chr1, 4) AS INT), start1, end1, name", _C)
 def sort_by_first_end(s, d):
-    return contacts.sort_by_first(derive.contacts(s, d)).select("chr1", "start1", "end1", "name")
+    return contacts.sort_by_first(derive.contacts(s, d), "name").select("chr1", "start1", "end1", "name")
 
 
 @query(f"SELECT {_KEY}, name, score FROM up ORDER BY {_KEY}", _C)

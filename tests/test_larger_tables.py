@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
+from ligaspark.operators import contacts
 from ligaspark.sources import fastx_source, text
 
 
@@ -72,3 +73,9 @@ def test_statistics_are_not_made_in_one_task(spark, monkeypatch):
 def test_chromosomes_listed_move_no_contacts(spark):
     plan = queries()["chrom_whitelist_semi"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_sort_by_first_end_has_no_open_ties(spark):
+    rows = [("chr10", 5, 9, "b"), ("chr2", 7, 9, "a"), ("chr10", 5, 9, "a"), ("chr10", None, 9, "c"), ("chr10", 5, 8, "d"), (None, 1, 2, "e"), ("chrX", 1, 2, "f"), ("chr2", 6, 9, "g")]
+    df = spark.createDataFrame(rows, "chr1 string, start1 long, end1 long, name string")
+    assert [r["name"] for r in contacts.sort_by_first(df, "name").collect()] == ["e", "g", "a", "c", "d", "a", "b", "f"]

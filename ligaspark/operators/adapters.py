@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,10 +203,25 @@ def infer_phred(reads: DataFrame, default: int = 33) -> int:
 
 
 def common_substrings(seqs: DataFrame, length: int, seq: str = "seq") -> DataFrame:
-    """(sub): substrings of a length that every row has."""
-    n = seqs.count()
-    rows = seqs.select(F.expr(f"array_distinct(transform(sequence(1, greatest(length({seq}) - {length} + 1, 1)), i -> substring({seq}, i, {length})))").alias("m"))
-    return rows.select(F.explode("m").alias("sub")).where(F.length("sub") == length).groupBy("sub").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == n).select("sub")
+    """(sub): substrings of a length that every row has; a null row has none. A task keeps those of its first row that all of its rows have, so only a row's
+    substrings leave it, and what all tasks with rows have is left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            texts = batch.column(0)
+            if not len(texts):
+                continue
+            if held is None:
+                first = texts[0].as_py() or ""
+                held = sorted({first[i : i + length] for i in range(len(first) - length + 1)})
+            held = [c for c in held if not texts.null_count and pc.all(pc.match_substring(texts, c)).as_py()]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([None, *held], pa.string())], names=["sub"])  # the null counts the task
+
+    found = seqs.select(F.col(seq).cast("string")).mapInArrow(run, "sub string").groupBy("sub").agg(F.count(F.lit(1)).alias("k"))
+    every = found.agg(F.max(F.when(F.col("sub").isNull(), F.col("k"))).alias("n"), F.collect_list(F.struct("sub", "k")).alias("all"))  # a row's substrings for each task
+    return every.select(F.explode(F.filter("all", lambda x: x["sub"].isNotNull() & (x["k"] == F.col("n")))).alias("x")).select("x.sub")
 
 
 def longest_common_substring(seqs: DataFrame, seq: str = "seq") -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
-from ligaspark.operators import contacts
+from ligaspark.operators import adapters, contacts
 from ligaspark.sources import fastx_source, text
 
 
@@ -79,3 +79,12 @@ def test_sort_by_first_end_has_no_open_ties(spark):
     rows = [("chr10", 5, 9, "b"), ("chr2", 7, 9, "a"), ("chr10", 5, 9, "a"), ("chr10", None, 9, "c"), ("chr10", 5, 8, "d"), (None, 1, 2, "e"), ("chrX", 1, 2, "f"), ("chr2", 6, 9, "g")]
     df = spark.createDataFrame(rows, "chr1 string, start1 long, end1 long, name string")
     assert [r["name"] for r in contacts.sort_by_first(df, "name").collect()] == ["e", "g", "a", "c", "d", "a", "b", "f"]
+
+
+def test_common_substrings_leave_tasks_as_candidates(spark):
+    frame = lambda *t: spark.createDataFrame([(x,) for x in t], "seq string").repartition(3)
+    found = lambda *t: sorted(r[0] for r in adapters.common_substrings(frame(*t), 3).collect())
+    assert found("ACGTA", "TTACGTA", "ACGTACGT") == ["ACG", "CGT", "GTA"] and found("ACGT", None) == found("ACGT", "AC") == found() == []
+    assert "Generate explode" not in adapters.common_substrings(frame("ACGT"), 3)._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[-1]
+
+

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _numbered(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
-    """(file, block, n, value): lines with their numbers in their file. A block of a file is read in order by one task, so its lines' numbers are its first line's and
+def _numbered(spark: SparkSession, paths: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """(file, f, block, n, value): lines with their numbers in their file, and the file's number; and the blocks. A block of a file is read in order by one task, so its lines' numbers are its first line's and
     on; the blocks, a row for each read of a store, are the only thing that is summed up. ``file`` is the number of its path and its full name."""
     raw = None
     for i, path in enumerate(paths):
@@ -20,22 +20,24 @@ def _numbered(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
         raw = part if raw is None else raw.unionByName(part)
     blocks = raw.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("lines"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("base"))
-    return raw.join(blocks, ["file", "block"]).select("file", "block", (F.col("base") + F.col("id") - F.col("first")).alias("n"), "value")
+    number = F.dense_rank().over(Window.orderBy("file"))
+    blocks = blocks.select("file", number.alias("f"), "block", "first", "lines", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("base"))
+    rows = raw.join(F.broadcast(blocks), ["file", "block"]).select("file", "f", "block", (F.col("base") + F.col("id") - F.col("first")).alias("n"), "value")
+    return rows, blocks
 
 
 def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
     """(rec_idx, seqid, seq, quality); the id is the header's first word without its mark. Indexes count on from one path to the next, in a folder by name; a folder's files each
     hold whole records."""
-    rows = _numbered(spark, paths)
-    part = rows.groupBy("file", F.expr("n div 4").alias("r")).agg(
+    rows, blocks = _numbered(spark, paths)
+    part = rows.where("n % 4 <> 2").groupBy("f", F.expr("n div 4").alias("r")).agg(
         *[F.max(F.when(F.expr("n % 4") == k, F.rtrim(F.col("value")))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "quality"))]
     )
     part = part.where(F.col("quality").isNotNull())
-    counts = rows.groupBy("file").agg(F.expr("count(1) div 4").alias("_k"))  # a row per file
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("file", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
-    return part.join(bases, "file").select((F.col("r") + F.col("_base")).alias("rec_idx"), F.substring_index(F.regexp_replace(F.split("head", r"\s+")[0], "^@", ""), " ", 1).alias("seqid"), "seq", "quality")
+    counts = blocks.groupBy("f").agg(F.expr("sum(lines) div 4").alias("_k"))  # a row per file
+    before = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("f", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    return part.join(F.broadcast(bases), "f").select((F.col("r") + F.col("_base")).alias("rec_idx"), F.substring_index(F.regexp_replace(F.split("head", r"\s+")[0], "^@", ""), " ", 1).alias("seqid"), "seq", "quality")
 
 
 def write_fastq(df: DataFrame, path: str, gz: bool = False) -> None:
@@ -45,7 +47,7 @@ def write_fastq(df: DataFrame, path: str, gz: bool = False) -> None:
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(name, seq): the whole header after its mark, and all of its lines joined. A record is assembled in one place: a chromosome at most."""
-    rows = _numbered(spark, (path,))
+    rows, _ = _numbered(spark, (path,))
     head = F.startswith("value", F.lit(">"))
     per = rows.groupBy("file", "block").agg(F.count_if(head).alias("k"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

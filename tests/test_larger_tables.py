@@ -9,7 +9,7 @@ from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
 from ligaspark.operators import adapters, contacts
-from ligaspark.sources import fastx_source, text
+from ligaspark.sources import fastx, fastx_source, text
 
 
 @pytest.fixture
@@ -88,3 +88,8 @@ def test_common_substrings_leave_tasks_as_candidates(spark):
     assert "Generate explode" not in adapters.common_substrings(frame("ACGT"), 3)._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[-1]
 
 
+def test_numbering_moves_no_lines(spark, tmp_path):
+    (tmp_path / "a.fastq").write_text("@a\nAC\n+\nII\n@b\nA\n+\n@\n")
+    df = fastx.read_fastq(spark, str(tmp_path), str(tmp_path / "a.fastq"))
+    assert sorted(map(tuple, df.collect())) == [(0, "a", "AC", "II"), (1, "b", "A", "@"), (2, "a", "AC", "II"), (3, "b", "A", "@")]
+    assert "SortMergeJoin" not in df._jdf.queryExecution().optimizedPlan().toString() and df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") == 2

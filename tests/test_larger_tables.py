@@ -1,6 +1,7 @@
 """Queries against their SQL on tables with what only larger ones hold."""
 
 import os
+import random
 
 import duckdb
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
+from ligaspark.functions import alignment
 from ligaspark.operators import adapters, contacts
 from ligaspark.sources import fastx, fastx_source, text
 
@@ -93,3 +95,11 @@ def test_numbering_moves_no_lines(spark, tmp_path):
     df = fastx.read_fastq(spark, str(tmp_path), str(tmp_path / "a.fastq"))
     assert sorted(map(tuple, df.collect())) == [(0, "a", "AC", "II"), (1, "b", "A", "@"), (2, "a", "AC", "II"), (3, "b", "A", "@")]
     assert "SortMergeJoin" not in df._jdf.queryExecution().optimizedPlan().toString() and df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") == 2
+
+
+def test_many_reads_are_aligned_some_at_a_time(monkeypatch):
+    rng = random.Random(5)
+    reads = ["".join(rng.choice("ACGT") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    whole = alignment.locate_many(reads, "GACCTGAATTC").tolist()
+    monkeypatch.setattr(alignment, "_TOGETHER", 7)
+    assert alignment.locate_many(reads, "GACCTGAATTC").tolist() == whole

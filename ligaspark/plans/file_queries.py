@@ -380,16 +380,20 @@ def _streamed(s, df, mode):
     return s.read.schema(df.schema).parquet(out)
 
 
+_PAIRS_A_FILE = 500_000
+
+
 def _pair_files(s, d):
     path = work_path(s, "arriving")
     pairs = contacts.to_pairs(derive.contacts(s, d))
-    pairs.repartition(6).select(F.concat_ws("\t", *pairs.columns).alias("value")).write.text(path)
-    return counters.stream_pairs(s, path, files_per_trigger=2)
+    n = max(6, -(-pairs.count() // _PAIRS_A_FILE))  # where there are more than six, more of them arrive at once
+    pairs.repartition(n).select(F.concat_ws("\t", *pairs.columns).alias("value")).write.text(path)
+    return counters.stream_pairs(s, path, files_per_trigger=n // 3)
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (chr1 <> chr2) AS \"inter\", count(*) FILTER (chr1 = chr2) AS intra, count(*) FILTER (chr1 = chr2 AND abs(pos2 - pos1) >= 20000) AS long_range FROM pairs", _C, _P)
 def streamed_composition(s, d):
-    """Counters over files that arrive two at a time."""
+    """Counters over files that arrive two at a time, of large tables a third of them at a time."""
     return _streamed(s, counters.running_composition(_pair_files(s, d)), "complete")
 
 

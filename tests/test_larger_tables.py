@@ -11,6 +11,7 @@ from smallest import DATA, TABLES
 from __spark_entry__ import oracle_sql, queries
 from ligaspark.functions import alignment
 from ligaspark.operators import adapters, contacts
+from ligaspark.plans import derive, file_queries
 from ligaspark.sources import fastx, fastx_source, text
 
 
@@ -103,3 +104,12 @@ def test_many_reads_are_aligned_some_at_a_time(monkeypatch):
     whole = alignment.locate_many(reads, "GACCTGAATTC").tolist()
     monkeypatch.setattr(alignment, "_TOGETHER", 7)
     assert alignment.locate_many(reads, "GACCTGAATTC").tolist() == whole
+
+
+def test_files_of_pairs_grow_in_number(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(file_queries, "_PAIRS_A_FILE", 100, raising=False)
+    monkeypatch.setattr(file_queries.counters, "stream_pairs", lambda s, path, files_per_trigger: made.append((s.read.text(path).inputFiles(), files_per_trigger)))
+    file_queries._pair_files(spark, DATA)
+    (files, n), want = made[0], -(-derive.contacts(spark, DATA).count() // 100)
+    assert len(files) == want > 6 and n == want // 3

@@ -10,7 +10,7 @@ from smallest import DATA, TABLES
 
 from __spark_entry__ import oracle_sql, queries
 from ligaspark.functions import alignment
-from ligaspark.operators import adapters, contacts
+from ligaspark.operators import adapters, contacts, fragments
 from ligaspark.plans import derive, file_queries
 from ligaspark.sources import fastx, fastx_source, text
 
@@ -113,3 +113,13 @@ def test_files_of_pairs_grow_in_number(spark, monkeypatch):
     file_queries._pair_files(spark, DATA)
     (files, n), want = made[0], -(-derive.contacts(spark, DATA).count() // 100)
     assert len(files) == want > 6 and n == want // 3
+
+
+def test_chromosomes_with_sites_move_no_contacts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fragments.classify(derive.contacts(spark, DATA), derive.sites(spark, DATA), 4, method="arrays")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
